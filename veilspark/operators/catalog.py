@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from veilspark.columns import DATASET
 from veilspark.functions.names import data_interface
+from veilspark.operators.joins import keyed_join
 from veilspark.operators.tables import upsert
+from veilspark.sources.scratch import materialise
 
 ORIGINAL = "1"
 SUMMARY = "2"
@@ -32,7 +34,7 @@ def catalog_variables(catalog: DataFrame, standard: DataFrame) -> DataFrame:
     """
     codes = standard.select("var_seq", F.col("var_cd").alias("_standard"))
     return (
-        catalog.join(codes, "var_seq", "left")
+        keyed_join(catalog, codes, ["var_seq"], "left")
         .withColumn("var_cd", F.coalesce("_standard", "var_cd"))
         .groupBy(*DATASET)
         .agg(
@@ -44,16 +46,10 @@ def catalog_variables(catalog: DataFrame, standard: DataFrame) -> DataFrame:
 
 def dataset_columns(catalog: DataFrame, standard: DataFrame) -> DataFrame:
     """Original variables of each dataset with the code its own provider and dataset use."""
-    return (
-        catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL)
-        .drop("var_cd")
-        .join(
-            standard.select("prvdr_cd", "cat_cd", "var_seq", "var_cd"),
-            ["prvdr_cd", "cat_cd", "var_seq"],
-            "left",
-        )
-        .select(*DATASET, "var_dscr_seq", "var_cd")
-    )
+    keys = ["prvdr_cd", "cat_cd", "var_seq"]
+    original = catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL).drop("var_cd")
+    coded = keyed_join(original, standard.select(*keys, "var_cd"), keys, "left")
+    return coded.select(*DATASET, "var_dscr_seq", "var_cd")
 
 
 def rule_set(rules: DataFrame, exec_seq: Column, ruleset_seq: Column) -> DataFrame:
@@ -65,22 +61,18 @@ def resolve_rules(rules: DataFrame, catalog: DataFrame, standard: DataFrame) ->
     """Rules with the code of their variable, the standard code first."""
     wanted = catalog.select(*CATALOG_KEYS, "var_seq", "var_cd")
     codes = standard.select("var_seq", F.col("var_cd").alias("_standard"))
-    return (
-        rules.filter(F.col("di_set_val").isNotNull())
-        .join(wanted, list(CATALOG_KEYS))
-        .join(codes, "var_seq", "left")
-        .select(*DATASET, "exec_seq", F.coalesce("_standard", "var_cd").alias("var_cd"), "di_set_val")
-    )
+    found = keyed_join(rules.filter(F.col("di_set_val").isNotNull()), wanted, CATALOG_KEYS)
+    code = F.coalesce("_standard", "var_cd").alias("var_cd")
+    coded = keyed_join(found, codes, ["var_seq"], "left")
+    return coded.select(*DATASET, "exec_seq", code, "di_set_val")
 
 
 def resolve_original_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     """Rules with the requested code of their original variable."""
-    wanted = catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL)
-    return (
-        rules.filter(F.col("di_set_val").isNotNull())
-        .join(wanted.select(*DATASET, "var_dscr_seq", "var_cd"), [*DATASET, "var_dscr_seq"])
-        .select(*DATASET, "exec_seq", "var_cd", "di_set_val")
-    )
+    keys = [*DATASET, "var_dscr_seq"]
+    wanted = catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL).select(*keys, "var_cd")
+    found = keyed_join(rules.filter(F.col("di_set_val").isNotNull()), wanted, keys)
+    return found.select(*DATASET, "exec_seq", "var_cd", "di_set_val")
 
 
 def resolve_summary_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -90,11 +82,9 @@ def resolve_summary_rules(rules: DataFrame, catalog: DataFrame) -> DataFrame:
     pairs = original.select(*DATASET, "var_seq", "var_dscr_seq").join(
         summary.select(*DATASET, "var_seq", "var_cd"), [*DATASET, "var_seq"]
     )
-    return (
-        rules.filter(F.col("di_set_val").isNotNull())
-        .join(pairs, [*DATASET, "var_dscr_seq"])
-        .select(*DATASET, "exec_seq", "var_cd", "di_set_val")
-    )
+    given = rules.filter(F.col("di_set_val").isNotNull())
+    found = keyed_join(given, pairs, [*DATASET, "var_dscr_seq"])
+    return found.select(*DATASET, "exec_seq", "var_cd", "di_set_val")
 
 
 def summary_variables(
@@ -105,14 +95,12 @@ def summary_variables(
     Ranks are gapped as RANK gives them, and `CNT` takes the number after the highest.
     """
     ruled = rules.filter(F.col("di_set_val").isNotNull()).select(*DATASET, "var_dscr_seq")
-    variables = (
-        catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL)
-        .join(ruled, [*DATASET, "var_dscr_seq"], "left_semi")
-        .join(known.select("var_seq"), "var_seq", "left_semi")
-        .select(*DATASET, "var_seq", "var_dscr_seq", "var_dscr_nm", "req_var_tp_cd")
-        .join(standard.select("var_seq", "var_cd"), "var_seq")
-        .distinct()
-    )
+    original = catalog.filter(F.col("org_mrg_tp_cd") == ORIGINAL)
+    original = original.join(ruled.distinct(), [*DATASET, "var_dscr_seq"], "left_semi")
+    original = keyed_join(original, known.select("var_seq"), ["var_seq"], "left_semi")
+    original = original.select(*DATASET, "var_seq", "var_dscr_seq", "var_dscr_nm", "req_var_tp_cd")
+    coded = keyed_join(original, standard.select("var_seq", "var_cd"), ["var_seq"])
+    variables = coded.distinct()
     rank = F.rank().over(Window.partitionBy(*DATASET).orderBy("var_seq")).cast("bigint")
     ranked = variables.select(
         *DATASET, "var_seq", "req_var_tp_cd", rank.alias("var_dscr_seq"), "var_cd"
@@ -155,7 +143,7 @@ def build_summary_catalog(
     columns = ("req_var_tp_cd", "var_dscr_nm", "var_cd", "var_seq")
     first = F.min(F.struct("var_cd", "var_seq", "req_var_tp_cd", "var_dscr_nm"))
     single = made.groupBy(*CATALOG_KEYS).agg(first.alias("_first")).select(*CATALOG_KEYS, "_first.*")
-    return upsert(catalog, single, CATALOG_KEYS, columns)
+    return upsert(catalog, materialise(single, "summary-variables"), CATALOG_KEYS, columns)
 
 
 def summary_metadata(catalog: DataFrame, standard: DataFrame, rules: DataFrame) -> DataFrame:
@@ -169,8 +157,11 @@ def summary_metadata(catalog: DataFrame, standard: DataFrame, rules: DataFrame)
     used = original.select(*DATASET, "var_seq", "var_dscr_seq").join(
         rules.select(*DATASET, "var_dscr_seq"), [*DATASET, "var_dscr_seq"]
     )
-    described = summary.select(*DATASET, "var_seq", "var_dscr_seq").join(
-        standard.select("var_seq", "var_cd", "datatp"), "var_seq", "left"
+    described = keyed_join(
+        summary.select(*DATASET, "var_seq", "var_dscr_seq"),
+        standard.select("var_seq", "var_cd", "datatp"),
+        ["var_seq"],
+        "left",
     )
     last = described.groupBy(*DATASET).agg(F.max("var_dscr_seq").alias("cnt"))
     return (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veilspark.columns import DATA_META, DATASET, FAILED, OK
 from veilspark.functions.names import interface_number, parse_file_name
-from veilspark.operators.joins import lookup_join
+from veilspark.operators.joins import keyed_join
 
 
 def check_file_names(register: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def check_columns(
         rest = F.slice(given, F.lit(len(meta) + 1), F.greatest(F.size(given), F.lit(1)))
         given = F.concat(meta_names, rest)
     wanted = catalog_columns.groupBy(*DATASET).agg(F.collect_list(F.upper("var_cd")).alias("_vars"))
-    joined = lookup_join(listed, wanted, DATASET, "left").select(
+    joined = keyed_join(listed, wanted, DATASET, "left").select(
         *DATASET,
         "file_nm",
         F.col("_vars").isNotNull().alias("in_catalog"),
@@ -89,7 +89,7 @@ def check_columns(
 
 def not_produced(expected: DataFrame, produced: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Expected rows, such as output files, that were not produced."""
-    return expected.join(produced.select(*keys).distinct(), list(keys), "left_anti")
+    return keyed_join(expected, produced.select(*keys).distinct(), keys, "left_anti")
 
 
 def completeness(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark.columns import DATASET, FAILED, OK
 from veilspark.functions.names import output_name, parse_file_name
+from veilspark.operators.joins import keyed_join
 from veilspark.operators.tables import upsert
 
 INVENTORY_KEYS = (*DATASET, "org_mrg_tp_cd", "prsnt_pg_num", "tot_pg_num")
@@ -29,8 +30,9 @@ def expected_outputs(
 
 def inventory_rows(expected: DataFrame, files: DataFrame, stage: str) -> DataFrame:
     """Inventory rows of the expected files that exist, `files` being their measures."""
-    parts = parse_file_name(F.col("file_nm"))
-    found = expected.join(files.withColumnRenamed("file_nm", "out_nm"), "out_nm")
+    parts = parse_file_name(F.col("_given"))
+    measured = files.withColumnRenamed("file_nm", "out_nm")
+    found = keyed_join(expected.withColumnRenamed("file_nm", "_given"), measured, ["out_nm"])
     return found.withColumn("_parts", parts).select(
         *DATASET,
         F.lit(CONTENT[stage]).alias("org_mrg_tp_cd"),
@@ -48,7 +50,7 @@ def inventory_status(expected: DataFrame, files: DataFrame) -> DataFrame:
     """A detail row per expected file: ok if it was found, failed if not."""
     found = files.select(F.col("file_nm").alias("out_nm")).distinct().withColumn("_found", F.lit(1))
     status = F.when(F.col("_found").isNotNull(), OK).otherwise(FAILED)
-    return expected.join(found, "out_nm", "left").select(
+    return keyed_join(expected, found, ["out_nm"], "left").select(
         *DATASET, F.col("out_nm").alias("file_nm"), status.alias("wk_exec_sts_cd")
     )
 

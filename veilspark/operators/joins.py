@@ -1,10 +1,4 @@
-"""Joins that hold when one key owns a large share of the rows.
-
-`lookup_join` is for catalogs, salts, verdicts and other small sides: the side is
-broadcast only after a count has shown it to be small. `spread_join` is for two
-sides that both grow with the data: heavy keys are found by counting and their
-rows are spread over several tasks. Both return exactly what a plain join would.
-"""
+"""The equi join of this package: it holds when one key owns a large share of the rows."""
 
 from __future__ import annotations
 
@@ -28,28 +22,38 @@ def _heavy_buckets(keys: DataFrame, bucket: Column, shares: int) -> DataFrame:
     return load.select("_bucket", F.ceil(share).alias("_parts")).filter(F.col("_parts") > 1)
 
 
-def spread_join(
+def is_small(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
+    """Whether `df` has at most `rows` rows; stops reading as soon as it knows."""
+    return not df.select(F.lit(1)).offset(rows).limit(1).collect()
+
+
+def keyed_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    measured: DataFrame | None = None,
+    at_most: int | None = None,
+    small: int = LOOKUP_ROWS,
 ) -> DataFrame:
-    """Equi join whose heavy left keys are cut into parts; `how` keeps or filters left rows.
-
-    A left row goes to one part of its bucket and the right rows of that bucket go
-    to all its parts, so every pair still meets exactly once. The part follows from
-    the row and from its input partition, so copies of one row spread as well and a
-    repeated task puts each row where it was before. `measured` names a cheaper
-    frame with the same keys to count, such as the scan below a costly plan.
+    """Equi join that keeps or filters left rows, whatever the share of a single key.
+
+    A right side counted to have at most `small` rows is broadcast, so the left side
+    is not shuffled at all; `at_most` gives a bound that is known without counting.
+    Beyond that, heavy left keys are cut into parts: a left row goes to one part of
+    its bucket and the right rows of that bucket go to all its parts, so every pair
+    still meets exactly once. The part follows from the row and its input partition,
+    so copies of one row spread as well, and a repeated task puts each row where it
+    was before.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"spread_join keeps left rows, so it cannot run a {how} join")
+        raise ValueError(f"keyed_join keeps left rows, so it cannot run a {how} join")
     on = list(on)
+    if is_small(right, small) if at_most is None else at_most <= small:
+        return left.join(F.broadcast(right), on, how)
+
     shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*on), F.lit(max(MIN_BUCKETS, 4 * shares)))
-    keys = (left if measured is None else measured).select(*on)
-    heavy = F.broadcast(_heavy_buckets(keys, bucket, shares))
+    heavy = F.broadcast(_heavy_buckets(left.select(*on), bucket, shares))
 
     place = F.xxhash64(*left.columns) + F.spark_partition_id()
     spread = (
@@ -58,32 +62,11 @@ def spread_join(
         .withColumn("_part", F.coalesce(F.pmod(place, F.col("_parts")), F.lit(0)))
         .drop("_bucket", "_parts")
     )
+    last = F.coalesce("_parts", F.lit(1)) - 1
     copies = (
         right.withColumn("_bucket", bucket)
         .join(heavy, "_bucket", "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         .drop("_bucket", "_parts")
     )
     return spread.join(copies, [*on, "_part"], how).drop("_part")
-
-
-def is_small(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
-    """Whether `df` has at most `rows` rows; stops reading as soon as it knows."""
-    return not df.select(F.lit(1)).offset(rows).limit(1).collect()
-
-
-def lookup_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    at_most: int | None = None,
-) -> DataFrame:
-    """Join against a side expected to be small: broadcast if it is, `spread_join` if not.
-
-    The side is counted up to LOOKUP_ROWS, unless `at_most` already bounds its rows.
-    """
-    small = is_small(lookup) if at_most is None else at_most <= LOOKUP_ROWS
-    if small:
-        return left.join(F.broadcast(lookup), list(on), how)
-    return spread_join(left, lookup, on, how)

@@ -17,7 +17,7 @@ from veilspark.columns import (
     WARNING,
 )
 from veilspark.functions.hashing import person_hash
-from veilspark.operators.joins import lookup_join, spread_join
+from veilspark.operators.joins import keyed_join
 
 MATCHED = "429"
 NOT_MATCHED = "428"
@@ -41,7 +41,7 @@ def hash_persons(persons: DataFrame, salts: DataFrame, null_text: str | None = N
     Copies collapse before the join, so neither join nor hash sees them twice.
     """
     salts = salts.select(*STUDY_PROVIDER, "ttp_id").distinct()
-    salted = lookup_join(persons.select(*PERSON).distinct(), salts, STUDY_PROVIDER)
+    salted = keyed_join(persons.select(*PERSON).distinct(), salts, STUDY_PROVIDER)
     key = person_hash(F.col("mrg_nm"), F.col("mrg_ssn"), F.col("ttp_id"), null_text)
     return salted.withColumn("hash_did", key).select(*HASHED_PERSON)
 
@@ -49,7 +49,7 @@ def hash_persons(persons: DataFrame, salts: DataFrame, null_text: str | None = N
 def unsalted(persons: DataFrame, salts: DataFrame) -> DataFrame:
     """Studies and providers that delivered persons but have no salt, with their row counts."""
     counted = persons.groupBy(*STUDY_PROVIDER).agg(F.count(F.lit(1)).alias("n_persons"))
-    return counted.join(salts, list(STUDY_PROVIDER), "left_anti")
+    return keyed_join(counted, salts.select(*STUDY_PROVIDER), STUDY_PROVIDER, "left_anti")
 
 
 def unhashable(hashed: DataFrame) -> DataFrame:
@@ -113,10 +113,10 @@ def match_requested(
 
     A key requested twice gives its persons twice, as the joining insert does.
     """
-    matched = spread_join(hashed.select(*HASHED_PERSON), requested.select(*KEY), KEY)
+    matched = keyed_join(hashed.select(*HASHED_PERSON), requested.select(*KEY), KEY)
     if verdicts is not None:
         passed = verdicts.filter(F.col("prcsts") == MATCHED).select(*STUDY)
-        matched = lookup_join(matched, passed, STUDY, "left_semi")
+        matched = keyed_join(matched, passed, STUDY, "left_semi")
     return matched.select(*HASHED_PERSON)
 
 
@@ -127,7 +127,7 @@ def attach_hash(rows: DataFrame, matched: DataFrame, carry: Sequence[str] = ())
     such as the file name, that stay in front.
     """
     keys = matched.select(*PERSON, "hash_did")
-    joined = spread_join(rows, keys, PERSON, measured=rows)
+    joined = keyed_join(rows, keys, PERSON)
     used = {*PERSON, "hash_did", *(name.lower() for name in carry)}
     values = [name for name in rows.columns if name.lower() not in used]
     return joined.select(*carry, *KEY, *values)
@@ -152,7 +152,7 @@ def swap_key(rows: DataFrame, alternates: DataFrame, how: str = "left", keep: Se
     table (such as a date shift) to append.
     """
     pairs = alternates.select("hash_did", "alter_id", *keep).distinct()
-    joined = spread_join(rows, pairs, ["hash_did"], how)
+    joined = keyed_join(rows, pairs, ["hash_did"], how)
     names = ["alter_id" if name.lower() == "hash_did" else name for name in rows.columns]
     return joined.select(*names, *keep)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veilspark.columns import OK, STUDY
 from veilspark.operators.checks import completeness, not_produced
-from veilspark.operators.joins import lookup_join
+from veilspark.operators.joins import keyed_join
 
 FILE = (*STUDY, "out_nm")
 
@@ -27,4 +27,4 @@ def missing_outputs(expected: DataFrame, produced: DataFrame) -> DataFrame:
 def releasable(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Rows of the studies that are complete."""
     passed = verdicts.filter(F.col("status") == OK).select(*STUDY)
-    return lookup_join(rows, passed, STUDY, "left_semi")
+    return keyed_join(rows, passed, STUDY, "left_semi")

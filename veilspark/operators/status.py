@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from veilspark.columns import FAILED, OK, STUDY, WARNING
 from veilspark.operators.catalog import ordered_list
+from veilspark.operators.joins import keyed_join
 
 
 def count_by_status(detail: DataFrame, by: Sequence[str] = ("bt_seq", "bt_exec_seq")) -> DataFrame:
@@ -67,52 +68,41 @@ def pending_batches(
     is not ok, and through having none, so one with a failed and a good run is
     listed. `strict` lists each batch once, and only without any good run.
     """
-    registered = requests.alias("a").join(
-        batches.filter(F.col("wk_dtl_tp_cd") == task).alias("c"),
-        (F.col("a.requestid") == F.col("c.ask_id")) & (F.col("a.hypoid") == F.col("c.rshp_id")),
+    known = requests.select(
+        F.col("requestid").alias("ask_id"), F.col("hypoid").alias("rshp_id"), "cnorgcode"
     )
-    shown = ["c.bt_seq", "c.ask_id", "c.rshp_id", "c.exec_seq", "a.cnorgcode"]
-    runs = executions.filter(F.col("crt_pgm_id") == program).select("bt_seq", "wk_sts_cd").alias("d")
-    same = F.col("c.bt_seq") == F.col("d.bt_seq")
+    due = batches.filter(F.col("wk_dtl_tp_cd") == task).select("bt_seq", *STUDY, "exec_seq")
+    due = keyed_join(due, known, STUDY).select("bt_seq", *STUDY, "exec_seq", "cnorgcode")
+    runs = executions.filter(F.col("crt_pgm_id") == program).select("bt_seq", "wk_sts_cd")
+    good = F.coalesce("wk_sts_cd", F.lit(FAILED)).isin(OK)
     if strict:
-        return registered.join(runs.filter(F.col("wk_sts_cd") == OK), same, "left_anti").select(*shown)
-    status = F.coalesce(F.col("d.wk_sts_cd"), F.lit(FAILED))
-    return registered.join(runs, same, "left").filter(~status.isin(OK)).select(*shown)
+        return due.join(runs.filter(good).select("bt_seq").distinct(), "bt_seq", "left_anti")
+    # From the executions' side, so that a batch with very many of them is cut into parts.
+    unfinished = keyed_join(runs.filter(~good).drop("wk_sts_cd"), due, ["bt_seq"])
+    untried = due.join(runs.select("bt_seq").distinct(), "bt_seq", "left_anti")
+    return untried.unionByName(unfinished)
 
 
 def batch_datasets(
     requests: DataFrame, batches: DataFrame, chosen: DataFrame, task: str
 ) -> DataFrame:
-    """Datasets chosen for the study of each requested batch of a task."""
+    """Datasets chosen for the run of each requested batch of a task."""
     known = requests.select(F.col("requestid").alias("ask_id"), F.col("hypoid").alias("rshp_id"))
-    return (
-        batches.filter(F.col("wk_dtl_tp_cd") == task)
-        .select("bt_seq", *STUDY)
-        .join(known, list(STUDY))
-        .join(chosen.select(*STUDY, "exec_seq", "prvdr_cd", "cat_cd"), list(STUDY))
-        .select("bt_seq", "exec_seq", "prvdr_cd", "cat_cd")
-    )
+    due = batches.filter(F.col("wk_dtl_tp_cd") == task).select("bt_seq", *STUDY, "exec_seq")
+    run = [*STUDY, "exec_seq"]
+    found = keyed_join(keyed_join(due, known, STUDY), chosen.select(*run, "prvdr_cd", "cat_cd"), run)
+    return found.select("bt_seq", "exec_seq", "prvdr_cd", "cat_cd")
 
 
 def logged_outputs(log: DataFrame, batches: DataFrame, detail: DataFrame, task: str) -> DataFrame:
     """Outputs in the run log that a batch detail row of the same run confirms."""
-    done = (
-        batches.filter(F.col("wk_dtl_tp_cd") == task)
-        .select("bt_seq", *STUDY, "exec_seq")
-        .join(
-            detail.filter(F.col("wk_exec_sts_cd").isin(OK, WARNING)).select("bt_seq", "wk_exec_cnts"),
-            "bt_seq",
-        )
-        .drop("bt_seq")
-        .distinct()
-    )
-    return (
-        log.filter(F.col("di_wk_div_cnts") == task)
-        .select(*STUDY, "exec_seq", "wk_exec_cnts", "prvdr_cd", "cat_cd", "di_wk_div_cnts")
-        .join(done, [*STUDY, "exec_seq", "wk_exec_cnts"])
-        .select(*STUDY, "exec_seq", "prvdr_cd", "cat_cd", "wk_exec_cnts", "di_wk_div_cnts")
-        .distinct()
-    )
+    shown = [*STUDY, "exec_seq", "prvdr_cd", "cat_cd", "wk_exec_cnts", "di_wk_div_cnts"]
+    due = batches.filter(F.col("wk_dtl_tp_cd") == task).select("bt_seq", *STUDY, "exec_seq")
+    confirmed = detail.filter(F.col("wk_exec_sts_cd").isin(OK, WARNING))
+    confirmed = confirmed.select("bt_seq", "wk_exec_cnts").distinct()
+    done = keyed_join(confirmed, due, ["bt_seq"]).drop("bt_seq").distinct()
+    logged = log.filter(F.col("di_wk_div_cnts") == task).select(*shown).distinct()
+    return logged.join(done, [*STUDY, "exec_seq", "wk_exec_cnts"], "left_semi").select(*shown)
 
 
 def dataset_listing(chosen: DataFrame, by: Sequence[str] = (*STUDY, "exec_seq")) -> DataFrame:

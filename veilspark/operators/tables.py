@@ -11,6 +11,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from veilspark.operators.joins import is_small, keyed_join
+
 
 def _same(names: Sequence[str], null_safe: bool) -> Column:
     pairs = [(F.col(f"s.{name}"), F.col(f"t.{name}")) for name in names]
@@ -22,12 +24,15 @@ def missing_from(
 ) -> DataFrame:
     """Source rows whose keys the target does not hold.
 
-    The target is first cut down to the keys that occur in the source, so a small
-    source leaves a large target unshuffled and copies in the target cost nothing.
+    The target is reduced to its distinct keys, so copies in it cost nothing. For a
+    small source it is first cut down to the source keys without being shuffled.
     """
+    held = target.select(*keys)
     wanted = source.select(*keys).distinct()
-    held = target.alias("s").join(wanted.alias("t"), _same(keys, null_safe), "left_semi")
-    held = held.select(*keys).distinct()
+    if is_small(wanted):
+        found = _same(keys, null_safe)
+        held = held.alias("s").join(F.broadcast(wanted).alias("t"), found, "left_semi")
+    held = held.distinct()
     return source.alias("s").join(held.alias("t"), _same(keys, null_safe), "left_anti")
 
 
@@ -61,7 +66,7 @@ def upsert(
     changes = source.select(
         *keys, *[F.col(name).alias(f"_new_{name.lower()}") for name in update_cols]
     ).withColumn("_hit", F.lit(True))
-    updated = target.join(changes, list(keys), "left").select(
+    updated = keyed_join(target, changes, keys, "left").select(
         *[
             F.when(F.col("_hit"), F.col(f"_new_{name.lower()}")).otherwise(F.col(name)).alias(name)
             if name.lower() in fresh
@@ -105,7 +110,7 @@ def update_exists(
 ) -> DataFrame:
     """UPDATE … WHERE EXISTS (a row of `other` with equal keys): `on` maps own to other columns."""
     found = other.select(*[F.col(theirs).alias(own) for own, theirs in on.items()]).distinct()
-    flagged = df.join(found.withColumn("_found", F.lit(True)), list(on), "left")
+    flagged = keyed_join(df, found.withColumn("_found", F.lit(True)), list(on), "left")
     hit = F.coalesce("_found", F.lit(False))
     if condition is not None:
         hit &= condition

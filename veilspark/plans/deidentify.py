@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from veilspark.columns import FAILED
-from veilspark.operators.joins import lookup_join
+from veilspark.operators.joins import keyed_join
 from veilspark.operators.linkage import swap_key, swap_report
 from veilspark.operators.rules import Rule, RuleError, apply_rules, deid_report
 from veilspark.operators.tables import drop_and_order
@@ -47,7 +47,7 @@ def deidentify(
     swapped = materialise(swap_key(rows, alternates, how, extra), "swapped")
     keys = materialise(swap_report(swapped, files), "key_report")
     usable = keys.filter(F.col("status") != FAILED).select(*files)
-    good = lookup_join(swapped, usable, files, "left_semi")
+    good = keyed_join(swapped, usable, files, "left_semi")
     changed = apply_rules(good, rules, on_invalid, missing_column, extra)
     cells = deid_report(good, rules, files, missing_column, extra)
     return Deidentified(drop_and_order(changed, extra), keys, cells)

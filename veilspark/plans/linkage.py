@@ -50,7 +50,8 @@ def match_job(hashed: DataFrame, requested: DataFrame) -> Matched:
     """Match requested keys. A bad transfer code or no match at all holds back a study."""
     counts = linkage.request_match_counts(hashed, requested)
     verdicts = materialise(linkage.request_verdicts(counts), "verdicts")
-    return Matched(linkage.match_requested(hashed, requested, verdicts), verdicts)
+    matched = linkage.match_requested(hashed, requested, verdicts)
+    return Matched(materialise(matched, "matched"), verdicts)
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from veilspark.columns import DATA_META
-from veilspark.operators.joins import lookup_join
+from veilspark.operators.joins import keyed_join
 
 # Texts that mean "missing" when token handling is asked for (fixed values).
 NULL_TOKENS = (
@@ -66,7 +66,7 @@ def _with_text(lines: DataFrame, encoding: str, fallback: str) -> DataFrame:
         broken = lines.groupBy("_path").agg(
             F.max(~F.is_valid_utf8("value")).alias("_foreign")
         )
-        known = lookup_join(lines, broken, ["_path"], "left", at_most=_n_files(lines))
+        known = keyed_join(lines, broken, ["_path"], "left", at_most=_n_files(lines))
         other = F.decode(F.col("value").cast("binary"), fallback)
         text = F.when(F.col("_foreign"), other).otherwise(F.col("value"))
         return known.withColumn("value", text).drop("_foreign")
@@ -83,7 +83,7 @@ def _skip_rows(lines: DataFrame, rows: int) -> DataFrame:
     if rows == 0:
         return lines
     starts = lines.groupBy("_path").agg(F.min("_line").alias("_start"))
-    placed = lookup_join(lines, starts, ["_path"], "left", at_most=_n_files(lines))
+    placed = keyed_join(lines, starts, ["_path"], "left", at_most=_n_files(lines))
     head = F.coalesce(F.col("_line") - F.col("_start") < rows, F.lit(False))
     return placed.filter(~head).drop("_start")
 
@@ -224,7 +224,7 @@ def file_headers(
     """Header columns of every headered file as rows: file, position from 1, name."""
     lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
     starts = lines.groupBy("_path").agg(F.min("_line").alias("_line"))
-    first = lookup_join(lines, starts, ["_path", "_line"], "left_semi", at_most=_n_files(lines))
+    first = keyed_join(lines, starts, ["_path", "_line"], "left_semi", at_most=_n_files(lines))
     names = F.posexplode(F.split(F.upper("value"), sep)).alias("pos", "var_cd")
     return first.select("file_nm", names).select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")
 

@@ -95,7 +95,7 @@ def pending_batches_strict(t: Tables) -> DataFrame:
     """
 SELECT c.bt_seq, d.exec_seq, d.prvdr_cd, d.cat_cd
 FROM request a JOIN batch c ON a.requestid = c.ask_id AND a.hypoid = c.rshp_id
- JOIN chosen d ON c.ask_id = d.ask_id AND c.rshp_id = d.rshp_id
+ JOIN chosen d ON c.ask_id = d.ask_id AND c.rshp_id = d.rshp_id AND c.exec_seq = d.exec_seq
 WHERE c.wk_dtl_tp_cd = '7F'""",
     "request batch chosen",
 )

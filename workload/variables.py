@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from veilspark.operators import catalog, checks
+from veilspark.sources.scratch import materialise
 from workload.registry import query
 from workload.tables import DATASET, Tables
 
@@ -67,8 +68,13 @@ WHERE s.var_cd IS NOT NULL AND di_set_val IS NOT NULL""",
     "summary_catalog",
 )
 def resolve_summary_rules(t: Tables) -> DataFrame:
+    return catalog.resolve_summary_rules(t.rule, _summary_catalog(t))
+
+
+def _summary_catalog(t: Tables) -> DataFrame:
+    """The stored catalog after the merge."""
     made = catalog.build_summary_catalog(t.catalog_before, t.standard, t.known, t.rule)
-    return catalog.resolve_summary_rules(t.rule, made)
+    return materialise(made, "catalog")
 
 
 @query("SELECT * FROM summary_variable", "summary_variable")
@@ -96,9 +102,8 @@ metadata AS (SELECT {DATASET},
 
 
 def _metadata(t: Tables) -> DataFrame:
-    made = catalog.build_summary_catalog(t.catalog_before, t.standard, t.known, t.rule)
     run = catalog.rule_set(t.rule, F.lit(1), F.lit(None).cast("int"))
-    return catalog.summary_metadata(made, t.standard, run)
+    return catalog.summary_metadata(_summary_catalog(t), t.standard, run)
 
 
 @query(f"{_METADATA} SELECT * FROM metadata", "summary_catalog")
