@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # IF_DL_<interface>_<study>_<hypothesis>_<dataset>_<page>_<total>_<date...>.txt (fixed format)
@@ -47,22 +49,30 @@ def data_interface(provider: Column, otherwise: str) -> Column:
     return F.concat(F.lit("IF_DL_"), _number(provider, DATA_INTERFACES, "504", otherwise))
 
 
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once per row, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_file_name(name: Column) -> Column:
-    """Struct of the parts of a data file name; null where the name has another form."""
-
-    def part(group: int) -> Column:
-        return F.regexp_extract(name, FILE_NAME, group)
-
-    return F.when(
-        name.rlike(FILE_NAME),
-        F.struct(
-            part(1).alias("interface"),
-            F.concat_ws("-", part(2), part(3)).alias("ask_id"),
-            part(4).alias("rshp_id"),
-            part(5).alias("cat_cd"),
-            part(6).try_cast("int").alias("page"),
-            part(7).try_cast("int").alias("total"),
-            part(8).alias("ymd"),
+    """Struct of the parts of a data file name; null where the name has another form.
+
+    The pattern is matched once per name: its groups are put side by side and split.
+    """
+    groups = F.split(F.regexp_replace(name, FILE_NAME, "$1\n$2-$3\n$4\n$5\n$6\n$7\n$8"), "\n")
+    return _with(
+        groups,
+        lambda group: F.when(
+            F.size(group) == 7,
+            F.struct(
+                group[0].alias("interface"),
+                group[1].alias("ask_id"),
+                group[2].alias("rshp_id"),
+                group[3].alias("cat_cd"),
+                group[4].try_cast("int").alias("page"),
+                group[5].try_cast("int").alias("total"),
+                group[6].alias("ymd"),
+            ),
         ),
     )
 
@@ -85,10 +95,10 @@ def output_name(
         return name
     if stage == "key":
         return F.concat(interface_id(provider, "key"), F.lit("_"), name)
-    parts = parse_file_name(name)
     marks: list[Column] = []
+    interface = None
     if stage == "provider":
-        interface = parts["interface"]
+        pass
     elif stage == "deid":
         interface = interface_number(provider, "deid")
     elif stage == "summary":
@@ -99,18 +109,22 @@ def output_name(
         interface, marks = interface_number(provider, "deid"), [F.lit("S"), exec_seq.cast("string")]
     else:
         raise ValueError(f"unknown stage {stage!r}")
-    pieces = [
-        F.lit("IF_DL"),
-        interface,
-        F.replace(parts["ask_id"], F.lit("-"), F.lit("")),
-        parts["rshp_id"],
-        dataset,
-        *marks,
-        parts["page"].cast("string"),
-        parts["total"].cast("string"),
-        F.concat(parts["ymd"], F.lit(".txt")),
-    ]
-    return F.when(parts.isNotNull(), F.concat_ws("_", *pieces))
+
+    def joined(parts: Column) -> Column:
+        pieces = [
+            F.lit("IF_DL"),
+            parts["interface"] if interface is None else interface,
+            F.replace(parts["ask_id"], F.lit("-"), F.lit("")),
+            parts["rshp_id"],
+            dataset,
+            *marks,
+            parts["page"].cast("string"),
+            parts["total"].cast("string"),
+            F.concat(parts["ymd"], F.lit(".txt")),
+        ]
+        return F.when(parts.isNotNull(), F.concat_ws("_", *pieces))
+
+    return _with(parse_file_name(name), joined)
 
 
 def dash_study(study: Column) -> Column:

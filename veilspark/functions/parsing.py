@@ -71,8 +71,5 @@ def shift_date(cell: Column, days: Column) -> Column:
     becomes eight zeros; anything that cannot be shifted becomes empty text.
     """
     moved = F.date_add(parse_date(cell), F.floor(days.cast("double")).cast("int"))
-    return (
-        F.when(moved.isNotNull(), F.date_format(moved, DATE_FORMAT))
-        .when(cell == "0", "00000000")
-        .otherwise("")
-    )
+    rest = F.when(cell == "0", "00000000").otherwise("")
+    return F.coalesce(F.date_format(moved, DATE_FORMAT), rest)

@@ -205,20 +205,17 @@ def deid_report(
     """
     rules = _usable(df, rules, missing_column)
     parsed, results = _evaluated(df, rules, context)
-    counts = []
+    cells, counts = [], [F.count(F.lit(1)).alias("_rows")]
     for i, rule in enumerate(rules):
         raw, (_, result) = F.col(rule.column), results[rule.column.lower()]
-        counts += [
-            F.count_if(raw.isNull()).alias(f"_null_{i}"),
-            F.count_if(raw.isNotNull() & result.isNull()).alias(f"_failed_{i}"),
-            F.count_if(raw.isNotNull() & result.isNotNull()).alias(f"_done_{i}"),
-        ]
+        cells += [raw.alias(f"_raw_{i}"), F.when(raw.isNotNull(), result).alias(f"_new_{i}")]
+        counts += [F.count(f"_raw_{i}").alias(f"_given_{i}"), F.count(f"_new_{i}").alias(f"_done_{i}")]
     lines = F.array(
         *[
             F.struct(
                 F.lit(rule.column).alias("var_cd"),
-                F.col(f"_null_{i}").alias("n_null"),
-                F.col(f"_failed_{i}").alias("n_failed"),
+                (F.col("_rows") - F.col(f"_given_{i}")).alias("n_null"),
+                (F.col(f"_given_{i}") - F.col(f"_done_{i}")).alias("n_failed"),
                 F.col(f"_done_{i}").alias("n_done"),
             )
             for i, rule in enumerate(rules)
@@ -226,7 +223,8 @@ def deid_report(
     )
     clean = (F.col("n_null") == 0) & (F.col("n_failed") == 0)
     return (
-        parsed.groupBy(*by)
+        parsed.select(*by, *cells)
+        .groupBy(*by)
         .agg(*counts)
         .select(*by, F.inline(lines))
         .withColumn("status", F.when(clean, OK).otherwise(WARNING))

@@ -46,9 +46,8 @@ def inventory_job(
         if exec_seq is None:
             raise ValueError("de-identified files are kept per run: pass exec_seq")
         rows = rows.withColumn("exec_seq", exec_seq)
-    return Inventory(
-        merge_inventory(inventory, rows, exec_seq=by_run), inventory_status(expected, files)
-    )
+    merged = merge_inventory(inventory, materialise(rows, "inventory-rows"), exec_seq=by_run)
+    return Inventory(merged, inventory_status(expected, files))
 
 
 @dataclass(frozen=True)

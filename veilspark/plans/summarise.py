@@ -23,12 +23,23 @@ PAGE = ("prsnt_pg_num", "tot_pg_num")
 
 @dataclass(frozen=True)
 class Summary:
-    """Frequency tables and their long forms, of the original and the de-identified data."""
+    """Frequency tables of the original and the de-identified data; long forms on demand."""
 
     original: DataFrame
     deidentified: DataFrame
-    original_eav: DataFrame
-    deidentified_eav: DataFrame
+    variables: Sequence[Variable]
+    cnt_seq: int
+    meta: Sequence[str]
+
+    def _long(self, table: DataFrame) -> DataFrame:
+        numbered = ordinal(table, [v.column for v in self.variables], within=self.meta)
+        return to_eav(numbered, self.variables, [*self.meta, "datum_seq"], self.cnt_seq)
+
+    def original_eav(self) -> DataFrame:
+        return self._long(self.original)
+
+    def deidentified_eav(self) -> DataFrame:
+        return self._long(materialise(self.deidentified, "deid-summary"))
 
 
 def summarise(
@@ -42,10 +53,5 @@ def summarise(
     """Summaries per file page. Rows are read once: the second table comes from the first."""
     names = [v.column for v in variables]
     original = materialise(frequency_table(rows, [*meta, *names]), "summary")
-    deidentified = materialise(deidentified_table(original, rules, on_invalid), "deid_summary")
-
-    def long(table: DataFrame) -> DataFrame:
-        numbered = ordinal(table, names, within=meta)
-        return to_eav(numbered, variables, [*meta, "datum_seq"], cnt_seq)
-
-    return Summary(original, deidentified, long(original), long(deidentified))
+    deidentified = deidentified_table(original, rules, on_invalid)
+    return Summary(original, deidentified, variables, cnt_seq, meta)

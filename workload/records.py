@@ -261,12 +261,12 @@ UNION ALL SELECT {m}, datum_seq, 5, NULL, CAST(cnt AS DOUBLE) FROM e"""
 
 @query(f"WITH {_FREQ}, {_EAV.format(m=_M, n=_N, source='f')}", "keyed")
 def summary_eav_original(t: Tables) -> DataFrame:
-    return summarise(t.keyed, RULES, VARIABLES, 5).original_eav
+    return summarise(t.keyed, RULES, VARIABLES, 5).original_eav()
 
 
 @query(f"WITH {_DEID}, {_EAV.format(m=_M, n=_N, source='df')}", "keyed")
 def summary_eav_deidentified(t: Tables) -> DataFrame:
-    return summarise(t.keyed, RULES, VARIABLES, 5).deidentified_eav
+    return summarise(t.keyed, RULES, VARIABLES, 5).deidentified_eav()
 
 
 @query(
