@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 DATE_TEXT = r"^\d{8}$"
 DATE_FORMAT = "yyyyMMdd"
@@ -30,16 +29,20 @@ def _is_integral(value: Column) -> Column:
 
 
 def parse_int(cell: Column) -> Column:
-    """Bigint; text such as `12.0` or `1e3` counts, `12.5` does not."""
+    """Bigint; text such as `12.0` or `1e3` counts, `12.5` does not.
+
+    The cast reads plain digits, so only other text meets the number pattern.
+    """
     number = parse_float(cell)
-    return F.when(cell.rlike(INTEGER_TEXT), cell.try_cast("bigint")).when(
-        _is_integral(number), number.try_cast("bigint")
+    return F.coalesce(
+        cell.try_cast("bigint"), F.when(_is_integral(number), number.try_cast("bigint"))
     )
 
 
 def parse_date(cell: Column) -> Column:
     """Date from exactly eight digits that name a day of the calendar."""
-    return F.when(cell.rlike(DATE_TEXT), F.try_to_timestamp(cell, F.lit(DATE_FORMAT)).cast("date"))
+    iso = F.concat_ws("-", cell.substr(1, 4), cell.substr(5, 2), cell.substr(7, 2))
+    return F.when(cell.rlike(DATE_TEXT), iso.try_cast("date"))
 
 
 def parse_as(kind: str, cell: Column) -> Column:

@@ -10,16 +10,21 @@ LOOKUP_ROWS = 100_000
 MIN_BUCKETS = 16_384
 
 
-def _heavy_buckets(keys: DataFrame, bucket: Column, shares: int) -> DataFrame:
+def _heavy_buckets(keys: DataFrame, bucket: Column, shares: int) -> DataFrame | None:
     """Hash buckets with more rows than a mean shuffle partition, and the parts to cut them into.
 
     Counting by bucket bounds the shuffle to the number of buckets per task, whatever
-    the number of keys; fewer than `shares` buckets can come out. The window sees only
-    the bucket counts.
+    the number of keys. The window sees only the bucket counts, and fewer than `shares`
+    buckets can be heavy. They are fixed here, as both sides of the join have to cut
+    them alike.
     """
     load = keys.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
     share = F.col("_rows") * shares / F.sum("_rows").over(Window.partitionBy())
-    return load.select("_bucket", F.ceil(share).alias("_parts")).filter(F.col("_parts") > 1)
+    parts = load.select("_bucket", F.ceil(share).alias("_parts")).filter(F.col("_parts") > 1)
+    found = parts.collect()
+    if not found:
+        return None
+    return keys.sparkSession.createDataFrame(found, "_bucket bigint, _parts bigint")
 
 
 def is_small(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
@@ -39,11 +44,14 @@ def keyed_join(
 
     A right side counted to have at most `small` rows is broadcast, so the left side
     is not shuffled at all; `at_most` gives a bound that is known without counting.
-    Beyond that, heavy left keys are cut into parts: a left row goes to one part of
-    its bucket and the right rows of that bucket go to all its parts, so every pair
-    still meets exactly once. The part follows from the row and its input partition,
-    so copies of one row spread as well, and a repeated task puts each row where it
-    was before.
+    Beyond that the left keys are counted. Without heavy ones this is a plain join.
+    Otherwise these are cut into parts: a left row goes to one part of its bucket and
+    the right rows of that bucket go to all its parts, so every pair still meets exactly
+    once. The part follows from the row and its input partition, so copies of one row
+    spread as well, and a repeated task puts each row where it was before.
+
+    Both counts run when the join is built; pass stored frames where the sides are
+    costly to compute.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join keeps left rows, so it cannot run a {how} join")
@@ -53,7 +61,10 @@ def keyed_join(
 
     shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*on), F.lit(max(MIN_BUCKETS, 4 * shares)))
-    heavy = F.broadcast(_heavy_buckets(left.select(*on), bucket, shares))
+    heavy = _heavy_buckets(left.select(*on), bucket, shares)
+    if heavy is None:
+        return left.join(right, on, how)
+    heavy = F.broadcast(heavy)
 
     place = F.xxhash64(*left.columns) + F.spark_partition_id()
     spread = (
