@@ -11,6 +11,8 @@ import os
 import time
 from pathlib import Path
 
+from pyspark.sql import Observation, functions as F
+
 from veilspark.session import build_session
 from workload import QUERIES
 
@@ -53,12 +55,16 @@ def main() -> None:
     )
     spark.read.parquet(f"{SF_DIR}/orders.parquet").groupBy("o_orderstatus").count().collect()
     seconds: dict[str, float] = {}
+    rows: dict[str, int] = {}
     for name in HEADLINE:
         best = float("inf")
         for _ in range(RUNS):
             started = time.perf_counter()
-            QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            counted = Observation()
+            result = QUERIES[name](spark, SF_DIR).observe(counted, F.count(F.lit(1)).alias("rows"))
+            result.write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - started)
+            rows[name] = counted.get["rows"]
         seconds[name] = round(best, 3)
     print(
         json.dumps(
@@ -67,6 +73,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "rows": rows,
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
             }
         )

@@ -40,7 +40,7 @@ def test_keep_leaves_cells_that_do_not_parse(cells):
 
 
 def test_fail_stops_the_job(cells):
-    with pytest.raises(Exception, match="does not fit its rule type"):
+    with pytest.raises(Exception, match="does not fit its type"):
         apply_rules(cells, RULES, on_invalid="fail").collect()
     clean = cells.filter("id = 'a'")
     assert result(apply_rules(clean, RULES, on_invalid="fail")) == [("a", "100", "20210101")]
@@ -84,6 +84,7 @@ def test_text_helpers(spark):
         "string->t.other",
         "string->input_file_name()",
         "string->x; drop table t",
+        r"string->concat('\', x, ' || other || ')",
     ],
 )
 def test_rules_reach_nothing_else(spark, text):

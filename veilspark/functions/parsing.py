@@ -1,78 +1,88 @@
 """Tolerant parsing of text cells, and rendering of values back to text.
 
-Every parser returns null for text it cannot read; it never raises, also under
-ANSI mode. The patterns decide what counts as a number or a date, because the
-engines' own casts disagree on input such as `1d`, `inf` or `2021011`.
+The functions make Spark SQL text, for use with `F.expr` and `selectExpr`: a dataset
+has hundreds of ruled columns, and one text per column keeps building the plan cheap.
+
+Every parser gives null for text it cannot read; it never raises, also under ANSI
+mode. The patterns decide what counts as a number or a date, because the engines' own
+casts disagree on input such as `1d`, `inf` or `2021011`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import types as T
 
 NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 DATE_TEXT = r"^\d{8}$"
 DATE_FORMAT = "yyyyMMdd"
-EXACT_LIMIT = 9e15  # doubles below this hold every integer exactly
+EXACT_LIMIT = "9e15D"  # doubles below this hold every integer exactly
 
 
-def _finite(value: Column) -> Column:
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+def quoted(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def parse_float(cell: Column) -> Column:
-    """Double, or null where the text is no finite decimal number."""
-    return F.when(cell.rlike(NUMBER_TEXT), _finite(cell.try_cast("double")))
+def _finite(value: str) -> str:
+    return f"abs({value}) < double('Infinity')"
+
 
+def _integral(value: str) -> str:
+    return f"abs({value}) < {EXACT_LIMIT} AND {value} = floor({value})"
 
-def _is_integral(value: Column) -> Column:
-    return (F.abs(value) < EXACT_LIMIT) & (value == F.floor(value))
+
+def float_sql(cell: str) -> str:
+    """Double, or null where the text is no finite decimal number."""
+    value = f"try_cast({cell} AS double)"
+    return f"CASE WHEN {cell} RLIKE r'{NUMBER_TEXT}' AND {_finite(value)} THEN {value} END"
 
 
-def parse_int(cell: Column) -> Column:
+def int_sql(cell: str) -> str:
     """Bigint; text such as `12.0` or `1e3` counts, `12.5` does not.
 
     The cast reads plain digits, so only other text meets the number pattern.
     """
-    number = parse_float(cell)
-    return F.coalesce(
-        cell.try_cast("bigint"), F.when(_is_integral(number), number.try_cast("bigint"))
-    )
+    value = f"try_cast({cell} AS double)"
+    other = f"CASE WHEN {cell} RLIKE r'{NUMBER_TEXT}' AND {_integral(value)} THEN bigint({value}) END"
+    return f"coalesce(try_cast({cell} AS bigint), {other})"
 
 
-def parse_date(cell: Column) -> Column:
+def date_sql(cell: str) -> str:
     """Date from exactly eight digits that name a day of the calendar."""
-    iso = F.concat_ws("-", cell.substr(1, 4), cell.substr(5, 2), cell.substr(7, 2))
-    return F.when(cell.rlike(DATE_TEXT), iso.try_cast("date"))
+    iso = f"concat_ws('-', substr({cell}, 1, 4), substr({cell}, 5, 2), substr({cell}, 7, 2))"
+    return f"CASE WHEN {cell} RLIKE r'{DATE_TEXT}' THEN try_cast({iso} AS date) END"
 
 
-def parse_as(kind: str, cell: Column) -> Column:
+def parse_sql(kind: str, cell: str) -> str:
     """Parse by rule type: `Int64`, `date`, `string`; any other name is a float."""
     if kind == "Int64":
-        return parse_int(cell)
+        return int_sql(cell)
     if kind == "date":
-        return parse_date(cell)
-    return cell if kind == "string" else parse_float(cell)
+        return date_sql(cell)
+    return cell if kind == "string" else float_sql(cell)
 
 
-def render(value: Column, data_type: T.DataType) -> Column:
+def render_sql(value: str, data_type: T.DataType) -> str:
     """Value as text: dates as eight digits, whole numbers without decimals, no NaN or infinity."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(value, DATE_FORMAT)
+        return f"date_format({value}, '{DATE_FORMAT}')"
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.when(_is_integral(value), value.try_cast("bigint").cast("string")).otherwise(
-            _finite(value).cast("string")
+        value = f"double({value})"
+        return (
+            f"CASE WHEN {_integral(value)} THEN string(bigint({value}))"
+            f" WHEN {_finite(value)} THEN string({value}) END"
         )
     if isinstance(data_type, T.DecimalType):
-        return F.regexp_replace(value.cast("string"), r"\.0+$", "")
-    return value.cast("string")
+        return f"regexp_replace(string({value}), r'\\.0+$', '')"
+    return f"string({value})"
 
 
-def shift_date(cell: Column, days: Column) -> Column:
+def shift_sql(cell: str, days: str) -> str:
     """Move a yyyyMMdd cell by a possibly fractional number of days.
 
     The time of day is dropped, so half a day back lands on the day before. `0`
     becomes eight zeros; anything that cannot be shifted becomes empty text.
     """
-    moved = F.date_add(parse_date(cell), F.floor(days.cast("double")).cast("int"))
-    rest = F.when(cell == "0", "00000000").otherwise("")
-    return F.coalesce(F.date_format(moved, DATE_FORMAT), rest)
+    moved = f"date_add({date_sql(cell)}, int(floor(double({days}))))"
+    rest = f"CASE WHEN {cell} = '0' THEN '00000000' ELSE '' END"
+    return f"coalesce(date_format({moved}, '{DATE_FORMAT}'), {rest})"

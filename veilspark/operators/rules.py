@@ -12,10 +12,10 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from veilspark.columns import OK, WARNING
-from veilspark.functions.parsing import parse_as, render
+from veilspark.functions.parsing import parse_sql, quoted, render_sql
 
 # Words a rule may use besides its own column (fixed values).
 ALLOWED_WORDS = frozenset(
@@ -30,8 +30,9 @@ ALLOWED_WORDS = frozenset(
     """.split()
 )
 
+# A backslash could end a literal elsewhere than it seems to, so literals have none.
 _TOKEN = re.compile(
-    r"(?P<text>'(?:[^']|'')*')|(?P<word>[A-Za-z_]\w*)|(?P<rest>[\d.]+(?:[eE][+-]?\d+)?"
+    r"(?P<text>'(?:[^'\\]|'')*')|(?P<word>[A-Za-z_]\w*)|(?P<rest>[\d.]+(?:[eE][+-]?\d+)?"
     r"|<=|>=|<>|!=|==|\|\||[-+*/%(),<>=]|\s+)"
 )
 
@@ -68,7 +69,7 @@ class Rule:
                 raise RuleError(f"{self.column}: unexpected text at {self.expression[position:]!r}")
             word = token["word"]
             if word and word.lower() in own:
-                out.append(f"`{parsed}`")
+                out.append(parsed)
             elif word and word.lower() not in ALLOWED_WORDS | known:
                 raise RuleError(f"{self.column}: {word!r} is not allowed in a rule")
             else:
@@ -105,11 +106,12 @@ def shift_dates(column: str, by: str = "rnd") -> Rule:
 def map_codes(column: str, codes: Mapping[str, str], otherwise: str | None = None) -> Rule:
     """Replace codes by group codes; codes not listed become `otherwise`, or stay."""
 
-    def quoted(text: str) -> str:
+    def literal(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    cases = " ".join(f"when {quoted(old)} then {quoted(new)}" for old, new in codes.items())
-    return Rule(column, "string", f"case x {cases} else {quoted(otherwise) if otherwise else 'x'} end")
+    cases = " ".join(f"when {literal(old)} then {literal(new)}" for old, new in codes.items())
+    rest = "x" if otherwise is None else literal(otherwise)
+    return Rule(column, "string", f"case x {cases} else {rest} end")
 
 
 def rules_from_rows(rows: DataFrame, limit: int = 10_000) -> list[Rule]:
@@ -144,18 +146,13 @@ def _usable(df: DataFrame, rules: Iterable[Rule], missing_column: str) -> list[R
 
 def _evaluated(
     df: DataFrame, rules: Sequence[Rule], context: Sequence[str]
-) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
-    """`df` with parsed cells beside it, and per column its (parsed, rendered result)."""
-    parsed = df.select(
-        "*",
-        *[parse_as(r.kind, F.col(r.column)).alias(f"_cell_{i}") for i, r in enumerate(rules)],
-    )
-    bound = [F.expr(r.bind(f"_cell_{i}", context)) for i, r in enumerate(rules)]
-    types = parsed.select(*[b.alias(f"_{i}") for i, b in enumerate(bound)]).schema.fields
-    return parsed, {
-        rule.column.lower(): (F.col(f"_cell_{i}"), render(bound[i], types[i].dataType))
-        for i, rule in enumerate(rules)
-    }
+) -> tuple[DataFrame, list[str]]:
+    """`df` with the parsed cell of rule i as `_cell_i`, and per rule its result as SQL text."""
+    cells = [parse_sql(r.kind, quoted(r.column)) + f" AS _cell_{i}" for i, r in enumerate(rules)]
+    parsed = df.selectExpr("*", *cells)
+    bound = [f"({r.bind(f'_cell_{i}', context)})" for i, r in enumerate(rules)]
+    types = parsed.selectExpr(*[f"{text} AS _{i}" for i, text in enumerate(bound)]).schema
+    return parsed, [render_sql(text, field.dataType) for text, field in zip(bound, types)]
 
 
 def apply_rules(
@@ -175,21 +172,21 @@ def apply_rules(
     """
     if on_invalid not in ("suppress", "keep", "fail"):
         raise ValueError("on_invalid is 'suppress', 'keep' or 'fail'")
-    parsed, results = _evaluated(df, _usable(df, rules, missing_column), context)
-
-    def cell(name: str) -> Column:
-        if name.lower() not in results:
-            return F.col(name)
-        value, result = results[name.lower()]
+    rules = _usable(df, rules, missing_column)
+    parsed, results = _evaluated(df, rules, context)
+    changed = {}
+    for i, (rule, result) in enumerate(zip(rules, results)):
+        raw = quoted(rule.column)
         if on_invalid == "keep":
-            result = F.coalesce(result, F.col(name))
+            result = f"coalesce({result}, {raw})"
         elif on_invalid == "fail":
-            broken = F.col(name).isNotNull() & value.isNull()
-            message = F.concat(F.lit(f"cell of column {name} does not fit its rule type"))
-            result = F.when(broken, F.raise_error(message)).otherwise(result)
-        return result.alias(name)
-
-    return parsed.select(*[cell(name) for name in df.columns])
+            message = f"raise_error('cell of rule {i} does not fit its type')"
+            broken = f"{raw} IS NOT NULL AND _cell_{i} IS NULL"
+            result = f"CASE WHEN {broken} THEN {message} ELSE {result} END"
+        changed[rule.column.lower()] = result
+    return parsed.selectExpr(
+        *[f"{changed.get(name.lower(), quoted(name))} AS {quoted(name)}" for name in df.columns]
+    )
 
 
 def deid_report(
@@ -205,28 +202,21 @@ def deid_report(
     """
     rules = _usable(df, rules, missing_column)
     parsed, results = _evaluated(df, rules, context)
-    cells, counts = [], [F.count(F.lit(1)).alias("_rows")]
-    for i, rule in enumerate(rules):
-        raw, (_, result) = F.col(rule.column), results[rule.column.lower()]
-        cells += [raw.alias(f"_raw_{i}"), F.when(raw.isNotNull(), result).alias(f"_new_{i}")]
-        counts += [F.count(f"_raw_{i}").alias(f"_given_{i}"), F.count(f"_new_{i}").alias(f"_done_{i}")]
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(rule.column).alias("var_cd"),
-                (F.col("_rows") - F.col(f"_given_{i}")).alias("n_null"),
-                (F.col(f"_given_{i}") - F.col(f"_done_{i}")).alias("n_failed"),
-                F.col(f"_done_{i}").alias("n_done"),
-            )
-            for i, rule in enumerate(rules)
-        ]
-    )
+    cells, counts, lines = [], ["count(1) AS _rows"], []
+    for i, (rule, result) in enumerate(zip(rules, results)):
+        raw = quoted(rule.column)
+        cells += [f"{raw} AS _raw_{i}", f"CASE WHEN {raw} IS NOT NULL THEN {result} END AS _new_{i}"]
+        counts += [f"count(_raw_{i}) AS _given_{i}", f"count(_new_{i}) AS _done_{i}"]
+        name = rule.column.replace("'", "''")
+        lines.append(
+            f"named_struct('var_cd', '{name}', 'n_null', _rows - _given_{i},"
+            f" 'n_failed', _given_{i} - _done_{i}, 'n_done', _done_{i})"
+        )
     clean = (F.col("n_null") == 0) & (F.col("n_failed") == 0)
     return (
-        parsed.select(*by, *cells)
+        parsed.selectExpr(*[quoted(name) for name in by], *cells)
         .groupBy(*by)
-        .agg(*counts)
-        .select(*by, F.inline(lines))
+        .agg(*[F.expr(count) for count in counts])
+        .selectExpr(*[quoted(name) for name in by], f"inline(array({', '.join(lines)}))")
         .withColumn("status", F.when(clean, OK).otherwise(WARNING))
     )
-

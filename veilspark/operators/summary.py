@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veilspark.functions.parsing import parse_float
+from veilspark.functions.parsing import float_sql
 from veilspark.operators.rules import Rule, apply_rules
 from veilspark.sources.scratch import materialise
 
@@ -110,5 +110,5 @@ def to_eav(
         *ids,
         seq.alias("var_dscr_seq"),
         F.when(~numeric, F.coalesce("_value", F.lit(""))).alias("str_datatp_val"),
-        F.when(numeric, parse_float(F.col("_value"))).alias("num_datatp_val"),
+        F.when(numeric, F.expr(float_sql("_value"))).alias("num_datatp_val"),
     )

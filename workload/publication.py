@@ -254,7 +254,7 @@ def inventory_detail(t: Tables) -> DataFrame:
     return _inventory(t, t.delivered.select(*_REGISTER).distinct()).detail
 
 
-_NAME = "'IF_DL_802_' || replace(ask_id, '-', '') || '_A0001_ORD_' || CAST(prsnt_pg_num AS VARCHAR) || '_4_20210226.txt'"
+_NAME = "'IF_DL_802_' || replace(ask_id, '-', '') || '_A0001_' || cat_cd || '_' || CAST(prsnt_pg_num AS VARCHAR) || '_4_20210226.txt'"
 
 
 @query(
@@ -265,9 +265,9 @@ def expected_deid_outputs(t: Tables) -> DataFrame:
     return expected.select("ask_id", "prvdr_cd", "file_nm", "out_nm", "prio")
 
 
-_EXPECTED = f"x AS (SELECT DISTINCT ask_id, rshp_id, {_NAME} || prvdr_cd out_nm FROM delivered)"
+_EXPECTED = f"x AS (SELECT DISTINCT ask_id, rshp_id, {_NAME} out_nm FROM keyed)"
 _PRODUCED = f"""
-y AS (SELECT DISTINCT ask_id, rshp_id, {_NAME} || prvdr_cd out_nm, 1 found FROM keyed
+y AS (SELECT DISTINCT ask_id, rshp_id, {_NAME} out_nm, 1 found FROM keyed
  WHERE NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2))"""
 _VERDICT = """
 v AS (SELECT ask_id, rshp_id, count(*) n_expected, count(found) n_produced
@@ -275,12 +275,8 @@ v AS (SELECT ask_id, rshp_id, count(*) n_expected, count(found) n_produced
 
 
 def _outputs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    def named(df: DataFrame) -> DataFrame:
-        name = F.concat(F.col("out_nm"), F.col("prvdr_cd"))
-        return expected_outputs(df, "deid", F.lit("K0002")).withColumn("out_nm", name)
-
-    made = named(t.keyed).filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
-    return named(t.delivered), made
+    expected = expected_outputs(t.keyed, "deid", F.lit("K0002"))
+    return expected, expected.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
 
 
 @query(
@@ -303,17 +299,16 @@ def missing_outputs(t: Tables) -> DataFrame:
 @query(
     f"""
 SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, prio, {_NAME} file_nm FROM keyed
-WHERE prvdr_cd = 'K0001' AND ask_id <> '2019-00003'""",
+WHERE ask_id <> '2019-00003'""",
     "keyed",
 )
 def release_complete_studies(t: Tables) -> DataFrame:
     """A study without its second page is held back as a whole."""
-    mine = t.keyed.filter("prvdr_cd = 'K0001'")
-    rows = expected_outputs(mine, "deid", F.lit("K0002"))
+    rows = expected_outputs(t.keyed, "deid", F.lit("K0002"))
     made = rows.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
     path = scratch_path(t.spark, "release")
     columns = ["ask_id", "rshp_id", "out_nm", "o_orderkey", "prio"]
-    release_job(mine.select(*_REGISTER).distinct(), made.select(*columns), path, F.lit("K0002"))
+    release_job(t.keyed.select(*_REGISTER).distinct(), made.select(*columns), path, F.lit("K0002"))
     return t.spark.read.option("header", True).csv(path).select("o_orderkey", "prio", "file_nm")
 
 

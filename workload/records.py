@@ -81,8 +81,8 @@ def parse_numbers(t: Tables) -> DataFrame:
     cell = F.expr(_EDGE.format(q="cast(cast(l_quantity as bigint) as string)"))
     return t.given("lineitem").select("l_orderkey", "l_linenumber", cell.alias("cell")).select(
         "*",
-        parsing.parse_int(F.col("cell")).alias("as_int"),
-        parsing.parse_float(F.col("cell")).alias("as_float"),
+        F.expr(parsing.int_sql("cell")).alias("as_int"),
+        F.expr(parsing.float_sql("cell")).alias("as_float"),
     )
 
 
@@ -94,7 +94,7 @@ FROM delivered""",
     "delivered",
 )
 def parse_dates(t: Tables) -> DataFrame:
-    day = parsing.parse_date(F.col("order_dt"))
+    day = F.expr(parsing.date_sql("order_dt"))
     return t.delivered.select("o_orderkey", "order_dt", F.date_format(day, "yyyy-MM-dd").alias("iso_day"))
 
 
@@ -108,10 +108,8 @@ FROM delivered""",
     "delivered",
 )
 def shift_date_cells(t: Tables) -> DataFrame:
-    days = F.col("o_orderkey") % 31 - F.lit(15.5)
-    return t.delivered.select(
-        "o_orderkey", parsing.shift_date(F.col("order_dt"), days).alias("moved")
-    )
+    moved = parsing.shift_sql("order_dt", "o_orderkey % 31 - 15.5")
+    return t.delivered.select("o_orderkey", F.expr(moved).alias("moved"))
 
 
 _CELLS = ["o_orderkey", "order_dt", "amt", "prio", "status"]

@@ -25,9 +25,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._dir = sf_dir
+        self._given: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._given[name]
 
     # Persons, salts, keys
 
@@ -94,15 +97,15 @@ class Tables:
         orders = self.given("orders").withColumnRenamed("o_custkey", "c_custkey")
         rows = orders.join(self.person, "c_custkey")
         return rows.selectExpr(
-            "ask_id", "rshp_id", "prvdr_cd", "mrg_nm", "mrg_ssn", "'ORD' cat_cd", "o_orderkey",
+            "ask_id", "rshp_id", "prvdr_cd", "mrg_nm", "mrg_ssn", "concat('ORD', right(prvdr_cd, 1)) cat_cd", "o_orderkey",
             """case when o_orderkey % 83 = 0 then '20210230' when o_orderkey % 79 = 0 then ''
                else date_format(o_orderdate, 'yyyyMMdd') end order_dt""",
             """case when o_orderkey % 97 = 0 then 'x' when o_orderkey % 89 = 0 then null
                else cast(cast(floor(o_totalprice) as bigint) as string) end amt""",
             "o_orderpriority prio", "o_orderstatus status",
             "cast(o_orderkey % 4 + 1 as int) prsnt_pg_num", "4 tot_pg_num",
-            """concat('IF_DL_50', right(prvdr_cd, 1), '_', replace(ask_id, '-', ''), '_A0001_ORD_',
-               o_orderkey % 4 + 1, '_4_20210226.txt') file_nm""",
+            """concat('IF_DL_50', right(prvdr_cd, 1), '_', replace(ask_id, '-', ''), '_A0001_ORD',
+               right(prvdr_cd, 1), '_', o_orderkey % 4 + 1, '_4_20210226.txt') file_nm""",
         )
 
     @cached_property
@@ -303,15 +306,15 @@ SELECT hash_did, 'ALU' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') alter_id,
 FROM hashed
 WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AND hash_did IS NOT NULL AND c_custkey % 97 = 1""",
     "delivered": """
-SELECT ask_id, rshp_id, prvdr_cd, mrg_nm, mrg_ssn, 'ORD' cat_cd, o_orderkey,
+SELECT ask_id, rshp_id, prvdr_cd, mrg_nm, mrg_ssn, 'ORD' || right(prvdr_cd, 1) cat_cd, o_orderkey,
  CASE WHEN o_orderkey % 83 = 0 THEN '20210230' WHEN o_orderkey % 79 = 0 THEN ''
   ELSE strftime(o_orderdate, '%Y%m%d') END order_dt,
  CASE WHEN o_orderkey % 97 = 0 THEN 'x' WHEN o_orderkey % 89 = 0 THEN NULL
   ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END amt,
  o_orderpriority prio, o_orderstatus status,
  CAST(o_orderkey % 4 + 1 AS INTEGER) prsnt_pg_num, CAST(4 AS INTEGER) tot_pg_num,
- 'IF_DL_50' || right(prvdr_cd, 1) || '_' || replace(ask_id, '-', '') || '_A0001_ORD_'
-  || CAST(o_orderkey % 4 + 1 AS VARCHAR) || '_4_20210226.txt' file_nm
+ 'IF_DL_50' || right(prvdr_cd, 1) || '_' || replace(ask_id, '-', '') || '_A0001_ORD'
+  || right(prvdr_cd, 1) || '_' || CAST(o_orderkey % 4 + 1 AS VARCHAR) || '_4_20210226.txt' file_nm
 FROM orders JOIN person ON o_custkey = c_custkey""",
     "keyed": """
 SELECT d.ask_id, d.rshp_id, d.prvdr_cd, hash_did, cat_cd, o_orderkey, order_dt, amt, prio, status,
