@@ -39,7 +39,7 @@ HEADLINE = (
     "read_headered",
     "study_summary",
 )
-RUNS = 2
+RUNS = 3
 
 
 def main() -> None:

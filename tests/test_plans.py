@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from veilspark.operators import catalog, linkage, status, summary
+from veilspark.operators.inventory import merge_inventory
 from veilspark.operators.rules import Rule, RuleError
 from veilspark.operators.summary import Variable
 from veilspark.plans.deidentify import deidentify
@@ -207,6 +208,39 @@ def test_inventory_job_refreshes_and_reports(spark, tmp_path):
     assert {r.file_nm: r.wk_exec_sts_cd for r in job.detail.collect()} == {names[0]: "002", names[1]: "902"}
 
 
+def test_deid_inventory_is_kept_per_run(spark, tmp_path):
+    name = "IF_DL_501_201900001_A0001_D_1_1_20210226.txt"
+    meta = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"
+    register = spark.createDataFrame([(*STUDY, "K0001", "D", name)], f"{meta}, file_nm string")
+    out = name.replace("501", "801")
+    write_delimited(spark.createDataFrame([(out, "1")], "file_nm string, a string"), str(tmp_path / "in"), "file_nm")
+    known = spark.createDataFrame(
+        [(*STUDY, "K0001", "D", "2", 1, 1, "2020", 0, 0, 0, "old", 1)],
+        f"{meta}, org_mrg_tp_cd string, prsnt_pg_num int, tot_pg_num int, crt_ymd string,"
+        " file_sz long, datum_cnt long, var_ea long, file_nm string, exec_seq int",
+    )
+    path = str(tmp_path / "in")
+    job = inventory_job(spark, path, register, known, "deid", F.lit("K0001"), F.lit(2))
+    assert sorted((r.exec_seq, r.datum_cnt, r.file_nm) for r in job.table.collect()) == [(1, 0, "old"), (2, 1, out)]
+    with pytest.raises(ValueError):
+        inventory_job(spark, path, register, known, "deid", F.lit("K0001"))
+
+
+def test_dates_only_refresh_keeps_old_measures(spark):
+    columns = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, org_mrg_tp_cd string, prsnt_pg_num int, tot_pg_num int, crt_ymd string, file_sz long"
+    old = spark.createDataFrame([(*STUDY, "K0001", "D", "1", 1, 1, "2020", 5)], columns)
+    new = spark.createDataFrame([(*STUDY, "K0001", "D", "1", 1, 1, "2021", 9)], columns)
+    (row,) = merge_inventory(old, new, update_cols=("crt_ymd",)).collect()
+    assert (row.crt_ymd, row.file_sz) == ("2021", 5)
+
+
+def test_provider_columns_are_renamed_by_position(spark):
+    df = spark.createDataFrame([("a",) * 7], "x1 string, x2 string, x3 string, x4 string, x5 string, x6 string, v string")
+    assert linkage.as_provider_file(df).columns == [
+        "ask_id", "rshp_id", "prvdr_cd", "mrg_nm", "mrg_ssn", "cat_cd", "v",
+    ]
+
+
 def test_rank_leaves_gaps(spark):
     rows = [(*STUDY, "K0001", "D", seq, "1", name) for seq, name in ((10, "a"), (10, "b"), (20, "c"))]
     columns = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, var_seq long, req_var_tp_cd string, var_cd string"

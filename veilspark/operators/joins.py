@@ -38,12 +38,15 @@ def keyed_join(
     on: Sequence[str],
     how: str = "inner",
     at_most: int | None = None,
+    sized_by: DataFrame | None = None,
     small: int = LOOKUP_ROWS,
 ) -> DataFrame:
     """Equi join that keeps or filters left rows, whatever the share of a single key.
 
     A right side counted to have at most `small` rows is broadcast, so the left side
-    is not shuffled at all; `at_most` gives a bound that is known without counting.
+    is not shuffled at all. `at_most` gives a bound that is known without counting,
+    `sized_by` a frame with no fewer rows that is cheaper to count, such as the one the
+    right side is the distinct rows of.
     Beyond that the left keys are counted. Without heavy ones this is a plain join.
     Otherwise these are cut into parts: a left row goes to one part of its bucket and
     the right rows of that bucket go to all its parts, so every pair still meets exactly
@@ -56,7 +59,8 @@ def keyed_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join keeps left rows, so it cannot run a {how} join")
     on = list(on)
-    if is_small(right, small) if at_most is None else at_most <= small:
+    counted = right if sized_by is None else sized_by
+    if is_small(counted, small) if at_most is None else at_most <= small:
         return left.join(F.broadcast(right), on, how)
 
     shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -40,8 +40,10 @@ def hash_persons(persons: DataFrame, salts: DataFrame, null_text: str | None = N
     Persons of a study without a salt drop out; `unsalted` lists those studies.
     Copies collapse before the join, so neither join nor hash sees them twice.
     """
-    salts = salts.select(*STUDY_PROVIDER, "ttp_id").distinct()
-    salted = keyed_join(persons.select(*PERSON).distinct(), salts, STUDY_PROVIDER)
+    distinct = salts.select(*STUDY_PROVIDER, "ttp_id").distinct()
+    salted = keyed_join(
+        persons.select(*PERSON).distinct(), distinct, STUDY_PROVIDER, sized_by=salts
+    )
     key = person_hash(F.col("mrg_nm"), F.col("mrg_ssn"), F.col("ttp_id"), null_text)
     return salted.withColumn("hash_did", key).select(*HASHED_PERSON)
 
@@ -152,7 +154,7 @@ def swap_key(rows: DataFrame, alternates: DataFrame, how: str = "left", keep: Se
     table (such as a date shift) to append.
     """
     pairs = alternates.select("hash_did", "alter_id", *keep).distinct()
-    joined = keyed_join(rows, pairs, ["hash_did"], how)
+    joined = keyed_join(rows, pairs, ["hash_did"], how, sized_by=alternates)
     names = ["alter_id" if name.lower() == "hash_did" else name for name in rows.columns]
     return joined.select(*names, *keep)
 

@@ -29,7 +29,7 @@ def missing_from(
     """
     held = target.select(*keys)
     wanted = source.select(*keys).distinct()
-    if is_small(wanted):
+    if is_small(source):
         found = _same(keys, null_safe)
         held = held.alias("s").join(F.broadcast(wanted).alias("t"), found, "left_semi")
     held = held.distinct()
@@ -110,7 +110,8 @@ def update_exists(
 ) -> DataFrame:
     """UPDATE … WHERE EXISTS (a row of `other` with equal keys): `on` maps own to other columns."""
     found = other.select(*[F.col(theirs).alias(own) for own, theirs in on.items()]).distinct()
-    flagged = keyed_join(df, found.withColumn("_found", F.lit(True)), list(on), "left")
+    found = found.withColumn("_found", F.lit(True))
+    flagged = keyed_join(df, found, list(on), "left", sized_by=other)
     hit = F.coalesce("_found", F.lit(False))
     if condition is not None:
         hit &= condition
