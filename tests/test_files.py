@@ -142,3 +142,18 @@ def test_packed_keys(spark):
     assert out.first() == ("2018-00004", "A0001", "K0002", "3E" * 32, "D", "1")
     dashed = spark.createDataFrame([("2018-00004A0001K0002" + "3E" * 32, "1")], "k string, v string")
     assert repair.unpack_keys(dashed, dashed=True).first()[:3] == ("2018-00004", "A0001", "K0002")
+
+
+def test_parts_of_a_file_count_as_one(spark, tmp_path):
+    """Encoding and layout are those of the delivered file, whichever part shows them."""
+    folder = tmp_path / "file_nm=F.txt"
+    folder.mkdir()
+    put(folder, "part-0.txt", [META + ",v", row(1)])
+    put(folder, "part-1.txt", [META + ",v", row(2, "길")], "euc-kr")
+    path = str(tmp_path)
+    assert [tuple(r) for r in delimited.detect_encoding(spark, path).collect()] == [("F.txt", "EUC-KR")]
+    assert [tuple(r) for r in delimited.detect_layouts(spark, path).collect()] == [("F.txt", "headered")]
+    assert delimited.file_headers(spark, path).count() == 6
+    df = delimited.read_delimited(spark, path, encoding="auto")
+    assert values(df) == [("F.txt", "v1"), ("F.txt", "길2")]
+    assert delimited.file_inventory(spark, path).first().datum_cnt == 2

@@ -28,6 +28,12 @@ PREAMBLE_ROWS = 8
 LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
 
 
+def _delivered(path: Column) -> Column:
+    """Path of the delivered file: the folder of its parts, or the file itself."""
+    folder = F.regexp_extract(path, r"^(.*/file_nm=[^/]+)/", 1)
+    return F.coalesce(F.nullif(folder, F.lit("")), path)
+
+
 def logical_file() -> Column:
     """Name of the delivered file a row came from."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/file_nm=([^/]+)/", 1)
@@ -43,6 +49,7 @@ def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None) ->
     return reader.text(paths if isinstance(paths, str) else list(paths)).select(
         "value",
         F.col("_metadata.file_path").alias("_path"),
+        _delivered(F.col("_metadata.file_path")).alias("_file"),
         F.col("_metadata.file_size").alias("_size"),
         logical_file().alias("file_nm"),
         F.when(opens, F.monotonically_increasing_id()).alias("_line"),
@@ -63,10 +70,8 @@ def _with_text(lines: DataFrame, encoding: str, fallback: str) -> DataFrame:
     try:
         if encoding != "auto":
             return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
-        broken = lines.groupBy("_path").agg(
-            F.max(~F.is_valid_utf8("value")).alias("_foreign")
-        )
-        known = keyed_join(lines, broken, ["_path"], "left", at_most=_n_files(lines))
+        broken = lines.groupBy("_file").agg(F.max(~F.is_valid_utf8("value")).alias("_foreign"))
+        known = keyed_join(lines, broken, ["_file"], "left", at_most=_n_files(lines))
         other = F.decode(F.col("value").cast("binary"), fallback)
         text = F.when(F.col("_foreign"), other).otherwise(F.col("value"))
         return known.withColumn("value", text).drop("_foreign")
@@ -95,9 +100,9 @@ def detect_encoding(
     valid = F.min(F.is_valid_utf8("value"))
     return (
         _lines(spark, paths, glob)
-        .groupBy("_path", "file_nm")
+        .groupBy("_file", "file_nm")
         .agg(F.when(valid, "UTF-8").otherwise(fallback).alias("encoding"))
-        .drop("_path")
+        .drop("_file")
     )
 
 
@@ -114,13 +119,17 @@ def _layout(first: Column) -> Column:
 def detect_layouts(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = None
 ) -> DataFrame:
-    """Layout of every file by its first line.
+    """Layout of every delivered file by its first line.
 
     All meta columns on it: a header. More than five fields: data without a header.
     Anything else: a preamble, with the header on row 4 and data from row 9. A data
     file of five columns or fewer without a header cannot be told from a preamble;
     name its layout.
     """
+    return _part_layouts(spark, paths, glob).select("file_nm", "layout").distinct()
+
+
+def _part_layouts(spark: SparkSession, paths: str | Sequence[str], glob: str | None) -> DataFrame:
     layouts = F.array(*[F.lit(name) for name in LAYOUTS])
     # A number, as text in the buffer would make this a sorting aggregation.
     code = F.when(F.col("_line").isNotNull(), F.array_position(layouts, _layout(F.col("value"))))
@@ -165,7 +174,7 @@ def read_delimited(
     files by name. Fields do not contain line breaks.
     """
     if layout == "auto":
-        found = detect_layouts(spark, paths, glob).select("_path", "layout").collect()
+        found = _part_layouts(spark, paths, glob).select("_path", "layout").collect()
         groups = [
             ([row._path for row in found if row.layout == kind], kind) for kind in LAYOUTS
         ]
@@ -221,12 +230,16 @@ def _missing(table: DataFrame, missing: str) -> DataFrame:
 def file_headers(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, sep: str = ","
 ) -> DataFrame:
-    """Header columns of every headered file as rows: file, position from 1, name."""
+    """Header columns of every headered file as rows: file, position from 1, name.
+
+    Parts of one delivered file that agree on the header give its rows once.
+    """
     lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
     starts = lines.groupBy("_path").agg(F.min("_line").alias("_line"))
     first = keyed_join(lines, starts, ["_path", "_line"], "left_semi", at_most=_n_files(lines))
     names = F.posexplode(F.split(F.upper("value"), sep)).alias("pos", "var_cd")
-    return first.select("file_nm", names).select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")
+    rows = first.select("_file", "file_nm", names).distinct()
+    return rows.select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")
 
 
 def file_inventory(
@@ -236,15 +249,19 @@ def file_inventory(
     width = F.when(F.col("_line").isNotNull(), F.size(F.split("value", sep)))
     parts = (
         _lines(spark, paths, glob)
-        .groupBy("_path", "file_nm")
+        .groupBy("_path", "_file", "file_nm")
         .agg(
             F.max("_size").alias("file_sz"),
             (F.count(F.lit(1)) - 1).alias("datum_cnt"),
             F.min_by(width, F.col("_line")).alias("var_ea"),
         )
     )
-    return parts.groupBy("file_nm").agg(
-        F.sum("file_sz").alias("file_sz"),
-        F.sum("datum_cnt").alias("datum_cnt"),
-        F.max("var_ea").cast("bigint").alias("var_ea"),
+    return (
+        parts.groupBy("_file", "file_nm")
+        .agg(
+            F.sum("file_sz").alias("file_sz"),
+            F.sum("datum_cnt").alias("datum_cnt"),
+            F.max("var_ea").cast("bigint").alias("var_ea"),
+        )
+        .drop("_file")
     )

@@ -106,7 +106,7 @@ def detect_layouts(t: Tables) -> DataFrame:
     )
     rows = data.select((F.col("o_orderkey") + 1).cast("int").alias("pos"), _line().alias("value"), "file_nm")
     path = _write_lines(first.filter("value IS NOT NULL").union(rows), t, "layout")
-    return delimited.detect_layouts(t.spark, path).select("file_nm", "layout")
+    return delimited.detect_layouts(t.spark, path)
 
 
 def _encoded(t: Tables) -> DataFrame:
@@ -294,4 +294,4 @@ SELECT f.file_nm, CAST(pos AS INTEGER) pos, var_cd FROM (SELECT DISTINCT file_nm
 )
 def file_headers(t: Tables) -> DataFrame:
     path = deliver(_data(t), "headers", "file_nm")
-    return delimited.file_headers(t.spark, path).distinct()
+    return delimited.file_headers(t.spark, path)
