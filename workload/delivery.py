@@ -34,14 +34,36 @@ def _line() -> F.Column:
 
 
 def _write_lines(lines: DataFrame, t: Tables, label: str) -> str:
-    """Write `value` lines into one folder per `file_nm`, in the order of `pos` if there is one."""
+    """Write `value` lines into one folder per `file_nm`.
+
+    With `chunk` and `pos`, each chunk becomes a part of its own with lines in order, so
+    no task writes more than the rows of a chunk.
+    """
     path = scratch_path(t.spark, label)
+    folders = ["file_nm"]
     if "pos" in lines.columns:
-        lines = lines.repartition("file_nm").sortWithinPartitions("file_nm", "pos").drop("pos")
-    lines.write.partitionBy("file_nm").text(path)
+        folders.append("chunk")
+        lines = lines.repartition(*folders).sortWithinPartitions(*folders, "pos").drop("pos")
+    lines.write.partitionBy(*folders).text(path)
     return path
 
 
+def _chunked(data: DataFrame) -> DataFrame:
+    """Data lines with the part they go to and their place in it, behind any head."""
+    return data.select(
+        (F.col("o_orderkey") + 8).alias("pos"), _line().alias("value"), "file_nm", F.expr(_CHUNK)
+    )
+
+
+def _heads(data: DataFrame, lines: list[str]) -> DataFrame:
+    """The same head lines for every part."""
+    head = F.array(*[F.lit(text) for text in lines])
+    parts = data.selectExpr("file_nm", _CHUNK).distinct()
+    placed = parts.select(F.posexplode(head).alias("pos", "value"), "file_nm", "chunk")
+    return placed.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+_CHUNK = "o_orderkey div 100000 AS chunk"
 _KEPT = "FROM keyed WHERE hash_did IS NOT NULL"
 
 
@@ -60,12 +82,8 @@ def read_headerless(t: Tables) -> DataFrame:
 def _with_preamble(t: Tables) -> DataFrame:
     """Lines of files with the header on row 4 and data from row 9."""
     data = _data(t)
-    heads = ["title", "study,data", "", ",".join(_FIELDS), "text,text", "1,2", "a", "end"]
-    head = data.select("file_nm").distinct().select(
-        F.posexplode(F.array(*[F.lit(text) for text in heads])).alias("pos", "value"), "file_nm"
-    )
-    body = data.select((F.col("o_orderkey") + 8).cast("int").alias("pos"), _line().alias("value"), "file_nm")
-    return head.union(body)
+    head = ["title", "study,data", "", ",".join(_FIELDS), "text,text", "1,2", "a", "end"]
+    return _heads(data, head).unionByName(_chunked(data))
 
 
 @query(f"SELECT {_ROW} {_KEPT}", "keyed")
@@ -77,17 +95,11 @@ def read_preamble(t: Tables) -> DataFrame:
 @query(f"SELECT {_ROW} {_KEPT}", "keyed")
 def read_any_layout(t: Tables) -> DataFrame:
     """Each provider delivers in another layout."""
-    header = ",".join(_FIELDS)
     data = _data(t)
-    first = data.filter("prvdr_cd = 'K0001'")
-    titled = first.select("file_nm").distinct().select(
-        F.lit(0).alias("pos"), F.lit(header).alias("value"), "file_nm"
-    )
-    rows = data.filter("prvdr_cd <> 'K0003'").select(
-        (F.col("o_orderkey") + 1).cast("int").alias("pos"), _line().alias("value"), "file_nm"
-    )
+    titled = _heads(data.filter("prvdr_cd = 'K0001'"), [",".join(_FIELDS)])
+    rows = _chunked(data.filter("prvdr_cd <> 'K0003'"))
     third = _with_preamble(t).filter("file_nm LIKE 'IF_DL_503%'")
-    path = _write_lines(titled.union(rows).union(third), t, "layouts")
+    path = _write_lines(titled.unionByName(rows).unionByName(third), t, "layouts")
     return _lower(delimited.read_delimited(t.spark, path, "auto", columns=_FIELDS))
 
 
@@ -97,15 +109,11 @@ ELSE 'preamble' END layout {_KEPT}""",
     "keyed",
 )
 def detect_layouts(t: Tables) -> DataFrame:
-    header = ",".join(_FIELDS)
     data = _data(t)
-    first = data.select("file_nm", "prvdr_cd").distinct().select(
-        F.lit(0).alias("pos"),
-        F.when(F.col("prvdr_cd") == "K0001", header).when(F.col("prvdr_cd") == "K0003", "title").alias("value"),
-        "file_nm",
-    )
-    rows = data.select((F.col("o_orderkey") + 1).cast("int").alias("pos"), _line().alias("value"), "file_nm")
-    path = _write_lines(first.filter("value IS NOT NULL").union(rows), t, "layout")
+    titled = _heads(data.filter("prvdr_cd = 'K0001'"), [",".join(_FIELDS)])
+    headed = _heads(data.filter("prvdr_cd = 'K0003'"), ["title"])
+    lines = titled.unionByName(headed).unionByName(_chunked(data))
+    path = _write_lines(lines, t, "layout")
     return delimited.detect_layouts(t.spark, path)
 
 

@@ -11,7 +11,7 @@ from workload.tables import Tables
 
 @query("SELECT bt_seq, bt_exec_seq, wk_exec_sts_cd, count(*) cnt FROM detail GROUP BY ALL", "detail")
 def count_by_status(t: Tables) -> DataFrame:
-    return status.count_by_status(t.detail).orderBy(F.desc("wk_exec_sts_cd"))
+    return status.count_by_status(t.detail).orderBy(F.desc("wk_exec_sts_cd"), "bt_seq")
 
 
 _ROLLUP = """
