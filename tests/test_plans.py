@@ -10,7 +10,7 @@ from veilspark.operators.inventory import merge_inventory
 from veilspark.operators.rules import Rule, RuleError
 from veilspark.operators.summary import Variable
 from veilspark.plans.deidentify import deidentify
-from veilspark.plans.linkage import attach_job, hash_job, match_job
+from veilspark.plans.linkage import attach_job, hash_job, match_job, store_hashed
 from veilspark.plans.publish import inventory_job, release_job
 from veilspark.plans.summarise import summarise
 from veilspark.sources.delimited import read_delimited
@@ -50,6 +50,17 @@ def test_hash_job(persons, salts):
     assert as_text.filter("mrg_ssn = '3'").first().hash_did == key("nan3T")
 
 
+def test_stored_persons_are_replaced_per_study(spark, persons, salts, tmp_path):
+    path = str(tmp_path / "persons")
+    other = persons.withColumn("ask_id", F.lit("2019-00002"))
+    other_salts = salts.withColumn("ask_id", F.lit("2019-00002"))
+    store_hashed(hash_job(other, other_salts).persons, path)
+    for _ in range(2):
+        store_hashed(hash_job(persons, salts).persons, path)
+    counts = spark.read.parquet(path).groupBy("ask_id").count().collect()
+    assert {row.ask_id: row["count"] for row in counts} == {"2019-00001": 4, "2019-00002": 4}
+
+
 def requested(spark, codes):
     rows = [(*STUDY, "K0001", key(text), code) for text, code in codes]
     return spark.createDataFrame(
@@ -197,10 +208,12 @@ def test_inventory_job_refreshes_and_reports(spark, tmp_path):
     names = [f"IF_DL_501_201900001_A0001_D_{page}_2_20210226.txt" for page in (1, 2)]
     meta = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"
     register = spark.createDataFrame([(*STUDY, "K0001", "D", n) for n in names], f"{meta}, file_nm string")
-    write_delimited(spark.createDataFrame([(names[0], "1", "2")] * 3, "file_nm string, a string, b string"), str(tmp_path / "in"), "file_nm")
+    rows = spark.createDataFrame([(names[0], "1", "2")] * 3, "file_nm string, a string, b string")
+    write_delimited(rows, str(tmp_path / "in"), "file_nm")
     known = spark.createDataFrame(
         [(*STUDY, "K0001", "D", "1", 1, 2, "2020", 0, 0, 0, "old")],
-        f"{meta}, org_mrg_tp_cd string, prsnt_pg_num int, tot_pg_num int, crt_ymd string, file_sz long, datum_cnt long, var_ea long, file_nm string",
+        f"{meta}, org_mrg_tp_cd string, prsnt_pg_num int, tot_pg_num int, crt_ymd string,"
+        " file_sz long, datum_cnt long, var_ea long, file_nm string",
     )
     job = inventory_job(spark, str(tmp_path / "in"), register, known, "original")
     (row,) = job.table.collect()
@@ -227,7 +240,10 @@ def test_deid_inventory_is_kept_per_run(spark, tmp_path):
 
 
 def test_dates_only_refresh_keeps_old_measures(spark):
-    columns = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, org_mrg_tp_cd string, prsnt_pg_num int, tot_pg_num int, crt_ymd string, file_sz long"
+    columns = (
+        "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, org_mrg_tp_cd string,"
+        " prsnt_pg_num int, tot_pg_num int, crt_ymd string, file_sz long"
+    )
     old = spark.createDataFrame([(*STUDY, "K0001", "D", "1", 1, 1, "2020", 5)], columns)
     new = spark.createDataFrame([(*STUDY, "K0001", "D", "1", 1, 1, "2021", 9)], columns)
     (row,) = merge_inventory(old, new, update_cols=("crt_ymd",)).collect()
@@ -243,7 +259,10 @@ def test_provider_columns_are_renamed_by_position(spark):
 
 def test_rank_leaves_gaps(spark):
     rows = [(*STUDY, "K0001", "D", seq, "1", name) for seq, name in ((10, "a"), (10, "b"), (20, "c"))]
-    columns = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, var_seq long, req_var_tp_cd string, var_cd string"
+    columns = (
+        "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, var_seq long,"
+        " req_var_tp_cd string, var_cd string"
+    )
     ranked = spark.createDataFrame(rows, columns).withColumn(
         "var_dscr_seq", F.rank().over(Window.partitionBy("ask_id").orderBy("var_seq")).cast("bigint")
     )
@@ -253,9 +272,13 @@ def test_rank_leaves_gaps(spark):
 
 def test_pending_batches_default_and_strict(spark):
     requests = spark.createDataFrame([("s", "h", "K0001")], "requestid string, hypoid string, cnorgcode string")
-    batches = spark.createDataFrame([(i, "s", "h", 1, "7A") for i in (1, 2, 3)], "bt_seq int, ask_id string, rshp_id string, exec_seq int, wk_dtl_tp_cd string")
+    batches = spark.createDataFrame(
+        [(i, "s", "h", 1, "7A") for i in (1, 2, 3)],
+        "bt_seq int, ask_id string, rshp_id string, exec_seq int, wk_dtl_tp_cd string",
+    )
     runs = spark.createDataFrame(
-        [(1, "902", "p"), (1, "002", "p"), (2, "002", "p"), (2, "902", "other")], "bt_seq int, wk_sts_cd string, crt_pgm_id string"
+        [(1, "902", "p"), (1, "002", "p"), (2, "002", "p"), (2, "902", "other")],
+        "bt_seq int, wk_sts_cd string, crt_pgm_id string",
     )
     loose = status.pending_batches(requests, batches, runs, "p", "7A")
     strict = status.pending_batches(requests, batches, runs, "p", "7A", strict=True)
