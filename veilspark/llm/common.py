@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 4 << 20
 
@@ -30,6 +31,14 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_columns(df: DataFrame, **kinds: str) -> StructType:
+    """The schema of `df` with further columns, by name and type."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in kinds.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 def in_chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of `batches` in order, in slices of about `limit` bytes of `column`.
 

@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from veilspark.llm import credentials
 from veilspark.llm.common import importable, table
+from veilspark.llm.fingerprint import fingerprint_documents
+from veilspark.llm.knn import top_k
+from veilspark.llm.language import identify
+from veilspark.llm.main_text import extract
 from veilspark.llm.packing import pack_documents
+from veilspark.llm.pieces import decode_documents, encode_documents
+from veilspark.llm.simhash import near_duplicates
 from veilspark.llm.token_files import checksums, read_token_files, write_token_files
+from veilspark.llm.url_lists import evaluate
 from veilspark.sources.scratch import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +43,148 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
     return checksums(read_token_files(spark, path))
+
+
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=64)
+
+
+SQL["op2_knn"] = """
+WITH v AS (
+    SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 20
+"""
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = credentials.scan(table(spark, sf_dir, "documents"))
+    joined = lambda some: F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["stop"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*credentials.BASE))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    sha = F.sha2(joined(base).cast("binary"), 256).alias("base_sha256")
+    return spans.select("doc_id", *map(count, credentials.BASE), sha, joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Every page as a capture, fetched on a day and hour that its page_id gives."""
+    hours = F.col("page_id") * 7919 % (365 * 24)
+    fetched = F.timestamp_seconds(F.lit(1704067200) + hours * 3600)
+    return pages.select(F.col("page_id").alias("capture_id"), "url", fetched.alias("fetched"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """Lists of the pages' own hosts, domains and first path parts, added and removed on days that their names give."""
+    name = F.regexp_extract(F.lower("url"), r"^[a-z]+://([^/?#:@]+)", 1)
+    part = F.regexp_extract("url", r"^[A-Za-z]+://[^/?#]+/([^/?#]+)", 1)
+    seen = pages.where("url is not null").select(name.alias("host"), part.alias("part")).where("host <> ''").distinct()
+    kinds = [
+        ("blocked_hosts", "host", F.col("host"), "block", 3),
+        ("blocked_domains", "domain", F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1), "block", 2),
+        ("allowed_paths", "prefix", F.when(F.col("part") != "", F.concat("host", F.lit("/"), "part")), "allow", 4),
+    ]
+    entries = None
+    for number, (list_, scope, pattern, verdict, one_in) in enumerate(kinds):
+        own = seen.select(pattern.alias("pattern")).where("pattern <> ''").distinct()
+        value = F.conv(F.substring(F.md5(F.concat(F.lit(str(number)), "pattern").cast("binary")), 1, 8), 16, 10).cast("long")
+        own = own.withColumn("value", value).where(F.col("value") % one_in == 0)
+        dated = F.explode(F.array(*[F.struct(F.lit(a).alias("action"), F.lit(d).alias("after")) for a, d in HISTORY]))
+        own = own.withColumn("change", dated)
+        days = F.col("value") % 200 + F.col("change.after")
+        own = own.select(
+            F.lit(list_).alias("list"),
+            F.lit(scope).alias("scope"),
+            "pattern",
+            F.lit(verdict).alias("verdict"),
+            F.col("change.action").alias("action"),
+            F.timestamp_seconds(F.lit(1704067200) + days * 86400).alias("effective"),
+        )
+        entries = own if entries is None else entries.unionByName(own)
+    return entries
+
+
+#: When an entry changes, in days after its first.
+HISTORY = (("add", 0), ("remove", 45), ("add", 90), ("remove", 150))
+
+
+@query
+def op7_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return evaluate(captures(pages), dated_entries(pages))
+
+
+SQL["op7_url_lists"] = r"""
+WITH c AS (
+    SELECT page_id AS capture_id, url, TIMESTAMP '2024-01-01' + to_hours(CAST(page_id * 7919 % (365 * 24) AS INTEGER)) AS fetched,
+        regexp_extract(lower(url), '^[a-z]+://([^/?#:@]+)', 1) AS host,
+        regexp_extract(url, '^[A-Za-z]+://[^/?#]+/([^/?#]+)', 1) AS part
+    FROM pages
+), names AS (
+    SELECT DISTINCT 0 AS number, 'blocked_hosts' AS list, 'host' AS scope, host AS pattern, 'block' AS verdict, 3 AS one_in FROM c WHERE host <> ''
+    UNION SELECT DISTINCT 1, 'blocked_domains', 'domain', regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1), 'block', 2 FROM c
+    UNION SELECT DISTINCT 2, 'allowed_paths', 'prefix', host || '/' || part, 'allow', 4 FROM c WHERE host <> '' AND part <> ''
+), valued AS (
+    SELECT *, CAST('0x' || substr(md5(number || pattern), 1, 8) AS BIGINT) AS value FROM names WHERE pattern <> ''
+), active AS (
+    SELECT list, scope, pattern, verdict,
+        TIMESTAMP '2024-01-01' + to_days(CAST(value % 200 + a AS INTEGER)) AS since,
+        TIMESTAMP '2024-01-01' + to_days(CAST(value % 200 + b AS INTEGER)) AS until
+    FROM valued, (VALUES (0, 45), (90, 150)) AS spans(a, b) WHERE value % one_in = 0
+), met AS (
+    SELECT c.capture_id, c.url, c.fetched, a.*,
+        CASE a.scope WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END AS rank
+    FROM c LEFT JOIN active a ON c.fetched >= a.since AND c.fetched < a.until AND (
+        (a.scope = 'host' AND a.pattern = c.host)
+        OR (a.scope = 'domain' AND (a.pattern = c.host OR c.host LIKE '%.' || a.pattern))
+        OR (a.scope = 'prefix' AND a.pattern = c.host || '/' || c.part))
+), ranked AS (
+    SELECT *, count(list) OVER (PARTITION BY capture_id) AS active, row_number() OVER (
+        PARTITION BY capture_id ORDER BY rank DESC, length(pattern) DESC, verdict = 'allow' DESC, list) AS place
+    FROM met
+)
+SELECT capture_id, url, fetched, active, verdict, scope, pattern, list FROM ranked WHERE place = 1
+"""
+
+
+@query
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    encoded = encode_documents(docs)
+    decoded = decode_documents(encoded)
+    return decoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_pieces"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
+    )
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
