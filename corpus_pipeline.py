@@ -1,14 +1,52 @@
-"""A corpus made ready for training, stage by stage."""
+"""A corpus made ready for training, stage by stage.
 
-from __future__ import annotations
+1. language: documents whose language can't be told (no text, no letters) go; a missing lang
+   is filled with the predicted one.
+2. near_duplicates: of each group of near copies the document with the smallest doc_id stays.
+3. secrets: what the scan finds is replaced by its kind in brackets, and n_chars counted anew.
+4. packing: the documents' tokens in sequences of at most 2048, a row for each piece.
+
+Nulls, empty and repeated rows, and further columns are handled as the operators say; an empty
+table gives no rows.
+"""
 
-from collections.abc import Callable
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from veilspark.llm.common import importable
+from veilspark.llm.credentials import redact_documents
+from veilspark.llm.language import UNKNOWN, identify
+from veilspark.llm.packing import pack_documents
+from veilspark.llm.simhash import keep_one
 from veilspark.sources.scratch import scratch_path
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    known = identify(docs).where(F.col("lang_pred") != UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return keep_one(docs, shingle=3, radius=2)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return redact_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    packed = pack_documents(docs, capacity=2048, end_id=1)
+    return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("secrets", secrets), ("packing", packing)]
+
+#: SQL can't express profiles, fingerprints of hashes or the tokenizer; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
