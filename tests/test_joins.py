@@ -22,10 +22,11 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("small", [0, 1_000_000])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_equals_plain_join(sides, how, small):
+def test_equals_plain_join(sides, how, small, split):
     left, right = sides
-    got = keyed_join(left, right, ["k"], how, small=small)
+    got = keyed_join(left, right, ["k"], how, small=small, split=split)
     want = left.join(right, ["k"], how)
     assert got.columns == want.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
@@ -34,7 +35,7 @@ def test_equals_plain_join(sides, how, small):
 def test_two_keys(spark, sides):
     left = sides[0].withColumn("g", F.lit("a"))
     right = sides[1].withColumn("g", F.lit("a"))
-    got = keyed_join(left, right, ["g", "k"], small=0)
+    got = keyed_join(left, right, ["g", "k"], small=0, split=True)
     assert got.count() == left.join(right, ["g", "k"]).count()
 
 
@@ -56,7 +57,7 @@ def test_hot_copies_are_spread(spark, sides):
             return max(row["count"] for row in sizes)
 
         plain = largest(left.join(right, ["k"]))
-        spread = largest(keyed_join(left, right, ["k"], small=0))
+        spread = largest(keyed_join(left, right, ["k"], small=0, split=True))
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
@@ -81,4 +82,46 @@ def test_only_counted_sides_are_broadcast(spark, sides):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
     assert "rightHint=(strategy=broadcast)" in plan(keyed_join(left, right, ["k"]))
-    assert "Join Inner, ((k" in plan(keyed_join(left, right, ["k"], small=100))
+    assert "strategy=broadcast" not in plan(keyed_join(left, right, ["k"], small=100))
+    assert "Join Inner, ((k" in plan(keyed_join(left, right, ["k"], small=100, split=True))
+
+
+def test_wide_rows_are_not_broadcast(spark, sides):
+    """A side is small by its bytes too: few rows of long texts or arrays are not."""
+    long = spark.range(200).selectExpr("id k", "repeat('x', 200000) w")
+    many = spark.range(200).selectExpr("id k", "transform(sequence(1, 30000), x -> 'name') w")
+    assert is_small(spark.range(200)) and not is_small(long) and not is_small(many)
+    plan = keyed_join(sides[0], long, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan
+
+
+def test_maps_can_be_carried(spark):
+    left = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) k", "map('a', id) m", "id")
+    right = spark.range(5000).selectExpr("id k", "id w")
+    got = keyed_join(left, right, ["k"], small=0, split=True)
+    assert got.count() == left.join(right, ["k"]).count()
+
+
+@pytest.mark.parametrize("heavy", ["left", "right"])
+def test_heavy_keys_are_cut_by_adaptive_execution(spark, heavy):
+    """Either side may own the heavy key; its partition is read by several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(0, 60_000, numPartitions=16).selectExpr("if(id % 3 = 0, 7, id) k", "uuid() v")
+        few = spark.range(0, 60_000, numPartitions=8).selectExpr("id k", "id w")
+        joined = keyed_join(*((many, few) if heavy == "left" else (few, many)), ["k"], small=0)
+        joined.write.format("noop").mode("overwrite").save()
+        tasks = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("k") == 7).alias("n"))
+        assert tasks.filter("n > 0").count() > 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -98,3 +98,16 @@ def test_integers_survive(spark, numbers):
     parsed = df.selectExpr(f"{int_sql('cell')} AS v")
     back = parsed.selectExpr(render_sql("v", T.LongType())).collect()
     assert [row[0] for row in back] == [str(n) for n in numbers]
+
+
+def test_doubles_are_plain_decimals(spark):
+    import random
+    from decimal import Decimal
+
+    rng = random.Random(4)
+    values = [12345678.9, 0.00012, -0.00012, 1e-7, 0.1, 100.5, -99999999.99, 1e16, 123456789012345678.0, 2.5e-19, 1e37, 5e15 + 0.5]
+    values += [rng.choice((1, -1)) * rng.random() * 10 ** rng.randint(-15, 15) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").selectExpr("v", render_sql("v", T.DoubleType()) + " AS text")
+    for row in df.collect():
+        assert "E" not in row.text.upper() and not (("." in row.text) and row.text.endswith("0"))
+        assert Decimal(row.text) == Decimal(repr(row.v)), (row.v, row.text)

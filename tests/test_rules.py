@@ -131,3 +131,13 @@ def test_rules_from_rows(spark):
 def test_rules_stay_in_generated_code(cells):
     plan = apply_rules(cells.filter(F.col("id") != "z"), RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "BatchEval" not in plan
+
+
+def test_columns_may_be_named_like_functions_or_in_other_letters(spark):
+    df = spark.createDataFrame([("20210517", "1.5", "7")], "year string, left string, `나이` string")
+    rules = [Rule.parse("year", "date->year(x)"), Rule.parse("left", "Float64->left * 2"), Rule.parse("나이", "Int64->나이 + 1")]
+    assert tuple(apply_rules(df, rules).first()) == ("2021", "3", "8")
+    again = apply_rules(df, [Rule.parse("year", "date->year ( year )")])
+    assert again.first().year == "2021"
+    with pytest.raises(RuleError, match="not allowed"):
+        apply_rules(df, [Rule.parse("left", "Float64->나이 * 2")])

@@ -1,8 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from veilspark.operators import tables
+from veilspark.plans.linkage import hash_and_store
 from veilspark.sources import tables as stored
+from veilspark.sources.scratch import materialise, scratch_job, scratch_path
 
 
 def rows(df):
@@ -75,3 +79,81 @@ def test_partitions_are_replaced_one_by_one(spark, tmp_path):
     state = spark.read.parquet(path).select((F.col("v") + 1).alias("v"), "part")
     stored.rewrite(state, path, ["part"])
     assert now() == [("p", 2), ("q", 10), ("r", 5)]
+
+
+def partitioned(spark, path, rows):
+    stored.append_rows(spark.createDataFrame(rows, "p string, q string, v long"), path, ["p", "q"])
+
+
+def held(spark, path):
+    return sorted(tuple(r) for r in spark.read.schema("v long, p string, q string").parquet(path).select("p", "q", "v").collect())
+
+
+def test_replaced_partitions_without_rows_are_emptied(spark, tmp_path):
+    path = str(tmp_path / "t")
+    partitioned(spark, path, [("a:b", "1", 1), ("a:b", "2", 2), ("c", "1", 3), (None, "1", 4)])
+    scope = spark.createDataFrame([("a:b", "1"), ("c", "1"), (None, "1"), ("never", "1")], "p string, q string")
+    fresh = spark.createDataFrame([("c", "1", 9)], "p string, q string, v long")
+    stored.replace_partition(fresh, path, ["p", "q"], scope)
+    assert held(spark, path) == [("a:b", "2", 2), ("c", "1", 9)]
+    stored.replace_partition(fresh.limit(0), path, ["p", "q"], scope)
+    assert held(spark, path) == [("a:b", "2", 2)]
+
+
+def test_truncated_partition_has_to_exist(spark, tmp_path):
+    path = str(tmp_path / "t")
+    partitioned(spark, path, [("a:b", "01", 1), ("a:b", "2", 2)])
+    stored.truncate_partition(spark, path, {"p": "a:b", "q": "01"})
+    assert held(spark, path) == [("a:b", "2", 2)]
+    with pytest.raises(ValueError, match="no partition"):
+        stored.truncate_partition(spark, path, {"p": "a:c", "q": "2"})
+    assert held(spark, path) == [("a:b", "2", 2)]
+
+
+def test_rewrite_that_fails_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    broken = spark.read.parquet(path).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        stored.rewrite(broken, path)
+    assert spark.read.parquet(path).count() == 5
+    stored.rewrite(spark.read.parquet(path).filter("id < 2"), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_upsert_refuses_repeated_keys(spark):
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    source = spark.createDataFrame([(1, "x"), (1, "y"), (2, "p"), (2, "q")], "k long, v string")
+    with pytest.raises(ValueError, match="repeats the key"):
+        tables.upsert(target, source, ["k"], ["v"])
+    with pytest.raises(ValueError, match="latest"):
+        tables.upsert(target, source, ["k"], ["v"], "latest")
+    got = tables.upsert(target, source, ["k"], ["v"], "latest", ["v"])
+    assert sorted(map(tuple, got.collect())) == [(1, "y"), (2, "q")]
+
+
+def test_nothing_of_a_finished_job_remains(spark, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    persons = spark.createDataFrame([("2019-1", "A1", "K1", "name", "900101", "x")], "ask_id string, rshp_id string, prvdr_cd string, mrg_nm string, mrg_ssn string, dummy string")
+    salts = spark.createDataFrame([("2019-1", "A1", "K1", "T1"), ("2019-2", "A1", "K1", "T2")], "ask_id string, rshp_id string, prvdr_cd string, ttp_id string")
+    path = str(tmp_path / "hashed")
+    hash_and_store(persons, salts, path)
+    assert spark.read.parquet(path).count() == 1
+    hash_and_store(persons.limit(0), salts, path)
+    assert spark.read.schema("hash_did string").parquet(path).count() == 0
+    with pytest.raises(ZeroDivisionError), scratch_job(spark, "fails"):
+        materialise(spark.range(1), "part")
+        1 / 0
+    assert set(os.listdir(root)) == before
+
+
+def test_cluster_needs_shared_scratch():
+    class Conf:
+        get = staticmethod(lambda name, default=None: {"spark.master": "yarn"}.get(name, default))
+
+    class Session:
+        conf = Conf
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session, "x")

@@ -31,6 +31,23 @@ def _integral(value: str) -> str:
     return f"abs({value}) < {EXACT_LIMIT} AND {value} = floor({value})"
 
 
+def _plain(value: str) -> str:
+    """A finite double as plain decimals with the digits of its shortest form.
+
+    Decimals hold 38 digits: those of numbers below one behind the point, where the 38th and
+    later are rounded off; numbers of 1e38 and more stay in scientific notation.
+    """
+
+    def digits(scale: int) -> str:
+        text = f"string(try_cast(string({value}) AS decimal(38, {scale})))"
+        return f"regexp_replace({text}, r'[.]?0+$', '')" if scale else text
+
+    return (
+        f"CASE WHEN abs({value}) < 1 THEN {digits(37)} WHEN abs({value}) < {EXACT_LIMIT} THEN {digits(20)}"
+        f" ELSE coalesce({digits(0)}, string({value})) END"
+    )
+
+
 def float_sql(cell: str) -> str:
     """Double, or null where the text is no finite decimal number."""
     value = f"try_cast({cell} AS double)"
@@ -70,7 +87,7 @@ def render_sql(value: str, data_type: T.DataType) -> str:
         value = f"double({value})"
         return (
             f"CASE WHEN {_integral(value)} THEN string(bigint({value}))"
-            f" WHEN {_finite(value)} THEN string({value}) END"
+            f" WHEN {_finite(value)} THEN {_plain(value)} END"
         )
     if isinstance(data_type, T.DecimalType):
         return f"regexp_replace(string({value}), r'\\.0+$', '')"

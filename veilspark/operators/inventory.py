@@ -61,6 +61,9 @@ def merge_inventory(
     update_cols: tuple[str, ...] = MEASURES,
     exec_seq: bool = False,
 ) -> DataFrame:
-    """Upsert inventory rows. `exec_seq` adds the run to the keys, as for de-identified files."""
+    """Upsert inventory rows; of several deliveries of a page the latest by its date and name counts.
+
+    `exec_seq` adds the run to the keys, as for de-identified files.
+    """
     keys = (*INVENTORY_KEYS, "exec_seq") if exec_seq else INVENTORY_KEYS
-    return upsert(inventory, rows, keys, update_cols)
+    return upsert(inventory, rows, keys, update_cols, "latest", ("crt_ymd", "file_nm"))

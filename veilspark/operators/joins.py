@@ -1,4 +1,4 @@
-"""The equi join of this package: it holds when one key owns a large share of the rows."""
+"""The equi join of this package: a checked broadcast, else a plain join, split on request."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from veilspark.functions.parsing import quoted
+
 LOOKUP_ROWS = 100_000
+LOOKUP_BYTES = 16 << 20
 MIN_BUCKETS = 16_384
 
 
@@ -27,9 +30,19 @@ def _heavy_buckets(keys: DataFrame, bucket: Column, shares: int) -> DataFrame |
     return keys.sparkSession.createDataFrame(found, "_bucket bigint, _parts bigint")
 
 
-def is_small(df: DataFrame, rows: int = LOOKUP_ROWS) -> bool:
-    """Whether `df` has at most `rows` rows; stops reading as soon as it knows."""
-    return not df.select(F.lit(1)).offset(rows).limit(1).collect()
+def is_small(df: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> bool:
+    """Whether `df` has at most `rows` rows of together `size` bytes; reads no more rows than that.
+
+    The bytes are those of the rows as JSON, so long texts and arrays count with their length.
+    """
+    width = F.octet_length(F.to_json(F.struct(*[F.col(quoted(name)) for name in df.columns])))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    return found["rows"] <= rows and (found["bytes"] or 0) <= size
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns a hash can be taken of: all without a map in them."""
+    return [F.col(quoted(field.name)) for field in df.schema if "map<" not in field.dataType.simpleString()]
 
 
 def keyed_join(
@@ -40,21 +53,22 @@ def keyed_join(
     at_most: int | None = None,
     sized_by: DataFrame | None = None,
     small: int = LOOKUP_ROWS,
+    split: bool = False,
 ) -> DataFrame:
-    """Equi join that keeps or filters left rows, whatever the share of a single key.
-
-    A right side counted to have at most `small` rows is broadcast, so the left side
-    is not shuffled at all. `at_most` gives a bound that is known without counting,
-    `sized_by` a frame with no fewer rows that is cheaper to count, such as the one the
-    right side is the distinct rows of.
-    Beyond that the left keys are counted. Without heavy ones this is a plain join.
-    Otherwise these are cut into parts: a left row goes to one part of its bucket and
-    the right rows of that bucket go to all its parts, so every pair still meets exactly
-    once. The part follows from the row and its input partition, so copies of one row
-    spread as well, and a repeated task puts each row where it was before.
-
-    Both counts run when the join is built; pass stored frames where the sides are
-    costly to compute.
+    """Equi join that keeps or filters left rows.
+
+    A right side measured to have at most `small` rows and `LOOKUP_BYTES` is broadcast, so the left
+    side is not shuffled at all. `at_most` gives a bound of its rows that is known without
+    counting, `sized_by` a frame with no fewer rows that is cheaper to count, such as the
+    one the right side is the distinct rows of; either is for narrow right sides.
+
+    Beyond that this is a plain join, and keys that own many rows of either side are left to
+    adaptive execution, which cuts their partitions. With `split`, for stored left sides
+    where adaptive execution is off, the left keys are counted when the join is built and
+    the heavy ones are cut into parts: a left row goes to one part of its bucket and the right
+    rows of that bucket go to all its parts, so every pair still meets exactly once. The part
+    follows from the row and its input partition, so copies of one row spread as well, and a
+    repeated task puts each row where it was before. Heavy keys of the right side are not cut.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join keeps left rows, so it cannot run a {how} join")
@@ -62,6 +76,8 @@ def keyed_join(
     counted = right if sized_by is None else sized_by
     if is_small(counted, small) if at_most is None else at_most <= small:
         return left.join(F.broadcast(right), on, how)
+    if not split:
+        return left.join(right, on, how)
 
     shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*on), F.lit(max(MIN_BUCKETS, 4 * shares)))
@@ -70,7 +86,7 @@ def keyed_join(
         return left.join(right, on, how)
     heavy = F.broadcast(heavy)
 
-    place = F.xxhash64(*left.columns) + F.spark_partition_id()
+    place = F.xxhash64(*_hashable(left)) + F.spark_partition_id()
     spread = (
         left.withColumn("_bucket", bucket)
         .join(heavy, "_bucket", "left")

@@ -24,7 +24,8 @@ def missing_outputs(expected: DataFrame, produced: DataFrame) -> DataFrame:
     return not_produced(expected.select(*FILE), produced, FILE)
 
 
-def releasable(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Rows of the studies that are complete."""
+def releasable(rows: DataFrame, verdicts: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """Rows of the studies that are complete; with `expected`, only of the files it registers."""
     passed = verdicts.filter(F.col("status") == OK).select(*STUDY)
-    return keyed_join(rows, passed, STUDY, "left_semi")
+    ready = keyed_join(rows, passed, STUDY, "left_semi")
+    return ready if expected is None else keyed_join(ready, expected.select(*FILE).distinct(), FILE, "left_semi")

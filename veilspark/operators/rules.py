@@ -32,7 +32,7 @@ ALLOWED_WORDS = frozenset(
 
 # A backslash could end a literal elsewhere than it seems to, so literals have none.
 _TOKEN = re.compile(
-    r"(?P<text>'(?:[^'\\]|'')*')|(?P<word>[A-Za-z_]\w*)|(?P<rest>[\d.]+(?:[eE][+-]?\d+)?"
+    r"(?P<text>'(?:[^'\\]|'')*')|(?P<word>[^\W\d]\w*)|(?P<rest>[\d.]+(?:[eE][+-]?\d+)?"
     r"|<=|>=|<>|!=|==|\|\||[-+*/%(),<>=]|\s+)"
 )
 
@@ -68,7 +68,8 @@ class Rule:
             if not token:
                 raise RuleError(f"{self.column}: unexpected text at {self.expression[position:]!r}")
             word = token["word"]
-            if word and word.lower() in own:
+            called = self.expression[token.end() :].lstrip().startswith("(")
+            if word and word.lower() in own and not (called and word.lower() in ALLOWED_WORDS):
                 out.append(parsed)
             elif word and word.lower() not in ALLOWED_WORDS | known:
                 raise RuleError(f"{self.column}: {word!r} is not allowed in a rule")

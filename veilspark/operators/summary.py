@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veilspark.functions.parsing import float_sql
+from veilspark.functions.parsing import float_sql, quoted
 from veilspark.operators.rules import Rule, apply_rules
 from veilspark.sources.scratch import materialise
 
@@ -100,15 +100,10 @@ def to_eav(
     Text variables fill `str_datatp_val` (empty when missing), numeric ones
     `num_datatp_val` (null when missing or not a number).
     """
-    variables = [*variables, Variable(cnt_seq, count, True)]
-    numbers = [v.seq for v in variables if v.is_number]
-    wide = table.select(*ids, *[F.col(v.column).cast("string").alias(str(v.seq)) for v in variables])
-    long = wide.unpivot(list(ids), [f"`{v.seq}`" for v in variables], "var_dscr_seq", "_value")
-    seq = F.col("var_dscr_seq").cast("int")
-    numeric = seq.isin(numbers)
-    return long.select(
-        *ids,
-        seq.alias("var_dscr_seq"),
-        F.when(~numeric, F.coalesce("_value", F.lit(""))).alias("str_datatp_val"),
-        F.when(numeric, F.expr(float_sql("_value"))).alias("num_datatp_val"),
-    )
+    lines = []
+    for v in [*variables, Variable(cnt_seq, count, True)]:
+        cell = f"string({quoted(v.column)})"
+        text = "cast(null AS string)" if v.is_number else f"coalesce({cell}, '')"
+        number = float_sql(cell) if v.is_number else "cast(null AS double)"
+        lines.append(f"struct({int(v.seq)} AS var_dscr_seq, {text} AS str_datatp_val, {number} AS num_datatp_val)")
+    return table.selectExpr(*map(quoted, ids), f"inline(array({', '.join(lines)}))")

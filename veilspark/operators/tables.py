@@ -12,6 +12,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from veilspark.operators.joins import is_small, keyed_join
+from veilspark.sources.scratch import materialise
 
 
 def _same(names: Sequence[str], null_safe: bool) -> Column:
@@ -56,12 +57,24 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     update_cols: Sequence[str],
+    on_repeat: str = "fail",
+    latest_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target with `update_cols` taken from the source where keys match, plus its new rows.
 
-    Keys are unique in the source, as MERGE requires. A matched row takes the source
-    value also where that is null; columns outside `update_cols` stay.
+    A key that the source repeats raises, as in MERGE, or with `on_repeat="latest"` its row with
+    the largest `latest_by` counts. A matched row takes the source value also where that is
+    null; columns outside `update_cols` stay. The source is stored once.
     """
+    if on_repeat == "latest":
+        if not latest_by:
+            raise ValueError("on_repeat='latest' needs the columns that say which row is the latest")
+        source = latest_rows(source, keys, latest_by)
+    elif on_repeat != "fail":
+        raise ValueError("on_repeat is 'fail' or 'latest'")
+    source = materialise(source, "upsert")
+    if on_repeat == "fail" and (again := repeated_keys(source, keys).head()):
+        raise ValueError(f"the source repeats the key {again.asDict()}")
     fresh = [name.lower() for name in update_cols]
     changes = source.select(
         *keys, *[F.col(name).alias(f"_new_{name.lower()}") for name in update_cols]
@@ -77,6 +90,13 @@ def upsert(
     return updated.unionByName(missing_from(source, target, keys), allowMissingColumns=True)
 
 
+def latest_rows(source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """The row of each key with the largest `latest_by`, ties by the other columns."""
+    rest = [name for name in source.columns if name not in (*keys, *latest_by)]
+    row = F.max(F.struct(*latest_by, *rest)).alias("_row")
+    return source.groupBy(*keys).agg(row).select(*keys, "_row.*").select(*source.columns)
+
+
 def repeated_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; an upsert needs this to be empty for its source."""
     counted = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from veilspark.columns import STUDY
 from veilspark.operators import linkage
-from veilspark.sources.scratch import materialise
+from veilspark.sources.scratch import materialise, scratch_job
 from veilspark.sources.tables import replace_partition
 
 
@@ -33,9 +34,21 @@ def hash_job(persons: DataFrame, salts: DataFrame, null_text: str | None = None)
     )
 
 
-def store_hashed(hashed: DataFrame, path: str) -> None:
-    """Replace the studies' rows in the table of hashed persons."""
-    replace_partition(hashed, path, ["ask_id", "rshp_id"])
+def store_hashed(hashed: DataFrame, path: str, studies: DataFrame | None = None) -> None:
+    """Replace the studies' rows in the table of hashed persons.
+
+    `studies` has the keys of all studies of the run, such as its salts; one whose persons were
+    all withdrawn is emptied.
+    """
+    scope = None if studies is None else studies.select(*STUDY)
+    replace_partition(hashed, path, STUDY, scope)
+
+
+def hash_and_store(persons: DataFrame, salts: DataFrame, path: str, null_text: str | None = None) -> None:
+    """Hash the persons of all salted studies, replace the studies in the table, keep no other copy."""
+    with scratch_job(persons.sparkSession, "hash-job"):
+        hashed = hash_job(persons, salts, null_text)
+        store_hashed(hashed.persons, path, salts)
 
 
 @dataclass(frozen=True)

@@ -59,15 +59,16 @@ class Release:
 
 
 def release_job(register: DataFrame, rows: DataFrame, path: str, centre: Column) -> Release:
-    """Write the de-identified files of every complete study; leave the others alone.
+    """Write the registered files of every complete study; leave the others alone.
 
-    `rows` carry the study keys and `out_nm`, the file each belongs to.
+    `rows` carry the study keys and `out_nm`, the file each belongs to. A file that was
+    released before is replaced, so a second run leaves what the first did.
     """
     expected = expected_outputs(register, "deid", centre)
     produced = materialise(rows.select(*STUDY, "out_nm").distinct(), "produced")
     verdicts = materialise(release_verdicts(expected, produced), "release")
-    ready = releasable(rows, verdicts).withColumnRenamed("out_nm", "file_nm")
-    write_delimited(ready, path, file_column="file_nm", mode="append")
+    ready = releasable(rows, verdicts, expected).withColumnRenamed("out_nm", "file_nm")
+    write_delimited(ready, path, file_column="file_nm", mode="replace")
     return Release(verdicts, missing_outputs(expected, produced))
 
 

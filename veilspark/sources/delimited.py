@@ -2,19 +2,22 @@
 
 Every column is read as text. Layouts that need to know where a file starts, and
 encodings other than UTF-8, are read as lines first, still split-parallel: lines of
-the first split are counted from the first line of their file. A file is one text
-file, or a folder `file_nm=<name>` of parts, as `sources.sinks` writes it.
+the first split are counted from the first line of their file. One pass over the lines
+finds the head of every file, and a second reads them; each file's columns go by its own
+header. A file is one text file, or a folder `file_nm=<name>` of parts, as `sources.sinks`
+writes it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from veilspark.columns import DATA_META
+from veilspark.columns import DATA_META, FAILED, OK
+from veilspark.functions.parsing import quoted
 from veilspark.operators.joins import keyed_join
+from veilspark.sources.scratch import materialise
 
 # Texts that mean "missing" when token handling is asked for (fixed values).
 NULL_TOKENS = (
@@ -26,6 +29,7 @@ LAYOUTS = ("headered", "headerless", "preamble")
 PREAMBLE_HEADER_ROW = 4
 PREAMBLE_ROWS = 8
 LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
+MOST_HEADERS = 1000  # distinct headers that one read may meet
 
 
 def _delivered(path: Column) -> Column:
@@ -34,10 +38,17 @@ def _delivered(path: Column) -> Column:
     return F.coalesce(F.nullif(folder, F.lit("")), path)
 
 
+def _decoded(text: Column) -> Column:
+    """Text of a path, in which other characters than a few come as %XX; plus signs are plain."""
+    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+
 def logical_file() -> Column:
-    """Name of the delivered file a row came from."""
+    """Name of the delivered file a row came from, as it was delivered."""
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"/file_nm=([^/]+)/", 1)
-    return F.coalesce(F.nullif(folder, F.lit("")), F.col("_metadata.file_name"))
+    # A folder's name is escaped once by the writer of partitions, and once more in the path.
+    part = _decoded(_decoded(F.nullif(folder, F.lit(""))))
+    return F.coalesce(part, _decoded(F.col("_metadata.file_name")))
 
 
 def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None) -> DataFrame:
@@ -71,7 +82,7 @@ def _with_text(lines: DataFrame, encoding: str, fallback: str) -> DataFrame:
         if encoding != "auto":
             return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
         broken = lines.groupBy("_file").agg(F.max(~F.is_valid_utf8("value")).alias("_foreign"))
-        known = keyed_join(lines, broken, ["_file"], "left", at_most=_n_files(lines))
+        known = keyed_join(lines, materialise(broken, "encodings"), ["_file"], "left")
         other = F.decode(F.col("value").cast("binary"), fallback)
         text = F.when(F.col("_foreign"), other).otherwise(F.col("value"))
         return known.withColumn("value", text).drop("_foreign")
@@ -79,20 +90,6 @@ def _with_text(lines: DataFrame, encoding: str, fallback: str) -> DataFrame:
         spark.conf.set(LEGACY_CHARSETS, before)
 
 
-def _n_files(lines: DataFrame) -> int:
-    return len(lines.inputFiles())
-
-
-def _skip_rows(lines: DataFrame, rows: int) -> DataFrame:
-    """Drop the first rows of every file."""
-    if rows == 0:
-        return lines
-    starts = lines.groupBy("_path").agg(F.min("_line").alias("_start"))
-    placed = keyed_join(lines, starts, ["_path"], "left", at_most=_n_files(lines))
-    head = F.coalesce(F.col("_line") - F.col("_start") < rows, F.lit(False))
-    return placed.filter(~head).drop("_start")
-
-
 def detect_encoding(
     spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, fallback: str = "EUC-KR"
 ) -> DataFrame:
@@ -126,26 +123,94 @@ def detect_layouts(
     file of five columns or fewer without a header cannot be told from a preamble;
     name its layout.
     """
-    return _part_layouts(spark, paths, glob).select("file_nm", "layout").distinct()
+    lines = _lines(spark, paths, glob)
+    first = _first_lines(lines).withColumn("layout", _layout(F.col("_first")))
+    return first.select("file_nm", "layout").distinct()
 
 
-def _part_layouts(spark: SparkSession, paths: str | Sequence[str], glob: str | None) -> DataFrame:
-    layouts = F.array(*[F.lit(name) for name in LAYOUTS])
-    # A number, as text in the buffer would make this a sorting aggregation.
-    code = F.when(F.col("_line").isNotNull(), F.array_position(layouts, _layout(F.col("value"))))
-    first = F.min_by(code, F.col("_line")).cast("int")
-    return (
-        _lines(spark, paths, glob)
-        .groupBy("_path", "file_nm")
-        .agg(F.element_at(layouts, first).alias("layout"))
-    )
+def _first_lines(lines: DataFrame) -> DataFrame:
+    """Number and text of the first line of every part."""
+    opening = lines.filter(F.col("_line").isNotNull())
+    first = F.min_by("value", "_line").alias("_first")
+    return opening.groupBy("_path", "file_nm").agg(F.min("_line").alias("_start"), first)
 
 
-def _split_fields(lines: DataFrame, names: Sequence[str], sep: str) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    filled = lines.filter(F.length(F.trim("value")) > 0)
-    fields = F.from_csv("value", schema.toDDL(), {"sep": sep})
-    return filled.select("file_nm", fields.alias("_row")).select("_row.*", "file_nm")
+def _heads(lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str) -> DataFrame:
+    """Layout, rows to skip and column names of every part, stored: a row for each."""
+    heads = materialise(_first_lines(lines), "heads")
+    if layout == "auto":
+        heads = heads.withColumn("layout", _layout(F.col("_first")))
+    else:
+        heads = heads.withColumn("layout", F.lit(layout))
+    if layout in ("auto", "preamble"):
+        place = F.col("_line") - F.col("_start") == PREAMBLE_HEADER_ROW - 1
+        opening = lines.filter(F.col("_line").isNotNull()).select("_path", "_line", "value")
+        starts = heads.filter(F.col("layout") == "preamble").select("_path", "_start")
+        fourth = keyed_join(opening, starts, ["_path"]).filter(place)
+        heads = heads.join(fourth.select("_path", F.col("value").alias("_fourth")), "_path", "left")
+    else:
+        heads = heads.withColumn("_fourth", F.lit(None).cast("string"))
+    is_ = lambda kind: F.col("layout") == kind
+    header = F.when(is_("headered"), F.col("_first")).when(is_("preamble"), F.col("_fourth"))
+    header = F.regexp_replace(F.coalesce(header, F.lit("")), "^\ufeff", "")
+    given = F.array(*[F.lit(name) for name in columns or ()]).cast("array<string>")
+    names = F.when(is_("headerless"), given).otherwise(F.split(header, F.lit(_literal(sep))))
+    names = F.transform(names, lambda name: F.upper(F.trim(F.regexp_replace(F.trim(name), '^"(.*)"$', "$1"))))
+    skip = F.when(is_("headered"), 1).when(is_("preamble"), PREAMBLE_ROWS).otherwise(0)
+    return materialise(heads.select("_path", "file_nm", "_start", skip.alias("_skip"), names.alias("_names")), "heads")
+
+
+def _literal(sep: str) -> str:
+    return "".join(f"\\{character}" if not character.isalnum() else character for character in sep)
+
+
+def _with_names(spark: SparkSession, lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str) -> tuple:
+    """Lines with `_names`, the columns of their file, and `_head`, whether they stand before its data.
+
+    Also the distinct lists of names.
+
+    The lists come with the first file that has them, the first of all first.
+    """
+    if layout == "headerless":
+        if not columns:
+            raise ValueError("a headerless layout takes its names from columns")
+        names = [name.strip().upper() for name in columns]
+        known = F.array(*[F.lit(name) for name in names])
+        return lines.withColumns({"_names": known, "_head": F.lit(False)}), [(names, None)]
+    if layout not in ("headered", "preamble", "auto"):
+        raise ValueError(f"unknown layout {layout!r}")
+    heads = _heads(lines, layout, columns, sep)
+    found = heads.groupBy("_names").agg(F.min("file_nm").alias("file_nm")).orderBy("file_nm", "_names")
+    lists = [(list(row["_names"]), row["file_nm"]) for row in found.limit(MOST_HEADERS + 1).collect()]
+    if len(lists) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    if layout == "auto" and not columns and any(not names for names, _ in lists):
+        raise ValueError("a headerless layout takes its names from columns")
+    placed = keyed_join(lines, heads.select("_path", "_start", "_skip", "_names"), ["_path"])
+    head = F.coalesce(F.col("_line") - F.col("_start") < F.col("_skip"), F.lit(False))
+    return placed.withColumn("_head", head).drop("_start", "_skip"), lists
+
+
+def _unlike(names: Sequence[str], wanted: Sequence[str]) -> str | None:
+    """What is wrong with a header, or None."""
+    said = [
+        ("has no column " + ", ".join(sorted(set(wanted) - set(names)))) * (not set(wanted) <= set(names)),
+        ("has more columns: " + ", ".join(sorted(set(names) - set(wanted)))) * (not set(names) <= set(wanted)),
+        "repeats a column" * (len(set(names)) < len(names)),
+    ]
+    return "; ".join(filter(None, said)) or None
+
+
+def _fields(value: Column, sep: str) -> Column:
+    """How many fields a line has."""
+    plain = F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, '"(?:[^"]|"")*"', "")).otherwise(value)
+    removed = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit("")))
+    return (removed / len(sep)).cast("int") + 1
+
+
+def _opens(value: Column) -> Column:
+    """Whether a line ends within quotes, as the field goes on in the next."""
+    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
 
 
 def head_lines(spark: SparkSession, path: str, rows: int, encoding: str = "UTF-8") -> list[str]:
@@ -154,6 +219,84 @@ def head_lines(spark: SparkSession, path: str, rows: int, encoding: str = "UTF-8
     return [row.value for row in lines.filter(F.col("_line").isNotNull()).select("value").take(rows)]
 
 
+def file_faults(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    layout: str = "headered",
+    columns: Sequence[str] | None = None,
+    encoding: str = "UTF-8",
+    sep: str = ",",
+    glob: str | None = None,
+    fallback: str = "EUC-KR",
+) -> DataFrame:
+    """A row for each delivered file: data rows, rows too wide and too narrow, open quotes, its header's fault.
+
+    `status` is ok without any fault. The header is held against that of the first file by name.
+    """
+    lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
+    named, lists = _with_names(spark, lines, layout, columns, sep)
+    return _faults(named, lists, sep)
+
+
+def _faults(named: DataFrame, lists: list[tuple], sep: str) -> DataFrame:
+    wanted = lists[0][0] if lists else []
+    fault = F.lit(None).cast("string")
+    for names, _ in lists:
+        said = _unlike(names, wanted)
+        if said:
+            fault = F.when(F.col("_names") == F.array(*[F.lit(n) for n in names]), said).otherwise(fault)
+    filled = named.filter(~F.col("_head") & (F.length(F.trim("value")) > 0))
+    width, wide = _fields(F.col("value"), sep), F.size("_names")
+    count = lambda hit: F.count_if(hit)
+    counted = filled.groupBy("file_nm").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        count(~_opens(F.col("value")) & (width > wide)).alias("n_wide"),
+        count(~_opens(F.col("value")) & (width < wide)).alias("n_narrow"),
+        count(_opens(F.col("value"))).alias("n_open"),
+        F.max(fault).alias("header_fault"),
+    )
+    good = (F.col("n_wide") + F.col("n_narrow") + F.col("n_open") == 0) & F.col("header_fault").isNull()
+    return counted.withColumn("status", F.when(good, OK).otherwise(FAILED))
+
+
+def _read_lines(
+    spark: SparkSession,
+    lines: DataFrame,
+    layout: str,
+    columns: Sequence[str] | None,
+    sep: str,
+    on_width: str,
+) -> DataFrame:
+    named, lists = _with_names(spark, lines, layout, columns, sep)
+    wanted = lists[0][0] if lists else []
+    text = F.col("value")
+    if on_width == "fail_file":
+        bad = materialise(_faults(named, lists, sep).filter(F.col("status") != OK).select("file_nm"), "faults")
+        named = keyed_join(named, bad, ["file_nm"], "left_anti")
+    else:
+        for names, file in lists:
+            if said := _unlike(names, wanted):
+                raise ValueError(f"{file} {said}")
+        value, wide = F.col("value"), F.size("_names")
+        told = F.concat("file_nm", F.lit(": a line has "), _fields(value, sep).cast("string"), F.lit(" fields, its file has "), wide.cast("string"))
+        open_ = F.concat("file_nm", F.lit(": a field has a line break; read it with line_breaks='read'"))
+        checked = F.when(_opens(value), F.raise_error(open_)).when(_fields(value, sep) != wide, F.raise_error(told))
+        # Lines that a filter drops may still be checked before, so the check leaves them alone.
+        left = F.col("_head") | (F.length(F.trim(value)) == 0)
+        text = F.when(~left, F.coalesce(checked, value))
+    filled = named.filter(~F.col("_head") & (F.length(F.trim("value")) > 0)).withColumn("_text", text)
+    widest = max((len(names) for names, _ in lists), default=0)
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(widest)])
+    if len(lists) <= 1:
+        parsed = filled.select("file_nm", F.from_csv("_text", schema.toDDL(), {"sep": sep}).alias("_row"))
+        cells = [F.col(f"_row._{i}").alias(name) for i, name in enumerate(wanted)]
+    else:
+        parsed = filled.select("file_nm", "_names", F.from_csv("_text", schema.toDDL(), {"sep": sep}).alias("_row"))
+        every = F.array(*[F.col(f"_row._{i}") for i in range(widest)])
+        cells = [F.try_element_at(every, F.array_position("_names", name).cast("int")).alias(name) for name in wanted]
+    return parsed.select(*cells, "file_nm")
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -164,6 +307,9 @@ def read_delimited(
     sep: str = ",",
     glob: str | None = None,
     fallback: str = "EUC-KR",
+    headers: str = "same",
+    on_width: str = "fail",
+    line_breaks: str = "refuse",
 ) -> DataFrame:
     """All files as one frame of text columns with upper-case names, plus `file_nm`.
 
@@ -171,43 +317,37 @@ def read_delimited(
     `encoding` may be `auto`: UTF-8, else the fallback, decided per file over all its
     lines. `missing` keeps Spark's reading of empty fields as null, turns the listed
     `tokens` into null too, or makes all of them empty text (`keep`). `glob` picks
-    files by name. Fields do not contain line breaks.
+    files by name.
+
+    Columns go by each file's own header; headered UTF-8 files that all have the `same` are read
+    by the CSV reader, which raises where one differs, and `headers="by_name"` allows another
+    order. A line with more or fewer fields than its file has columns raises, or with
+    `on_width="fail_file"` its file is left out, as is one whose header has other names;
+    `file_faults` reports them. Fields with line breaks raise, unless `line_breaks="read"`: then
+    headered files are read by one task each.
     """
-    if layout == "auto":
-        found = _part_layouts(spark, paths, glob).select("_path", "layout").collect()
-        groups = [
-            ([row._path for row in found if row.layout == kind], kind) for kind in LAYOUTS
-        ]
-        frames = [
-            read_delimited(spark, some, kind, columns, encoding, missing, sep, None, fallback)
-            for some, kind in groups
-            if some
-        ]
-        return reduce(DataFrame.unionByName, frames)
-
-    if layout == "headered" and encoding.upper() == "UTF-8":
+    if headers not in ("same", "by_name"):
+        raise ValueError("headers is 'same' or 'by_name'")
+    if on_width not in ("fail", "fail_file"):
+        raise ValueError("on_width is 'fail' or 'fail_file'")
+    if line_breaks not in ("refuse", "read"):
+        raise ValueError("line_breaks is 'refuse' or 'read'")
+    broken = line_breaks == "read"
+    plain = layout == "headered" and encoding.upper() == "UTF-8" and headers == "same" and on_width == "fail"
+    if broken and (layout != "headered" or encoding == "auto" or headers != "same" or on_width != "fail"):
+        raise ValueError("line breaks are read in headered files of one encoding and header only")
+    if plain or broken:
         reader = spark.read.options(
-            header=True, sep=sep, enforceSchema=False, recursiveFileLookup=True
-        )
+            header=True, sep=sep, enforceSchema=False, recursiveFileLookup=True, mode="FAILFAST",
+            columnPruning=False, multiLine=broken, encoding=encoding, escape='"' if broken else "\\",
+        )
         if glob:
             reader = reader.option("pathGlobFilter", glob)
         raw = reader.csv(paths if isinstance(paths, str) else list(paths))
-        names = [f"`{name}`" for name in raw.columns]
-        table = raw.select(*names, logical_file().alias("file_nm"))
+        table = raw.select(*map(quoted, raw.columns), logical_file().alias("file_nm"))
     else:
-        lines = _lines(spark, paths, glob)
-        if layout == "headerless":
-            if not columns:
-                raise ValueError("a headerless layout takes its names from columns")
-            names, skip = list(columns), 0
-        elif layout in ("headered", "preamble"):
-            row, skip = (1, 1) if layout == "headered" else (PREAMBLE_HEADER_ROW, PREAMBLE_ROWS)
-            first_file = min(lines.inputFiles())
-            names = head_lines(spark, first_file, row, encoding)[row - 1].split(sep)
-        else:
-            raise ValueError(f"unknown layout {layout!r}")
-        text = _with_text(lines, encoding, fallback)
-        table = _split_fields(_skip_rows(text, skip), names, sep)
+        lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
+        table = _read_lines(spark, lines, layout, columns, sep, on_width)
     table = table.toDF(*[name.strip().upper() for name in table.columns[:-1]], "file_nm")
     return _missing(table, missing)
 
@@ -235,8 +375,7 @@ def file_headers(
     Parts of one delivered file that agree on the header give its rows once.
     """
     lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
-    starts = lines.groupBy("_path").agg(F.min("_line").alias("_line"))
-    first = keyed_join(lines, starts, ["_path", "_line"], "left_semi", at_most=_n_files(lines))
+    first = lines.groupBy("_path", "_file", "file_nm").agg(F.min_by("value", "_line").alias("value"))
     names = F.posexplode(F.split(F.upper("value"), sep)).alias("pos", "var_cd")
     rows = first.select("_file", "file_nm", names).distinct()
     return rows.select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")

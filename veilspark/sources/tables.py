@@ -6,6 +6,7 @@ partition columns.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +15,8 @@ from veilspark.columns import STUDY_PROVIDER
 from veilspark.sources.delimited import read_delimited
 from veilspark.sources.scratch import materialise
 
+#: Fixed value: where Spark puts rows whose partition column is null or empty.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 KEY_SET_PARTITIONS = ("ask_year", *STUDY_PROVIDER)
 
 
@@ -29,32 +32,68 @@ def append_rows(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> Non
     _write(df, path, partitions, "append", "static")
 
 
-def replace_partition(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+def replace_partition(
+    df: DataFrame, path: str, partitions: Sequence[str], scope: DataFrame | None = None
+) -> None:
     """Replace every partition that `df` has rows for; others stay.
 
-    This is delete-then-insert in one step. A partition to be emptied has no rows
-    here: use `truncate_partition`.
+    This is delete-then-insert in one step. `scope` has the partitions that are replaced as
+    a whole, such as the studies of a run: those without rows in `df` are emptied, after the
+    rows are written. It is collected, so it has a row for each partition and not for each key.
     """
+    if scope is not None:
+        df = materialise(df, "replacement")
+        columns = [F.col(name).cast("string").alias(name) for name in partitions]
+        held = df.select(*columns).distinct()
+        same = [F.col(f"s.{name}").eqNullSafe(F.col(f"h.{name}")) for name in partitions]
+        emptied = scope.select(*columns).distinct().alias("s").join(held.alias("h"), same, "left_anti").collect()
     _write(df, path, partitions, "overwrite", "dynamic")
+    if scope is not None:
+        for row in emptied:
+            _delete_partition(df.sparkSession, path, row.asDict())
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The store that holds `path`, and a maker of its paths."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _delete_partition(spark: SparkSession, path: str, values: Mapping[str, str | None]) -> bool:
+    """Delete the folder of one partition; false if there is none."""
+    store, make = _file_system(spark, path)
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    folders = [
+        f"{name}={NULL_FOLDER if value in (None, '') else names.escapePathName(value)}" for name, value in values.items()
+    ]
+    return store.delete(make("/".join([path.rstrip("/"), *folders])), True)
 
 
 def truncate_partition(spark: SparkSession, path: str, values: Mapping[str, str]) -> None:
-    """Empty one partition, `values` naming its columns in table order."""
-    table = spark.read.parquet(path)
-    folder = "/".join(f"{name}={value}" for name, value in values.items())
-    empty = table.limit(0).drop(*values)
-    empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-        f"{path.rstrip('/')}/{folder}"
-    )
+    """Empty one partition, `values` naming its columns in table order; raise if there is none."""
+    if not _delete_partition(spark, path, values):
+        raise ValueError(f"{path} has no partition {dict(values)}")
 
 
 def rewrite(state: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
     """Make `state` the content of the table at `path`, which it may itself read.
 
-    The state is written aside first, so the old table is complete until the new
-    content is.
+    The state is written to a sibling folder, and then the two change names. The old table
+    stays complete until the new one is; an error between the two renames names the folders
+    that hold them.
     """
-    _write(materialise(state, "rewrite"), path, partitions, "overwrite", "static")
+    spark, path = state.sparkSession, path.rstrip("/")
+    store, make = _file_system(spark, path)
+    mark = uuid.uuid4().hex
+    new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
+    _write(state, new, partitions, "errorifexists", "static")
+    if store.exists(make(path)) and not store.rename(make(path), make(old)):
+        raise OSError(f"{path} could not be set aside; it is as before, the new content is in {new}")
+    if not store.rename(make(new), make(path)):
+        raise OSError(f"{path} is not there now: the new content is in {new}, the old in {old}")
+    store.delete(make(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def load_key_file(
@@ -79,7 +118,10 @@ def load_key_file(
         *[value.alias(name) for name, value in (stamps or {}).items()],
     )
     if replace:
-        replace_partition(stamped, path, KEY_SET_PARTITIONS)
+        one = spark.range(1).select(
+            F.lit(study["ask_id"][:4]).alias("ask_year"), *[F.lit(study[name]).alias(name) for name in STUDY_PROVIDER]
+        )
+        replace_partition(stamped, path, KEY_SET_PARTITIONS, one)
     else:
         append_rows(stamped, path, KEY_SET_PARTITIONS)
 
@@ -95,7 +137,18 @@ def key_set(source: DataFrame, stamps: Mapping[str, Column] | None = None) -> Da
 
 
 def copy_key_set(
-    source: DataFrame, path: str, condition: Column, stamps: Mapping[str, Column] | None = None
+    source: DataFrame,
+    path: str,
+    condition: Column,
+    stamps: Mapping[str, Column] | None = None,
+    studies: DataFrame | None = None,
 ) -> None:
-    """Copy the keys of the selected studies, replacing their partitions in the target."""
-    replace_partition(key_set(source.filter(condition), stamps), path, KEY_SET_PARTITIONS)
+    """Copy the keys of the selected studies, replacing their partitions in the target.
+
+    `studies` has the study keys and the provider of all that were asked for; those for which
+    the source has no key any more are emptied.
+    """
+    scope = None
+    if studies is not None:
+        scope = studies.select(F.substring("ask_id", 1, 4).alias("ask_year"), *STUDY_PROVIDER)
+    replace_partition(key_set(source.filter(condition), stamps), path, KEY_SET_PARTITIONS, scope)

@@ -92,6 +92,51 @@ def read_preamble(t: Tables) -> DataFrame:
     return _lower(delimited.read_delimited(t.spark, path, "preamble"))
 
 
+@query(f"SELECT {_ROW} {_KEPT}", "keyed")
+def read_preamble_mixed_headers(t: Tables) -> DataFrame:
+    """The second provider delivers its columns in another order."""
+    data, names = _data(t), [*reversed(_FIELDS)]
+    head = ["title", "study,data", "", ",".join(names), "text,text", "1,2", "a", "end"]
+    other = data.filter("prvdr_cd = 'K0002'")
+    cells = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
+    place = (F.col("o_orderkey") + 8).alias("pos")
+    lines = other.select(place, F.concat_ws(",", *cells).alias("value"), "file_nm", F.expr(_CHUNK))
+    first = _with_preamble(t).filter("file_nm NOT LIKE 'IF_DL_502%'")
+    path = _write_lines(first.unionByName(_heads(other, head)).unionByName(lines), t, "headers")
+    return _lower(delimited.read_delimited(t.spark, path, "preamble")).select(*_FIELDS, "file_nm")
+
+
+@query(
+    f"""
+SELECT file_nm, count(*) n_rows,
+ count(*) FILTER (WHERE o_orderkey % 10 = 0 AND prvdr_cd = 'K0003') n_wide,
+ count(*) FILTER (WHERE o_orderkey % 10 = 1 AND prvdr_cd = 'K0002') n_narrow,
+ CAST(0 AS BIGINT) n_open, CAST(NULL AS VARCHAR) header_fault,
+ CASE WHEN count(*) FILTER (WHERE (o_orderkey % 10 = 0 AND prvdr_cd = 'K0003')
+  OR (o_orderkey % 10 = 1 AND prvdr_cd = 'K0002')) > 0 THEN '902' ELSE '002' END status
+{_KEPT} GROUP BY file_nm""",
+    "keyed",
+)
+def read_wrong_width_report(t: Tables) -> DataFrame:
+    """Some lines of two providers have a field more or less than the others."""
+    more = F.when((F.col("o_orderkey") % 10 == 0) & (F.col("prvdr_cd") == "K0003"), F.concat(_line(), F.lit(",x")))
+    less = (F.col("o_orderkey") % 10 == 1) & (F.col("prvdr_cd") == "K0002")
+    line = F.when(less, F.regexp_replace(_line(), ",[^,]*$", "")).otherwise(F.coalesce(more, _line()))
+    path = _write_lines(_data(t).select(line.alias("value"), "file_nm"), t, "widths")
+    return delimited.file_faults(t.spark, path, "headerless", columns=_FIELDS)
+
+
+@query(
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, prio, '자료 ' || prvdr_cd || ' +1%.txt' file_nm {_KEPT}""",
+    "keyed",
+)
+def read_spaced_file_names(t: Tables) -> DataFrame:
+    name = F.concat(F.lit("자료 "), "prvdr_cd", F.lit(" +1%.txt")).alias("file_nm")
+    path = deliver(_data(t).select("o_orderkey", "prio", name), "names", "file_nm")
+    return _lower(delimited.read_delimited(t.spark, path))
+
+
 @query(f"SELECT {_ROW} {_KEPT}", "keyed")
 def read_any_layout(t: Tables) -> DataFrame:
     """Each provider delivers in another layout."""

@@ -131,6 +131,22 @@ def replace_partition(t: Tables) -> DataFrame:
     return _read(t, path)
 
 
+@query(
+    f"""
+SELECT {_ORDER} FROM orders WHERE o_orderstatus = 'O' UNION ALL
+SELECT o_orderkey, o_custkey + 1, o_orderstatus, 'new' FROM orders WHERE o_orderstatus = 'F'"""
+)
+def replace_with_empty(t: Tables) -> DataFrame:
+    """Two partitions are replaced, one of them by nothing."""
+    path = _stored(t, "replace-empty")
+    scope = _orders(t).filter("o_orderstatus IN ('F', 'P')").select("o_orderstatus").distinct()
+    fresh = _orders(t).filter("o_orderstatus = 'F'").selectExpr(
+        "o_orderkey", "o_custkey + 1 o_custkey", "o_orderstatus", "'new' o_orderpriority"
+    )
+    stored.replace_partition(fresh, path, ["o_orderstatus"], scope)
+    return _read(t, path)
+
+
 @query(f"SELECT {_ORDER} FROM orders WHERE o_orderstatus <> 'P'")
 def truncate_partition(t: Tables) -> DataFrame:
     path = _stored(t, "truncate")
@@ -218,7 +234,7 @@ def inventory_of_files(t: Tables) -> DataFrame:
     return file_inventory(t.spark, _files(t)).select("file_nm", "datum_cnt", "var_ea")
 
 
-def _inventory(t: Tables, register: DataFrame):
+def _inventory(t: Tables, register: DataFrame, path: str | None = None):
     """Inventory of the written files; the first page of each study is known from before."""
     before = t.keyed.filter("prsnt_pg_num = 1").select(
         "ask_id", "rshp_id", "prvdr_cd", "cat_cd", F.lit("1").alias("org_mrg_tp_cd"), "prsnt_pg_num",
@@ -226,7 +242,7 @@ def _inventory(t: Tables, register: DataFrame):
         F.lit(0).cast("bigint").alias("datum_cnt"), F.lit(0).cast("bigint").alias("var_ea"),
         F.lit("old").alias("file_nm"),
     ).distinct()
-    return inventory_job(t.spark, _files(t), register, before, "original")
+    return inventory_job(t.spark, path or _files(t), register, before, "original")
 
 
 _REGISTER = ["ask_id", "rshp_id", "prvdr_cd", "cat_cd", "file_nm"]
@@ -243,6 +259,28 @@ def inventory_merge(t: Tables) -> DataFrame:
     return _inventory(t, register).table.drop("file_sz")
 
 
+@query(
+    """
+WITH k AS (SELECT ask_id, rshp_id, prvdr_cd, cat_cd, prsnt_pg_num, tot_pg_num, file_nm, '20210226' crt_ymd FROM keyed
+ UNION ALL SELECT ask_id, rshp_id, prvdr_cd, cat_cd, prsnt_pg_num, tot_pg_num,
+  replace(file_nm, '20210226', '20210301'), '20210301' FROM keyed WHERE prsnt_pg_num = 1 AND o_orderkey % 3 = 0),
+f AS (SELECT ask_id, rshp_id, prvdr_cd, cat_cd, '1' org_mrg_tp_cd, prsnt_pg_num, tot_pg_num, crt_ymd,
+ count(*) datum_cnt, CAST(6 AS BIGINT) var_ea, file_nm FROM k GROUP BY ALL)
+SELECT * FROM f QUALIFY row_number() OVER (
+ PARTITION BY ask_id, rshp_id, prvdr_cd, cat_cd, prsnt_pg_num, tot_pg_num ORDER BY crt_ymd DESC) = 1""",
+    "keyed",
+)
+def inventory_redelivered(t: Tables) -> DataFrame:
+    """First pages were delivered again later; the inventory shows the later delivery."""
+    again = t.keyed.filter("prsnt_pg_num = 1 AND o_orderkey % 3 = 0").withColumn(
+        "file_nm", F.replace("file_nm", F.lit("20210226"), F.lit("20210301"))
+    )
+    rows = t.keyed.unionByName(again)
+    columns = ["ask_id", "rshp_id", "prvdr_cd", "cat_cd", "o_orderkey", "prio", "file_nm"]
+    path = deliver(rows.select(*columns), "redelivered", "file_nm")
+    return _inventory(t, rows.select(*_REGISTER).distinct(), path).table.drop("file_sz")
+
+
 @query(
     """
 SELECT DISTINCT d.ask_id, d.rshp_id, d.prvdr_cd, d.cat_cd, d.file_nm,
@@ -304,14 +342,41 @@ WHERE ask_id <> '2019-00003'""",
 )
 def release_complete_studies(t: Tables) -> DataFrame:
     """A study without its second page is held back as a whole."""
+    return _released(t, t.keyed, 1)
+
+
+def _released(t: Tables, registered: DataFrame, runs: int) -> DataFrame:
     rows = expected_outputs(t.keyed, "deid", F.lit("K0002"))
     made = rows.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
     path = scratch_path(t.spark, "release")
     columns = ["ask_id", "rshp_id", "out_nm", "o_orderkey", "prio"]
-    release_job(t.keyed.select(*_REGISTER).distinct(), made.select(*columns), path, F.lit("K0002"))
+    for _ in range(runs):
+        release_job(registered.select(*_REGISTER).distinct(), made.select(*columns), path, F.lit("K0002"))
     return t.spark.read.option("header", True).csv(path).select("o_orderkey", "prio", "file_nm")
 
 
+@query(
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, prio, {_NAME} file_nm FROM keyed
+WHERE ask_id <> '2019-00003'""",
+    "keyed",
+)
+def release_twice(t: Tables) -> DataFrame:
+    """A second run leaves what the first one published."""
+    return _released(t, t.keyed, 2)
+
+
+@query(
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, prio, {_NAME} file_nm FROM keyed
+WHERE ask_id <> '2019-00003' AND prsnt_pg_num <> 4""",
+    "keyed",
+)
+def release_registered_only(t: Tables) -> DataFrame:
+    """Fourth pages were made but are not registered."""
+    return _released(t, t.keyed.filter("prsnt_pg_num <> 4"), 1)
+
+
 @query(
     """
 WITH v AS (SELECT ask_id, rshp_id, bool_and(o_orderstatus <> 'F') done

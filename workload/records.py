@@ -154,6 +154,19 @@ def rule_helpers(t: Tables) -> DataFrame:
     return apply_rules(rows, rules)
 
 
+@query(
+    """
+SELECT o_orderkey, CAST(o_orderkey + 10000000 AS VARCHAR) || '.75' price,
+ '0.0000' || CAST(o_orderkey % 9 + 1 AS VARCHAR) ratio FROM orders"""
+)
+def rule_decimals(t: Tables) -> DataFrame:
+    """Large prices with cents and small ratios stay plain decimals."""
+    rows = t.given("orders").selectExpr(
+        "o_orderkey", "concat(o_orderkey + 10000000, '.25') price", "concat('0.0000', o_orderkey % 9 + 1) ratio"
+    )
+    return apply_rules(rows, [Rule.parse("price", "float->x + 0.5"), Rule.parse("ratio", "float->x")])
+
+
 @query(
     f"""WITH {_sql_new('delivered')},
 c AS (SELECT file_nm, 'amt' var_cd, amt raw, na new FROM n UNION ALL

@@ -11,6 +11,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veilspark.operators.joins import keyed_join
+
 TEXT = "문자"
 NUMBER = "숫자"
 PERSON = "ask_id, rshp_id, prvdr_cd, mrg_nm, mrg_ssn"
@@ -61,7 +63,7 @@ class Tables:
     @cached_property
     def hashed(self) -> DataFrame:
         """Hashed persons as stored, with the key the other fixtures are picked by."""
-        salted = self.person.join(self.salt, ["ask_id", "rshp_id", "prvdr_cd"])
+        salted = keyed_join(self.person, self.salt, ["ask_id", "rshp_id", "prvdr_cd"], sized_by=self.salt)
         return salted.selectExpr(
             "ask_id", "rshp_id", "prvdr_cd", "mrg_nm", "mrg_ssn", "ttp_id",
             "upper(sha2(concat(mrg_nm, mrg_ssn, ttp_id), 256)) hash_did", "c_custkey",
