@@ -43,13 +43,15 @@ SKIPPED = frozenset(
     "aside button canvas dialog footer form head iframe input math menu nav noscript object option script select style"
     " svg template textarea title".split()
 )
-NEVER = frozenset("article body html main".split())
+NEVER = frozenset("body html main".split())
 PARTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies"
     " copyright disqus footer gdpr hidden legal login menu modal nav navbar navigation newsletter notice notification"
     " pager pagination popup promo promoted promotion recommended related replies reply share sharing sidebar signup skip"
     " social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Of these, what an <article> can be; its other class names say what it is about.
+ASIDE = frozenset("ad ads advert advertisement comment comments promo related replies reply sponsored".split())
 HEADS = frozenset("header masthead".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 CLOSES = {
@@ -111,7 +113,8 @@ def _skips(tag: str, rest: str, above: Node) -> tuple[bool, bool]:
                 parts = [part.lower() for part in _WORD.findall(word)]
                 if not parts or parts[0] in ("has", "no", "with", "is"):
                     continue
-                if not PARTS.isdisjoint(parts) or (not above.in_article and not HEADS.isdisjoint(parts)):
+                known = ASIDE if tag == "article" else PARTS
+                if not known.isdisjoint(parts) or (tag != "article" and not above.in_article and not HEADS.isdisjoint(parts)):
                     return True, False
     return False, main
 
