@@ -37,6 +37,9 @@ HEADLINE = (
     "summary_variables",
     "check_file_names",
     "read_headered",
+    "read_any_layout",
+    "read_preamble",
+    "read_mixed_encodings",
     "study_summary",
 )
 RUNS = 3

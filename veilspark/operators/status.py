@@ -61,23 +61,26 @@ def pending_batches(
     program: str,
     task: str,
     strict: bool = False,
+    request_columns: Sequence[str] = (),
+    batch_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Registered batches of a task that have not succeeded.
 
     By default a batch counts as pending through each execution of the program that
     is not ok, and through having none, so one with a failed and a good run is
-    listed. `strict` lists each batch once, and only without any good run.
+    listed. `strict` lists each batch once, and only without any good run. Further columns
+    may be taken along: of the request the override rule set, of the batch its paths.
     """
     known = requests.select(
-        F.col("requestid").alias("ask_id"), F.col("hypoid").alias("rshp_id"), "cnorgcode"
+        F.col("requestid").alias("ask_id"), F.col("hypoid").alias("rshp_id"), "cnorgcode", *request_columns
     )
-    due = batches.filter(F.col("wk_dtl_tp_cd") == task).select("bt_seq", *STUDY, "exec_seq")
-    due = keyed_join(due, known, STUDY).select("bt_seq", *STUDY, "exec_seq", "cnorgcode")
+    due = batches.filter(F.col("wk_dtl_tp_cd") == task).select("bt_seq", *STUDY, "exec_seq", *batch_columns)
+    due = keyed_join(due, known, STUDY)
+    due = due.select("bt_seq", *STUDY, "exec_seq", "cnorgcode", *request_columns, *batch_columns)
     runs = executions.filter(F.col("crt_pgm_id") == program).select("bt_seq", "wk_sts_cd")
     good = F.coalesce("wk_sts_cd", F.lit(FAILED)).isin(OK)
     if strict:
         return due.join(runs.filter(good).select("bt_seq").distinct(), "bt_seq", "left_anti")
-    # From the executions' side, so that a batch with very many of them is cut into parts.
     unfinished = keyed_join(runs.filter(~good).drop("wk_sts_cd"), due, ["bt_seq"])
     untried = due.join(runs.select("bt_seq").distinct(), "bt_seq", "left_anti")
     return untried.unionByName(unfinished)
