@@ -9,6 +9,7 @@ from veilspark.operators import catalog, linkage, status, summary
 from veilspark.operators.inventory import merge_inventory
 from veilspark.operators.rules import Rule, RuleError
 from veilspark.operators.summary import Variable
+from veilspark.plans import batch
 from veilspark.plans.deidentify import deidentify
 from veilspark.plans.linkage import attach_job, hash_job, match_job, store_hashed
 from veilspark.plans.publish import inventory_job, release_job
@@ -286,3 +287,38 @@ def test_pending_batches_default_and_strict(spark):
     assert sorted(r.bt_seq for r in strict.collect()) == [3]
 
 
+
+
+def test_files_with_too_few_columns_raise(spark):
+    short = spark.createDataFrame([("a", "b", "c")], "x string, y string, z string")
+    for reads in (linkage.as_person_file, linkage.as_provider_file):
+        with pytest.raises(ValueError, match="at least"):
+            reads(short)
+
+
+def test_long_form_compiles(spark, capfd):
+    """Both kinds of variables in one projection must not fall back to interpreted rows."""
+    df = spark.range(50).selectExpr("id", "concat('t', id) t", "cast(id as string) n", "id cnt")
+    out = summary.to_eav(df, [Variable(1, "t", False), Variable(2, "n", True)], ["id"], 3)
+    assert out.count() == 150 and len(out.collect()) == 150
+    assert "Failed to compile" not in "".join(capfd.readouterr())
+
+
+def test_summary_job_replaces_its_run(spark, tmp_path):
+    """A second run of a batch leaves what the first stored, and no scratch remains."""
+    import os
+
+    from workload.batch import EAV_OF, Batches, run_batch
+    from workload.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    store, root = str(tmp_path / "store"), spark.conf.get("spark.checkpoint.dir")
+    counts = []
+    for _ in range(2):
+        done = run_batch(t, Batches(t), store)
+        assert {r.status for r in done.status.collect()} <= {"002", "003", "902"}
+        counts.append([spark.read.schema(batch.EAV).parquet(f"{store}/{name}").count() for name in EAV_OF.values()])
+    assert counts[0] == counts[1] and counts[0][0] > 0
+    assert not [name for name in os.listdir(root) if name.startswith("summary-job")]
+    wide = [name for _, _, files in os.walk(f"{store}/deid_summary") for name in files if name.endswith(".csv")]
+    assert wide

@@ -66,4 +66,5 @@ def merge_inventory(
     `exec_seq` adds the run to the keys, as for de-identified files.
     """
     keys = (*INVENTORY_KEYS, "exec_seq") if exec_seq else INVENTORY_KEYS
-    return upsert(inventory, rows, keys, update_cols, "latest", ("crt_ymd", "file_nm"))
+    latest_by = [name for name in ("crt_ymd", "file_nm") if name in rows.columns]
+    return upsert(inventory, rows, keys, update_cols, "latest" if latest_by else "fail", latest_by)

@@ -24,13 +24,17 @@ NOT_MATCHED = "428"
 
 
 def as_person_file(df: DataFrame) -> DataFrame:
-    """The first five columns under the fixed names of a person file."""
+    """The first five columns under the fixed names of a person file; fewer raise."""
+    if len(df.columns) < len(PERSON):
+        raise ValueError(f"a person file has at least {len(PERSON)} columns, this one {df.columns}")
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(df.columns, PERSON)])
 
 
 def as_provider_file(df: DataFrame) -> DataFrame:
-    """Columns four to six of a provider file renamed to name, id and dataset."""
+    """Columns four to six of a provider file renamed to name, id and dataset; fewer raise."""
     fixed = (*PERSON, "cat_cd")
+    if len(df.columns) < len(fixed):
+        raise ValueError(f"a provider file has at least {len(fixed)} columns, this one {df.columns}")
     return df.toDF(*fixed, *df.columns[len(fixed):])
 
 

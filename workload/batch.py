@@ -96,12 +96,14 @@ def rule_set_of_batch(t: Tables) -> DataFrame:
     return batch.rules_of_batch(given.pending, given.rules)
 
 
-def _summarised(t: Tables) -> tuple[batch.SummaryBatch, str]:
-    given = Batches(t)
+EAV_OF = {"original": "original_eav", "deidentified": "deidentified_eav"}
+
+
+def run_batch(t: Tables, given: Batches, store: str) -> batch.SummaryBatch:
+    """The summary job of one study's batch, with its summary variables made from the catalog."""
     known = given.standard.select("var_seq")
     made = materialise(catalog.build_summary_catalog(given.catalog, given.standard, known, given.rules), "catalog")
-    store = scratch_path(t.spark, "summaries")
-    done = batch.summary_job(
+    return batch.summary_job(
         given.pending.filter(F.col("ask_id") == _STUDY),
         given.datasets.withColumn("exec_seq", F.lit(1)),
         made,
@@ -113,7 +115,6 @@ def _summarised(t: Tables) -> tuple[batch.SummaryBatch, str]:
         "85",
         F.lit("K0002"),
     )
-    return done, store
 
 
 _GROUP = f"{DATASET}, prsnt_pg_num, tot_pg_num, file_nm"
@@ -136,10 +137,10 @@ UNION ALL SELECT kind, left(ask_id, 4), {_GROUP}, 1, datum_seq, 4, NULL, CAST(cn
 )
 def summary_job_eav(t: Tables) -> DataFrame:
     """The stored long tables of one batch, whose override rule set decides variables and rules."""
-    _, store = _summarised(t)
-    found = None
-    for kind in ("original", "deidentified"):
-        rows = t.spark.read.schema(batch.EAV).parquet(f"{store}/{kind}_eav").withColumn("kind", F.lit(kind))
+    store, found = scratch_path(t.spark, "summaries"), None
+    run_batch(t, Batches(t), store)
+    for kind, name in EAV_OF.items():
+        rows = t.spark.read.schema(batch.EAV).parquet(f"{store}/{name}").withColumn("kind", F.lit(kind))
         found = rows if found is None else found.unionByName(rows)
     return found
 
@@ -154,7 +155,7 @@ FROM delivered d LEFT JOIN (SELECT DISTINCT file_nm FROM keyed) k USING (file_nm
 )
 def summary_job_detail(t: Tables) -> DataFrame:
     """A row for each registered file: made, without variables, or without rows."""
-    return _summarised(t)[0].detail
+    return run_batch(t, Batches(t), scratch_path(t.spark, "summaries")).detail
 
 
 @query(
