@@ -13,10 +13,10 @@ import zlib
 
 import numpy as np
 
-LANES, STEPS = 32, 2048
+LANES, STEPS = 128, 512
 BLOCK = LANES * STEPS
 LOW = np.uint64(1 << 31)
-HALF = np.uint64(32)
+HALF, ALL = np.uint64(32), np.uint64(0xFFFFFFFF)
 MAGIC = b"VRNS\x01"
 
 
@@ -35,7 +35,7 @@ class Table:
             counts = counts[symbols]
         else:
             symbols, counts = np.unique(ids, return_counts=True)
-        bits = max(12, int(len(symbols) - 1).bit_length() + 4)
+        bits = max(12, int(len(symbols) - 1).bit_length() + 2)
         freqs = np.maximum(1, counts.astype(np.float64) * ((1 << bits) / counts.sum())).astype(np.int64)
         over = int(freqs.sum()) - (1 << bits)
         order = np.argsort(-freqs, kind="stable")
@@ -71,40 +71,43 @@ class Table:
 
 def _encode(index: np.ndarray, table: Table) -> tuple[np.ndarray, list[np.ndarray]]:
     """States (blocks, lanes) and each block's words, of symbol numbers (blocks, steps, lanes)."""
-    blocks, steps, lanes = index.shape
+    index = np.ascontiguousarray(index.transpose(1, 0, 2))
+    steps, blocks, lanes = index.shape
     freqs, bits = table.freqs.astype(np.uint64), np.uint64(table.bits)
     limit = np.uint64(31 + 32 - table.bits)
     state = np.full((blocks, lanes), LOW)
-    words, moved = np.zeros((blocks, steps, lanes), "<u4"), np.zeros((blocks, steps, lanes), bool)
+    words, moved = np.empty(index.shape, "<u4"), np.empty(index.shape, bool)
     for step in range(steps - 1, -1, -1):
-        symbol = index[:, step]
+        symbol = index[step]
         freq = freqs[symbol]
         full = state >= freq << limit
-        moved[:, step] = full
-        words[:, step] = state  # the low half
+        moved[step] = full
+        words[step] = state  # the low half
         state = np.where(full, state >> HALF, state)
         quotient = state // freq
         state = (quotient << bits) + (state - quotient * freq) + table.starts[symbol]
-    return state, [w[m] for w, m in zip(words, moved)]
+    return state, [words[:, block][moved[:, block]] for block in range(blocks)]
 
 
 def _decode(state: np.ndarray, words: np.ndarray, at: np.ndarray, steps: int, table: Table, lookup: np.ndarray) -> np.ndarray:
     """Symbol numbers (blocks, steps, lanes); `at` is each block's first word."""
     blocks, lanes = state.shape
-    freqs, bits = table.freqs.astype(np.uint64), np.uint64(table.bits)
-    mask = np.uint64((1 << table.bits) - 1)
-    out = np.empty((blocks, steps, lanes), np.uint32)
+    bits, mask = np.uint64(table.bits), np.uint64((1 << table.bits) - 1)
+    both = table.starts << HALF | table.freqs  # one look for both
+    out = np.empty((steps, blocks, lanes), np.uint32)
     for step in range(steps):
         slot = state & mask
         symbol = lookup[slot]
-        out[:, step] = symbol
-        state = freqs[symbol] * (state >> bits) + slot - table.starts[symbol]
+        out[step] = symbol
+        found = both[symbol]
+        state = (found & ALL) * (state >> bits) + slot - (found >> HALF)
         low = state < LOW
-        order = np.cumsum(low, axis=1)
-        place = np.minimum(at[:, None] + order - 1, len(words) - 1)
-        state = np.where(low, state << HALF | words[place].astype(np.uint64), state)
+        order = np.cumsum(low, axis=1, dtype=np.int32)
+        here = np.flatnonzero(low.reshape(-1))
+        place = (at[:, None] + order).reshape(-1)[here] - 1
+        state.reshape(-1)[here] = state.reshape(-1)[here] << HALF | words[place]
         at = at + order[:, -1]
-    return out
+    return out.transpose(1, 0, 2)
 
 
 def compress(ids: np.ndarray) -> bytes:

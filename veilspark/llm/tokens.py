@@ -31,21 +31,22 @@ def default_tokenizer() -> str:
 
 
 class _Known(dict):
-    """The ids of words, each merged when it is first asked for; long ones aren't kept."""
+    """The ids of words, each made when it is first asked for; long ones aren't kept.
 
-    def __init__(self, encoder: Encoder, before: str):
-        self.merge, self.whole, self.special, self.before = encoder.merge, encoder.whole, encoder.special, before
+    When it is full it becomes `old`, from which words come back as they are asked for.
+    """
+
+    def __init__(self, make):
+        self.make = make
+        self.old: dict[str, bytes] = {}
+
+    def renew(self) -> None:
+        if len(self) > KEPT_WORDS:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        before = self.before
-        if word.isalpha():
-            ids = self.merge(before + word)
-        elif word[:-1].isalpha() and word[-1] in ",.!?;:":
-            ids = self[word[:-1]] + self.merge(word[-1])
-        elif any(token in word for token in self.special):
-            ids = self.whole(before + word)
-        else:
-            ids = b"".join(map(self.merge, _WORDS.findall(before + word))) if word else b""
+        ids = self.old.pop(word, None) or self.make(word)
         if len(word) <= KEPT_LENGTH:
             self[word] = ids
         return ids
@@ -56,7 +57,7 @@ class Encoder:
 
     Its pre-tokenizer always begins a new token at a space that another character
     follows, so a text's ids are those of its words, each with its space before. Each
-    word is merged once; a memory of words is emptied when it is full. Tokenizers of
+    word is merged once and kept as long as it is asked for. Tokenizers of
     another build encode each text as a whole.
     """
 
@@ -75,12 +76,32 @@ class Encoder:
         )
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _letters()
-        self.model = self.tokenizer.model
-        self.first, self.later = _Known(self, ""), _Known(self, " ")
+        self.blank = chr(self.letters[32])
+        self.tokenize = self.tokenizer.model.tokenize
+        #: Parts of a text as they are, and words with a space before each.
+        self.parts, self.words = _Known(self.part), _Known(self.word)
 
     def merge(self, part: str) -> bytes:
-        tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-        return array("I", [token.id for token in tokens]).tobytes()
+        part = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.tokenize(part)]).tobytes()
+
+    def word(self, word: str) -> bytes:
+        if word.isalpha():
+            if word.isascii():
+                return array("I", [token.id for token in self.tokenize(self.blank + word)]).tobytes()
+            return self.merge(" " + word)
+        if word[-1] in ",.!?;:" and word[:-1].isalpha():
+            return self.words[word[:-1]] + self.parts[word[-1]]
+        return self.part(" " + word)
+
+    def part(self, text: str) -> bytes:
+        if any(token in text for token in self.special):
+            return self.whole(text)
+        cut = _WORDS.findall(text)
+        if len(cut) == 1:
+            return self.merge(text)
+        words, parts = self.words, self.parts
+        return b"".join([words[part[1:]] if part[0] == " " and part[1:].isalpha() else parts[part] for part in cut])
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -89,11 +110,10 @@ class Encoder:
         """The ids of a text, without special tokens."""
         if not self.by_word:
             return self.whole(text)
-        for known in (self.first, self.later):
-            if len(known) > KEPT_WORDS:
-                known.clear()
+        self.parts.renew()
+        self.words.renew()
         first, *words = _BREAK.split(text) if _ODD.search(text) else text.split(" ")
-        return self.first[first] + b"".join(map(self.later.__getitem__, words))
+        return self.parts[first] + b"".join(map(self.words.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
