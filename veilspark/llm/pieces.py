@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame
 from veilspark.llm.common import in_chunks, with_columns
 
 SPACE = "▁"
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
+#: Words in one index, which bounds the memory of its suffixes and edges.
+INDEXED_WORDS = 16_384
 KEPT_LENGTH = 48
 NONE, BEGIN = -1, -2
 
@@ -272,8 +274,9 @@ class Pieces:
             new.update(words)
         new = new.difference(self.known)
         new.discard("")
-        if new:
-            self._learn(sorted(new))
+        words = sorted(new)
+        for at in range(0, len(words), INDEXED_WORDS):
+            self._learn(words[at : at + INDEXED_WORDS])
         get = self.known.__getitem__
         out = [self._with_runs(words) if "" in words else b"".join(map(get, words)) for words in split]
         for word in new:
