@@ -15,7 +15,7 @@ from veilspark.llm.main_text import extract
 from veilspark.llm.packing import pack_documents
 from veilspark.llm.pieces import decode_documents, encode_documents
 from veilspark.llm.simhash import near_duplicates
-from veilspark.llm.token_files import checksums, read_token_files, write_token_files
+from veilspark.llm.token_files import read_token_files, write_token_files
 from veilspark.llm.url_lists import evaluate
 from veilspark.sources.scratch import scratch_path
 
@@ -42,7 +42,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     write_token_files(table(spark, sf_dir, "documents"), path, end_id=2)
-    return checksums(read_token_files(spark, path))
+    return read_token_files(spark, path, with_ids=False)
 
 
 @query

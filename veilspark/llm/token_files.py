@@ -9,6 +9,7 @@ and the coded ids. Files, and blocks in a file, are decoded on their own.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,10 +71,12 @@ def _file(part: int, file: int, keys: list, held: list[bytes]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array([value], kind) for kind, value in row.values()], list(row))
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """The documents of the files under `path`: doc_id, start, ids (little-endian unsigned 32-bit).
+def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
+    """The documents of the files under `path`: doc_id, start, n_tokens, ids_crc32 and ids.
 
-    `start` counts the ids of all documents before. A file with a damaged block fails.
+    `start` counts the ids of all documents before; ids are little-endian unsigned 32-bit, and
+    ids_crc32 is their unsigned CRC-32. A file with a damaged block fails. `with_ids=False`
+    leaves the ids in the tasks that decode them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,13 +87,18 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 starts = ends - row["lengths"]
                 if ends[-1] != len(ids):
                     raise ValueError(f"file {row['part']}/{row['file']}: its ids and lengths differ")
+                parts = [ids[a:b].tobytes() for a, b in zip(starts, ends)]
                 columns = [
                     pa.array(row["doc_ids"], pa.int64()),
                     pa.array(starts + row["start"], pa.int64()),
-                    pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                    pa.array(row["lengths"], pa.int64()),
+                    pa.array(list(map(zlib.crc32, parts)), pa.int64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "ids"])
+                columns += [pa.array(parts, pa.binary())] if with_ids else []
+                yield pa.RecordBatch.from_arrays(columns, names)
 
+    schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids
+    names = [part.split()[0] for part in schema.split(", ")]
     files = spark.read.schema(FILES).parquet(path)
     parts = running_start(files.groupBy("part").agg(F.sum("n_ids").alias("n_ids")), "part", "n_ids", "part_start")
     before = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,12 +106,4 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     starts = within.join(parts.select("part", "part_start"), "part")
     starts = starts.select("part", "file", (F.col("part_start") + F.col("_within")).alias("start"))
     rows = files.select("part", "file", "doc_ids", "lengths", "content").join(starts, ["part", "file"])
-    return rows.mapInArrow(run, "doc_id long, start long, ids binary")
-
-
-def checksums(documents: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 of what `read_token_files` gives."""
-    n = F.expr("octet_length(ids) div 4").alias("n_tokens")
-    return documents.select("doc_id", "start", n, F.crc32("ids").alias("ids_crc32"))
-
-
+    return rows.mapInArrow(run, schema)
