@@ -37,7 +37,7 @@ def test_memory_of_words_is_renewed(monkeypatch):
     for _ in range(3):
         for text in ("one two three four five six seven", "eight nine one two", "three ten eleven, twelve."):
             assert np.frombuffer(encode.encode(text), "<u4").tolist() == plain(text, 0)[:-1].tolist()
-    assert len(encode.later) <= 12
+    assert len(encode.words) <= 12 and len(encode.words.old) <= 12
 
 
 @settings(max_examples=200, deadline=None)

@@ -105,6 +105,7 @@ def _decode(state: np.ndarray, words: np.ndarray, at: np.ndarray, steps: int, ta
         order = np.cumsum(low, axis=1, dtype=np.int32)
         here = np.flatnonzero(low.reshape(-1))
         place = (at[:, None] + order).reshape(-1)[here] - 1
+        place = np.minimum(place, len(words) - 1)  # damaged blocks may ask for more; their checksum tells
         state.reshape(-1)[here] = state.reshape(-1)[here] << HALF | words[place]
         at = at + order[:, -1]
     return out.transpose(1, 0, 2)
