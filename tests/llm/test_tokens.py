@@ -13,7 +13,7 @@ from tests.llm.helpers import documents, no_docs, odd_docs, texts
 from veilspark.llm.packing import fill_window, pack, pack_documents
 from veilspark.llm.rans import BLOCK, compress, decompress
 from veilspark.llm.token_files import read_token_files, write_token_files
-from veilspark.llm.tokens import default_tokenizer, encoder
+from veilspark.llm.tokens import Encoder, default_tokenizer, encoder
 
 
 def plain(text: str, end: int) -> np.ndarray:
@@ -29,11 +29,8 @@ def test_words_alone_have_the_ids_of_the_text(text):
     assert found == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-def test_memory_of_words_is_renewed(monkeypatch):
-    import veilspark.llm.tokens as tokens
-
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 5)
-    encode = tokens.Encoder(default_tokenizer())
+def test_memory_of_words_is_renewed():
+    encode = Encoder(default_tokenizer(), kept_words=5)
     for _ in range(3):
         for text in ("one two three four five six seven", "eight nine one two", "three ten eleven, twelve."):
             assert np.frombuffer(encode.encode(text), "<u4").tolist() == plain(text, 0)[:-1].tolist()

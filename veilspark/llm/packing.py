@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from veilspark.llm.common import in_chunks
-from veilspark.llm.tokens import default_tokenizer, encoder
+from veilspark.llm.tokens import KEPT_WORDS, default_tokenizer, encoder
 
 GROUP_TOKENS = 1 << 20
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -127,7 +127,12 @@ def pack(documents: Iterable[tuple], capacity: int, group_tokens: int = GROUP_TO
 
 
 def pack_documents(
-    docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str | None = None, group_tokens: int = GROUP_TOKENS
+    docs: DataFrame,
+    capacity: int = 2048,
+    end_id: int = 1,
+    tokenizer: str | None = None,
+    group_tokens: int = GROUP_TOKENS,
+    kept_words: int = KEPT_WORDS,
 ) -> DataFrame:
     """Pieces of `docs` (doc_id, text; other columns are ignored) with their place in a sequence.
 
@@ -135,12 +140,13 @@ def pack_documents(
     ids and rows are packed as documents of their own. No rows give no rows. `sequence_id` is
     unique, not dense: the task's number, then its sequences in order. `ids` are little-endian
     unsigned 32-bit. Sequences have `capacity` tokens, but for a few powers of two for each task.
+    `kept_words` bounds the memory of each worker, not the result.
     """
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, sequence = TaskContext.get().partitionId(), 0
-        encode = encoder(path).encode
+        encode = encoder(path, kept_words).encode
         end = np.array([end_id], "<u4").tobytes()
 
         def documents():

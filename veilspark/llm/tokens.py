@@ -14,6 +14,7 @@ _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 #: A space before other white space, or at the end, belongs to what stands before it.
 _ODD = re.compile(r" (?=\s|\Z)")
 _BREAK = re.compile(r" (?=\S)")
+#: Words that a worker keeps of late, and as many of before: about a quarter of a GB in all.
 KEPT_WORDS = 700_000
 KEPT_LENGTH = 48
 
@@ -36,12 +37,12 @@ class _Known(dict):
     When it is full it becomes `old`, from which words come back as they are asked for.
     """
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, kept: int):
+        self.make, self.kept = make, kept
         self.old: dict[str, bytes] = {}
 
     def renew(self) -> None:
-        if len(self) > KEPT_WORDS:
+        if len(self) > self.kept:
             self.old = dict(self)
             self.clear()
 
@@ -61,7 +62,7 @@ class Encoder:
     another build encode each text as a whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -79,7 +80,7 @@ class Encoder:
         self.blank = chr(self.letters[32])
         self.tokenize = self.tokenizer.model.tokenize
         #: Parts of a text as they are, and words with a space before each.
-        self.parts, self.words = _Known(self.part), _Known(self.word)
+        self.parts, self.words = _Known(self.part, kept_words), _Known(self.word, kept_words)
 
     def merge(self, part: str) -> bytes:
         part = part.encode().decode("latin-1").translate(self.letters)
@@ -117,6 +118,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept_words: int = KEPT_WORDS) -> Encoder:
     """One encoder for each Python worker."""
-    return Encoder(path)
+    return Encoder(path, kept_words)
