@@ -41,7 +41,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     # Workers that earlier stages have used keep fewer words.
-    packed = pack_documents(docs, capacity=2048, end_id=1, kept_words=150_000)
+    packed = pack_documents(docs, capacity=2048, end_id=1, kept_words=40_000)
     return packed.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
