@@ -36,7 +36,8 @@ def is_small(df: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -
     The bytes are those of the rows as JSON, so long texts and arrays count with their length.
     """
     width = F.octet_length(F.to_json(F.struct(*[F.col(quoted(name)) for name in df.columns])))
-    found = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("bytes")).first()
+    held = df.select(width.alias("width")).limit(rows + 1)
+    found = held.agg(F.count(F.lit(1)).alias("rows"), F.sum("width").alias("bytes")).first()
     return found["rows"] <= rows and (found["bytes"] or 0) <= size
 
 
