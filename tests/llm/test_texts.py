@@ -239,6 +239,57 @@ def test_main_text_cases(page, text):
     assert main_text(page) == text
 
 
+BODY = "Words, and words. More of them."
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<a href="/the-hidden-valley">{}</a>',
+        '<a title="Hidden costs">{}</a>',
+        "<a title='Hidden costs' href=/hidden>{}</a>",
+        '<a href="/p?id=login">{}</a>',
+        '<a data-id="share" data-class="ad" data-hidden>{}</a>',
+        '<h2 id="related-work">{}</h2>',
+        '<h2 id="comments">{}</h2>',
+        '<section id="legal-notice">{}</section>',
+        '<section id="related-work"><h2>Head</h2><p>{}</p></section>',
+        '<div class="section" id="related-work"><p>{}</p></div>',
+        '<p class="share-price">{}</p>',
+        '<p>A <span class="login-name">{}</span></p>',
+    ],
+)
+@pytest.mark.parametrize("page", ["<article><p>{1}</p>{0}<p>{1}</p></article>", "<main><p>{1}</p>{0}<p>{1}</p></main>", "<div role=main><p>{1}</p>{0}<p>{1}</p></div>"])
+def test_names_in_the_text_are_no_parts(page, part):
+    assert "Kept, text. Here." in main_text(page.format(part.format("Kept, text. Here."), BODY))
+
+
+@pytest.mark.parametrize("part", ['<a href="/hidden?id=login">{}</a>', '<h2 id="related-work">{}</h2>', '<section id="legal-notice">{}</section>'])
+def test_names_in_the_text_without_an_article(part):
+    assert main_text(f"<div><p>{BODY}</p>{part.format('Kept, text. Here.')}<p>{BODY}</p></div>") == f"{BODY} Kept, text. Here. {BODY}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<p hidden>{}</p>",
+        '<p HIDDEN="">{}</p>',
+        '<p title="x" class="ad">{}</p>',
+        "<p class='advert-box'>{}</p>",
+        "<a class=share-button>{}</a>",
+        '<section class="related-posts">{}</section>',
+        '<section id="comments">{}</section>',
+        '<div id="comment-12">{}</div>',
+        '<div class="cookie-notice">{}</div>',
+        '<span style="display: none">{}</span>',
+        '<span aria-hidden="true">{}</span>',
+    ],
+)
+def test_parts_of_an_article_go(part):
+    page = f"<article><p>{BODY}</p>{part.format('Lost, text. Here.')}<p>{BODY}</p></article>"
+    assert main_text(page) == f"{BODY} {BODY}"
+
+
 def test_main_text_of_deep_and_broken_pages():
     assert main_text("<div>" * 50_000 + "x") == "x"
     assert main_text("<p>x" * 20_000).count("x") == 20_000

@@ -26,7 +26,7 @@ _MARKUP = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(\"[^\"]*\"|'[^']*'|[^\s\"'>]++))?")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？]")
 
@@ -53,6 +53,17 @@ PARTS = frozenset(
 #: Of these, what an <article> can be; its other class names say what it is about.
 ASIDE = frozenset("ad ads advert advertisement comment comments promo related replies reply sponsored".split())
 HEADS = frozenset("header masthead".split())
+#: Elements of the text itself: these, and those within a line. All words of a class have to name a part.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTUAL = HEADINGS | frozenset("p section".split())
+#: One-word ids that stand for a part outside articles, also of a section.
+FRAME = ASIDE | HEADS | frozenset("banner breadcrumb breadcrumbs footer menu nav navbar navigation pager pagination sidebar toolbar".split())
+#: Words that stand beside a part's name and don't say what a text is about.
+FILLER = frozenset(
+    "area articles bar block body bottom box btn button buttons center container content count entry form group icon icons"
+    " inner item items label left link links list main media meta page post posts primary right row secondary section site"
+    " slot text title toggle top unit wrap wrapper".split()
+)
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -90,6 +101,26 @@ class Page:
     tree: list[Node] = field(default_factory=list)
 
 
+def _named_part(tag: str, name: str, word: str, above: Node) -> bool:
+    """Whether a class or id says that an element is no content.
+
+    An id is often made from a heading, so it counts for no heading, paragraph or element
+    within a line, for a section only if it is one word, and inside an article only as a whole.
+    """
+    parts = [part.lower() for part in _WORD.findall(word)]
+    if not parts or parts[0] in ("has", "no", "with", "is"):
+        return False
+    if tag == "article" and name == "class":
+        return not ASIDE.isdisjoint(parts)
+    textual = tag in TEXTUAL or tag not in BLOCK
+    if name == "id" and textual:
+        return tag == "section" and len(parts) == 1 and parts[0] in (ASIDE if above.in_article else FRAME)
+    known = ASIDE if tag == "article" else PARTS if above.in_article or (textual and tag != "section") else PARTS | HEADS
+    if textual or (name == "id" and (above.in_article or tag == "article")):
+        return not known.isdisjoint(parts) and all(part in known or part in FILLER or part.isdigit() for part in parts)
+    return not known.isdisjoint(parts)
+
+
 def _skips(tag: str, rest: str, above: Node) -> tuple[bool, bool]:
     """Whether an element is no content, and whether it says that it is the main part."""
     if tag in SKIPPED or (tag == "header" and not above.in_article):
@@ -109,13 +140,8 @@ def _skips(tag: str, rest: str, above: Node) -> tuple[bool, bool]:
             if "display:none" in value.replace(" ", "").lower():
                 return True, False
         elif name in ("class", "id"):
-            for word in value.split():
-                parts = [part.lower() for part in _WORD.findall(word)]
-                if not parts or parts[0] in ("has", "no", "with", "is"):
-                    continue
-                known = ASIDE if tag == "article" else PARTS
-                if not known.isdisjoint(parts) or (tag != "article" and not above.in_article and not HEADS.isdisjoint(parts)):
-                    return True, False
+            if any(_named_part(tag, name, word, above) for word in value.split()):
+                return True, False
     return False, main
 
 
@@ -182,7 +208,7 @@ def read_page(source: str) -> Page:
             at = end.end() if end else len(source)
             last = max(last, at)
             continue
-        stack.append(Node(tag, path, above, skipped, above.in_article or tag in ("article", "main"), main, above.depth + 1))
+        stack.append(Node(tag, path, above, skipped, above.in_article or main or tag == "article", main, above.depth + 1))
         page.tree.append(stack[-1])
         open_tags[tag] = open_tags.get(tag, 0) + 1
     say(source[at:])
