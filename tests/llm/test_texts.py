@@ -290,6 +290,46 @@ def test_parts_of_an_article_go(part):
     assert main_text(page) == f"{BODY} {BODY}"
 
 
+def sentences(word: str, n: int) -> str:
+    return " ".join(f"{word} number {i}, and so on." for i in range(n))
+
+
+def paragraphs(word: str, n: int) -> str:
+    return "".join(f"<p>{sentences(word + str(i), 4)}</p>" for i in range(n))
+
+
+@pytest.mark.parametrize(
+    "page, words",
+    [
+        # most of the text in a div, beside one article
+        (f"<body><div>{paragraphs('Body', 7)}</div><article>{paragraphs('Teaser', 3)}</article></body>", [f"Body{i}" for i in range(7)]),
+        # several articles that are the parts of one page
+        ("".join(f"<article><h2>Head{i}</h2>{paragraphs(f'Part{i}x', 4)}</article>" for i in range(3)), ["Head0", "Head1", "Head2", "Part0x0", "Part1x2", "Part2x3"]),
+        (
+            f"<article>{paragraphs('Long', 14)}</article><article><h2>Short head</h2>{paragraphs('Last', 1)}</article>",
+            ["Long0", "Long13", "Short head", "Last0"],
+        ),
+        # a lead and a closing part beside the body, without an article and with one
+        (
+            f"<body><div class=top><h1>Title</h1><p>{sentences('Lead', 4)}</p></div><div class=content>{paragraphs('Body', 20)}</div>"
+            f"<div class=end><p>{sentences('End', 4)}</p></div></body>",
+            ["Title", "Lead number 0", "Body0", "Body19", "End number 3"],
+        ),
+        (f"<body><p>{sentences('Lead', 4)}</p><article>{paragraphs('Body', 20)}</article></body>", ["Lead number 3", "Body0", "Body19"]),
+    ],
+)
+def test_main_text_is_not_one_container_alone(page, words):
+    found = main_text(page)
+    assert [word for word in words if word not in found] == []
+
+
+def test_parts_outside_the_chosen_container_stay_out():
+    page = f"<nav>{paragraphs('Menu', 2)}</nav><div class=lead><p>{sentences('Lead', 4)}</p><div class=ad><p>{sentences('Advert', 4)}</p></div></div>"
+    found = main_text(f"{page}<article>{paragraphs('Body', 20)}</article><div class=comments>{paragraphs('Nice', 3)}</div>")
+    assert "Lead" in found and "Body19" in found
+    assert not any(word in found for word in ("Menu", "Advert", "Nice"))
+
+
 def test_main_text_of_deep_and_broken_pages():
     assert main_text("<div>" * 50_000 + "x") == "x"
     assert main_text("<p>x" * 20_000).count("x") == 20_000

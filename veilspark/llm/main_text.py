@@ -3,9 +3,11 @@
 A page is read into blocks of text, each with the path of tags from the root to it. For
 every path, the length of its text and its punctuation, over how many blocks share the path,
 make two ratios; both are smoothed along the page and multiplied. Blocks above a threshold
-show where the content is: the innermost container with nearly all of their text. Its
-blocks are the main text, short ones too, except parts that by tag, role or class are menus,
-headers, footers, sidebars, notices, adverts, forms or comments.
+show where the content is: the <article> or <main> with most of their text, else the innermost
+container with nearly all of it. Its blocks are the main text, short ones too, and so are blocks
+above the threshold outside it, with what stands in the same innermost container. Parts that by
+tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments
+are left out.
 """
 
 from __future__ import annotations
@@ -90,6 +92,7 @@ class Node:
     depth: int
     weight: float = 0.0
     inside: bool = False
+    container: Node | None = None
 
 
 @dataclass
@@ -241,16 +244,29 @@ def main_text(source: str | None) -> str:
         total += len(page.texts[place])
     for node in reversed(page.tree[1:]):
         node.parent.weight += node.weight
-    named = [node for node in page.tree if (node.tag == "article" or node.main) and node.weight >= total / 4]
+    named = [node for node in page.tree if (node.tag == "article" or node.main) and node.weight > total / 2]
     if named:
         held = max(named, key=lambda node: (node.weight, node.depth))
     else:
         inner = (node for node in page.tree if node.weight >= SHARE * total and (node.tag in CONTAINER or not node.parent))
         held = max(inner, key=lambda node: node.depth)
     held.inside = True
+    around, node = set(), held
+    while node:
+        around.add(id(node))
+        node = node.parent
+    for node in page.tree[1:]:  # the innermost container, the outer nodes come first
+        node.container = node if node.tag in CONTAINER else node.parent.container
+    alone = set()
+    for place in chosen:
+        container = page.nodes[place].container
+        if container and id(container) not in around:
+            container.inside = True
+        else:
+            alone.add(place)
     for node in page.tree[1:]:
         node.inside |= node.parent.inside
-    return " ".join(text for text, node in zip(page.texts, page.nodes) if node.inside)
+    return " ".join(text for place, (text, node) in enumerate(zip(page.texts, page.nodes)) if node.inside or place in alone)
 
 
 def extract(pages: DataFrame) -> DataFrame:
