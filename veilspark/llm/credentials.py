@@ -3,7 +3,8 @@
 One pass of an Aho-Corasick automaton over a text finds the keywords of all kinds. Only
 where a keyword begins is the kind's pattern tried, anchored there. Runs of hexadecimal
 digits have no keyword; a pattern of single-character runs finds them. Kinds with a
-checksum in the secret itself are then held against it.
+checksum in the secret itself are then held against it. A private key reaches from its first
+line to its last; without a last line, over the run of its base64.
 """
 
 from __future__ import annotations
@@ -45,9 +46,45 @@ def _json_header(value: str) -> bool:
     return isinstance(header, dict) and "alg" in header
 
 
+#: What ends the search for a key's last line: that line, or the first line of anything else.
+_MARK = re.compile(r"-----(?:BEGIN |END (?P<label>(?:[A-Z0-9]{1,20} ){0,4})PRIVATE KEY-----)")
+#: Between the parts of a key's text: white space, written out or not, and what quotes or joins lines.
+_GAP = r"(?:[\s\"'`,;>#|*]|\\+[nrt]?|\+(?=[\s\"']))"
+_ENDED = r"(?=[\s\"'`,;\\<]|-----|\Z)"
+#: The end of a line, written out or not, and what may stand around it. No empty line.
+_NEXT_LINE = r"(?:[\x20\t\"',;+]|\\+r)*+(?:\\+n(?:[\x20\t\"',+]*+[\r\n]++)?|\r?\n|\r)[\x20\t\"'>#|*]*+"
+#: Headers, runs of 16 base64 characters and more, and last a shorter one: a whole line, padded, or the end of the text.
+_KEY_BODY = re.compile(
+    rf"(?:{_GAP}++[A-Z][A-Za-z0-9]{{0,20}}-[A-Za-z0-9-]{{1,20}}:\x20?[^\s\\\"']++){{0,8}}+"
+    rf"(?:{_GAP}++[A-Za-z0-9+/]{{16,}}+=*+{_ENDED})*+"
+    rf"(?:{_NEXT_LINE}[A-Za-z0-9+/]++=*+(?=[\"',;\x20\t]*+(?:[\r\n]|\\|-----|\Z))"
+    rf"|{_GAP}++[A-Za-z0-9+/]++(?:={{1,2}}{_ENDED}|(?=\s*+\Z)))?+"
+)
+_BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}+=*+")
+_LEFT = re.compile(rf"{_GAP}*+")
+
+
+def _key_end(match: re.Match) -> int:
+    """Where the private key ends whose first line matched.
+
+    What stands before its last line is the key if most of it is base64, however the lines are
+    quoted. Else, or without a last line, the key is the base64 that follows. No text is looked
+    at twice, as nothing is searched beyond the next first line.
+    """
+    text, start = match.string, match.end()
+    mark = _MARK.search(text, start)
+    closed = mark is not None and mark["label"] is not None
+    if closed:
+        between = text[start : mark.start()]
+        if 2 * sum(map(len, _BASE64.findall(between))) >= sum(map(len, between.split())):
+            return mark.end()
+    stop = _KEY_BODY.match(text, start).end()
+    return mark.end() if closed and _LEFT.match(text, stop).end() == mark.start() else stop
+
+
 @dataclass(frozen=True)
 class Kind:
-    """`pattern` is tried where one of `words` begins; `holds` sees the match.
+    """`pattern` is tried where one of `words` begins; `holds` sees the match, and `end` says where it ends.
 
     Matches of one kind don't overlap, the leftmost first, also those that don't hold.
     `any_case`: the words are letters of either case.
@@ -58,6 +95,7 @@ class Kind:
     pattern: re.Pattern
     holds: Callable[[re.Match], bool]
     any_case: bool = False
+    end: Callable[[re.Match], int] = re.Match.end
 
 
 #: The kinds, in the order in which spans of one start are listed. The first two
@@ -90,6 +128,7 @@ KINDS = (
         ("-----BEGIN ",),
         re.compile(r"-----BEGIN ([A-Z0-9]{1,20} ){0,4}PRIVATE KEY-----"),
         lambda match: True,
+        end=_key_end,
     ),
 )
 ORDER = {name: place for place, name in enumerate(("assign", "access", "hex", *(kind.name for kind in KINDS[2:])))}
@@ -123,9 +162,9 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     for start, number in sorted(hits):
         kind = KINDS[number]
         if start >= ends[number] and (match := kind.pattern.match(text, start)):
-            ends[number] = match.end()
+            ends[number] = kind.end(match)
             if kind.holds(match):
-                spans.append((kind.name, start, match.end()))
+                spans.append((kind.name, start, ends[number]))
     return sorted(spans, key=lambda span: (span[1], ORDER[span[0]], span[2]))
 
 
