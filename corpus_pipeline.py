@@ -1,7 +1,7 @@
 """A corpus made ready for training, stage by stage.
 
-1. language: documents whose language can't be told (no text, no letters) go; a missing lang
-   is filled with the predicted one.
+1. language: documents without text or letters go; a missing lang is filled with the predicted
+   one. If no document to learn from has a lang, nothing is predicted and a missing lang stays null.
 2. near_duplicates: of each group of near copies the document with the smallest doc_id stays.
 3. secrets: what the scan finds is replaced by its kind in brackets, and n_chars counted anew.
 4. packing: the documents' tokens in sequences of at most 2048, a row for each piece.
@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilspark.llm.common import importable
 from veilspark.llm.credentials import redact_documents
-from veilspark.llm.language import UNKNOWN, identify
+from veilspark.llm.language import UNKNOWN, learn, predict, with_letters
 from veilspark.llm.packing import pack_documents
 from veilspark.llm.simhash import keep_one
 from veilspark.sources.scratch import scratch_path
@@ -24,7 +24,13 @@ from veilspark.sources.scratch import scratch_path
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    known = identify(docs).where(F.col("lang_pred") != UNKNOWN)
+    profiles = learn(docs)
+    if not profiles.names:
+        return with_letters(docs)
+    if UNKNOWN in profiles.names:  # a label like any other
+        known = predict(with_letters(docs), profiles)
+    else:
+        known = predict(docs, profiles).where(F.col("lang_pred") != UNKNOWN)
     return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 

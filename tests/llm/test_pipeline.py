@@ -2,11 +2,12 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from tests.compare import connect, difference
-from tests.llm.helpers import CLASHING, SF_DIR, documents, no_docs, odd_docs
+from tests.llm.helpers import CLASHING, ODD, SF_DIR, documents, no_docs, odd_docs
 from tests.llm.test_groups import fingerprint, plain_roots
 from veilspark.llm.credentials import find_secrets, redact
 from veilspark.llm.language import letters
@@ -64,6 +65,23 @@ def test_stages_on_odd_and_no_rows(spark):
     assert [frame.count() for frame in stages(spark, no_docs(spark))] == [0, 0, 0, 0]
 
 
+def test_language_stage_where_nothing_is_learned(spark):
+    unlabelled = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, unlabelled, SF_DIR)
+    assert kept.columns == unlabelled.columns
+    assert kept.count() > 0
+    assert sorted(row.doc_id for row in kept.collect()) == sorted(row.doc_id for row in unlabelled.collect() if letters(row.text) is not None)
+    assert {row.lang for row in kept.collect()} == {None}
+    held = odd_docs(spark).withColumn("doc_id", F.lit(None).cast("long"))  # all rows are held out
+    found = corpus_pipeline.language(spark, held, SF_DIR).collect()
+    assert sorted((row.text, row.lang or "") for row in found) == sorted((row[1], row[2] or "") for row in ODD if letters(row[1]) is not None)
+
+
+def test_language_stage_keeps_texts_labelled_unknown(spark):
+    named = documents(spark).limit(40).withColumn("lang", F.lit("und"))
+    assert corpus_pipeline.language(spark, named, SF_DIR).count() == sum(letters(row.text) is not None for row in named.collect())
+
+
 def test_run_of_the_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.count() > 0 and rows.agg({"length": "max"}).first()[0] <= 2048

@@ -154,13 +154,27 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
+def with_letters(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose `text` has a letter, whatever was learned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in in_chunks(batches, "text"):
+            yield chunk.filter(pa.array([letters(text) is not None for text in chunk.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(docs: DataFrame) -> DataFrame:
     """`docs` with held_out: the CRC-32 of doc_id as text is divisible by 5. A null doc_id is held out."""
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     return docs.withColumn("held_out", F.coalesce(remainder == 0, F.lit(True)))
 
 
+def learn(docs: DataFrame, size: int = PROFILE, fit_rows: int = FIT_ROWS) -> Profiles:
+    """Profiles from the rows of `docs` (doc_id, text, lang) that aren't held out."""
+    return fit(held_out(docs).where(~F.col("held_out")), size, fit_rows)
+
+
 def identify(docs: DataFrame, size: int = PROFILE, fit_rows: int = FIT_ROWS) -> DataFrame:
     """`docs` (doc_id, text, lang) with held_out, lang_pred and score, learned from the rest."""
-    parted = held_out(docs)
-    return predict(parted, fit(parted.where(~F.col("held_out")), size, fit_rows))
+    return predict(held_out(docs), learn(docs, size, fit_rows))
