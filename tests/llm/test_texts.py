@@ -182,6 +182,36 @@ def test_checksums_decide():
     assert [s[0] for s in find_secrets("-----BEGIN RSA PRIVATE KEY-----")] == ["private_key"]
 
 
+def web_token(header: str) -> str:
+    import base64
+
+    return base64.urlsafe_b64encode(header.encode()).decode().rstrip("=") + ".eyJzdWIiOiIxIn0.c2ln-_nature"
+
+
+def test_web_tokens_with_long_headers_and_within_failing_ones():
+    for header in (
+        '{"alg":"RS256","x5c":["' + "MIIC" * 10_000 + '"]}',
+        '{"x5c":[' + ",".join(['"MIIC+/=="'] * 5000) + '],"jwk":{"a":{"alg":1}},"alg":"é"} ',
+        '{"\\u0061lg":"RS256"}',
+    ):
+        long = web_token(header)
+        assert find_secrets(f"x {long} y") == [("jwt", 2, 2 + len(long))]
+    good = web_token('{"alg":"HS256"}')
+    for before in ("eyJa.", "eyJ", "eyJa", "eyJab", "eyJabc", "eyJhbGciOjF9", "eyJub3RoaW5nIjoxfQ."):
+        assert ("jwt", 2 + len(before), 2 + len(before) + len(good)) in find_secrets(f"x {before}{good} y")
+    for bad in ("eyJhbGciOjF9", "eyJhbGciOjF9.a", "eyJhbGciOjF9..a", "eyJhbGciOjF9.a.", "eyJhbGciOjF9x.a.b", web_token('{"alg":1}}'), web_token('["alg"]'), web_token('{"a":{"alg":1}')):
+        assert [span for span in find_secrets(bad) if span[1] == 0] == []
+
+
+@pytest.mark.parametrize("part", ["eyJ", "eyJh", "eyJhbGciOjF9", "eyJa.", "eyJhIjoieyJi"])
+def test_many_web_token_starts_take_linear_time(part):
+    import time
+
+    begun = time.perf_counter()
+    find_secrets(part * (2_000_000 // len(part)) + "IjoxfQ.a.b")
+    assert time.perf_counter() - begun < 30
+
+
 def pem(lines, label="RSA ", end=True, join="\n"):
     return join.join([f"-----BEGIN {label}PRIVATE KEY-----", *lines, *([f"-----END {label}PRIVATE KEY-----"] if end else [])])
 

@@ -10,7 +10,6 @@ line to its last; without a last line, over the run of its base64.
 from __future__ import annotations
 
 import base64
-import binascii
 import json
 import re
 import zlib
@@ -36,14 +35,63 @@ def _crc_at_end(value: str) -> bool:
     return number == zlib.crc32(body.encode())
 
 
-def _json_header(value: str) -> bool:
-    """A signed web token: its first part is a JSON object that names an algorithm."""
-    part = value.split(".", 1)[0]
-    try:
-        header = json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
-    except (ValueError, binascii.Error, RecursionError):
-        return False
-    return isinstance(header, dict) and "alg" in header
+_TOKEN = re.compile(r"[A-Za-z0-9_-]*+")
+_WHITE = re.compile(r"[\x20\t\r\n]*+")
+
+
+class Tokens:
+    """Signed web tokens of a text: three runs of token characters, the first a JSON object that names an algorithm.
+
+    A run is measured and decoded once, however many keywords begin in it.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.first = self.end = 0  # ends of the run in hand, and of the token that it begins
+        self.decoded: dict[int, str | None] = {}
+
+    def __call__(self, start: int) -> int:
+        """The end of the token that begins at `start`, 0 if none does."""
+        if start >= self.first:
+            ends = [_TOKEN.match(self.text, start).end()]
+            while len(ends) < 3 and self.text.startswith(".", ends[-1]):
+                ends.append(_TOKEN.match(self.text, ends[-1] + 1).end())
+                if ends[-1] == ends[-2] + 1:
+                    break
+            whole = len(ends) == 3 and ends[2] > ends[1] + 1
+            self.first, self.end, self.decoded = ends[0], ends[2] if whole else 0, {}
+        return self.end if self.end and self._names_algorithm(start) else 0
+
+    def _names_algorithm(self, start: int) -> bool:
+        # Starts that are whole groups of four characters apart share their bytes, read as one character each.
+        size, phase = self.first - start, start % 4
+        if phase not in self.decoded:
+            padded = self.text[start : self.first] + "=" * (-size % 4)
+            plain = None if size % 4 == 1 else base64.urlsafe_b64decode(padded).decode("latin-1")
+            self.decoded[phase] = plain if plain and plain.rstrip("\x20\t\r\n").endswith("}") else None
+        plain = self.decoded[phase]
+        if plain is None:
+            return False
+        at, wide = len(plain) - size * 3 // 4, 256
+        while True:  # in growing parts, so a start that fails early costs little
+            part = plain[at : at + wide]
+            try:
+                header, end = json.JSONDecoder().raw_decode(part)
+                break
+            except json.JSONDecodeError as error:
+                cut = error.msg.startswith("Unterminated") or error.pos >= len(part) - 16
+                if not cut or at + wide >= len(plain):
+                    return False
+                wide *= 4
+            except (ValueError, RecursionError):
+                return False
+        if not isinstance(header, dict) or "alg" not in header or _WHITE.match(plain, at + end).end() < len(plain):
+            return False
+        try:
+            plain[at:].encode("latin-1").decode("utf-8", "surrogatepass")
+        except ValueError:
+            return False
+        return True
 
 
 #: What ends the search for a key's last line: that line, or the first line of anything else.
@@ -87,15 +135,17 @@ class Kind:
     """`pattern` is tried where one of `words` begins; `holds` sees the match, and `end` says where it ends.
 
     Matches of one kind don't overlap, the leftmost first, also those that don't hold.
-    `any_case`: the words are letters of either case.
+    `any_case`: the words are letters of either case. `finder`, made for a text, takes the place
+    of `pattern`: it gives the end of the secret at a start, or 0, and only secrets don't overlap.
     """
 
     name: str
     words: tuple[str, ...]
-    pattern: re.Pattern
-    holds: Callable[[re.Match], bool]
+    pattern: re.Pattern | None = None
+    holds: Callable[[re.Match], bool] = bool
     any_case: bool = False
     end: Callable[[re.Match], int] = re.Match.end
+    finder: Callable[[str], Callable[[int], int]] | None = None
 
 
 #: The kinds, in the order in which spans of one start are listed. The first two
@@ -117,12 +167,7 @@ KINDS = (
         lambda match: _crc_at_end(match[0]),
     ),
     Kind("npm", ("npm_",), re.compile(r"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda match: _crc_at_end(match[0])),
-    Kind(
-        "jwt",
-        ("eyJ",),
-        re.compile(r"eyJ[A-Za-z0-9_-]{1,8192}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-        lambda match: _json_header(match[0]),
-    ),
+    Kind("jwt", ("eyJ",), finder=Tokens),
     Kind(
         "private_key",
         ("-----BEGIN ",),
@@ -159,9 +204,16 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
     for last, (length, uses) in automaton().iter(low if len(low) == len(text) else text.translate(_UPPER)):
         hits += [(last - length + 1, number) for number, word in uses if word is None or text.startswith(word, last - length + 1)]
     ends = [0] * len(KINDS)
+    finders = {number: kind.finder(text) for number, kind in enumerate(KINDS) if kind.finder}
     for start, number in sorted(hits):
         kind = KINDS[number]
-        if start >= ends[number] and (match := kind.pattern.match(text, start)):
+        if start < ends[number]:
+            continue
+        if number in finders:
+            if stop := finders[number](start):
+                ends[number] = stop
+                spans.append((kind.name, start, stop))
+        elif match := kind.pattern.match(text, start):
             ends[number] = kind.end(match)
             if kind.holds(match):
                 spans.append((kind.name, start, ends[number]))
