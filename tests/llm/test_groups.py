@@ -3,6 +3,7 @@
 import re
 from datetime import datetime
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -209,6 +210,25 @@ def test_top_k_of_odd_rows(spark):
     assert top_k(vectors.where("vec_id = 100")).count() == 0
 
 
+@pytest.mark.parametrize("block", [5, 8192])
+def test_query_keeps_rows_that_share_an_id(spark, tmp_path, block):
+    from tests.compare import difference
+    from veilspark.llm import queries
+
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(400, 4)) + rng.integers(0, 3, (400, 1))
+    ids = rng.integers(0, 130, 400)  # several rows for most ids
+    ids[:9] = 20
+    rows = [(int(key), point.tolist()) for key, point in zip(ids, points)]
+    rows += rows[:30]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors.write.parquet(f"{tmp_path}/embeddings.parquet")
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert difference(queries.QUERIES["op2_knn"](spark, str(tmp_path)), connection, queries.SQL["op2_knn"]) is None
+    assert difference(top_k(vectors, block=block, all_rows=True), connection, queries.SQL["op2_knn"]) is None
+
+
 # ---- URL lists
 
 ENTRY = "list string, scope string, pattern string, verdict string, action string, effective timestamp"

@@ -27,17 +27,18 @@ QUERY_BLOCK = 1024
 MOST_PIVOTS = 2048
 
 
-def whole_vectors(vectors: DataFrame, factor: int = 64) -> DataFrame:
+def whole_vectors(vectors: DataFrame, factor: int = 64, all_rows: bool = False) -> DataFrame:
     """vec_id and v, the floors of `factor` times each component of `embedding`.
 
     Without rows whose vec_id or embedding is null, or that have a null or non-finite component.
-    Of rows that share a vec_id the one whose vector sorts first counts.
+    Of rows that share a vec_id the one whose vector sorts first counts, or with `all_rows` each.
     """
     finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     doubles = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     rows = doubles.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.coalesce(finite, F.lit(False)))
     floors = F.transform("x", lambda c: F.floor(F.lit(factor) * c).cast("long"))
-    return rows.select("vec_id", floors.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    whole = rows.select("vec_id", floors.alias("v"))
+    return whole if all_rows else whole.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _matrix(lists: pa.Array, width: int) -> np.ndarray:
@@ -105,24 +106,32 @@ def best(line: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((first[some], -line[some].astype(np.int64)))[:k]]
 
 
-def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, block: int = DATA_BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, block: int = DATA_BLOCK, all_rows: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` best of each vector whose vec_id is divisible by `every`.
 
     `vectors` has vec_id and embedding; other columns are ignored. Candidates are all vectors
     but the query's own id; fewer than `k` give fewer rows. Ties go to the smaller vec_id.
     Vectors that `whole_vectors` leaves out take no part. Of vectors of several lengths the
     shorter count as filled up with zeros. No rows give no rows.
+
+    With `all_rows` all rows of a vec_id are candidates, and the best of a query's id are the best
+    of all pairs of one of its rows and a row of another id, as the SQL says.
     """
     spark = vectors.sparkSession
-    clean = materialise(whole_vectors(vectors, factor), "vectors")
+    clean = materialise(whole_vectors(vectors, factor, all_rows), "vectors")
     size = clean.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not size["n"]:
         return empty
     width = max(1, size["width"])
+    wanted = k
+    if all_rows:  # so many rows at most are a query's own and don't count
+        k += clean.where(F.col("vec_id") % every == 0).groupBy("vec_id").count().agg(F.coalesce(F.max("count"), F.lit(1))).first()[0] - 1
     place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     few = clean.withColumn("place", place).where(F.col("place") <= k + 1)
-    alike = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("rep", F.col("ids")[0])
+    alike = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    # A number for each distinct vector; with `all_rows` several may have the same smallest id.
+    alike = alike.withColumn("rep", F.monotonically_increasing_id() if all_rows else F.col("ids")[0])
     asked = clean.where(F.col("vec_id") % every == 0)
     asking = asked.select("v").distinct().withColumn("asks", F.lit(True))
     alike = materialise(alike.join(asking, "v", "left").withColumn("asks", F.coalesce("asks", F.lit(False))), "alike")
@@ -189,7 +198,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
     sized = grouped.join(F.broadcast(sizes), "cell")  # a row for each pivot, 2048 at most
     blocked = lambda column: F.pmod(F.xxhash64("rep"), F.col(column)).alias("block")
     blocks = sized.select("cell", blocked("data_blocks"), "v", "ids", "far").groupBy("cell", "block").applyInArrow(pack(names), packed)
-    asks = sized.where("asks").select("cell", blocked("query_blocks"), "v", "ids", "far")
+    asks = sized.where("asks").select("cell", blocked("query_blocks"), "v", F.array("rep").alias("ids"), "far")
     asks = asks.groupBy("cell", "block").applyInArrow(pack(names), packed)
     asks = asks.selectExpr("cell as query_cell", "block as query_block", "kind as query_kind", "rows as queries", "ids as query_ids", "counts as query_counts")
     meetings = asks.join(pairs, "query_cell").join(blocks.withColumnRenamed("cell", "data_cell"), "data_cell")
@@ -228,6 +237,9 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
     ranked = found.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy(*order))).where(F.col("place") <= k + 1)
     lists = ranked.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
     queries = asked.select(F.col("vec_id").alias("query_id"), "v").join(alike.select("v", "rep"), "v").select("query_id", "rep")
-    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, wanted)
     rows = queries.join(lists, "rep").select("query_id", F.posexplode(own).alias("place", "hit"))
+    if k > wanted:
+        best_of_id = Window.partitionBy("query_id").orderBy(F.desc("hit.score"), "hit.vec_id")
+        rows = rows.withColumn("place", F.row_number().over(best_of_id) - 1).where(F.col("place") < wanted)
     return rows.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))

@@ -52,7 +52,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=64)
+    return top_k(table(spark, sf_dir, "embeddings"), every=20, k=20, factor=64, all_rows=True)
 
 
 SQL["op2_knn"] = """
