@@ -36,7 +36,27 @@ def _crc_at_end(value: str) -> bool:
 
 
 _TOKEN = re.compile(r"[A-Za-z0-9_-]*+")
-_WHITE = re.compile(r"[\x20\t\r\n]*+")
+_JSON_MARK = re.compile(r'"(?:[^"\\]|\\.)*+"|[{}\[\]"\\]', re.S)
+
+
+def _objects(plain: str, at: int, seen: set[int], whole: set[int]) -> None:
+    """Adds to `seen` where objects begin in `plain` from `at` on, outside strings, and to `whole` which end where it ends."""
+    last, open_ = len(plain.rstrip("\x20\t\r\n")) - 1, []
+    for match in _JSON_MARK.finditer(plain, at):
+        mark, place = match[0], match.start()
+        if mark in ("{", "["):
+            open_.append(place)
+            if mark == "{":
+                seen.add(place)
+        elif mark in ("}", "]"):
+            if open_:
+                begun = open_.pop()
+                if place == last:
+                    whole.add(begun)
+        elif mark in ('"', "\\"):  # no JSON from here on
+            return
+
+
 
 
 class Tokens:
@@ -49,6 +69,7 @@ class Tokens:
         self.text = text
         self.first = self.end = 0  # ends of the run in hand, and of the token that it begins
         self.decoded: dict[int, str | None] = {}
+        self.objects: dict[int, tuple[set[int], set[int]]] = {}
 
     def __call__(self, start: int) -> int:
         """The end of the token that begins at `start`, 0 if none does."""
@@ -68,24 +89,22 @@ class Tokens:
         if phase not in self.decoded:
             padded = self.text[start : self.first] + "=" * (-size % 4)
             plain = None if size % 4 == 1 else base64.urlsafe_b64decode(padded).decode("latin-1")
+            self.objects[phase] = set(), set()
             self.decoded[phase] = plain if plain and plain.rstrip("\x20\t\r\n").endswith("}") else None
         plain = self.decoded[phase]
         if plain is None:
             return False
-        at, wide = len(plain) - size * 3 // 4, 256
-        while True:  # in growing parts, so a start that fails early costs little
-            part = plain[at : at + wide]
-            try:
-                header, end = json.JSONDecoder().raw_decode(part)
-                break
-            except json.JSONDecodeError as error:
-                cut = error.msg.startswith("Unterminated") or error.pos >= len(part) - 16
-                if not cut or at + wide >= len(plain):
-                    return False
-                wide *= 4
-            except (ValueError, RecursionError):
-                return False
-        if not isinstance(header, dict) or "alg" not in header or _WHITE.match(plain, at + end).end() < len(plain):
+        at = len(plain) - size * 3 // 4
+        seen, whole = self.objects[phase]
+        if at not in seen:
+            _objects(plain, at, seen, whole)
+        if at not in whole:
+            return False
+        try:
+            header = json.loads(plain[at:])
+        except (ValueError, RecursionError):
+            return False
+        if not isinstance(header, dict) or "alg" not in header:
             return False
         try:
             plain[at:].encode("latin-1").decode("utf-8", "surrogatepass")
