@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veilspark.llm import credentials
+from veilspark.llm import credentials, merkle
 from veilspark.llm.common import importable, table
 from veilspark.llm.fingerprint import fingerprint_documents
 from veilspark.llm.knn import top_k
+from veilspark.llm.graph_search import search
+from veilspark.llm.hard_negatives import mine
 from veilspark.llm.language import identify
 from veilspark.llm.main_text import extract
 from veilspark.llm.packing import pack_documents
@@ -188,3 +190,96 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
+@query
+def op11_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.withColumn("label", moved), every=100, positives=5, negatives=10, factor=256)
+
+
+SQL["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), a AS (
+    SELECT *, row_number() OVER () AS key FROM v WHERE vec_id % 100 = 0
+), s AS MATERIALIZED (
+    SELECT a.key, a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_dot_product(a.v, v.v) AS BIGINT) AS score
+    FROM a JOIN v ON a.label <> v.label OR a.vec_id <> v.vec_id
+), p AS (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+), n AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.key, p.place ORDER BY s.score DESC, s.vec_id) AS place
+    FROM p JOIN s ON p.place <= 5 AND s.key = p.key AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10
+"""
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 7 == 0
+    more = (docs["n_chars"].cast("decimal(20)") + 1).cast("string")
+    tampered = F.when(hit, more).otherwise(docs["n_chars"].cast("string"))
+    rows = merkle.proofs(merkle.build(docs, claimed=merkle.leaf(docs, n_chars=tampered)))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), merkle.folded("claimed", "path").alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _leaf_sql(n_chars: str) -> str:
+    parts = [f"coalesce(strlen({x}) || ':' || {x}, '-')" for x in ("doc_id::VARCHAR", "source", "lang", f"({n_chars})::VARCHAR", "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
+_PAIRS = "[sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')) for i in range((len(nodes) + 1) // 2)]"
+_SIBLING = """CASE WHEN (pos >> level) % 2 = 1 THEN 'L' || nodes[pos >> level]
+        WHEN (pos >> level) + 2 <= len(nodes) THEN 'R' || nodes[(pos >> level) + 2] ELSE '-' END"""
+
+SQL["op13_manifest"] = f"""
+WITH RECURSIVE d AS (
+    SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(
+            [[ord(substr(doc_id::VARCHAR, i + 1, 1))::UBIGINT, 0, 0, 0, 0, 0, 0, 0] for i in range(strlen(doc_id::VARCHAR))])),
+        lambda c, b: CASE WHEN xor(c, b) % 2 = 1 THEN xor(xor(c, b) >> 1, 3988292384::UBIGINT) ELSE xor(c, b) >> 1 END
+    ), 4294967295::UBIGINT) AS crc FROM documents
+), l AS (
+    SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf,
+        {_leaf_sql("n_chars::HUGEINT + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END")} AS claimed FROM d
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS pos FROM l
+), up(lang, level, nodes) AS (
+    SELECT lang, 0, list(leaf ORDER BY pos) FROM placed GROUP BY lang
+    UNION ALL SELECT lang, level + 1, {_PAIRS} FROM up WHERE len(nodes) > 1
+), subroots AS (
+    SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM up WHERE len(nodes) = 1
+), top(level, nodes) AS (
+    SELECT 0, list(subroot ORDER BY pos) FROM subroots
+    UNION ALL SELECT level + 1, {_PAIRS} FROM top WHERE len(nodes) > 1
+), own AS (
+    SELECT p.lang, pos, list({_SIBLING} ORDER BY level) AS path
+    FROM placed p JOIN up ON p.lang IS NOT DISTINCT FROM up.lang AND len(nodes) > 1 GROUP BY p.lang, pos
+), above AS (
+    SELECT lang, list({_SIBLING} ORDER BY level) AS path FROM subroots, top WHERE len(nodes) > 1 GROUP BY lang
+), p AS (
+    SELECT doc_id, leaf, claimed, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+        coalesce(own.path, []) || coalesce(above.path, []) AS path
+    FROM placed JOIN subroots s ON placed.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN own ON placed.lang IS NOT DISTINCT FROM own.lang AND placed.pos = own.pos
+    LEFT JOIN above ON placed.lang IS NOT DISTINCT FROM above.lang
+), f AS (
+    SELECT *, list_reduce(list_prepend(claimed, path), lambda node, e: CASE e[1]
+        WHEN 'L' THEN sha256(e[2:] || node) WHEN 'R' THEN sha256(node || e[2:]) ELSE sha256(node) END) AS folded_root FROM p
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([e[2:] for e in path], '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM f
+"""
