@@ -128,16 +128,19 @@ class Bucket:
         return np.flatnonzero(hits == looked) if looked else None
 
     def products(self, anchors: np.ndarray, norms: np.ndarray, least: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each anchor with candidates its number, their places and their exact scores."""
+        """For each anchor its number, the places of rows that reach its least score, and their exact scores."""
         some = [self.candidates(anchor, norm, bound) for anchor, norm, bound in zip(anchors, norms, least)]
         whole = [number for number, places in enumerate(some) if places is None]
         every = np.arange(len(self.ids))
         if whole:
             for number, line in zip(whole, scores(anchors[whole], self.rows)):
-                yield number, every, line.astype(np.int64)
+                reached = line >= least[number]
+                yield number, every[reached], line[reached].astype(np.int64)
         for number, places in enumerate(some):
             if places is not None and len(places):
-                yield number, places, scores(anchors[number : number + 1], self.rows[places])[0].astype(np.int64)
+                line = scores(anchors[number : number + 1], self.rows[places])[0]
+                reached = line >= least[number]
+                yield number, places[reached], line[reached].astype(np.int64)
 
 
 def _first(line: np.ndarray, ids: np.ndarray, allowed: np.ndarray, k: int) -> np.ndarray:
@@ -242,6 +245,7 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = 5, negatives: in
     def bound_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             least = []
+            every_bound = []
             found = batch.column("positive_scores").to_pylist()
             for label, of, line in zip(_whole(batch, "label"), found, scores(_vectors(batch), sample)):
                 other = np.sort(line[sample_labels != label])
@@ -249,18 +253,19 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = 5, negatives: in
                 for low, high in map(window, of):
                     end = int(np.searchsorted(other, high, "right"))
                     bounds.append(max(low, int(other[end - negatives])) if end >= negatives else low)
+                every_bound.append(bounds)
                 least.append(float(min(bounds)))
-            yield batch.append_column("least", pa.array(least, pa.float64()))
+            bounds = pa.array(every_bound, pa.list_(pa.int64()))
+            yield batch.append_column("bounds", bounds).append_column("least", pa.array(least, pa.float64()))
 
     def solve_negatives(bucket: Bucket, asked: pa.Table) -> pa.Table:
         key, ids, labels = (_whole(asked, name) for name in ("key", "vec_id", "label"))
-        positive_ids, positive_scores = (asked.column(f"positive_{name}").to_pylist() for name in ("ids", "scores"))
+        firsts = [asked.column(name).to_pylist() for name in ("positive_ids", "positive_scores", "bounds")]
         out = [[] for _ in range(7)]
         for number, places, line in bucket.products(_vectors(asked), _whole(asked, "norm"), _whole(asked, "least")):
             own, other = bucket.ids[places], bucket.labels[places] != labels[number]
-            for place, (positive_id, score) in enumerate(zip(positive_ids[number], positive_scores[number])):
-                low, high = window(score)
-                chosen = _first(line, own, other & (line >= low) & (line <= high), negatives)
+            for place, (positive_id, score, bound) in enumerate(zip(*(column[number] for column in firsts))):
+                chosen = _first(line, own, other & (line >= bound) & (line <= window(score)[1]), negatives)
                 for column, value in zip(out, (key[number], place, ids[number], positive_id, score)):
                     column.append(np.full(len(chosen), value))
                 out[5].append(own[chosen])
@@ -268,7 +273,7 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = 5, negatives: in
         return _columns(out, names)
 
     names = ["key", "place", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
-    asked = paired.mapInArrow(bound_negatives, with_columns(paired, least="double"))
+    asked = paired.mapInArrow(bound_negatives, with_columns(paired, bounds="array<long>", least="double"))
     found = _retrieve(asked, buckets, count, solve_negatives, ", ".join(f"{name} long" for name in names))
     rank = F.row_number().over(Window.partitionBy("key", "place").orderBy(F.desc("negative_score"), "negative_id"))
     found = found.withColumn("rank", rank).where(F.col("rank") <= negatives)
