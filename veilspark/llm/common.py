@@ -9,7 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 CHUNK_BYTES = 4 << 20
 
@@ -31,7 +31,7 @@ def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_columns(df: DataFrame, **kinds: str) -> StructType:
+def with_columns(df: DataFrame, **kinds: str | DataType) -> StructType:
     """The schema of `df` with further columns, by name and type."""
     schema = StructType(list(df.schema.fields))
     for name, kind in kinds.items():

@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from veilspark.llm.common import partitions, running_start, with_columns
 from veilspark.llm.knn import best, scores
@@ -273,7 +273,7 @@ def mine(vectors: DataFrame, every: int = 100, positives: int = 5, negatives: in
         return _columns(out, names)
 
     names = ["key", "place", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
-    asked = paired.mapInArrow(bound_negatives, with_columns(paired, bounds="array<long>", least="double"))
+    asked = paired.mapInArrow(bound_negatives, with_columns(paired, bounds=T.ArrayType(T.LongType()), least="double"))
     found = _retrieve(asked, buckets, count, solve_negatives, ", ".join(f"{name} long" for name in names))
     rank = F.row_number().over(Window.partitionBy("key", "place").orderBy(F.desc("negative_score"), "negative_id"))
     found = found.withColumn("rank", rank).where(F.col("rank") <= negatives)
