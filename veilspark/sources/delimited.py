@@ -10,9 +10,11 @@ writes it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from veilspark.columns import DATA_META, FAILED, OK
 from veilspark.functions.parsing import quoted
@@ -29,7 +31,6 @@ LAYOUTS = ("headered", "headerless", "preamble")
 PREAMBLE_HEADER_ROW = 4
 PREAMBLE_ROWS = 8
 LEGACY_CHARSETS = "spark.sql.legacy.javaCharsets"
-MOST_HEADERS = 1000  # distinct headers that one read may meet
 
 
 def _delivered(path: Column) -> Column:
@@ -64,6 +65,7 @@ def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None) ->
         F.col("_metadata.file_size").alias("_size"),
         logical_file().alias("file_nm"),
         F.when(opens, F.monotonically_increasing_id()).alias("_line"),
+        F.col("_metadata.file_block_start").alias("_split"),
     )
 
 
@@ -81,11 +83,14 @@ def _with_text(lines: DataFrame, encoding: str, fallback: str) -> DataFrame:
     try:
         if encoding != "auto":
             return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
-        broken = lines.groupBy("_file").agg(F.max(~F.is_valid_utf8("value")).alias("_foreign"))
-        known = keyed_join(lines, materialise(broken, "encodings"), ["_file"], "left")
-        other = F.decode(F.col("value").cast("binary"), fallback)
-        text = F.when(F.col("_foreign"), other).otherwise(F.col("value"))
-        return known.withColumn("value", text).drop("_foreign")
+        # The source is read once; the verdicts and the lines come from the copy, each from its columns.
+        raw = lines.withColumns({"value": F.col("value").cast("binary"), "_valid": F.is_valid_utf8("value")})
+        staged = materialise(raw, "lines")
+        broken = staged.groupBy("_file").agg((~F.min("_valid")).alias("_foreign"))
+        known = keyed_join(staged, materialise(broken, "encodings"), ["_file"], "left")
+        other = F.decode("value", fallback)
+        text = F.when(F.col("_foreign"), other).otherwise(F.col("value").cast("string"))
+        return known.withColumn("value", text).drop("_foreign", "_valid")
     finally:
         spark.conf.set(LEGACY_CHARSETS, before)
 
@@ -152,10 +157,8 @@ def _heads(lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: st
         heads = heads.withColumn("_fourth", F.lit(None).cast("string"))
     is_ = lambda kind: F.col("layout") == kind
     header = F.when(is_("headered"), F.col("_first")).when(is_("preamble"), F.col("_fourth"))
-    header = F.regexp_replace(F.coalesce(header, F.lit("")), "^\ufeff", "")
-    given = F.array(*[F.lit(name) for name in columns or ()]).cast("array<string>")
-    names = F.when(is_("headerless"), given).otherwise(F.split(header, F.lit(_literal(sep))))
-    names = F.transform(names, lambda name: F.upper(F.trim(F.regexp_replace(F.trim(name), '^"(.*)"$', "$1"))))
+    given = F.array(*[F.lit(name.strip().upper()) for name in columns or ()]).cast("array<string>")
+    names = F.when(is_("headerless"), given).otherwise(header_names(header, sep))
     skip = F.when(is_("headered"), 1).when(is_("preamble"), PREAMBLE_ROWS).otherwise(0)
     return materialise(heads.select("_path", "file_nm", "_start", skip.alias("_skip"), names.alias("_names")), "heads")
 
@@ -164,10 +167,22 @@ def _literal(sep: str) -> str:
     return "".join(f"\\{character}" if not character.isalnum() else character for character in sep)
 
 
-def _with_names(spark: SparkSession, lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str) -> tuple:
+def header_names(header: Column, sep: str = ",") -> Column:
+    """The column names of a header line, in upper case, without quotes, spaces around them and byte mark."""
+    text = F.concat(F.lit(sep), F.regexp_replace(F.coalesce(header, F.lit("")), "^\ufeff", ""))
+    plain = f"[^{_literal(sep)}]*" if len(sep) == 1 else f"(?:(?!{_literal(sep)}).)*"
+    field = rf'{_literal(sep)}( *"(?:[^"]|"")*" *(?={_literal(sep)}|$)|{plain})'
+    fields = F.regexp_extract_all(text, F.lit(field), F.lit(1))
+    bare = lambda name: F.regexp_replace(F.trim(name), '^"(.*)"$', "$1")
+    return F.transform(fields, lambda name: F.upper(F.trim(F.replace(bare(name), F.lit('""'), F.lit('"')))))
+
+
+def _with_names(
+    spark: SparkSession, lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str, line_breaks: str, most_headers: int
+) -> tuple:
     """Lines with `_names`, the columns of their file, and `_head`, whether they stand before its data.
 
-    Also the distinct lists of names.
+    With `line_breaks="read"` a row may be a record of several lines. Also the distinct lists of names.
 
     The lists come with the first file that has them, the first of all first.
     """
@@ -176,16 +191,18 @@ def _with_names(spark: SparkSession, lines: DataFrame, layout: str, columns: Seq
             raise ValueError("a headerless layout takes its names from columns")
         names = [name.strip().upper() for name in columns]
         known = F.array(*[F.lit(name) for name in names])
+        lines = _records(lines) if line_breaks == "read" else lines
         return lines.withColumns({"_names": known, "_head": F.lit(False)}), [(names, None)]
     if layout not in ("headered", "preamble", "auto"):
         raise ValueError(f"unknown layout {layout!r}")
     heads = _heads(lines, layout, columns, sep)
     found = heads.groupBy("_names").agg(F.min("file_nm").alias("file_nm")).orderBy("file_nm", "_names")
-    lists = [(list(row["_names"]), row["file_nm"]) for row in found.limit(MOST_HEADERS + 1).collect()]
-    if len(lists) > MOST_HEADERS:
-        raise ValueError(f"more than {MOST_HEADERS} different headers")
+    lists = [(list(row["_names"]), row["file_nm"]) for row in found.limit(most_headers + 1).collect()]
+    if len(lists) > most_headers:
+        raise ValueError(f"more than {most_headers} different headers; allow more by most_headers")
     if layout == "auto" and not columns and any(not names for names, _ in lists):
         raise ValueError("a headerless layout takes its names from columns")
+    lines = _records(lines) if line_breaks == "read" else lines
     placed = keyed_join(lines, heads.select("_path", "_start", "_skip", "_names"), ["_path"])
     head = F.coalesce(F.col("_line") - F.col("_start") < F.col("_skip"), F.lit(False))
     return placed.withColumn("_head", head).drop("_start", "_skip"), lists
@@ -201,16 +218,129 @@ def _unlike(names: Sequence[str], wanted: Sequence[str]) -> str | None:
     return "; ".join(filter(None, said)) or None
 
 
+def _dialect(value: Column, sep: str) -> Column:
+    """How the fields of a record stand: `open`, whether it ends within quotes, and `fields`, how many there are.
+
+    The texts between quotes are gone through in order. A quote opens a field only at its start, two
+    in a row within one are a quote of its text, and any other stands for itself.
+    """
+    start, plain, quoted_, closed = 0, 1, 2, 3
+    after = {start: quoted_, plain: plain, quoted_: closed, closed: quoted_}
+
+    def step(at: Column, text: Column) -> Column:
+        state = F.when(at["state"] < 0, F.lit(start))
+        for before, then in after.items():
+            state = state.when(at["state"] == before, F.lit(then))
+        inside, seps = state == quoted_, F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))
+        ended = F.when(inside | (F.length(text) == 0), state).when(F.endswith(text, F.lit(sep)), F.lit(start)).otherwise(F.lit(plain))
+        more = F.when(inside, F.lit(0)).otherwise((seps / len(sep)).cast("int"))
+        return F.struct(ended.alias("state"), (at["seps"] + more).alias("seps"))
+
+    first = F.struct(F.lit(-1).alias("state"), F.lit(0).alias("seps"))
+    last = F.aggregate(F.split(value, '"', -1), first, step)
+    return F.struct((last["state"] == quoted_).alias("open"), (last["seps"] + 1).alias("fields"))
+
+
+def _quotes(value: Column) -> Column:
+    return F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+
+
+def _opens(value: Column, sep: str) -> Column:
+    """Whether a line ends within quotes, as the field goes on in the next. Only lines with an odd number are looked at."""
+    return F.when(_quotes(value) % 2 == 1, _dialect(value, sep)["open"]).otherwise(False)
+
+
 def _fields(value: Column, sep: str) -> Column:
-    """How many fields a line has."""
-    plain = F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, '"(?:[^"]|"")*"', "")).otherwise(value)
-    removed = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit("")))
-    return (removed / len(sep)).cast("int") + 1
+    """How many fields a record has."""
+    return _dialect(value, sep)["fields"]
+
 
+def _parsed(value: Column, width: int, sep: str) -> Column:
+    """A record's fields `_0`, `_1` and so on; `_bad` is not null if it has more or fewer than `width`."""
+    kinds = ", ".join([*(f"_{i} string" for i in range(width)), "_bad string"])
+    return F.from_csv(value, kinds, {"sep": sep, "escape": '"', "columnNameOfCorruptRecord": "_bad", "mode": "PERMISSIVE"})
 
-def _opens(value: Column) -> Column:
-    """Whether a line ends within quotes, as the field goes on in the next."""
-    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
+
+def _records(lines: DataFrame) -> DataFrame:
+    """Lines joined to records over line breaks within quotes, by many tasks for a file.
+
+    An even number of quotes before a line means that it begins a record, so the quotes of each split
+    are counted, and their sums over the splits before say where a split begins within quotes.
+    Each split then joins its own lines, and the pieces of records that reach over the
+    border of splits, two for a split, are put together by file. Quotes stand around whole fields and are
+    doubled within them; `_dialect` finds records where that does not hold.
+    """
+    odd = (F.sum(_quotes(F.col("value"))) % 2).alias("_odd")
+    splits = materialise(lines.groupBy("_path", "_split").agg(odd), "quotes")
+    before = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2 == 1
+    splits = splits.withColumn("_inside", inside).withColumn("_cut", F.col("_inside") != (F.col("_odd") == 1))
+    splits = materialise(splits.select("_path", "_split", "_inside", (F.col("_cut") | F.col("_inside")).alias("_cut")), "borders")
+    moved = F.raise_error(F.lit("the files are cut into other splits than before; keep the settings between reads"))
+    raw = lines.withColumn("value", F.col("value").cast("binary"))
+    known = keyed_join(raw, splits, ["_path", "_split"], "left").withColumn("_inside", F.coalesce("_inside", moved.cast("boolean")))
+    schema = known.drop("_inside", "_cut").withColumn("_piece", F.lit(0)).schema
+    text = F.col("value").cast("string")
+    whole = known.drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece = 0")
+    cut = known.where("_cut").drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece > 0")
+    # 1 goes on with a record, 2 begins one; the first of a file's pieces begins one.
+    place = Window.partitionBy("_path").orderBy("_split", "_piece").rowsBetween(Window.unboundedPreceding, 0)
+    record = F.sum(F.when(F.col("_piece") == 2, 1).otherwise(0)).over(place)
+    pieces = cut.withColumns({"value": text, "_record": record})
+    order = F.sort_array(F.collect_list(F.struct("_split", "_piece", "value")))
+    joined = pieces.groupBy("_path", "_record").agg(
+        F.array_join(F.transform(order, lambda piece: piece["value"]), "\n").alias("value"),
+        *[F.min_by(name, F.struct("_split", "_piece")).alias(name) for name in ("_file", "_size", "file_nm", "_line", "_split")],
+    )
+    return whole.withColumn("value", text).drop("_piece").unionByName(joined.drop("_record"))
+
+
+def _line_joiner() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that joins the lines of splits to records, each split in order.
+
+    Rows come back with `_piece`: 0 for a record, 1 for the rest of one from before the split, 2 for the start of
+    one that goes on behind it. A split that lies within a record is a rest as a whole.
+    """
+
+    def record(held: list[pa.RecordBatch], piece: int) -> pa.RecordBatch:
+        text = b"\n".join(part.column("value")[0].as_py() or b"" for part in held)
+        first = held[0].set_column(held[0].schema.get_field_index("value"), "value", pa.array([text], pa.binary()))
+        return told(first, piece)
+
+    def told(some: pa.RecordBatch, piece: int) -> pa.RecordBatch:
+        return some.drop_columns(["_inside"]).append_column("_piece", pa.array([piece] * len(some), pa.int32()))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        at, inside, rest = None, False, False
+        for batch in batches:
+            path, split = batch.column("_path").to_pylist(), batch.column("_split").to_pylist()
+            odd = pc.bit_wise_and(pc.fill_null(pc.count_substring(batch.column("value"), '"'), 0), 1).to_pylist()
+            begin = 0  # of lines that are records as they stand
+            for line, place in enumerate(zip(path, split)):
+                if place != at:
+                    if begin < line:
+                        yield told(batch.slice(begin, line - begin), 0)
+                    begin = line
+                    if held:
+                        yield record(held, 1 if rest else 2)
+                    at, held = place, []
+                    inside = rest = batch.column("_inside")[line].as_py()
+                if odd[line] or inside:
+                    if begin < line:
+                        yield told(batch.slice(begin, line - begin), 0)
+                    begin = line + 1
+                    held.append(batch.slice(line, 1))
+                    inside ^= bool(odd[line])
+                    if not inside:
+                        yield record(held, 1 if rest else 0)
+                        held, rest = [], False
+            if begin < len(batch):
+                yield told(batch.slice(begin), 0)
+        if held:
+            yield record(held, 1 if rest else 2)
+
+    return join
 
 
 def head_lines(spark: SparkSession, path: str, rows: int, encoding: str = "UTF-8") -> list[str]:
@@ -228,13 +358,16 @@ def file_faults(
     sep: str = ",",
     glob: str | None = None,
     fallback: str = "EUC-KR",
+    line_breaks: str = "refuse",
+    most_headers: int = 1000,
 ) -> DataFrame:
     """A row for each delivered file: data rows, rows too wide and too narrow, open quotes, its header's fault.
 
     `status` is ok without any fault. The header is held against that of the first file by name.
+    With `line_breaks="read"` rows are records, which may hold line breaks within quotes.
     """
     lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
-    named, lists = _with_names(spark, lines, layout, columns, sep)
+    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers)
     return _faults(named, lists, sep)
 
 
@@ -246,13 +379,16 @@ def _faults(named: DataFrame, lists: list[tuple], sep: str) -> DataFrame:
         if said:
             fault = F.when(F.col("_names") == F.array(*[F.lit(n) for n in names]), said).otherwise(fault)
     filled = named.filter(~F.col("_head") & (F.length(F.trim("value")) > 0))
-    width, wide = _fields(F.col("value"), sep), F.size("_names")
-    count = lambda hit: F.count_if(hit)
-    counted = filled.groupBy("file_nm").agg(
+    value, wide = F.col("value"), F.size("_names")
+    simple = ((F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit("")))) / len(sep)).cast("int") + 1
+    stands = F.struct(F.lit(False).alias("open"), simple.alias("fields"))
+    read = F.when(F.contains(value, F.lit('"')), _dialect(value, sep)).otherwise(stands)
+    open_, width = F.col("_read.open"), F.col("_read.fields")
+    counted = filled.withColumn("_read", read).groupBy("file_nm").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        count(~_opens(F.col("value")) & (width > wide)).alias("n_wide"),
-        count(~_opens(F.col("value")) & (width < wide)).alias("n_narrow"),
-        count(_opens(F.col("value"))).alias("n_open"),
+        F.count_if(~open_ & (width > wide)).alias("n_wide"),
+        F.count_if(~open_ & (width < wide)).alias("n_narrow"),
+        F.count_if(open_).alias("n_open"),
         F.max(fault).alias("header_fault"),
     )
     good = (F.col("n_wide") + F.col("n_narrow") + F.col("n_open") == 0) & F.col("header_fault").isNull()
@@ -266,10 +402,11 @@ def _read_lines(
     columns: Sequence[str] | None,
     sep: str,
     on_width: str,
+    line_breaks: str,
+    most_headers: int,
 ) -> DataFrame:
-    named, lists = _with_names(spark, lines, layout, columns, sep)
+    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers)
     wanted = lists[0][0] if lists else []
-    text = F.col("value")
     if on_width == "fail_file":
         bad = materialise(_faults(named, lists, sep).filter(F.col("status") != OK).select("file_nm"), "faults")
         named = keyed_join(named, bad, ["file_nm"], "left_anti")
@@ -277,26 +414,52 @@ def _read_lines(
         for names, file in lists:
             if said := _unlike(names, wanted):
                 raise ValueError(f"{file} {said}")
-        value, wide = F.col("value"), F.size("_names")
-        told = F.concat("file_nm", F.lit(": a line has "), _fields(value, sep).cast("string"), F.lit(" fields, its file has "), wide.cast("string"))
-        open_ = F.concat("file_nm", F.lit(": a field has a line break; read it with line_breaks='read'"))
-        checked = F.when(_opens(value), F.raise_error(open_)).when(_fields(value, sep) != wide, F.raise_error(told))
-        # Lines that a filter drops may still be checked before, so the check leaves them alone.
-        left = F.col("_head") | (F.length(F.trim(value)) == 0)
-        text = F.when(~left, F.coalesce(checked, value))
-    filled = named.filter(~F.col("_head") & (F.length(F.trim("value")) > 0)).withColumn("_text", text)
-    widest = max((len(names) for names, _ in lists), default=0)
-    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(widest)])
+    return _cells(named, [names for names, _ in lists if not _unlike(names, wanted)], sep)
+
+
+def _cells(named: DataFrame, lists: list[list[str]], sep: str) -> DataFrame:
+    """The columns of the first list by name, of records with `_names` and `_head`; a wrong record raises."""
+    wanted = lists[0] if lists else []
+    value = F.col("value")
+    # Rows that a filter drops may still be checked before, so the checks leave them alone.
+    left = F.col("_head") | (F.length(F.trim("value")) == 0)
+    told = F.concat("file_nm", F.lit(": a line has "), _fields(value, sep).cast("string"), F.lit(f" fields, its file has {len(wanted)}"))
+    broken = F.concat("file_nm", F.lit(": quotes are open at the end of a line; line breaks within them take line_breaks='read'"))
+    text = F.when(left, None).when(_opens(value, sep), F.raise_error(broken)).otherwise(value)
+    rows = named.withColumn("_row", _parsed(text, len(wanted), sep)).filter(~left)
+    row = F.col("_row")
+    kind = rows.schema["_row"].dataType
+    checked = F.when(row["_bad"].isNotNull(), F.raise_error(told).cast(kind)).otherwise(row)
+    parsed = rows.select("file_nm", "_names", checked.alias("_row"))
     if len(lists) <= 1:
-        parsed = filled.select("file_nm", F.from_csv("_text", schema.toDDL(), {"sep": sep}).alias("_row"))
         cells = [F.col(f"_row._{i}").alias(name) for i, name in enumerate(wanted)]
     else:
-        parsed = filled.select("file_nm", "_names", F.from_csv("_text", schema.toDDL(), {"sep": sep}).alias("_row"))
-        every = F.array(*[F.col(f"_row._{i}") for i in range(widest)])
+        every = F.array(*[F.col(f"_row._{i}") for i in range(len(wanted))])
         cells = [F.try_element_at(every, F.array_position("_names", name).cast("int")).alias(name) for name in wanted]
     return parsed.select(*cells, "file_nm")
 
 
+def _headered(spark: SparkSession, paths: str | Sequence[str], glob: str | None, sep: str) -> DataFrame:
+    """Headered UTF-8 files that all have the same header, in one pass.
+
+    The CSV source leaves out each file's first line, having compared it, and gives the others whole, as no line
+    holds this separator; one that does raises.
+    """
+    reader = spark.read.options(
+        header=True, sep="\x00\x01\x00", quote="", enforceSchema=False, recursiveFileLookup=True, mode="FAILFAST"
+    )
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    raw = reader.csv(paths if isinstance(paths, str) else list(paths))
+    if not raw.columns:
+        return raw.select(logical_file().alias("file_nm"))
+    header = spark.range(1).select(header_names(F.lit(raw.columns[0]), sep).alias("names")).first()
+    names = list(header["names"])
+    rows = raw.select(F.col(quoted(raw.columns[0])).alias("value"), logical_file().alias("file_nm"))
+    known = F.array(*[F.lit(name) for name in names])
+    return _cells(rows.where("value is not null").withColumns({"_names": known, "_head": F.lit(False)}), [names], sep)
+
+
 def read_delimited(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -310,6 +473,7 @@ def read_delimited(
     headers: str = "same",
     on_width: str = "fail",
     line_breaks: str = "refuse",
+    most_headers: int = 1000,
 ) -> DataFrame:
     """All files as one frame of text columns with upper-case names, plus `file_nm`.
 
@@ -319,12 +483,14 @@ def read_delimited(
     `tokens` into null too, or makes all of them empty text (`keep`). `glob` picks
     files by name.
 
+    Fields may stand in quotes, and a quote within is doubled; a quote elsewhere stands for itself.
     Columns go by each file's own header; headered UTF-8 files that all have the `same` are read
-    by the CSV reader, which raises where one differs, and `headers="by_name"` allows another
-    order. A line with more or fewer fields than its file has columns raises, or with
-    `on_width="fail_file"` its file is left out, as is one whose header has other names;
-    `file_faults` reports them. Fields with line breaks raise, unless `line_breaks="read"`: then
-    headered files are read by one task each.
+    in one pass, which raises where one differs, and `headers="by_name"` allows another
+    order. A line with more or fewer fields than its file has columns, or with quotes open at its end,
+    raises, or with `on_width="fail_file"` its file is left out, as is one whose header has other names;
+    `file_faults` reports them. With `line_breaks="read"` a field in quotes may hold line breaks, in all
+    layouts and still with many tasks for a file, for two more passes; there a quote may stand only around fields
+    and doubled within them. `most_headers` bounds the distinct headers of a read.
     """
     if headers not in ("same", "by_name"):
         raise ValueError("headers is 'same' or 'by_name'")
@@ -332,23 +498,12 @@ def read_delimited(
         raise ValueError("on_width is 'fail' or 'fail_file'")
     if line_breaks not in ("refuse", "read"):
         raise ValueError("line_breaks is 'refuse' or 'read'")
-    broken = line_breaks == "read"
     plain = layout == "headered" and encoding.upper() == "UTF-8" and headers == "same" and on_width == "fail"
-    if broken and (layout != "headered" or encoding == "auto" or headers != "same" or on_width != "fail"):
-        raise ValueError("line breaks are read in headered files of one encoding and header only")
-    if plain or broken:
-        reader = spark.read.options(
-            header=True, sep=sep, enforceSchema=False, recursiveFileLookup=True, mode="FAILFAST",
-            columnPruning=False, multiLine=broken, encoding=encoding, escape='"' if broken else "\\",
-        )
-        if glob:
-            reader = reader.option("pathGlobFilter", glob)
-        raw = reader.csv(paths if isinstance(paths, str) else list(paths))
-        table = raw.select(*map(quoted, raw.columns), logical_file().alias("file_nm"))
+    if plain and line_breaks == "refuse":
+        table = _headered(spark, paths, glob, sep)
     else:
         lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
-        table = _read_lines(spark, lines, layout, columns, sep, on_width)
-    table = table.toDF(*[name.strip().upper() for name in table.columns[:-1]], "file_nm")
+        table = _read_lines(spark, lines, layout, columns, sep, on_width, line_breaks, most_headers)
     return _missing(table, missing)
 
 
@@ -376,24 +531,24 @@ def file_headers(
     """
     lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
     first = lines.groupBy("_path", "_file", "file_nm").agg(F.min_by("value", "_line").alias("value"))
-    names = F.posexplode(F.split(F.upper("value"), sep)).alias("pos", "var_cd")
+    names = F.posexplode(header_names(F.col("value"), sep)).alias("pos", "var_cd")
     rows = first.select("_file", "file_nm", names).distinct()
     return rows.select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")
 
 
 def file_inventory(
-    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, sep: str = ","
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, sep: str = ",", line_breaks: str = "refuse"
 ) -> DataFrame:
-    """Bytes, data rows and columns of every headered file, in one pass over the lines."""
-    width = F.when(F.col("_line").isNotNull(), F.size(F.split("value", sep)))
-    parts = (
-        _lines(spark, paths, glob)
-        .groupBy("_path", "_file", "file_nm")
-        .agg(
-            F.max("_size").alias("file_sz"),
-            (F.count(F.lit(1)) - 1).alias("datum_cnt"),
-            F.min_by(width, F.col("_line")).alias("var_ea"),
-        )
+    """Bytes, data rows and columns of every headered file, in one pass over the lines.
+
+    With `line_breaks="read"` rows are records, which may hold line breaks within quotes.
+    """
+    lines = _lines(spark, paths, glob)
+    lines = _records(lines) if line_breaks == "read" else lines
+    parts = lines.groupBy("_path", "_file", "file_nm").agg(
+        F.max("_size").alias("file_sz"),
+        (F.count(F.lit(1)) - 1).alias("datum_cnt"),
+        F.min_by(F.when(F.col("_line").isNotNull(), F.size(header_names(F.col("value"), sep))), F.col("_line")).alias("var_ea"),
     )
     return (
         parts.groupBy("_file", "file_nm")

@@ -31,8 +31,9 @@ def _write(
     if order:
         df = df.sortWithinPartitions(*folders, *order)
     writer = df.write.mode("overwrite" if mode == "replace" else mode).options(
-        header=True, emptyValue="", nullValue="", maxRecordsPerFile=ROWS_PER_PART
-    )
+        header=True, emptyValue="", nullValue="", escape='"', maxRecordsPerFile=ROWS_PER_PART,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
     if mode == "replace":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if compression:
@@ -48,7 +49,7 @@ def write_delimited(
     mode: str = "errorifexists",
     line_breaks: str = "refuse",
 ) -> None:
-    """Write with header and null as empty text.
+    """Write with header and null as empty text; a quote within a cell is doubled.
 
     A cell with a line break raises, as readers by line would see two rows; with
     `line_breaks="quote"` it is written in quotes, for readers that take those. Mode `replace`

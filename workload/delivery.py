@@ -11,7 +11,7 @@ from veilspark.functions import names
 from veilspark.operators import checks
 from veilspark.sources import delimited, repair
 from veilspark.sources.scratch import scratch_path
-from veilspark.sources.sinks import deliver
+from veilspark.sources.sinks import deliver, write_delimited
 from workload.registry import query
 from workload.tables import Tables
 
@@ -197,6 +197,63 @@ def read_by_name_prefix(t: Tables) -> DataFrame:
     return _lower(delimited.read_delimited(t.spark, f"{path}/file_nm=IF_DL_502_*"))
 
 
+_NOTE = """CASE o_orderkey % 4 WHEN 0 THEN 'no "' || o_custkey || '", by clerk ' || o_orderstatus WHEN 1 THEN '"' || o_custkey || '"'
+ WHEN 2 THEN NULL ELSE 'order of ' || o_custkey END"""
+_NOTES = f"SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, {_NOTE} note, o_orderstatus status, 'N' || o_custkey % 7 || '.txt' file_nm FROM orders"
+
+
+def _notes(t: Tables) -> DataFrame:
+    return t.given("orders").selectExpr("o_orderkey", f"{_NOTE} note", "o_orderstatus status", "concat('N', o_custkey % 7, '.txt') file_nm")
+
+
+def _standard(*names: str) -> F.Column:
+    """A line as other programs write it: quotes around every text that has them, doubled within."""
+    cells = []
+    for name in names:
+        cell = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        needs = cell.rlike('[",\\n]')
+        cells.append(F.when(needs, F.concat(F.lit('"'), F.replace(cell, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(cell))
+    return F.concat_ws(",", *cells)
+
+
+@query(_NOTES)
+def read_doubled_quotes(t: Tables) -> DataFrame:
+    """Fields with quotes and separators, in files without a header."""
+    lines = _notes(t).select(_standard("o_orderkey", "note", "status").alias("value"), "file_nm")
+    return _lower(delimited.read_delimited(t.spark, _write_lines(lines, t, "quotes"), "headerless", ["o_orderkey", "note", "status"]))
+
+
+@query(_NOTES)
+def write_quotes_round_trip(t: Tables) -> DataFrame:
+    """Written as delivered files, read by the header."""
+    return _lower(delimited.read_delimited(t.spark, deliver(_notes(t), "written", "file_nm")))
+
+
+_BREAKS = f"SELECT o_orderkey, replace(note, ' ', chr(10)) note, status, file_nm FROM ({_NOTES})"
+
+
+@query(_BREAKS)
+def read_line_breaks_parallel(t: Tables) -> DataFrame:
+    """Fields with line breaks, in files that several tasks read."""
+    broken = _notes(t).withColumn("note", F.replace("note", F.lit(" "), F.lit("\n")))
+    path = scratch_path(t.spark, "breaks")
+    write_delimited(broken, path, "file_nm", line_breaks="quote")
+    return _lower(delimited.read_delimited(t.spark, path, line_breaks="read"))
+
+
+@query(
+    """
+WITH h(pos, var_cd) AS (VALUES (1, 'O_ORDERKEY'), (2, 'NOTE|TEXT'), (3, 'STATUS'))
+SELECT f.file_nm, CAST(pos AS INTEGER) pos, var_cd
+FROM (SELECT DISTINCT 'N' || o_custkey % 7 || '.txt' file_nm FROM orders) f, h"""
+)
+def file_headers_pipe(t: Tables) -> DataFrame:
+    """Names in quotes, one with the separator in it."""
+    files = _notes(t).select("file_nm").distinct()
+    heads = files.select(F.posexplode(F.array(F.lit('"o_orderkey"|"Note|text"|status'), F.lit("1|a|O"))).alias("pos", "value"), "file_nm", F.lit(0).alias("chunk"))
+    return delimited.file_headers(t.spark, _write_lines(heads, t, "pipes"), sep="|")
+
+
 @query(
     """
 SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END status
