@@ -1,6 +1,7 @@
 """Fingerprints, languages, secrets, main text and pieces."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -14,7 +15,7 @@ from tests.llm.helpers import CLASHING, LONG, ODD, documents, no_docs, odd_docs,
 from veilspark.llm.credentials import find_secrets, redact, redact_documents, scan
 from veilspark.llm.fingerprint import GREATEST, LEAST, containment, digests, chunks, edited, fingerprint_documents, render
 from veilspark.llm.language import Profiles, identify, letters
-from veilspark.llm.main_text import extract, main_text
+from veilspark.llm.main_text import extract, main_text, path_scores, read_page
 from veilspark.llm.pieces import Pieces, decode_documents, default_model, encode_documents
 
 
@@ -407,6 +408,47 @@ def test_parts_outside_the_chosen_container_stay_out():
     assert not any(word in found for word in ("Menu", "Advert", "Nice"))
 
 
+WRAPPERS = [
+    'div class="layout-sidebar-right"', 'div class="page-with-sidebar"', 'div class="site comments-open"', 'div class="social-science-journal"',
+    'div id="legal-news"', 'form id="aspnetForm"', 'div class="modal-open"', 'div class="post share-enabled"', 'div class="entry-related-content"',
+    'div class="content sidebar"', 'div role="form"', 'section class="widget-content"',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["article", "div", "article class='post comments-closed'", "div class='entry'"])
+def test_wrappers_are_no_parts(wrapper, inner):
+    """The text in them stays, and parts beside it still go."""
+    parts = (
+        f"<div class='cookie-notice'>{paragraphs('Cookie', 1)}</div><ul class=menu><li>Home<li>News</ul>{{}}"
+        f"<div class='related-posts'>{paragraphs('Related', 1)}</div><div id=comments>{paragraphs('Comment', 40)}</div>"
+        "<form><p>Your mail, please. Now.</p></form>"
+    )
+    text = f"<{inner}><h1>Title</h1>{paragraphs('Body', 12)}<p class='ad'>Advert, buy. Now.</p></{inner.split()[0]}>"
+    for page in (parts.format(f"<{wrapper}>{text}</{wrapper.split()[0]}>"), f"<{wrapper}>{parts.format(text)}</{wrapper.split()[0]}>"):
+        found = main_text(f"<body>{page}</body>")
+        assert found.startswith("Title Body0") and found.endswith("Body11 number 3, and so on.")
+        assert not any(word in found for word in ("Cookie", "Home", "Related", "Comment", "mail", "Advert"))
+
+
+def test_comments_alone_are_no_main_text():
+    assert main_text(f"<div class=comments>{paragraphs('Nice', 9)}</div>") == ""
+
+
+def test_path_scores_against_lists():
+    page = read_page(f"<div><h1>Head</h1>{paragraphs('Body', 5)}<ul><li>a<li>b, c.</ul><blockquote>Words; more!</blockquote></div>")
+    of = {}
+    for text, node in zip(page.texts, page.nodes):
+        of.setdefault(node.path, []).append((len(text), sum(text.count(mark) for mark in ".,;:!?")))
+    ratios = [[sum(part[i] for part in of[node.path]) / len(of[node.path]) for node in page.nodes] for i in (0, 1)]
+    near = {d: math.exp(-d * d / 2) for d in range(-2, 3)}
+    smooth = []
+    for line in ratios:
+        some = lambda i: [(near[j - i], line[j]) for j in range(len(line)) if abs(j - i) <= 2]  # noqa: B023, E731
+        smooth.append([sum(w * x for w, x in some(i)) / sum(w for w, _ in some(i)) for i in range(len(line))])
+    assert path_scores(page) == pytest.approx([a * (1 + b) for a, b in zip(*smooth)])
+
+
 def test_main_text_of_deep_and_broken_pages():
     assert main_text("<div>" * 50_000 + "x") == "x"
     assert main_text("<p>x" * 20_000).count("x") == 20_000

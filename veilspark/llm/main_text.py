@@ -5,9 +5,12 @@ every path, the length of its text and its punctuation, over how many blocks sha
 make two ratios; both are smoothed along the page and multiplied. Blocks above a threshold
 show where the content is: the <article> or <main> with most of their text, else the innermost
 container with nearly all of it. Its blocks are the main text, short ones too, and so are blocks
-above the threshold outside it, with what stands in the same innermost container. Parts that by
-tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments
-are left out.
+above the threshold outside it, with what stands in the same innermost container.
+
+Menus, footers, scripts and the like, by their tags, are left out. Parts that a class, id or role names so, and
+forms, are left out if the scores agree: one that holds most of the selected text is a wrapper of
+the page and stays, unless it is named after comments. A name counts if all its words name parts or are
+filler: `page-with-sidebar` says nothing.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ BLOCK = frozenset(
 )
 CONTAINER = frozenset("article body center div html main section table tbody td".split())
 SKIPPED = frozenset(
-    "aside button canvas dialog footer form head iframe input math menu nav noscript object option script select style"
+    "aside button canvas dialog footer head iframe input math menu nav noscript object option script select style"
     " svg template textarea title".split()
 )
 NEVER = frozenset("body html main".split())
@@ -55,6 +58,8 @@ PARTS = frozenset(
 #: Of these, what an <article> can be; its other class names say what it is about.
 ASIDE = frozenset("ad ads advert advertisement comment comments promo related replies reply sponsored".split())
 HEADS = frozenset("header masthead".split())
+#: What readers write can be longer than what they read.
+READERS = frozenset("comment comments disqus replies reply".split())
 #: Elements of the text itself: these, and those within a line. All words of a class have to name a part.
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 TEXTUAL = HEADINGS | frozenset("p section".split())
@@ -78,6 +83,7 @@ CLOSES = {
 }
 
 SHARE = 0.9
+HALF = 0.5
 WINDOW = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 
 
@@ -90,6 +96,8 @@ class Node:
     in_article: bool
     main: bool
     depth: int
+    need: float = 0.0  # of a named part: its share, of its selected text and that in no part, that makes it a wrapper
+    part: Node | None = None  # the innermost named part around it, itself included
     weight: float = 0.0
     inside: bool = False
     container: Node | None = None
@@ -104,48 +112,49 @@ class Page:
     tree: list[Node] = field(default_factory=list)
 
 
-def _named_part(tag: str, name: str, word: str, above: Node) -> bool:
-    """Whether a class or id says that an element is no content.
+def _named_part(tag: str, name: str, word: str, above: Node) -> float:
+    """The `need` of a part that a class or id names, 0 if it names none.
 
     An id is often made from a heading, so it counts for no heading, paragraph or element
-    within a line, for a section only if it is one word, and inside an article only as a whole.
+    within a line, and for a section only if it is one word.
     """
     parts = [part.lower() for part in _WORD.findall(word)]
     if not parts or parts[0] in ("has", "no", "with", "is"):
-        return False
-    if tag == "article" and name == "class":
-        return not ASIDE.isdisjoint(parts)
+        return 0.0
     textual = tag in TEXTUAL or tag not in BLOCK
     if name == "id" and textual:
-        return tag == "section" and len(parts) == 1 and parts[0] in (ASIDE if above.in_article else FRAME)
+        if tag != "section" or len(parts) > 1 or parts[0] not in (ASIDE if above.in_article else FRAME):
+            return 0.0
     known = ASIDE if tag == "article" else PARTS if above.in_article or (textual and tag != "section") else PARTS | HEADS
-    if textual or (name == "id" and (above.in_article or tag == "article")):
-        return not known.isdisjoint(parts) and all(part in known or part in FILLER or part.isdigit() for part in parts)
-    return not known.isdisjoint(parts)
+    other = [part for part in parts if part not in known and not part.isdigit()]
+    if other and len(parts[0]) <= 2 and other[0] == parts[0]:
+        del other[0]  # a prefix as in js-menu
+    if known.isdisjoint(parts) or not FILLER.issuperset(other):
+        return 0.0
+    return np.inf if not READERS.isdisjoint(parts) else HALF if other else SHARE
 
 
-def _skips(tag: str, rest: str, above: Node) -> tuple[bool, bool]:
-    """Whether an element is no content, and whether it says that it is the main part."""
+def _skips(tag: str, rest: str, above: Node) -> tuple[bool, bool, float]:
+    """Whether an element is no content, whether it says that it is the main part, and its `need` as a named part."""
     if tag in SKIPPED or (tag == "header" and not above.in_article):
-        return True, False
-    main = tag == "main"
+        return True, False, 0.0
+    main, need = tag == "main", HALF if tag == "form" else 0.0
     if tag in NEVER or not rest.strip(" /"):
-        return False, main
+        return False, main, need
     for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'")
         if name == "role":
             main |= value.lower() == "main"
             if value.lower() in ROLES:
-                return True, False
+                need = max(need, HALF if value.lower() == "form" else SHARE)
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True, False
+            return True, False, 0.0
         elif name == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True, False
+                return True, False, 0.0
         elif name in ("class", "id"):
-            if any(_named_part(tag, name, word, above) for word in value.split()):
-                return True, False
-    return False, main
+            need = max(need, *(_named_part(tag, name, word, above) for word in value.split()), 0.0)
+    return False, main and not need, need
 
 
 def read_page(source: str) -> Page:
@@ -204,14 +213,16 @@ def read_page(source: str) -> Page:
         if tag in VOID:
             continue
         above = stack[-1]
-        skipped, main = (True, False) if above.skipped else _skips(tag, match["rest"], above)
+        skipped, main, need = (True, False, 0.0) if above.skipped else _skips(tag, match["rest"], above)
         path = paths.setdefault((above.path, tag), len(paths) + 1)
         if tag in RAW:
             end = RAW[tag].search(source, at)
             at = end.end() if end else len(source)
             last = max(last, at)
             continue
-        stack.append(Node(tag, path, above, skipped, above.in_article or main or tag == "article", main, above.depth + 1))
+        node = Node(tag, path, above, skipped, above.in_article or main or tag == "article", main, above.depth + 1, need, above.part)
+        node.part = node if need else above.part
+        stack.append(node)
         page.tree.append(stack[-1])
         open_tags[tag] = open_tags.get(tag, 0) + 1
     say(source[at:])
@@ -231,19 +242,57 @@ def path_scores(page: Page) -> np.ndarray:
     return text * (1 + mark)
 
 
-def main_text(source: str | None) -> str:
-    """The main text of a page, its blocks joined by one space; empty if it has none."""
-    page = read_page(source or "")
-    if not page.texts:
-        return ""
+def _selected(page: Page) -> np.ndarray:
+    """Places of the blocks above the threshold."""
     found = path_scores(page)
-    chosen = np.flatnonzero(found >= min(found.std(), found.max()))
-    total = 0.0
-    for place in chosen:
+    return np.flatnonzero(found >= min(found.std(), found.max()))
+
+
+def _weigh(page: Page, places: np.ndarray) -> float:
+    """Gives each node the length of these blocks within it; returns that of all."""
+    for node in page.tree:
+        node.weight = 0.0
+    for place in places:
         page.nodes[place].weight += len(page.texts[place])
-        total += len(page.texts[place])
     for node in reversed(page.tree[1:]):
         node.parent.weight += node.weight
+    return page.tree[0].weight
+
+
+def _without_parts(page: Page) -> Page:
+    """The page without the blocks in named parts, but for those that are wrappers of its text."""
+    if not any(node.part for node in page.nodes):
+        return page
+    readers = {id(node) for node in page.tree if node.need == np.inf}
+    for node in page.tree[1:]:
+        if id(node.parent) in readers:
+            readers.add(id(node))
+    chosen = [place for place in _selected(page) if id(page.nodes[place]) not in readers]
+    total = _weigh(page, chosen)
+    holds = set()  # the nodes around an article or main part with most of the text
+    for node in page.tree:
+        if (node.tag == "article" or node.main) and not node.need and node.weight > HALF * total:
+            while node and id(node) not in holds:
+                holds.add(id(node))
+                node = node.parent
+    outside = sum(len(page.texts[place]) for place in chosen if not page.nodes[place].part)
+    shut = set()
+    for node in page.tree[1:]:
+        most = node.weight >= HALF * total and node.weight >= node.need * (outside + node.weight)
+        wraps = total and (most or id(node) in holds) and node.need < np.inf
+        if id(node.parent) in shut or (node.need and not wraps):
+            shut.add(id(node))
+    kept = [place for place, node in enumerate(page.nodes) if id(node) not in shut]
+    return Page([page.texts[place] for place in kept], [page.nodes[place] for place in kept], page.tree)
+
+
+def main_text(source: str | None) -> str:
+    """The main text of a page, its blocks joined by one space; empty if it has none."""
+    page = _without_parts(read_page(source or ""))
+    if not page.texts:
+        return ""
+    chosen = _selected(page)
+    total = _weigh(page, chosen)
     named = [node for node in page.tree if (node.tag == "article" or node.main) and node.weight > total / 2]
     if named:
         held = max(named, key=lambda node: (node.weight, node.depth))
