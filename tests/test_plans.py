@@ -15,6 +15,7 @@ from veilspark.plans.linkage import attach_job, hash_job, match_job, store_hashe
 from veilspark.plans.publish import inventory_job, release_job
 from veilspark.plans.summarise import summarise
 from veilspark.sources.delimited import read_delimited
+from veilspark.sources.scratch import materialise
 from veilspark.sources.sinks import write_delimited
 
 STUDY = ("2019-00001", "A0001")
@@ -320,5 +321,31 @@ def test_summary_job_replaces_its_run(spark, tmp_path):
         counts.append([spark.read.schema(batch.EAV).parquet(f"{store}/{name}").count() for name in EAV_OF.values()])
     assert counts[0] == counts[1] and counts[0][0] > 0
     assert not [name for name in os.listdir(root) if name.startswith("summary-job")]
+    assert done.detail.select("bt_seq").distinct().count() == 5
     wide = [name for _, _, files in os.walk(f"{store}/deid_summary") for name in files if name.endswith(".csv")]
     assert wide
+
+
+def test_summary_job_has_as_many_jobs_for_any_datasets(spark, tmp_path):
+    """Sixty datasets of two kinds, and a study with two batches, which run in turn."""
+    key = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"
+    names = [f"2019-{n:05d}" for n in range(1, 21)]
+    datasets = [(study, "A", "K0001", f"C{i}") for study in names for i in range(3)]
+    frame = lambda rows, more: spark.createDataFrame(rows, f"{key}, {more}")
+    rows = frame([(*d, 1, 1, f"IF_DL_501_{d[0].replace('-', '')}_A_{d[3]}_1_1_20200101.txt", str(n % 3), "x") for d in datasets for n in range(7)],
+                 "prsnt_pg_num int, tot_pg_num int, file_nm string, amt string, prio string")
+    variables = [(*d, v, v, f"V{v}", name, "1", "3") for d in datasets for v, name in ((1, "amt"), (2, "prio"))[: 1 + (d[3] != "C0")]]
+    catalog_rows = frame([*variables, *((*d, 9, 9, "CNT", "cnt", "1", "3") for d in datasets)],
+                         "var_seq long, var_dscr_seq long, var_dscr_nm string, var_cd string, req_var_tp_cd string, org_mrg_tp_cd string")
+    standard = spark.createDataFrame([(1, "amt", batch.NUMBER_TYPE), (2, "prio", "t"), (9, "cnt", batch.NUMBER_TYPE)], "var_seq long, var_cd string, datatp string")
+    made = materialise(catalog.build_summary_catalog(catalog_rows, standard, standard.select("var_seq"), frame([(*d, 1, "Int64->x", 1, "1") for d in datasets], "var_dscr_seq long, di_set_val string, exec_seq int, org_mrg_tp_cd string")), "catalog")
+    rules = frame([(*d, 1, "Int64->floor(x / 2) * 2", 1, "1") for d in datasets], "var_dscr_seq long, di_set_val string, exec_seq int, org_mrg_tp_cd string")
+    counts = {}
+    for some in (2, 20):
+        pending = spark.createDataFrame([(n, study, "A", 1, None) for n, study in enumerate(names[:some])], "bt_seq int, ask_id string, rshp_id string, exec_seq int, rulesetseq2 int")
+        spark.sparkContext.setJobGroup(f"jobs-{some}", "")
+        done = batch.summary_job(pending, frame([(*d, 1) for d in datasets], "exec_seq int"), made, standard, rules, rows, rows, str(tmp_path / str(some)), "85")
+        counts[some] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"jobs-{some}"))
+        spark.sparkContext.setJobGroup("rest", "")
+        assert done.detail.count() == 3 * some
+    assert counts[2] == counts[20] < 40, counts

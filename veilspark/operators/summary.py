@@ -100,10 +100,26 @@ def to_eav(
     Text variables fill `str_datatp_val` (empty when missing), numeric ones
     `num_datatp_val` (null when missing or not a number).
     """
+    return table.selectExpr(*map(quoted, ids), f"inline({_lines(variables, cnt_seq, count)})")
+
+
+def to_eav_by(
+    table: DataFrame,
+    kind: str,
+    kinds: Sequence[tuple[Sequence[Variable], int]],
+    ids: Sequence[str],
+    count: str = "cnt",
+) -> DataFrame:
+    """As `to_eav`, of a table whose column `kind` has for each row the place in `kinds` of its variables and count number."""
+    cases = " ".join(f"when {i} then {_lines(variables, cnt_seq, count)}" for i, (variables, cnt_seq) in enumerate(kinds))
+    return table.selectExpr(*map(quoted, ids), f"inline(case {quoted(kind)} {cases} end)")
+
+
+def _lines(variables: Sequence[Variable], cnt_seq: int, count: str) -> str:
     lines = []
     for v in [*variables, Variable(cnt_seq, count, True)]:
         cell = f"string({quoted(v.column)})"
         text = "cast(null AS string)" if v.is_number else f"coalesce({cell}, '')"
         number = float_sql(cell) if v.is_number else "cast(null AS double)"
         lines.append(f"struct({int(v.seq)} AS var_dscr_seq, {text} AS str_datatp_val, {number} AS num_datatp_val)")
-    return table.selectExpr(*map(quoted, ids), f"inline(array({', '.join(lines)}))")
+    return f"array({', '.join(lines)})"

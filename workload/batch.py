@@ -16,7 +16,6 @@ _COLUMNS = DATASET.split(", ")
 _VARIABLES = [(1, "order_dt", TEXT), (2, "amt", NUMBER), (3, "prio", TEXT), (4, "status", TEXT)]
 _FIRST = [(1, "date->trunc(x, 'YEAR')"), (2, "Int64->floor(x / 50000) * 50000"), (3, "string->substring(x, 1, 1)")]
 _SECOND = [(2, "Int64->floor(x / 1000) * 1000"), (3, "string->substring(x, 1, 3)")]
-_STUDY = "2019-00001"
 
 
 class Batches:
@@ -100,11 +99,11 @@ EAV_OF = {"original": "original_eav", "deidentified": "deidentified_eav"}
 
 
 def run_batch(t: Tables, given: Batches, store: str) -> batch.SummaryBatch:
-    """The summary job of one study's batch, with its summary variables made from the catalog."""
+    """The summary job of all pending batches, with summary variables made from the catalog."""
     known = given.standard.select("var_seq")
     made = materialise(catalog.build_summary_catalog(given.catalog, given.standard, known, given.rules), "catalog")
     return batch.summary_job(
-        given.pending.filter(F.col("ask_id") == _STUDY),
+        given.pending,
         given.datasets.withColumn("exec_seq", F.lit(1)),
         made,
         given.standard,
@@ -121,22 +120,26 @@ _GROUP = f"{DATASET}, prsnt_pg_num, tot_pg_num, file_nm"
 
 
 @query(
-    rf"""WITH f AS (SELECT {_GROUP}, amt, prio, count(*) cnt FROM keyed
- WHERE ask_id = '{_STUDY}' AND prvdr_cd IN ('K0001', 'K0002') GROUP BY ALL),
-d AS (SELECT {_GROUP}, CASE WHEN regexp_matches(amt, '^\s*[+-]?\d+\s*$')
-  THEN CAST(TRY_CAST(amt AS BIGINT) // 1000 * 1000 AS VARCHAR) END amt, substr(prio, 1, 3) prio,
- CAST(sum(cnt) AS BIGINT) cnt FROM f GROUP BY {_GROUP}, 8, 9),
+    rf"""WITH k AS (SELECT *, CAST(right(ask_id, 1) AS INTEGER) % 2 odd FROM keyed),
+f AS (SELECT {_GROUP}, odd, CASE WHEN odd = 0 THEN order_dt END order_dt, amt, prio, count(*) cnt FROM k
+ WHERE odd = 0 OR prvdr_cd IN ('K0001', 'K0002') GROUP BY ALL),
+n AS (SELECT * REPLACE (CASE WHEN regexp_matches(order_dt, '^\d{{8}}$')
+  THEN strftime(date_trunc('year', try_strptime(order_dt, '%Y%m%d')), '%Y%m%d') END AS order_dt,
+ CASE WHEN regexp_matches(amt, '^\s*[+-]?\d+\s*$') THEN CASE odd WHEN 1 THEN CAST(TRY_CAST(amt AS BIGINT) // 1000 * 1000 AS VARCHAR)
+  ELSE CAST(TRY_CAST(amt AS BIGINT) // 50000 * 50000 AS VARCHAR) END END AS amt, substr(prio, 1, 1 + 2 * odd) AS prio) FROM f),
+d AS (SELECT {_GROUP}, odd, order_dt, amt, prio, CAST(sum(cnt) AS BIGINT) cnt FROM n GROUP BY ALL),
 b AS (SELECT 'original' kind, * FROM f UNION ALL SELECT 'deidentified', * FROM d),
 e AS (SELECT *, CAST(row_number() OVER (PARTITION BY kind, {_GROUP}
- ORDER BY amt NULLS FIRST, prio NULLS FIRST) AS BIGINT) datum_seq FROM b)
-SELECT kind, left(ask_id, 4) ask_year, {_GROUP}, 1 exec_seq, datum_seq, 2 var_dscr_seq, CAST(NULL AS VARCHAR) str_datatp_val,
- TRY_CAST(amt AS DOUBLE) num_datatp_val FROM e
+ ORDER BY order_dt NULLS FIRST, amt NULLS FIRST, prio NULLS FIRST) AS BIGINT) datum_seq FROM b)
+SELECT kind, left(ask_id, 4) ask_year, {_GROUP}, 1 exec_seq, datum_seq, 1 var_dscr_seq, coalesce(order_dt, '') str_datatp_val,
+ CAST(NULL AS DOUBLE) num_datatp_val FROM e WHERE odd = 0
+UNION ALL SELECT kind, left(ask_id, 4), {_GROUP}, 1, datum_seq, 2, NULL, TRY_CAST(amt AS DOUBLE) FROM e
 UNION ALL SELECT kind, left(ask_id, 4), {_GROUP}, 1, datum_seq, 3, coalesce(prio, ''), NULL FROM e
 UNION ALL SELECT kind, left(ask_id, 4), {_GROUP}, 1, datum_seq, 4, NULL, CAST(cnt AS DOUBLE) FROM e""",
     "keyed",
 )
 def summary_job_eav(t: Tables) -> DataFrame:
-    """The stored long tables of one batch, whose override rule set decides variables and rules."""
+    """The stored long tables of all pending batches, whose rule sets decide variables and rules."""
     store, found = scratch_path(t.spark, "summaries"), None
     run_batch(t, Batches(t), store)
     for kind, name in EAV_OF.items():
@@ -147,10 +150,10 @@ def summary_job_eav(t: Tables) -> DataFrame:
 
 @query(
     f"""
-SELECT DISTINCT 1 bt_seq, {", ".join("d." + name for name in _COLUMNS)}, d.file_nm,
- CASE WHEN k.file_nm IS NULL THEN '902' WHEN d.prvdr_cd NOT IN ('K0001', 'K0002') THEN '003' ELSE '002' END wk_exec_sts_cd,
- CASE WHEN k.file_nm IS NULL THEN 'no rows' WHEN d.prvdr_cd NOT IN ('K0001', 'K0002') THEN 'no summary variables' END message
-FROM delivered d LEFT JOIN (SELECT DISTINCT file_nm FROM keyed) k USING (file_nm) WHERE d.ask_id = '{_STUDY}'""",
+SELECT DISTINCT CAST(right(d.ask_id, 1) AS INTEGER) bt_seq, {", ".join("d." + name for name in _COLUMNS)}, d.file_nm,
+ CASE WHEN k.file_nm IS NULL THEN '902' WHEN d.prvdr_cd NOT IN ('K0001', 'K0002') AND CAST(right(d.ask_id, 1) AS INTEGER) % 2 = 1 THEN '003' ELSE '002' END wk_exec_sts_cd,
+ CASE WHEN k.file_nm IS NULL THEN 'no rows' WHEN d.prvdr_cd NOT IN ('K0001', 'K0002') AND CAST(right(d.ask_id, 1) AS INTEGER) % 2 = 1 THEN 'no summary variables' END message
+FROM delivered d LEFT JOIN (SELECT DISTINCT file_nm FROM keyed) k USING (file_nm)""",
     "keyed",
 )
 def summary_job_detail(t: Tables) -> DataFrame:
