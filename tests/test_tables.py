@@ -1,4 +1,5 @@
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +158,80 @@ def test_cluster_needs_shared_scratch():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session, "x")
+
+
+def stored_in_files(spark, path, files=20):
+    spark.range(1000).selectExpr("id", "id % 3 as part", "'old' as v", "'kept' as w").repartitionByRange(files, "id").write.partitionBy("part").parquet(path)
+
+
+def files_of(path):
+    return {file: file.stat().st_mtime_ns for file in Path(path).rglob("*.parquet")}
+
+
+def state(spark, path):
+    return sorted((r.id, r.part, r.v, r.w) for r in spark.read.parquet(path).collect())
+
+
+UPDATES = [(5, 2, "new"), (6, 0, None), (5000, 1, "added"), (5001, 7, "added")]
+
+
+def updated():
+    new = {key: (key, part, v) for key, part, v in UPDATES}
+    rows = [(i, i % 3, new[i][2] if i in new else "old", "kept") for i in range(1000)]
+    return sorted([*rows, (5000, 1, "added", None), (5001, 7, "added", None)])
+
+
+@pytest.mark.parametrize("name", ["table", "a b%20+c"])
+def test_upsert_rewrites_touched_files_only(spark, tmp_path, name):
+    path = str(tmp_path / name)
+    stored_in_files(spark, path)
+    before = files_of(path)
+    source = spark.createDataFrame(UPDATES, "id long, part long, v string")
+    assert stored.upsert_files(source, path, ["id"], ["v"], ["part"]) == 2
+    after = files_of(path)
+    assert len(before.keys() - after.keys()) == 2 and all(after[file] == before[file] for file in before.keys() & after.keys())
+    assert state(spark, path) == updated()
+    assert not [child for child in Path(path).iterdir() if child.name.startswith("_") and child.is_dir()]
+    assert stored.upsert_files(source, path, ["id"], ["v"], ["part"]) == 4  # now also those of the added rows
+    assert state(spark, path) == updated()
+    with pytest.raises(ValueError, match="repeats the key"):
+        stored.upsert_files(source.unionAll(source), path, ["id"], ["v"], ["part"])
+    assert state(spark, path) == updated()
+
+
+def test_update_rewrites_touched_files_only(spark, tmp_path):
+    path = str(tmp_path / "table")
+    stored_in_files(spark, path)
+    assert stored.update_files(spark, path, F.col("id") < 3, {"v": F.lit("u")}, ["part"]) == 3
+    assert [row[2] for row in state(spark, path)] == ["u"] * 3 + ["old"] * 997
+    assert stored.update_files(spark, path, F.col("id") > 1_000_000, {"v": F.lit("u")}, ["part"]) == 0
+    assert len(state(spark, path)) == 1000
+
+
+@pytest.mark.parametrize("at", range(8))
+def test_rewrite_that_stops_anywhere_is_finished_or_undone(spark, tmp_path, monkeypatch, at):
+    """Each step on the store fails once; the same call again gives the same table."""
+    path = str(tmp_path / "table")
+    stored_in_files(spark, path)
+    source = spark.createDataFrame(UPDATES, "id long, part long, v string")
+    real = stored._file_system
+    left = [at]
+
+    class Failing:
+        def __init__(self, store):
+            self.store = store
+
+        def __getattr__(self, name):
+            if name in ("rename", "delete", "create", "mkdirs"):
+                if left[0] == 0:
+                    left[0] = -1
+                    raise OSError("lost")
+                left[0] -= 1
+            return getattr(self.store, name)
+
+    monkeypatch.setattr(stored, "_file_system", lambda *args: (Failing(real(*args)[0]), real(*args)[1]))
+    with pytest.raises(OSError, match="lost"):
+        stored.upsert_files(source, path, ["id"], ["v"], ["part"])
+    stored.upsert_files(source, path, ["id"], ["v"], ["part"])
+    assert state(spark, path) == updated()
+    assert not [child for child in Path(path).iterdir() if child.name.startswith(("_staged", "_journal", "_part"))]

@@ -6,12 +6,15 @@ partition columns.
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from veilspark.columns import STUDY_PROVIDER
+from veilspark.operators.joins import keyed_join
+from veilspark.operators.tables import latest_rows, update_where, upsert
 from veilspark.sources.delimited import read_delimited
 from veilspark.sources.scratch import materialise
 
@@ -96,6 +99,111 @@ def rewrite(state: DataFrame, path: str, partitions: Sequence[str] = ()) -> None
     spark.catalog.refreshByPath(path)
 
 
+def upsert_files(
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    update_cols: Sequence[str],
+    partitions: Sequence[str] = (),
+    on_repeat: str = "fail",
+    latest_by: Sequence[str] = (),
+) -> int:
+    """MERGE `source` into the table at `path`, as `upsert` does, and rewrite only files that hold one of its keys.
+
+    Returns how many files were rewritten. New rows go to files of their own. Run again after a failure,
+    it gives the same table: see `rewrite_files`.
+    """
+    spark = source.sparkSession
+    finish_rewrites(spark, path)
+    if on_repeat == "latest":
+        source = latest_rows(source, keys, latest_by)
+    source = materialise(source, "upsert")
+    held = spark.read.parquet(path).select(*keys, F.col("_metadata.file_path").alias("_file"))
+    touched = keyed_join(held, source.select(*keys).distinct(), keys, "left_semi", sized_by=source).select("_file")
+    return rewrite_files(spark, path, touched, lambda rows: upsert(rows, source, keys, update_cols), partitions)
+
+
+def update_files(
+    spark: SparkSession, path: str, condition: Column, values: Mapping[str, Column], partitions: Sequence[str] = ()
+) -> int:
+    """UPDATE … SET values WHERE condition, which rewrites only files with such rows; returns how many."""
+    finish_rewrites(spark, path)
+    table = spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    touched = table.filter(condition).select("_file")
+    return rewrite_files(spark, path, touched, lambda rows: update_where(rows, condition, values), partitions)
+
+
+def rewrite_files(
+    spark: SparkSession,
+    path: str,
+    touched: DataFrame,
+    change: Callable[[DataFrame], DataFrame],
+    partitions: Sequence[str] = (),
+) -> int:
+    """Put what `change` makes of the rows of some files in their place; the other files stay as they are.
+
+    `touched` has their paths, as `_metadata.file_path` says, in its only column; they are collected. The new files
+    are staged in the table's folder under a name that readers pass over. A journal, written as a whole, then
+    names them and the files they replace: before it the table is the old one, and from then on
+    `finish_rewrites` gives the new one, also after a failure. Between the two a reader may see some of both,
+    as a folder of files has no snapshots.
+    """
+    path = path.rstrip("/")
+    old = sorted(row[0] for row in touched.distinct().collect())
+    store, make = _file_system(spark, path)
+    mark = uuid.uuid4().hex
+    table = spark.read.parquet(path)
+    rows = table.filter(F.col("_metadata.file_path").isin(old)) if old else table.limit(0)
+    _write(change(rows), f"{path}/_staged-{mark}", partitions, "errorifexists", "static")
+    hidden, journal = make(f"{path}/_part-{mark}"), make(f"{path}/_journal-{mark}")
+    out = store.create(hidden, False)
+    out.write(json.dumps(old).encode())
+    out.close()
+    if not store.rename(hidden, journal):
+        raise OSError(f"{path} is as before: {journal} could not be written")
+    finish_rewrites(spark, path)
+    return len(old)
+
+
+def finish_rewrites(spark: SparkSession, path: str) -> None:
+    """Finish rewrites of the table at `path` that stopped behind their journal, and drop what others left.
+
+    One writer at a time: what another is staging would be dropped.
+    """
+    path = path.rstrip("/")
+    store, make = _file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    if not store.exists(make(path)):
+        return
+    names = [status.getPath().getName() for status in store.listStatus(make(path))]
+    for name in names:
+        if not name.startswith("_journal-"):
+            continue
+        journal, staged = make(f"{path}/{name}"), make(f"{path}/_staged-{name.removeprefix('_journal-')}")
+        source = store.open(journal)
+        replaced = json.loads(jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+        source.close()
+        if store.exists(staged):
+            root = store.makeQualified(staged).toUri()
+            found, files = store.listFiles(staged, True), []
+            while found.hasNext():
+                files.append(found.next().getPath())
+            for file in files:
+                if not file.getName().startswith(("_", ".")):
+                    place = make(make(path), root.relativize(file.toUri()).getPath())
+                    store.mkdirs(place.getParent())
+                    if not store.rename(file, place):
+                        raise OSError(f"{file} could not be moved to {place}; run finish_rewrites again")
+        for name_ in replaced:
+            store.delete(make(jvm.java.net.URI(name_)), False)
+        store.delete(staged, True)
+        store.delete(journal, False)
+    for name in names:
+        if name.startswith(("_staged-", "_part-")) and store.exists(make(f"{path}/{name}")):
+            store.delete(make(f"{path}/{name}"), True)
+    spark.catalog.refreshByPath(path)
+
+
 def load_key_file(
     spark: SparkSession,
     source: str,

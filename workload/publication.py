@@ -117,6 +117,31 @@ def _read(t: Tables, path: str) -> DataFrame:
     return t.spark.read.parquet(path).select(*_ORDER.split(", "))
 
 
+@query(
+    f"""
+WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, 'late ' || o_orderpriority o_orderpriority FROM orders WHERE o_custkey % 50 = 0
+ UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, 'new' FROM orders WHERE o_custkey % 70 = 0)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, coalesce(s.o_orderpriority, o.o_orderpriority) o_orderpriority
+FROM orders o LEFT JOIN src s USING (o_orderkey)
+UNION ALL SELECT {_ORDER} FROM src WHERE o_orderkey < 0"""
+)
+def upsert_touched_files(t: Tables) -> DataFrame:
+    """A stored table of which only the files with a changed row are written anew."""
+    path, names = scratch_path(t.spark, "touched"), _ORDER.split(", ")
+    _orders(t).repartitionByRange(200, "o_orderkey").write.parquet(path)
+    changed = _orders(t).filter("o_custkey % 50 = 0").selectExpr(*names[:3], "concat('late ', o_orderpriority) o_orderpriority")
+    new = _orders(t).filter("o_custkey % 70 = 0").selectExpr("-o_orderkey o_orderkey", *names[1:3], "'new' o_orderpriority")
+    stored.upsert_files(changed.unionByName(new), path, ["o_orderkey"], ["o_orderpriority"])
+    return _read(t, path)
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'P' THEN 'open' ELSE o_orderpriority END o_orderpriority FROM orders")
+def update_touched_files(t: Tables) -> DataFrame:
+    path = _stored(t, "updated")
+    stored.update_files(t.spark, path, F.col("o_orderstatus") == "P", {"o_orderpriority": F.lit("open")}, ["o_orderstatus"])
+    return _read(t, path)
+
+
 @query(
     f"""
 SELECT {_ORDER} FROM orders WHERE o_orderstatus <> 'F' UNION ALL
