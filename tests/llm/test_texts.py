@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from veilspark.llm.credentials import find_secrets, redact, redact_documents, sc
 from veilspark.llm.fingerprint import GREATEST, LEAST, containment, digests, chunks, edited, fingerprint_documents, render
 from veilspark.llm.language import Profiles, identify, letters
 from veilspark.llm.main_text import extract, main_text, path_scores, read_page
+import veilspark.llm.pieces as pieces_
 from veilspark.llm.pieces import Pieces, decode_documents, default_model, encode_documents
 
 
@@ -479,6 +481,27 @@ def test_pieces_against_the_library(spark):
         assert own.decode(ids) == text.replace("▁", " ")
 
 
+@pytest.mark.parametrize("window", [64, 1 << 16])
+def test_pieces_of_long_words(monkeypatch, window):
+    """Words longer than a window, also where merging depends on what stands far before."""
+    monkeypatch.setattr(pieces_, "WINDOW", window)
+    processor, own, rng = sentencepiece.SentencePieceProcessor(model_file=default_model()), Pieces(default_model()), random.Random(3)
+    kinds = ["y", "ab", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "的一是在不了有和人这中大为上个国", "=-_.,\n\t1 2".replace(" ", "")]
+    for kind in kinds:
+        for size in (pieces_.LONG, pieces_.LONG + 1, 5000):
+            word = "".join(rng.choices(kind, k=size))
+            (ids,) = own.encode([f"a {word} {word}b"])
+            assert np.frombuffer(ids, "<u4").tolist() == processor.encode(f"a {word} {word}b")
+
+
+def test_pieces_of_a_very_long_word():
+    word = "".join(random.Random(4).choices("abcdefghijklmnop\n", k=2_000_000))
+    begun = time.process_time()
+    (ids,) = Pieces(default_model()).encode([word])
+    assert time.process_time() - begun < 40
+    assert np.frombuffer(ids, "<u4").tolist() == sentencepiece.SentencePieceProcessor(model_file=default_model()).encode(word)
+
+
 def test_pieces_of_odd_rows(spark):
     rows = decode_documents(encode_documents(odd_docs(spark))).collect()
     assert sorted(row.text for row in rows) == sorted(text.replace("▁", " ") for _, text in texts())

@@ -25,8 +25,10 @@ from veilspark.llm.common import in_chunks, with_columns
 
 SPACE = "▁"
 KEPT_WORDS = 500_000
-#: Words in one index, which bounds the memory of its suffixes and edges.
+#: Words in one index, each of `LONG` characters at most, which bounds the memory of its suffixes and edges.
 INDEXED_WORDS = 16_384
+LONG = 256
+WINDOW = 1 << 16  # characters of a longer word that are indexed at a time
 KEPT_LENGTH = 48
 NONE, BEGIN = -1, -2
 
@@ -82,13 +84,13 @@ class Model:
             text = self.texts[symbol]
             for cut in range(1, len(text)):
                 a, b = place.get(text[:cut], NONE), place.get(text[cut:], NONE)
-                if 0 <= a < symbol and 0 <= b < symbol and self.left[a] != NONE and self.left[b] != NONE and self._stay(a, b):
+                if 0 <= a < symbol and 0 <= b < symbol and self.left[a] != NONE and self.left[b] != NONE and self.stays(a, b):
                     self.pairs[a, b] = symbol
                     self.left[symbol], self.right[symbol] = a, b
                     break
         self._arrays()
 
-    def _stay(self, a: int, b: int) -> bool:
+    def stays(self, a: int, b: int) -> bool:
         """Whether merging leaves two pieces side by side, by the merges known so far."""
         limit, left, right = len(self.texts), self.left, self.right
         while True:
@@ -221,6 +223,41 @@ def encode_words(model: Model, words: list[str]) -> list[list[int]]:
     return [part.tolist() for part in np.split(tokens[order], cuts)]
 
 
+def encode_long(model: Model, word: str) -> list[int]:
+    """The symbols of a long word, its mark of a space included.
+
+    As in `encode_words`, the piece that ends at a place follows from those that end where it may begin, so the
+    word is indexed in windows that overlap by the longest piece, and gone through once from the left.
+    """
+    points = np.frombuffer((SPACE + word).encode("utf-32-le"), "<u4")
+    n, size, known = len(model.texts), len(points), {}
+    length = model.length.tolist()
+    last = [NONE] * (size + 1)
+    last[0] = BEGIN
+    for low in range(0, size, WINDOW):
+        codes = model.code[points[low : low + WINDOW + model.longest]]
+        symbol, position = occurrences(model, codes)
+        own = position < WINDOW
+        symbol, position = symbol[own], position[own] + low
+        order = np.argsort(position, kind="stable")
+        for piece, place in zip(symbol[order].tolist(), position[order].tolist()):
+            before = last[place]
+            if before == BEGIN:
+                last[place + length[piece]] = piece
+            elif before >= 0:
+                pair = before * n + piece
+                holds = known.get(pair)
+                if holds is None:
+                    holds = known[pair] = model.stays(before, piece)
+                if holds:
+                    last[place + length[piece]] = piece
+    out, place = [], size
+    while place:
+        out.append(last[place])
+        place -= length[last[place]]
+    return out[::-1]
+
+
 class Pieces:
     """Encodes and decodes texts; words are kept until there are too many."""
 
@@ -229,10 +266,10 @@ class Pieces:
         self.known: dict[str, bytes] = {}
         self.mark = self.model.runs[1].to_bytes(4, "little")
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str], encoded: list[list[int]]) -> None:
         model = self.model
         ids = model.ids.tolist()
-        for word, symbols in zip(words, encode_words(model, words)):
+        for word, symbols in zip(words, encoded):
             if 0 in symbols:
                 marked, at, out = SPACE + word, 0, []
                 for symbol in symbols:
@@ -274,9 +311,13 @@ class Pieces:
             new.update(words)
         new = new.difference(self.known)
         new.discard("")
-        words = sorted(new)
+        words = sorted(word for word in new if len(word) <= LONG)
         for at in range(0, len(words), INDEXED_WORDS):
-            self._learn(words[at : at + INDEXED_WORDS])
+            some = words[at : at + INDEXED_WORDS]
+            self._learn(some, encode_words(self.model, some))
+        for word in new:
+            if len(word) > LONG:
+                self._learn([word], [encode_long(self.model, word)])
         get = self.known.__getitem__
         out = [self._with_runs(words) if "" in words else b"".join(map(get, words)) for words in split]
         for word in new:
