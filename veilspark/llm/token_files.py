@@ -3,8 +3,8 @@
 Documents are put in ascending order over all tasks, encoded, and coded into files of
 bounded size by the static coder of `rans`. A file is a row of a Parquet table, which
 any store that Spark writes to can hold, and which is committed as a whole or not at all: its
-place (part, file), how many documents and ids it has, the documents' ids and lengths,
-and the coded ids. Files, and blocks in a file, are decoded on their own.
+place (part, file), the ids of its part before it, how many documents and ids it has, the documents' ids and
+lengths, and the coded ids. Files, and blocks in a file, are decoded on their own.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilspark.llm.common import in_chunks, partitions, running_start
 from veilspark.llm.rans import compress, decompress
 from veilspark.llm.tokens import default_tokenizer, encoder
 
 FILE_TOKENS = 1 << 22
-FILES = "part int, file int, n_docs long, n_ids long, doc_ids array<long>, lengths array<long>, content binary"
+FILES = "part int, file int, before long, n_docs long, n_ids long, doc_ids array<long>, lengths array<long>, content binary"
 
 
 def write_token_files(
@@ -39,7 +39,7 @@ def write_token_files(
         part, file = TaskContext.get().partitionId(), 0
         encode = encoder(tokens).encode
         end = np.array([end_id], "<u4").tobytes()
-        keys, held, size = [], [], 0
+        keys, held, size, before = [], [], 0, 0
         for chunk in in_chunks(batches, "text"):
             for key, text in zip(chunk.column("doc_id").to_pylist(), chunk.column("text").to_pylist()):
                 ids = encode(text or "") + end
@@ -47,21 +47,22 @@ def write_token_files(
                 held.append(ids)
                 size += len(ids) // 4
                 if size >= file_tokens:
-                    yield _file(part, file, keys, held)
-                    keys, held, size, file = [], [], 0, file + 1
+                    yield _file(part, file, before, keys, held)
+                    keys, held, size, file, before = [], [], 0, file + 1, before + size
         if keys:
-            yield _file(part, file, keys, held)
+            yield _file(part, file, before, keys, held)
 
     order = ["doc_id", F.xxhash64("text")]
     ordered = docs.select("doc_id", "text").repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order)
     ordered.mapInArrow(run, FILES).write.option("compression", "uncompressed").parquet(path)
 
 
-def _file(part: int, file: int, keys: list, held: list[bytes]) -> pa.RecordBatch:
+def _file(part: int, file: int, before: int, keys: list, held: list[bytes]) -> pa.RecordBatch:
     ids = np.frombuffer(b"".join(held), "<u4")
     row = {
         "part": (pa.int32(), part),
         "file": (pa.int32(), file),
+        "before": (pa.int64(), before),
         "n_docs": (pa.int64(), len(keys)),
         "n_ids": (pa.int64(), len(ids)),
         "doc_ids": (pa.list_(pa.int64()), keys),
@@ -90,7 +91,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
                 parts = [ids[a:b].tobytes() for a, b in zip(starts, ends)]
                 columns = [
                     pa.array(row["doc_ids"], pa.int64()),
-                    pa.array(starts + row["start"], pa.int64()),
+                    pa.array(starts + row["part_start"] + row["before"], pa.int64()),
                     pa.array(row["lengths"], pa.int64()),
                     pa.array(list(map(zlib.crc32, parts)), pa.int64()),
                 ]
@@ -101,9 +102,6 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     names = [part.split()[0] for part in schema.split(", ")]
     files = spark.read.schema(FILES).parquet(path)
     parts = running_start(files.groupBy("part").agg(F.sum("n_ids").alias("n_ids")), "part", "n_ids", "part_start")
-    before = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    within = files.select("part", "file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("_within"))
-    starts = within.join(parts.select("part", "part_start"), "part")
-    starts = starts.select("part", "file", (F.col("part_start") + F.col("_within")).alias("start"))
-    rows = files.select("part", "file", "doc_ids", "lengths", "content").join(starts, ["part", "file"])
+    starts = F.broadcast(parts.select("part", "part_start"))  # a row for each partition of the writer at most
+    rows = files.select("part", "file", "before", "doc_ids", "lengths", "content").join(starts, "part")
     return rows.mapInArrow(run, schema)
