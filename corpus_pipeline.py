@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from veilspark.llm.common import importable
+from veilspark.llm.common import free_names, importable
 from veilspark.llm.credentials import redact_documents
 from veilspark.llm.language import UNKNOWN, learn, predict, with_letters
 from veilspark.llm.packing import pack_documents
 from veilspark.llm.simhash import keep_one
-from veilspark.sources.scratch import scratch_path
+from veilspark.sources.scratch import scratch_job, scratch_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = learn(docs)
     if not profiles.names:
         return with_letters(docs)
+    found, score = free_names(docs, "lang_pred", "score")
     if UNKNOWN in profiles.names:  # a label like any other
-        known = predict(with_letters(docs), profiles)
+        known = predict(with_letters(docs), profiles, (found, score))
     else:
-        known = predict(docs, profiles).where(F.col("lang_pred") != UNKNOWN)
-    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+        known = predict(docs, profiles, (found, score)).where(F.col(found) != UNKNOWN)
+    filled = F.coalesce("lang", found).alias("lang")
+    return known.select(*[filled if name.lower() == "lang" else F.col(f"`{name}`") for name in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,10 +60,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the documents; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        path = scratch_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """All stages in order over the documents; each result is written and read again.
+
+    Only the last result stays; the others, which hold secrets, are deleted with all scratch of the stages.
+    """
+    result = scratch_path(spark, "pipeline")
+    with scratch_job(spark, "stages"):
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, stage in STAGES:
+            path = result if name == STAGES[-1][0] else scratch_path(spark, name)
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs

@@ -8,6 +8,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "hash range borrowed hashes words fingerprint root path bits level component_id lowest node left right spans ids"
     " start held_out lang_pred score gram place part file cell far norm rep month key host segments copies list"
+    " _id _hash _missing id missing stays first row"
 ).split()
 
 LONG = "Lorem ipsum dolor sit amet, consetetur. " * 20_000

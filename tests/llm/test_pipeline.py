@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the pipeline against plain versions of its stages."""
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from veilspark.llm.queries import QUERIES, SQL
 def test_all_queries_are_registered():
     names = entry.queries().keys()
     assert {*QUERIES, "pipeline"} <= names and SQL.keys() <= entry.oracle_sql().keys()
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -65,6 +67,26 @@ def test_stages_on_odd_and_no_rows(spark):
     assert [frame.count() for frame in stages(spark, no_docs(spark))] == [0, 0, 0, 0]
 
 
+def test_stages_keep_columns_and_their_kinds(spark):
+    """Whatever they are called, and also maps."""
+    more = {"score": "0.5", "Lang_Pred": "'zz'", "_id": "'i'", "hash": "array(1)", "missing": "map('a', doc_id)", "_Score": "date'2020-01-01'"}
+    docs = documents(spark).selectExpr("*", *(f"{value} as {name}" for name, value in more.items()))
+    docs = docs.unionAll(docs.limit(30))
+    for frame in stages(spark, docs)[:3]:
+        assert [(f.name, f.dataType) for f in frame.schema] == [(f.name, f.dataType) for f in docs.schema]
+        rows = frame.collect()
+        assert {(str(r.score), r.Lang_Pred, r._id, tuple(r.hash), str(r._Score)) for r in rows} == {("0.5", "zz", "i", (1,), "2020-01-01")}
+        assert all(r.missing == {"a": r.doc_id} for r in rows)
+    assert len(rows) == len({r.doc_id for r in rows})
+
+
+def test_run_leaves_only_its_result(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert corpus_pipeline.run(spark, SF_DIR).count() > 0
+    assert [path.name.split("-")[0] for path in set(folder.iterdir()) - before] == ["pipeline"]
+
+
 def test_language_stage_where_nothing_is_learned(spark):
     unlabelled = documents(spark).withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.language(spark, unlabelled, SF_DIR)
@@ -85,3 +107,8 @@ def test_language_stage_keeps_texts_labelled_unknown(spark):
 def test_run_of_the_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF_DIR)
     assert rows.count() > 0 and rows.agg({"length": "max"}).first()[0] <= 2048
+
+
+def test_rows_are_not_moved_to_drop_a_few(spark):
+    plan = corpus_pipeline.near_duplicates(spark, documents(spark), SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

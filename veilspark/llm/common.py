@@ -39,6 +39,16 @@ def with_columns(df: DataFrame, **kinds: str | DataType) -> StructType:
     return schema
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each behind as many underscores as it needs to be no column of `df`, in either case."""
+    taken, out = {name.lower() for name in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def in_chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of `batches` in order, in slices of about `limit` bytes of `column`.
 

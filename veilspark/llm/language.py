@@ -135,21 +135,21 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return kinds, np.bincount(place, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
 
 
-def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
-    """`docs` with lang_pred and score; only `text` is looked at, whole.
+def predict(docs: DataFrame, profiles: Profiles, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """`docs` with lang_pred and score, or other `names`; only `text` is looked at, whole.
 
     A text that is null, empty or without letters is `und` with score 0, as is every text if
     nothing was learned. Of languages at the same distance the first by name is taken. All rows
     and columns stay; columns of the two names are replaced.
     """
-    kept = docs.drop("lang_pred", "score")
-    schema = with_columns(kept, lang_pred="string", score="double")
+    kept = docs.drop(*names)
+    schema = with_columns(kept, **dict(zip(names, ("string", "double"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in in_chunks(batches, "text"):
             found = [profiles.predict(text) for text in chunk.column("text").to_pylist()]
             columns = [*chunk.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*chunk.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*chunk.schema.names, *names])
 
     return kept.mapInArrow(run, schema)
 

@@ -24,11 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from veilspark.llm.common import partitions, with_columns
+from veilspark.llm.common import free_names, partitions, with_columns
+from veilspark.operators.joins import keyed_join
 from veilspark.sources.scratch import materialise
 
 BITS = 64
 BUCKET = 4096
+REMOVED = 250_000  # keys of rows that go, to send to all tasks
 OPEN_BITS = 16
 #: Pairs of a fingerprint and a block compared at a time, and shingle hashes counted at a time.
 PAIRS = HASHES = 1 << 17
@@ -295,17 +297,26 @@ def keep_one(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """The rows of `docs` without all but one of each component: that of the smallest doc_id.
 
     A null doc_id counts as larger than any. Of rows of one doc_id the text with the smallest hash
-    stays, of rows equal in both the smallest. Columns stay as they are.
+    stays, of rows equal in both the first as JSON. Columns stay as they are.
+
+    The keys of rows that go are joined to the rows, so the rows are moved only where there are too
+    many such keys to send them to all tasks (`REMOVED` keys, 16 MB).
     """
-    keys = ["_missing", "_id", "_hash"]
+    keys = missing, id_, hash_ = free_names(docs, "missing", "id", "hash")
     marked = docs.withColumns(
         {
-            "_missing": F.col("doc_id").isNull(),
-            "_id": F.coalesce("doc_id", F.lit(0)),
-            "_hash": F.xxhash64("text", F.col("text").isNull()),
+            missing: F.col("doc_id").isNull(),
+            id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+            hash_: F.xxhash64("text", F.col("text").isNull()),
         }
     )
-    groups = components(marked, shingle, radius, ("doc_id", *keys))
-    kept = groups.groupBy("root").agg(F.min(F.struct(*keys)).alias("first")).select("first.*")
-    rows = marked.join(kept, keys, "left_semi").groupBy(*keys).agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return rows.select("row.*")
+    narrow = marked.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.struct(*keys).alias("key"))
+    groups = materialise(components(narrow, shingle, radius, ("doc_id", "key")).groupBy("root", "key").count(), "groups")
+    # Stored, so that the join meets no aggregate and adaptive execution may split a large component.
+    first = materialise(groups.groupBy("root").agg(F.min("key").alias("first")), "first")
+    told = groups.join(first, "root").select("key.*", (F.col("key") == F.col("first")).alias("stays"), "count")
+    told = materialise(told.where("not stays or count > 1"), "told")
+    left = keyed_join(marked, told.select(*keys), keys, "left_anti", small=REMOVED)
+    again = keyed_join(marked, told.where("stays").select(*keys), keys, "left_semi", small=REMOVED)
+    single = again.groupBy(*keys).agg(F.min_by(F.struct(*docs.columns), F.to_json(F.struct(*docs.columns))).alias("row"))
+    return left.select(*docs.columns).unionByName(single.select("row.*"))
