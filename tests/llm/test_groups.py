@@ -229,6 +229,31 @@ def test_query_keeps_rows_that_share_an_id(spark, tmp_path, block):
     assert difference(top_k(vectors, block=block, all_rows=True), connection, queries.SQL["op2_knn"]) is None
 
 
+def test_query_beside_an_id_with_many_rows(spark, tmp_path):
+    """The rows of one id, and a query's own ones, crowd out no others."""
+    from veilspark.llm import queries
+
+    rng = np.random.default_rng(11)
+    near = 1 + rng.integers(0, 40, (100_000, 3)) / 64
+    rows = [(21 if i > 200 else 20, row) for i, row in enumerate(near.tolist())] + [(int(key), row.tolist()) for key, row in zip(rng.integers(0, 90, 500), rng.normal(size=(500, 3)))]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = {}
+    for row in queries.QUERIES["op2_knn"](spark, str(tmp_path)).collect():
+        found.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    ids = np.array([row[0] for row in rows])
+    whole = np.floor(64 * np.array([row[1] for row in rows])).astype(np.int64)
+    for query in set(ids[ids % 20 == 0].tolist()):
+        best = []
+        others = whole[ids != query]
+        for own in np.unique(whole[ids == query], axis=0):
+            copies = int((whole[ids == query] == own).all(axis=1).sum())
+            line = others @ own
+            some = np.lexsort((ids[ids != query], -line))[:20]
+            best += [(-int(line[p]), int(ids[ids != query][p])) for p in some for _ in range(min(copies, 20))]
+        wanted = [(rank, key, -score) for rank, (score, key) in enumerate(sorted(best)[:20], 1)]
+        assert sorted(found[query]) == wanted
+
+
 # ---- URL lists
 
 ENTRY = "list string, scope string, pattern string, verdict string, action string, effective timestamp"

@@ -7,7 +7,7 @@ group of data a score that none of its vectors can exceed. Only data that may re
 former is sent to a group of queries, where the best are found by a matrix product. All
 bounds are those of inner products: q.x lies within |q| |x - p| of q.p for a pivot p.
 
-Equal vectors are one vector with its k + 1 smallest ids: others can't be among the best. A
+Equal vectors are one vector with its 2k smallest ids, of one id k at most: others can't be among the best. A
 group is cut in blocks of bounded size, so no task holds a whole one.
 """
 
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from veilspark.llm.common import with_columns
+from veilspark.llm.common import partitions, with_columns
 from veilspark.sources.scratch import materialise
 
 DATA_BLOCK = 8192
@@ -66,29 +66,44 @@ def nearest(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return cells, far
 
 
-def group_bounds(pivots: np.ndarray, radius: dict[int, float], data: dict[int, dict], k: int) -> list[tuple[int, int, float]]:
-    """(query cell, data cell, least distance to the data cell's pivot) of all that may matter.
+class Bounds:
+    """For cells of queries the cells of data that may matter.
 
-    `radius`: of the query cells. `data`: each data cell's radius, largest norm and the
-    ascending distances nearest to its pivot. A little slack covers rounding.
+    `data`: each data cell's radius, largest norm and ascending distances near its pivot. The vectors at those
+    distances have different ids, over all cells, so k + 1 of them are k of other ids than any query's.
     """
-    p = pivots.astype(np.float64)
-    norm = np.sqrt((p * p).sum(axis=1))
-    dots = p @ p.T
-    out = []
-    cells = sorted(data)
-    for i, r in radius.items():
-        longest = norm[i] + r
-        slack = 1e-9 * (1 + longest * max(data[j]["norm"] + norm[j] for j in cells))
-        sure = np.concatenate([dots[i, j] - r * norm[j] - longest * np.array(data[j]["near"]) for j in cells])
-        floor = -np.inf if len(sure) <= k else np.partition(sure, len(sure) - k - 1)[len(sure) - k - 1]
-        for j in cells:
-            centre = dots[i, j] + r * norm[j]
-            most = min(centre + longest * data[j]["radius"], longest * data[j]["norm"])
-            if most + slack >= floor:
-                least = (floor - slack - centre) / longest if longest and floor > -np.inf else -1.0
-                out.append((i, j, float(max(-1.0, least - 1e-9 * (1 + abs(least))))))
-    return out
+
+    def __init__(self, pivots: np.ndarray, data: dict[int, dict], k: int):
+        p = pivots.astype(np.float64)
+        self.norm, self.dots, self.k = np.sqrt((p * p).sum(axis=1)), p @ p.T, k
+        self.cells = np.array(sorted(data))
+        rows = [data[cell] for cell in self.cells.tolist()]
+        self.radius, self.longest = (np.array([row[name] for row in rows]) for name in ("radius", "norm"))
+        self.near = np.full((len(rows), k + 1), np.inf)
+        for line, row in zip(self.near, rows):
+            line[: len(row["near"])] = row["near"][: k + 1]
+
+    def of(self, cell: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """Data cells, and the least distance to its pivot that a vector of each needs, for queries within `reach`.
+
+        A little slack covers rounding.
+        """
+        longest, dots, norm = self.norm[cell] + reach, self.dots[cell, self.cells], self.norm[self.cells]
+        slack = 1e-9 * (1 + longest * (self.longest + norm).max())
+        sure = (dots - reach * norm)[:, None] - (longest * self.near if longest else np.where(np.isfinite(self.near), 0, np.inf))
+        sure = sure[np.isfinite(self.near)]
+        floor = -np.inf if len(sure) <= self.k else np.partition(sure, len(sure) - self.k - 1)[len(sure) - self.k - 1]
+        centre = dots + reach * norm
+        most = np.minimum(centre + longest * self.radius, longest * self.longest)
+        least = (floor - slack - centre) / longest if longest and floor > -np.inf else np.full(len(dots), -1.0)
+        some = most + slack >= floor
+        return self.cells[some], np.maximum(-1.0, least - 1e-9 * (1 + np.abs(least)))[some]
+
+
+def group_bounds(pivots: np.ndarray, radius: dict[int, float], data: dict[int, dict], k: int) -> list[tuple[int, int, float]]:
+    """(query cell, data cell, least distance) for query cells with their `radius`."""
+    bounds = Bounds(pivots, data, k)
+    return [(i, int(j), float(least)) for i, r in radius.items() for j, least in zip(*bounds.of(i, r))]
 
 
 def scores(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -106,6 +121,30 @@ def best(line: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((first[some], -line[some].astype(np.int64)))[:k]]
 
 
+def first_rows(line: np.ndarray, first: np.ndarray, ids: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """vec_id and score of the 2k first rows of vectors with these scores, of each vec_id k at most.
+
+    `ids` has the rows of each vector and `first` the smallest. Each of m vectors has a row before all of the
+    other vectors, so of their rows the first m are those of all.
+    """
+    m = 4 * k
+    while True:
+        places = best(line, first, m)
+        some = [ids[p] for p in places]
+        value, found = np.repeat(line[places].astype(np.int64), [len(x) for x in some]), np.concatenate(some)
+        order = np.lexsort((found, -value))
+        order = order[:m] if m < len(line) else order
+        found, value = found[order], value[order]
+        by_id = np.argsort(found, kind="stable")
+        begins = np.flatnonzero(np.diff(found[by_id], prepend=found[by_id[:1]] - 1))
+        turn = np.empty(len(found), np.int64)
+        turn[by_id] = np.arange(len(found)) - np.repeat(begins, np.diff(np.append(begins, len(found))))
+        kept = np.flatnonzero(turn < k)[: 2 * k]
+        if len(kept) == 2 * k or m >= len(line):
+            return found[kept], value[kept]
+        m *= 4
+
+
 def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, block: int = DATA_BLOCK, all_rows: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` best of each vector whose vec_id is divisible by `every`.
 
@@ -124,11 +163,13 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
     if not size["n"]:
         return empty
     width = max(1, size["width"])
-    wanted = k
-    if all_rows:  # so many rows at most are a query's own and don't count
-        k += clean.where(F.col("vec_id") % every == 0).groupBy("vec_id").count().agg(F.coalesce(F.max("count"), F.lit(1))).first()[0] - 1
+    # Of one id k rows at most can be among the best; so of k of an id and k more, k are another's.
+    few = clean
+    if all_rows:
+        again = F.row_number().over(Window.partitionBy("v", "vec_id").orderBy("vec_id"))
+        few = few.withColumn("place", again).where(F.col("place") <= k)
     place = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    few = clean.withColumn("place", place).where(F.col("place") <= k + 1)
+    few = few.withColumn("place", place).where(F.col("place") <= 2 * k)
     alike = few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
     # A number for each distinct vector; with `all_rows` several may have the same smallest id.
     alike = alike.withColumn("rep", F.monotonically_increasing_id() if all_rows else F.col("ids")[0])
@@ -151,9 +192,10 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
     schema = with_columns(alike, cell="long", far="double", norm="double")
     grouped = materialise(alike.mapInArrow(assign, schema), "grouped")
 
-    near = F.row_number().over(Window.partitionBy("cell").orderBy("far", "rep"))
-    nearest_of = grouped.select("cell", "far", "rep").withColumn("place", near).where(F.col("place") <= k + 1)
-    nearest_of = nearest_of.groupBy("cell").agg(F.collect_list("far").alias("near"))
+    near = F.row_number().over(Window.partitionBy("cell").orderBy("far", "id"))
+    of_id = grouped.groupBy(F.col("ids")[0].alias("id")).agg(F.min(F.struct("far", "cell")).alias("at"))
+    nearest_of = of_id.select("id", "at.far", "at.cell").withColumn("place", near).where(F.col("place") <= k + 1)
+    nearest_of = nearest_of.groupBy("cell").agg(F.sort_array(F.collect_list("far")).alias("near"))
     summary = grouped.groupBy("cell").agg(
         F.count("*").alias("n"),
         F.max("far").alias("radius"),
@@ -161,7 +203,7 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
         F.count_if("asks").alias("asking"),
         F.max(F.when(F.col("asks"), F.col("far"))).alias("reach"),
     )
-    data = {row["cell"]: row.asDict() for row in summary.join(nearest_of, "cell").collect()}
+    data = {row["cell"]: row.asDict() | {"near": row["near"] or []} for row in summary.join(nearest_of, "cell", "left").collect()}
     reach = {cell: row["reach"] for cell, row in data.items() if row["asking"]}
     if not reach:
         return empty
@@ -169,7 +211,16 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
         [(c, -(-row["n"] // block), max(1, -(-row["asking"] // QUERY_BLOCK))) for c, row in data.items()],
         "cell long, data_blocks long, query_blocks long",
     )
-    pairs = spark.createDataFrame(group_bounds(pivots, reach, data, k), "query_cell long, data_cell long, least double")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = Bounds(pivots, data, k)
+        for batch in batches:
+            for cell, far in zip(batch.column("query_cell").to_pylist(), batch.column("reach").to_pylist()):
+                cells, least = bounds.of(cell, far)
+                yield pa.RecordBatch.from_arrays([pa.array([cell] * len(cells), pa.int64()), pa.array(cells), pa.array(least)], ["query_cell", "data_cell", "least"])
+
+    asking_cells = spark.createDataFrame(list(reach.items()), "query_cell long, reach double").repartition(partitions(alike), "query_cell")
+    pairs = asking_cells.mapInArrow(meet, "query_cell long, data_cell long, least double")
 
     def pack(names: tuple[str, ...]):
         def run(key: tuple, group: pa.Table) -> pa.Table:
@@ -220,12 +271,8 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
                 table = scores(queries, rows[near_])
                 out = [[], [], []]
                 for rep, line in zip(reps, table):
-                    places = best(line, first, k + 1)
-                    some = [ids[near_[p]] for p in places]
-                    value = np.repeat(line[places].astype(np.int64), [len(x) for x in some])
-                    every_id = np.concatenate(some)
-                    order = np.lexsort((every_id, -value))[: k + 1]
-                    for column, part in zip(out, (np.full(len(order), rep), every_id[order], value[order])):
+                    found_ids, value = first_rows(line, first, [ids[p] for p in near_] if len(near_) < len(ids) else ids, k)
+                    for column, part in zip(out, (np.full(len(value), rep), found_ids, value)):
                         column.append(part)
                 columns = [pa.array(np.concatenate(column)) for column in out]
                 yield pa.RecordBatch.from_arrays(columns, ["rep", "vec_id", "score"])
@@ -234,12 +281,15 @@ def top_k(vectors: DataFrame, every: int = 20, k: int = 20, factor: int = 64, bl
         "query_kind", "queries", "query_ids", "query_counts", "kind", "rows", "ids", "counts", "far", "least"
     ).mapInArrow(solve, "rep long, vec_id long, score long")
     order = [F.desc("score"), F.asc("vec_id")]
-    ranked = found.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy(*order))).where(F.col("place") <= k + 1)
+    if all_rows:
+        of_id = F.row_number().over(Window.partitionBy("rep", "vec_id").orderBy(F.desc("score")))
+        found = found.withColumn("place", of_id).where(F.col("place") <= k)
+    ranked = found.withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy(*order))).where(F.col("place") <= 2 * k)
     lists = ranked.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("list"))
     queries = asked.select(F.col("vec_id").alias("query_id"), "v").join(alike.select("v", "rep"), "v").select("query_id", "rep")
-    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, wanted)
+    own = F.slice(F.filter("list", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     rows = queries.join(lists, "rep").select("query_id", F.posexplode(own).alias("place", "hit"))
-    if k > wanted:
+    if all_rows:
         best_of_id = Window.partitionBy("query_id").orderBy(F.desc("hit.score"), "hit.vec_id")
-        rows = rows.withColumn("place", F.row_number().over(best_of_id) - 1).where(F.col("place") < wanted)
+        rows = rows.withColumn("place", F.row_number().over(best_of_id) - 1).where(F.col("place") < k)
     return rows.select("query_id", (F.col("place") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score"))
