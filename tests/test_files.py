@@ -164,6 +164,15 @@ def test_records_that_are_wrong_raise(spark, tmp_path, small_splits):
             delimited.read_delimited(spark, str(tmp_path), line_breaks="read").collect()
 
 
+def test_lone_quotes_join_no_lines_of_one_column(spark, tmp_path):
+    """Two of them are an even number, and any lines are as wide as one."""
+    put(tmp_path, "a.txt", ["a", "x", '5" pipe', "y", '3" nail', "z"])
+    with pytest.raises(Exception, match="quotes are open"):
+        delimited.read_delimited(spark, str(tmp_path), line_breaks="read").collect()
+    assert delimited.file_faults(spark, str(tmp_path), line_breaks="read").first().status == "902"
+    assert delimited.read_delimited(spark, str(tmp_path)).count() == 5
+
+
 def test_inventory_of_records(spark, tmp_path, small_splits):
     (tmp_path / "a.txt").write_text("a,b\n" + broken_lines(20))
     row = delimited.file_inventory(spark, str(tmp_path), line_breaks="read").first()

@@ -219,7 +219,7 @@ def _unlike(names: Sequence[str], wanted: Sequence[str]) -> str | None:
 
 
 def _dialect(value: Column, sep: str) -> Column:
-    """How the fields of a record stand: `open`, whether it ends within quotes, and `fields`, how many there are.
+    """How the fields of a record stand: `fields`, how many there are, and `open`, whether it ends within quotes or has a line break outside.
 
     The texts between quotes are gone through in order. A quote opens a field only at its start, two
     in a row within one are a quote of its text, and any other stands for itself.
@@ -234,11 +234,12 @@ def _dialect(value: Column, sep: str) -> Column:
         inside, seps = state == quoted_, F.length(text) - F.length(F.replace(text, F.lit(sep), F.lit("")))
         ended = F.when(inside | (F.length(text) == 0), state).when(F.endswith(text, F.lit(sep)), F.lit(start)).otherwise(F.lit(plain))
         more = F.when(inside, F.lit(0)).otherwise((seps / len(sep)).cast("int"))
-        return F.struct(ended.alias("state"), (at["seps"] + more).alias("seps"))
+        broken = at["broken"] | (~inside & F.contains(text, F.lit("\n")))
+        return F.struct(ended.alias("state"), (at["seps"] + more).alias("seps"), broken.alias("broken"))
 
-    first = F.struct(F.lit(-1).alias("state"), F.lit(0).alias("seps"))
+    first = F.struct(F.lit(-1).alias("state"), F.lit(0).alias("seps"), F.lit(False).alias("broken"))
     last = F.aggregate(F.split(value, '"', -1), first, step)
-    return F.struct((last["state"] == quoted_).alias("open"), (last["seps"] + 1).alias("fields"))
+    return F.struct(((last["state"] == quoted_) | last["broken"]).alias("open"), (last["seps"] + 1).alias("fields"))
 
 
 def _quotes(value: Column) -> Column:
@@ -246,8 +247,11 @@ def _quotes(value: Column) -> Column:
 
 
 def _opens(value: Column, sep: str) -> Column:
-    """Whether a line ends within quotes, as the field goes on in the next. Only lines with an odd number are looked at."""
-    return F.when(_quotes(value) % 2 == 1, _dialect(value, sep)["open"]).otherwise(False)
+    """Whether quotes are open at a record's end, or line breaks stand outside of them.
+
+    Only records with an odd number of quotes or with a line break are looked at.
+    """
+    return F.when((_quotes(value) % 2 == 1) | F.contains(value, F.lit("\n")), _dialect(value, sep)["open"]).otherwise(False)
 
 
 def _fields(value: Column, sep: str) -> Column:
@@ -424,7 +428,7 @@ def _cells(named: DataFrame, lists: list[list[str]], sep: str) -> DataFrame:
     # Rows that a filter drops may still be checked before, so the checks leave them alone.
     left = F.col("_head") | (F.length(F.trim("value")) == 0)
     told = F.concat("file_nm", F.lit(": a line has "), _fields(value, sep).cast("string"), F.lit(f" fields, its file has {len(wanted)}"))
-    broken = F.concat("file_nm", F.lit(": quotes are open at the end of a line; line breaks within them take line_breaks='read'"))
+    broken = F.concat("file_nm", F.lit(": quotes are open at the end of a line, or at a line break outside; line breaks within them take line_breaks='read'"))
     text = F.when(left, None).when(_opens(value, sep), F.raise_error(broken)).otherwise(value)
     rows = named.withColumn("_row", _parsed(text, len(wanted), sep)).filter(~left)
     row = F.col("_row")
