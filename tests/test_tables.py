@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veilspark.operators import tables
 from veilspark.plans.linkage import hash_and_store
-from veilspark.sources import tables as stored
+from veilspark.sources import manifest, tables as stored
 from veilspark.sources.scratch import materialise, scratch_job, scratch_path
 
 
@@ -214,7 +214,7 @@ def test_rewrite_that_stops_anywhere_is_finished_or_undone(spark, tmp_path, monk
     path = str(tmp_path / "table")
     stored_in_files(spark, path)
     source = spark.createDataFrame(UPDATES, "id long, part long, v string")
-    real = stored._file_system
+    real = stored.file_system
     left = [at]
 
     class Failing:
@@ -229,9 +229,56 @@ def test_rewrite_that_stops_anywhere_is_finished_or_undone(spark, tmp_path, monk
                 left[0] -= 1
             return getattr(self.store, name)
 
-    monkeypatch.setattr(stored, "_file_system", lambda *args: (Failing(real(*args)[0]), real(*args)[1]))
+    monkeypatch.setattr(stored, "file_system", lambda *args: (Failing(real(*args)[0]), real(*args)[1]))
     with pytest.raises(OSError, match="lost"):
         stored.upsert_files(source, path, ["id"], ["v"], ["part"])
     stored.upsert_files(source, path, ["id"], ["v"], ["part"])
     assert state(spark, path) == updated()
     assert not [child for child in Path(path).iterdir() if child.name.startswith(("_staged", "_journal", "_part"))]
+
+
+def released(spark, path):
+    return sorted((r.file_nm, r.V) for r in manifest.read_release(spark, path).collect())
+
+
+def files(spark, rows):
+    return spark.createDataFrame(rows, "file_nm string, v string")
+
+
+def test_release_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "out")
+    with pytest.raises(ValueError, match="nothing is released"):
+        manifest.read_release(spark, path)
+    first = [("a.txt", "1"), ("a.txt", "2"), ("b 1.txt", "3")]
+    assert manifest.publish(files(spark, first), path) == "v000000001"
+    assert released(spark, path) == first
+    second = files(spark, [("a.txt", "x"), ("c.txt", "y")])
+    real = manifest._measured
+    monkeypatch.setattr(manifest, "_measured", lambda *_: 1 / 0)  # behind the files, before the manifest
+    with pytest.raises(ZeroDivisionError):
+        manifest.publish(second, path)
+    monkeypatch.setattr(manifest, "_measured", real)
+    assert released(spark, path) == first
+    for version in ("v000000002", "v000000003"):  # run again, also when done
+        assert manifest.publish(second, path) == version
+        assert released(spark, path) == [("a.txt", "x"), ("b 1.txt", "3"), ("c.txt", "y")]
+    assert manifest.prune(spark, path) == 2
+    assert released(spark, path) == [("a.txt", "x"), ("b 1.txt", "3"), ("c.txt", "y")]
+
+
+@pytest.mark.parametrize("harm", ["change", "delete", "add"])
+def test_files_that_are_not_as_released_are_found(spark, tmp_path, harm):
+    path = tmp_path / "out"
+    manifest.publish(files(spark, [("a.txt", "1"), ("a.txt", "2"), ("b.txt", "3")]), str(path))
+    file = next(path.rglob("file_nm=a.txt/part-*.csv"))
+    text = file.read_text()
+    if harm == "change":
+        file.write_text(text.replace("2", "9"))
+    elif harm == "add":
+        file.write_text(text + "2\n")
+    else:
+        file.unlink()
+    (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    assert {r.file_nm: r.intact for r in manifest.verify(spark, str(path)).collect()} == {"a.txt": False, "b.txt": True}
+    with pytest.raises(ValueError, match="a.txt"):
+        manifest.read_release(spark, str(path))

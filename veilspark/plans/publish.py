@@ -16,6 +16,7 @@ from veilspark.operators.inventory import (
 from veilspark.operators.release import missing_outputs, releasable, release_verdicts
 from veilspark.operators.tables import update_exists
 from veilspark.sources.delimited import file_inventory
+from veilspark.sources.manifest import publish
 from veilspark.sources.scratch import materialise
 from veilspark.sources.sinks import write_delimited
 
@@ -58,17 +59,21 @@ class Release:
     missing: DataFrame
 
 
-def release_job(register: DataFrame, rows: DataFrame, path: str, centre: Column) -> Release:
+def release_job(register: DataFrame, rows: DataFrame, path: str, centre: Column, with_manifest: bool = False) -> Release:
     """Write the registered files of every complete study; leave the others alone.
 
     `rows` carry the study keys and `out_nm`, the file each belongs to. A file that was
-    released before is replaced, so a second run leaves what the first did.
+    released before is replaced, so a second run leaves what the first did. With `with_manifest` the files
+    are released as `sources.manifest` does, all at once for its readers.
     """
     expected = expected_outputs(register, "deid", centre)
     produced = materialise(rows.select(*STUDY, "out_nm").distinct(), "produced")
     verdicts = materialise(release_verdicts(expected, produced), "release")
     ready = releasable(rows, verdicts, expected).withColumnRenamed("out_nm", "file_nm")
-    write_delimited(ready, path, file_column="file_nm", mode="replace")
+    if with_manifest:
+        publish(ready, path)
+    else:
+        write_delimited(ready, path, file_column="file_nm", mode="replace")
     return Release(verdicts, missing_outputs(expected, produced))
 
 

@@ -56,7 +56,7 @@ def replace_partition(
             _delete_partition(df.sparkSession, path, row.asDict())
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The store that holds `path`, and a maker of its paths."""
     jvm = spark.sparkContext._jvm
     make = jvm.org.apache.hadoop.fs.Path
@@ -65,7 +65,7 @@ def _file_system(spark: SparkSession, path: str):
 
 def _delete_partition(spark: SparkSession, path: str, values: Mapping[str, str | None]) -> bool:
     """Delete the folder of one partition; false if there is none."""
-    store, make = _file_system(spark, path)
+    store, make = file_system(spark, path)
     names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     folders = [
         f"{name}={NULL_FOLDER if value in (None, '') else names.escapePathName(value)}" for name, value in values.items()
@@ -87,7 +87,7 @@ def rewrite(state: DataFrame, path: str, partitions: Sequence[str] = ()) -> None
     that hold them.
     """
     spark, path = state.sparkSession, path.rstrip("/")
-    store, make = _file_system(spark, path)
+    store, make = file_system(spark, path)
     mark = uuid.uuid4().hex
     new, old = f"{path}.new-{mark}", f"{path}.old-{mark}"
     _write(state, new, partitions, "errorifexists", "static")
@@ -150,7 +150,7 @@ def rewrite_files(
     """
     path = path.rstrip("/")
     old = sorted(row[0] for row in touched.distinct().collect())
-    store, make = _file_system(spark, path)
+    store, make = file_system(spark, path)
     mark = uuid.uuid4().hex
     table = spark.read.parquet(path)
     rows = table.filter(F.col("_metadata.file_path").isin(old)) if old else table.limit(0)
@@ -171,7 +171,7 @@ def finish_rewrites(spark: SparkSession, path: str) -> None:
     One writer at a time: what another is staging would be dropped.
     """
     path = path.rstrip("/")
-    store, make = _file_system(spark, path)
+    store, make = file_system(spark, path)
     jvm = spark.sparkContext._jvm
     if not store.exists(make(path)):
         return

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from veilspark.operators import release, tables
 from veilspark.operators.inventory import expected_outputs, inventory_status
 from veilspark.plans.publish import complete_requests, inventory_job, release_job
-from veilspark.sources import tables as stored
+from veilspark.sources import manifest, tables as stored
 from veilspark.sources.delimited import file_inventory
 from veilspark.sources.scratch import scratch_path
 from veilspark.sources.sinks import deliver, write_bundles
@@ -391,6 +391,39 @@ def release_twice(t: Tables) -> DataFrame:
     return _released(t, t.keyed, 2)
 
 
+def _released_by_manifest(t: Tables) -> str:
+    """Two releases, of which the second replaces files of some studies."""
+    rows = expected_outputs(t.keyed, "deid", F.lit("K0002"))
+    made = rows.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
+    path = scratch_path(t.spark, "release")
+    columns = ["ask_id", "rshp_id", "out_nm", "o_orderkey", "prio"]
+    register = t.keyed.select(*_REGISTER).distinct()
+    release_job(register, made.select(*columns), path, F.lit("K0002"), with_manifest=True)
+    again = made.filter("ask_id >= '2019-00004'").selectExpr(*columns[:-1], "upper(prio) prio")
+    release_job(register.filter("ask_id >= '2019-00004'"), again, path, F.lit("K0002"), with_manifest=True)
+    return path
+
+
+@query(
+    f"""SELECT {_NAME} file_nm, count(*) n_rows, TRUE intact FROM keyed WHERE ask_id <> '2019-00003' GROUP BY ALL""",
+    "keyed",
+)
+def release_manifest(t: Tables) -> DataFrame:
+    """Released files and their rows as the manifest says, held against the files."""
+    return manifest.verify(t.spark, _released_by_manifest(t))
+
+
+@query(
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, CASE WHEN ask_id >= '2019-00004' THEN upper(prio) ELSE prio END prio,
+ {_NAME} file_nm FROM keyed WHERE ask_id <> '2019-00003'""",
+    "keyed",
+)
+def release_read_by_manifest(t: Tables) -> DataFrame:
+    rows = manifest.read_release(t.spark, _released_by_manifest(t))
+    return rows.select(F.col("O_ORDERKEY").alias("o_orderkey"), F.col("PRIO").alias("prio"), "file_nm")
+
+
 @query(
     f"""
 SELECT CAST(o_orderkey AS VARCHAR) o_orderkey, prio, {_NAME} file_nm FROM keyed
