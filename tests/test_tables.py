@@ -282,3 +282,24 @@ def test_files_that_are_not_as_released_are_found(spark, tmp_path, harm):
     assert {r.file_nm: r.intact for r in manifest.verify(spark, str(path)).collect()} == {"a.txt": False, "b.txt": True}
     with pytest.raises(ValueError, match="a.txt"):
         manifest.read_release(spark, str(path))
+
+
+def test_key_table_is_not_exchanged(spark, tmp_path):
+    from veilspark.operators.linkage import swap_key
+    from veilspark.sources.by_key import open_by_key, store_by_key
+
+    path = str(tmp_path / "it's keys")
+    pairs = spark.range(300).selectExpr("concat('h', id % 200) hash_did", "concat('a', id % 200) alter_id", "id % 7 rnd")
+    stored_ = store_by_key(pairs.distinct(), path, ["hash_did"], 4)
+    data = spark.range(1000).selectExpr("case when id % 3 > 0 then concat('h', id % 250) end hash_did", "id v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table in (stored_, open_by_key(spark, path)):
+            for how in ("left", "inner"):
+                swapped = swap_key(data, table, how, keep=["rnd"], by_key=True)
+                plan = swapped._jdf.queryExecution().executedPlan().toString()
+                assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+                assert rows(swapped) == rows(swap_key(data, pairs, how, keep=["rnd"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

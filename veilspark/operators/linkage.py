@@ -18,6 +18,7 @@ from veilspark.columns import (
 )
 from veilspark.functions.hashing import person_hash
 from veilspark.operators.joins import keyed_join
+from veilspark.sources.by_key import join_by_key
 
 MATCHED = "429"
 NOT_MATCHED = "428"
@@ -150,15 +151,21 @@ def attach_report(rows: DataFrame, attached: DataFrame, by: Sequence[str]) -> Da
     )
 
 
-def swap_key(rows: DataFrame, alternates: DataFrame, how: str = "left", keep: Sequence[str] = ()) -> DataFrame:
+def swap_key(
+    rows: DataFrame, alternates: DataFrame, how: str = "left", keep: Sequence[str] = (), by_key: bool = False
+) -> DataFrame:
     """Replace `hash_did` by `alter_id` at the same place.
 
     `left` keeps rows without an alternate key, `inner` drops them. A hash with two
     alternates yields a row for each. `keep` names more columns of the alternate
-    table (such as a date shift) to append.
+    table (such as a date shift) to append. With `by_key`, `alternates` is a table of these columns
+    that `sources.by_key` stored by `hash_did`, and is not shuffled.
     """
-    pairs = alternates.select("hash_did", "alter_id", *keep).distinct()
-    joined = keyed_join(rows, pairs, ["hash_did"], how, sized_by=alternates)
+    if by_key:
+        joined = join_by_key(rows, alternates.select("hash_did", "alter_id", *keep), "hash_did", how)
+    else:
+        pairs = alternates.select("hash_did", "alter_id", *keep).distinct()
+        joined = keyed_join(rows, pairs, ["hash_did"], how, sized_by=alternates)
     names = ["alter_id" if name.lower() == "hash_did" else name for name in rows.columns]
     return joined.select(*names, *keep)
 
