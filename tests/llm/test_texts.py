@@ -58,6 +58,54 @@ def test_fingerprints_against_one_list(spark, ranges):
         assert (row.near_edited, row.near_next) == (containment(own, other), containment(own, next_))
 
 
+def gear(byte: int) -> int:
+    x = (byte + 1) * 0x9E3779B97F4A7C15 % 2**64
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % 2**64
+    return ((x ^ x >> 27) * 0x94D049BB133111EB % 2**64) >> 32
+
+
+def plain_chunks(text: bytes) -> list[bytes]:
+    """Cut byte by byte: a rolling hash, a strict mask up to the normal length and a loose one behind it."""
+    out, start, rolling = [], 0, 0
+    for at, byte in enumerate(text, 1):
+        rolling = ((rolling << 1) + gear(byte)) % 2**32
+        size, zeros = at - start, 32 - rolling.bit_length()
+        if (size >= 32 and zeros >= (9 if size <= 96 else 5)) or size == 512:
+            out.append(text[start:at])
+            start = at
+    return out + [text[start:]] * (start < len(text))
+
+
+def test_chunks_byte_by_byte(spark):
+    rng = random.Random(12)
+    some = [row.text or "" for row in documents(spark).collect()] + [text for _, text in texts() if len(text) < 50_000]
+    some += ["", "a", "ab" * 600, "".join(rng.choices("ab c\n", k=5000)), "é漢😀" * 500]
+    some = [text.encode() for text in some]
+    for text, cuts in zip(some, chunks(some)):
+        assert [text[a:b] for a, b in cuts] == plain_chunks(text)
+
+
+def test_fingerprints_by_sets_of_chunks(spark):
+    import xxhash
+
+    rows = sorted((row.doc_id, row.text or "") for row in documents(spark).collect())
+    found = {row.doc_id: row for row in fingerprint_documents(documents(spark)).collect()}
+
+    def within(one: str, other: str) -> float:
+        own, there = set(plain_chunks(one.encode())), set(plain_chunks(other.encode()))
+        return sum(len(c) for c in own & there) / sum(map(len, own)) if own else float(not there)
+
+    for (key, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        half = len(text) // 2
+        changed = text[: len(text) - half] + after[:half]
+        told = lambda t: sorted({(xxhash.xxh3_64_intdigest(c), len(c)) for c in plain_chunks(t.encode())})
+        row = found[key]
+        assert row.fingerprint == " ".join(f"{h:016x}.{n}" for h, n in told(text))
+        assert row.edited_fingerprint == " ".join(f"{h:016x}.{n}" for h, n in told(changed))
+        assert (row.near_edited, row.near_next) == (pytest.approx(within(text, changed)), pytest.approx(within(text, after)))
+        assert row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest() and row.n_chars == len(text)
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = fingerprint_documents(odd_docs(spark)).collect()
     assert sorted((row.doc_id is not None, row.doc_id or 0, row.n_chars) for row in rows) == sorted(
