@@ -9,6 +9,7 @@ import pytest
 import xxhash
 
 import veilspark.llm.simhash as simhash
+import veilspark.llm.url_lists as url_lists
 from tests.llm.helpers import CLASHING, ODD, documents, no_docs, odd_docs, texts
 from veilspark.llm.knn import group_bounds, scores, top_k
 from veilspark.llm.simhash import close_pairs, forest, keep_one, links, near_duplicates, roots
@@ -304,3 +305,13 @@ def test_evaluate(spark):
     ]
     assert evaluate(frame, spark.createDataFrame([], ENTRY)).where("verdict is not null or active > 0").count() == 0
     assert evaluate(frame.where("false"), spark.createDataFrame(entries, ENTRY)).count() == 0
+
+
+def test_patterns_that_share_a_mark(spark, monkeypatch):
+    entries = spark.createDataFrame([("b", "domain", "com", "block", "add", day(1)), ("b", "domain", "b.org", "block", "add", day(1))], ENTRY)
+    captures = [(n, f"http://{'ab'[n % 2]}.{('com', 'org', 'net')[n % 3]}/", day(2)) for n in range(60)]
+    frame = spark.createDataFrame(captures, "capture_id long, url string, fetched timestamp")
+    wanted = sorted((n, int(n % 3 == 0 or n % 6 == 1)) for n in range(60))
+    for marks in (1 << 20, 1):
+        monkeypatch.setattr(url_lists, "MARKS", marks)
+        assert sorted((row.capture_id, row.active) for row in evaluate(frame, entries).collect()) == wanted

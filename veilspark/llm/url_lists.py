@@ -8,6 +8,8 @@ one are equally specific, the allowing one does.
 
 Captures and intervals meet on the pattern and the month, so a pattern that changes often, or
 has a third of all captures, makes neither a large group nor pairs of captures with old intervals.
+Every capture has a row for each pattern that could match it, `domain com` among them; those that no
+list holds are left out before anything is exchanged, by marks of the lists' patterns.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*://"
 _HOST = _SCHEME + r"(?:[^/?#@]*@)?([^/?#:]*)"
 _PATH = _SCHEME + r"[^/?#]*([^?#]*)"
 OPEN_END = "9999-12-31 00:00:00"
+#: Most marks of patterns, so that all of them, 8 bytes each, can be sent to every task whatever the lists hold.
+MARKS = 1 << 20
 
 
 def host(url: Column) -> Column:
@@ -35,6 +39,10 @@ def month(time: Column) -> Column:
     return F.year(time) * 12 + F.month(time)
 
 
+def _mark(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(MARKS))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """list, scope, pattern, verdict, since, until: when each pattern of `entries` was active.
 
@@ -83,12 +91,15 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
     )
     read = rows.withColumns({"host": host(F.col("url")), "segments": segments(F.col("url"))})
     asked = read.select("capture_id", "url", "fetched", "copies", month(F.col("fetched")).alias("month"), F.when(name != "", keys).alias("keys"))
-    asked = asked.withColumn("key", F.explode_outer("keys")).drop("keys")
+    # A mark may stand for several patterns, so what it lets through is still compared below.
+    marks = F.broadcast(spans.select(_mark(F.col("key")).alias("mark")).distinct())
+    asked = asked.withColumn("key", F.explode("keys")).drop("keys").withColumn("mark", _mark(F.col("key")))
+    asked = asked.join(marks, "mark", "left_semi").drop("mark")
 
     c, s = asked.alias("c"), spans.alias("s")
     same = (F.col("c.key") == F.col("s.key")) & (F.col("c.month") == F.col("s.month"))
     active = (F.col("c.fetched") >= F.col("s.since")) & (F.col("c.fetched") < F.col("s.until"))
-    met = c.join(s, same & active, "left")
+    met = c.join(s, same & active)
     rank = F.when(F.col("s.scope") == "prefix", 3).when(F.col("s.scope") == "host", 2).otherwise(1)
     decides = F.struct(
         rank.alias("rank"),
@@ -98,10 +109,11 @@ def evaluate(captures: DataFrame, entries: DataFrame) -> DataFrame:
         F.col("s.scope").alias("scope"),
         F.col("s.pattern").alias("pattern"),
     )
-    found = met.groupBy("c.capture_id", "c.url", "c.fetched", "c.copies").agg(
-        F.count("s.list").alias("active"),
-        F.max(F.when(F.col("s.list").isNotNull(), F.struct(decides.alias("by")))).alias("top"),
-        F.min_by("s.list", F.when(F.col("s.list").isNotNull(), F.struct(*[-x for x in (rank, F.length("s.pattern"), (F.col("s.verdict") == "allow").cast("int"))], F.col("s.list")))).alias("list"),
+    weights = [-rank, -F.length("s.pattern"), -(F.col("s.verdict") == "allow").cast("int")]
+    matches = met.select("c.capture_id", "c.url", "c.fetched", "c.copies", decides.alias("by"), F.struct(*weights, "s.list").alias("first"), "s.list")
+    # Each capture's own row stands for it where no pattern matched.
+    found = matches.unionByName(rows, allowMissingColumns=True).groupBy("capture_id", "url", "fetched", "copies").agg(
+        F.count("list").alias("active"), F.max(F.when(F.col("list").isNotNull(), F.struct("by"))).alias("top"), F.min_by("list", "first").alias("list")
     )
     out = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     top = F.col("top.by")
