@@ -34,6 +34,29 @@ def roll_up(table: DataFrame, columns: Sequence[str], count: str = "cnt") -> Dat
     return table.groupBy(*columns).agg(F.sum(count).alias(count))
 
 
+def changed_pages(before: DataFrame, after: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Keys of pages that two inventories don't list with the same measures, and `change`: added, changed or gone."""
+    was = before.select(*keys, F.struct(*measures).alias("_was"))
+    now = after.select(*keys, F.struct(*measures).alias("_now"))
+    both = was.join(now, list(keys), "full").filter(~F.col("_was").eqNullSafe(F.col("_now")))
+    change = F.when(F.col("_was").isNull(), "added").when(F.col("_now").isNull(), "gone").otherwise("changed")
+    return both.select(*keys, change.alias("change"))
+
+
+def moved_counts(gone: DataFrame, come: DataFrame, columns: Sequence[str], count: str = "cnt") -> DataFrame:
+    """What to add to a frequency table over `columns` when the rows of `come` take the place of those of `gone`."""
+    less = gone.select(*columns, (-F.col(count)).alias(count))
+    return roll_up(come.select(*columns, count).unionByName(less), columns, count).filter(F.col(count) != 0)
+
+
+def with_counts(table: DataFrame, moved: DataFrame, columns: Sequence[str], count: str = "cnt") -> DataFrame:
+    """A frequency table with counts added and subtracted; combinations without rows go, and a count below none raises."""
+    summed = roll_up(table.select(*columns, count).unionByName(moved.select(*columns, count)), columns, count)
+    wrong = F.raise_error(F.lit("more rows are subtracted than were counted")).cast("bigint")
+    sound = F.when(F.col(count) < 0, wrong).otherwise(F.col(count)).alias(count)
+    return summed.filter(F.col(count) != 0).select(*columns, sound)
+
+
 def deidentified_table(
     table: DataFrame,
     rules: Sequence[Rule],

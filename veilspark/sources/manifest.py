@@ -15,26 +15,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from veilspark.sources.delimited import logical_file, read_delimited
 from veilspark.sources.sinks import write_delimited
 from veilspark.sources.tables import file_system
+from veilspark.sources.versions import add_version, versions
 
 ENTRY = "file_nm string, folder string, n_rows long, checksum string"
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    store, make = file_system(spark, path)
-    folder = make(f"{path}/manifests")
-    if not store.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in store.listStatus(folder)]
-    return sorted(name for name in names if name.startswith("v"))
-
-
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """file_nm, folder, n_rows and checksum of each released file; no rows before the first release."""
     path = path.rstrip("/")
-    versions = _versions(spark, path)
-    if not versions:
+    named = versions(spark, f"{path}/manifests")
+    if not named:
         return spark.createDataFrame([], ENTRY)
-    return spark.read.schema(ENTRY).parquet(f"{path}/manifests/{versions[-1]}")
+    return spark.read.schema(ENTRY).parquet(f"{path}/manifests/{named[-1]}")
 
 
 def _measured(spark: SparkSession, path: str, folder: str) -> DataFrame:
@@ -53,21 +45,14 @@ def publish(df: DataFrame, path: str, file_column: str = "file_nm") -> str:
     One release at a time: of two, the later to finish raises and is not seen.
     """
     spark, path = df.sparkSession, path.rstrip("/")
-    before = _versions(spark, path)
+    before = versions(spark, f"{path}/manifests")
     folder = f"release-{uuid.uuid4().hex}"
     named = df.withColumnRenamed(file_column, "file_nm")
     write_delimited(named, f"{path}/{folder}", "file_nm")
     new = _measured(spark, path, folder).withColumn("folder", F.lit(folder))
     kept = manifest(spark, path).join(new.select("file_nm"), "file_nm", "left_anti")
     columns = [part.split()[0] for part in ENTRY.split(", ")]
-    staged, version = f"{path}/_manifest-{folder}", f"v{len(before) + 1:09d}"
-    kept.select(*columns).unionByName(new.select(*columns)).write.parquet(staged)
-    store, make = file_system(spark, path)
-    store.mkdirs(make(f"{path}/manifests"))
-    place = make(f"{path}/manifests/{version}")
-    if store.exists(place) or not store.rename(make(staged), place):
-        raise OSError(f"version {version} of {path} could not be published; the release is not seen")
-    return version
+    return add_version(kept.select(*columns).unionByName(new.select(*columns)), f"{path}/manifests", len(before))
 
 
 def verify(spark: SparkSession, path: str) -> DataFrame:
@@ -109,7 +94,7 @@ def prune(spark: SparkSession, path: str) -> int:
     store, make = file_system(spark, path)
     used = {row["folder"] for row in manifest(spark, path).select("folder").distinct().collect()}
     names = [status.getPath().getName() for status in store.listStatus(make(path))]
-    gone = [name for name in names if name.startswith(("release-", "_manifest-")) and name not in used]
+    gone = [name for name in names if name.startswith("release-") and name not in used]
     for name in gone:
         store.delete(make(f"{path}/{name}"), True)
     return len(gone)
