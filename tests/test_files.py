@@ -1,8 +1,14 @@
 """Readers on flat files, including files that Spark cuts into several splits."""
 
+import bz2
+import gzip
+import io
+import zlib
+
 import pytest
+from pyspark.sql import functions as F
 
-from veilspark.sources import delimited, repair
+from veilspark.sources import delimited, heads, repair
 from veilspark.sources.sinks import write_delimited
 
 META = "ASK_ID,RSHP_ID,PRVDR_CD,HASH_DID,CAT_CD"
@@ -377,3 +383,51 @@ def test_parts_of_a_file_count_as_one(spark, tmp_path):
     df = delimited.read_delimited(spark, path, encoding="auto")
     assert values(df) == [("F.txt", "v1"), ("F.txt", "길2")]
     assert delimited.file_inventory(spark, path).first().datum_cnt == 2
+
+
+STARTS = {
+    "a.txt": b"\xef\xbb\xbfone\r\ntwo\rthree\n\nfive\nsix",
+    "b.txt": b"x" * 300_000 + b"\n" + "길".encode("euc-kr") + b"\r\n",
+    "c d%+.txt": b"one\n",
+    "e.txt": b"",
+    "f.txt": b"\n",
+    "g.txt.gz": gzip.compress(b"in\nside\n" + b"z\n" * 100_000),
+    "h.txt.bz2": bz2.compress(b"in\nside"),
+}
+
+
+@pytest.mark.parametrize("other", [False, True])
+def test_heads_are_those_of_the_lines(spark, tmp_path, other):
+    for name, data in STARTS.items():
+        (tmp_path / name).write_bytes(data)
+    if other:
+        (tmp_path / "i.txt.deflate").write_bytes(zlib.compress(b"in\nside\n"))
+    found = heads.head_lines_by_range(spark, str(tmp_path), None, 4, {"file_nm": delimited.logical_file()})
+    assert (found is None) == other
+    if not other:
+        lines = spark.read.text(str(tmp_path)).select(F.col("_metadata.file_path").alias("_path"), F.hex("value").alias("value"), F.monotonically_increasing_id().alias("n"))
+        wanted = {}
+        for line in lines.orderBy("n").collect():
+            wanted.setdefault(line["_path"], []).append(line["value"])
+        got = found.select("_path", F.transform("_lines", F.hex).alias("lines")).collect()
+        assert {r["_path"]: r.lines for r in got} == {path: some[:4] for path, some in wanted.items()}
+        assert {r.file_nm for r in found.collect()} == STARTS.keys() - {"e.txt"}
+    layouts = {r.file_nm for r in delimited.detect_layouts(spark, str(tmp_path)).collect()}
+    assert layouts == STARTS.keys() - {"e.txt"} | ({"i.txt.deflate"} if other else set())
+
+
+def test_heads_read_little_of_a_file():
+    file = io.BytesIO(b"name,value\n" * 1_000_000)
+    assert heads._lines(file.read, 4) == [b"name,value"] * 4 and file.tell() <= heads.FIRST_READ
+    assert heads.first_lines("nosuchstore://a/b.txt", 4) is None
+
+
+@pytest.mark.parametrize("layout", ["preamble", "auto"])
+def test_preambles_by_lines_and_by_range(spark, tmp_path, layout, small_splits):
+    rows = ["t", "", "", META + ",V", "", "", "", "", *[row(i) for i in range(50)]]
+    put(tmp_path, "a.txt", rows)
+    put(tmp_path, "b.txt", rows)
+    ranged = values(delimited.read_delimited(spark, str(tmp_path), layout, columns=[*META.split(","), "V"]))
+    (tmp_path / "c.txt.deflate").write_bytes(zlib.compress("\n".join(rows).encode()))
+    scanned = values(delimited.read_delimited(spark, str(tmp_path), layout, columns=[*META.split(","), "V"]))
+    assert ranged == [(n, v) for n, v in scanned if n != "c.txt.deflate"] and len(ranged) == 100 and len(scanned) == 150

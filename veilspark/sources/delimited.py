@@ -2,9 +2,9 @@
 
 Every column is read as text. Layouts that need to know where a file starts, and
 encodings other than UTF-8, are read as lines first, still split-parallel: lines of
-the first split are counted from the first line of their file. One pass over the lines
-finds the head of every file, and a second reads them; each file's columns go by its own
-header. A file is one text file, or a folder `file_nm=<name>` of parts, as `sources.sinks`
+the first split are counted from the first line of their file. Heads are read as a few KB of
+each file where tasks can open the store, else by the pass over the lines that finds where files start; a
+second one reads them; each file's columns go by its own header. A file is one text file, or a folder `file_nm=<name>` of parts, as `sources.sinks`
 writes it.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from veilspark.columns import DATA_META, FAILED, OK
 from veilspark.functions.parsing import quoted
 from veilspark.operators.joins import keyed_join
+from veilspark.sources.heads import head_lines_by_range
 from veilspark.sources.scratch import materialise
 
 # Texts that mean "missing" when token handling is asked for (fixed values).
@@ -128,9 +129,9 @@ def detect_layouts(
     file of five columns or fewer without a header cannot be told from a preamble;
     name its layout.
     """
-    lines = _lines(spark, paths, glob)
-    first = _first_lines(lines).withColumn("layout", _layout(F.col("_first")))
-    return first.select("file_nm", "layout").distinct()
+    heads = head_lines_by_range(spark, paths, glob, 1, {"file_nm": logical_file()})
+    first = _first_lines(_lines(spark, paths, glob)) if heads is None else heads.withColumn("_first", F.get("_lines", F.lit(0)))
+    return first.select("file_nm", _layout(F.col("_first")).alias("layout")).distinct()
 
 
 def _first_lines(lines: DataFrame) -> DataFrame:
@@ -140,14 +141,26 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return opening.groupBy("_path", "file_nm").agg(F.min("_line").alias("_start"), first)
 
 
-def _heads(lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str) -> DataFrame:
-    """Layout, rows to skip and column names of every part, stored: a row for each."""
-    heads = materialise(_first_lines(lines), "heads")
+def _heads(lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str, ranged: DataFrame | None) -> DataFrame:
+    """Layout, rows to skip and column names of every part, stored: a row for each.
+
+    `ranged` has the first lines where they are known; else they are found by passes over the lines.
+    """
+    if ranged is None:
+        heads = materialise(_first_lines(lines), "heads")
+    else:
+        starts = lines.filter(F.col("_line").isNotNull()).groupBy("_path").agg(F.min("_line").alias("_start"))
+        lost = F.raise_error(F.concat(F.lit("the files changed while they were read: "), F.col("_path"))).cast("array<string>")
+        known = starts.join(ranged, "_path", "left").withColumn("_lines", F.coalesce("_lines", lost))
+        first, fourth = (F.get("_lines", F.lit(row)) for row in (0, PREAMBLE_HEADER_ROW - 1))
+        heads = known.select("_path", "file_nm", "_start", first.alias("_first"), fourth.alias("_fourth"))
     if layout == "auto":
         heads = heads.withColumn("layout", _layout(F.col("_first")))
     else:
         heads = heads.withColumn("layout", F.lit(layout))
-    if layout in ("auto", "preamble"):
+    if ranged is not None:
+        pass
+    elif layout in ("auto", "preamble"):
         place = F.col("_line") - F.col("_start") == PREAMBLE_HEADER_ROW - 1
         opening = lines.filter(F.col("_line").isNotNull()).select("_path", "_line", "value")
         starts = heads.filter(F.col("layout") == "preamble").select("_path", "_start")
@@ -163,6 +176,13 @@ def _heads(lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: st
     return materialise(heads.select("_path", "file_nm", "_start", skip.alias("_skip"), names.alias("_names")), "heads")
 
 
+def _ranged(spark: SparkSession, paths: str | Sequence[str], glob: str | None, layout: str, encoding: str) -> DataFrame | None:
+    """The rows up to the header of each part, of layouts that have several; None if they need decoding or can't be had."""
+    if layout not in ("auto", "preamble") or encoding.upper() != "UTF-8":
+        return None
+    return head_lines_by_range(spark, paths, glob, PREAMBLE_HEADER_ROW, {"file_nm": logical_file()})
+
+
 def _literal(sep: str) -> str:
     return "".join(f"\\{character}" if not character.isalnum() else character for character in sep)
 
@@ -178,7 +198,8 @@ def header_names(header: Column, sep: str = ",") -> Column:
 
 
 def _with_names(
-    spark: SparkSession, lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str, line_breaks: str, most_headers: int
+    spark: SparkSession, lines: DataFrame, layout: str, columns: Sequence[str] | None, sep: str, line_breaks: str, most_headers: int,
+    ranged: DataFrame | None = None,
 ) -> tuple:
     """Lines with `_names`, the columns of their file, and `_head`, whether they stand before its data.
 
@@ -195,7 +216,7 @@ def _with_names(
         return lines.withColumns({"_names": known, "_head": F.lit(False)}), [(names, None)]
     if layout not in ("headered", "preamble", "auto"):
         raise ValueError(f"unknown layout {layout!r}")
-    heads = _heads(lines, layout, columns, sep)
+    heads = _heads(lines, layout, columns, sep, ranged)
     found = heads.groupBy("_names").agg(F.min("file_nm").alias("file_nm")).orderBy("file_nm", "_names")
     lists = [(list(row["_names"]), row["file_nm"]) for row in found.limit(most_headers + 1).collect()]
     if len(lists) > most_headers:
@@ -371,7 +392,8 @@ def file_faults(
     With `line_breaks="read"` rows are records, which may hold line breaks within quotes.
     """
     lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
-    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers)
+    ranged = _ranged(spark, paths, glob, layout, encoding)
+    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers, ranged)
     return _faults(named, lists, sep)
 
 
@@ -408,8 +430,9 @@ def _read_lines(
     on_width: str,
     line_breaks: str,
     most_headers: int,
+    ranged: DataFrame | None,
 ) -> DataFrame:
-    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers)
+    named, lists = _with_names(spark, lines, layout, columns, sep, line_breaks, most_headers, ranged)
     wanted = lists[0][0] if lists else []
     if on_width == "fail_file":
         bad = materialise(_faults(named, lists, sep).filter(F.col("status") != OK).select("file_nm"), "faults")
@@ -507,7 +530,8 @@ def read_delimited(
         table = _headered(spark, paths, glob, sep)
     else:
         lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
-        table = _read_lines(spark, lines, layout, columns, sep, on_width, line_breaks, most_headers)
+        ranged = _ranged(spark, paths, glob, layout, encoding)
+        table = _read_lines(spark, lines, layout, columns, sep, on_width, line_breaks, most_headers, ranged)
     return _missing(table, missing)
 
 
@@ -533,8 +557,13 @@ def file_headers(
 
     Parts of one delivered file that agree on the header give its rows once.
     """
-    lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
-    first = lines.groupBy("_path", "_file", "file_nm").agg(F.min_by("value", "_line").alias("value"))
+    file = {"_file": _delivered(F.col("_metadata.file_path")), "file_nm": logical_file()}
+    heads = head_lines_by_range(spark, paths, glob, 1, file)
+    if heads is None:
+        lines = _lines(spark, paths, glob).filter(F.col("_line").isNotNull())
+        first = lines.groupBy("_path", "_file", "file_nm").agg(F.min_by("value", "_line").alias("value"))
+    else:
+        first = heads.withColumn("value", F.get("_lines", F.lit(0)))
     names = F.posexplode(header_names(F.col("value"), sep)).alias("pos", "var_cd")
     rows = first.select("_file", "file_nm", names).distinct()
     return rows.select("file_nm", (F.col("pos") + 1).alias("pos"), "var_cd")
