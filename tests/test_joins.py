@@ -22,11 +22,10 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("small", [0, 1_000_000])
-@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_equals_plain_join(sides, how, small, split):
+def test_equals_plain_join(sides, how, small):
     left, right = sides
-    got = keyed_join(left, right, ["k"], how, small=small, split=split)
+    got = keyed_join(left, right, ["k"], how, small=small)
     want = left.join(right, ["k"], how)
     assert got.columns == want.columns
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
@@ -35,36 +34,10 @@ def test_equals_plain_join(sides, how, small, split):
 def test_two_keys(spark, sides):
     left = sides[0].withColumn("g", F.lit("a"))
     right = sides[1].withColumn("g", F.lit("a"))
-    got = keyed_join(left, right, ["g", "k"], small=0, split=True)
+    got = keyed_join(left, right, ["g", "k"], small=0)
     assert got.count() == left.join(right, ["g", "k"]).count()
 
 
-def test_hot_copies_are_spread(spark, sides):
-    """Rows of the hot key take part in several tasks, though they are all alike."""
-    left, right = sides
-    settings = {
-        "spark.sql.adaptive.enabled": "false",
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.shuffle.partitions": "16",
-    }
-    before = {name: spark.conf.get(name) for name in settings}
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    try:
-
-        def largest(df):
-            sizes = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
-            return max(row["count"] for row in sizes)
-
-        plain = largest(left.join(right, ["k"]))
-        spread = largest(keyed_join(left, right, ["k"], small=0, split=True))
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
-    assert plain > 10_000
-    assert spread < plain / 2
-
-
 def test_refuses_joins_that_keep_right_rows(sides):
     with pytest.raises(ValueError):
         keyed_join(*sides, ["k"], "full")
@@ -83,7 +56,6 @@ def test_only_counted_sides_are_broadcast(spark, sides):
 
     assert "rightHint=(strategy=broadcast)" in plan(keyed_join(left, right, ["k"]))
     assert "strategy=broadcast" not in plan(keyed_join(left, right, ["k"], small=100))
-    assert "Join Inner, ((k" in plan(keyed_join(left, right, ["k"], small=100, split=True))
 
 
 def test_wide_rows_are_not_broadcast(spark, sides):
@@ -98,7 +70,7 @@ def test_wide_rows_are_not_broadcast(spark, sides):
 def test_maps_can_be_carried(spark):
     left = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) k", "map('a', id) m", "id")
     right = spark.range(5000).selectExpr("id k", "id w")
-    got = keyed_join(left, right, ["k"], small=0, split=True)
+    got = keyed_join(left, right, ["k"], small=0)
     assert got.count() == left.join(right, ["k"]).count()
 
 

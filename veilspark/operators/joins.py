@@ -1,33 +1,15 @@
-"""The equi join of this package: a checked broadcast, else a plain join, split on request."""
+"""The equi join of this package: a checked broadcast, else a plain join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from veilspark.functions.parsing import quoted
 
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 16 << 20
-MIN_BUCKETS = 16_384
-
-
-def _heavy_buckets(keys: DataFrame, bucket: Column, shares: int) -> DataFrame | None:
-    """Hash buckets with more rows than a mean shuffle partition, and the parts to cut them into.
-
-    Counting by bucket bounds the shuffle to the number of buckets per task, whatever
-    the number of keys. The window sees only the bucket counts, and fewer than `shares`
-    buckets can be heavy. They are fixed here, as both sides of the join have to cut
-    them alike.
-    """
-    load = keys.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    share = F.col("_rows") * shares / F.sum("_rows").over(Window.partitionBy())
-    parts = load.select("_bucket", F.ceil(share).alias("_parts")).filter(F.col("_parts") > 1)
-    found = parts.collect()
-    if not found:
-        return None
-    return keys.sparkSession.createDataFrame(found, "_bucket bigint, _parts bigint")
 
 
 def is_small(df: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> bool:
@@ -41,11 +23,6 @@ def is_small(df: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -
     return found["rows"] <= rows and (found["bytes"] or 0) <= size
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    """The columns a hash can be taken of: all without a map in them."""
-    return [F.col(quoted(field.name)) for field in df.schema if "map<" not in field.dataType.simpleString()]
-
-
 def keyed_join(
     left: DataFrame,
     right: DataFrame,
@@ -54,7 +31,6 @@ def keyed_join(
     at_most: int | None = None,
     sized_by: DataFrame | None = None,
     small: int = LOOKUP_ROWS,
-    split: bool = False,
 ) -> DataFrame:
     """Equi join that keeps or filters left rows.
 
@@ -64,12 +40,7 @@ def keyed_join(
     one the right side is the distinct rows of; either is for narrow right sides.
 
     Beyond that this is a plain join, and keys that own many rows of either side are left to
-    adaptive execution, which cuts their partitions. With `split`, for stored left sides
-    where adaptive execution is off, the left keys are counted when the join is built and
-    the heavy ones are cut into parts: a left row goes to one part of its bucket and the right
-    rows of that bucket go to all its parts, so every pair still meets exactly once. The part
-    follows from the row and its input partition, so copies of one row spread as well, and a
-    repeated task puts each row where it was before. Heavy keys of the right side are not cut.
+    adaptive execution, which cuts their partitions.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"keyed_join keeps left rows, so it cannot run a {how} join")
@@ -77,28 +48,4 @@ def keyed_join(
     counted = right if sized_by is None else sized_by
     if is_small(counted, small) if at_most is None else at_most <= small:
         return left.join(F.broadcast(right), on, how)
-    if not split:
-        return left.join(right, on, how)
-
-    shares = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bucket = F.pmod(F.xxhash64(*on), F.lit(max(MIN_BUCKETS, 4 * shares)))
-    heavy = _heavy_buckets(left.select(*on), bucket, shares)
-    if heavy is None:
-        return left.join(right, on, how)
-    heavy = F.broadcast(heavy)
-
-    place = F.xxhash64(*_hashable(left)) + F.spark_partition_id()
-    spread = (
-        left.withColumn("_bucket", bucket)
-        .join(heavy, "_bucket", "left")
-        .withColumn("_part", F.coalesce(F.pmod(place, F.col("_parts")), F.lit(0)))
-        .drop("_bucket", "_parts")
-    )
-    last = F.coalesce("_parts", F.lit(1)) - 1
-    copies = (
-        right.withColumn("_bucket", bucket)
-        .join(heavy, "_bucket", "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_bucket", "_parts")
-    )
-    return spread.join(copies, [*on, "_part"], how).drop("_part")
+    return left.join(right, on, how)
