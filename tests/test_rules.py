@@ -5,10 +5,13 @@ from veilspark.operators.rules import (
     Rule,
     RuleError,
     apply_rules,
+    apply_rules_with_states,
     bin_numbers,
+    checked_states,
     deid_report,
     map_codes,
     mask_text,
+    report_of_states,
     rules_from_rows,
     truncate_dates,
 )
@@ -141,3 +144,24 @@ def test_columns_may_be_named_like_functions_or_in_other_letters(spark):
     assert again.first().year == "2021"
     with pytest.raises(RuleError, match="not allowed"):
         apply_rules(df, [Rule.parse("left", "Float64->나이 * 2")])
+
+
+@pytest.mark.parametrize("on_invalid", ["suppress", "keep", "fail"])
+def test_states_give_rows_and_report_of_their_own(spark, on_invalid):
+    """One evaluation gives what `apply_rules` and `deid_report` give."""
+    rules = [Rule.parse("n", "Int64->if(x = 5, null, x + 1)"), Rule.parse("D'x", "string->coalesce(nullif(x, 'a'), 'z')"), Rule.parse("M", "Int64->coalesce(x, -1)")]
+    cells = [("1", "a", "1"), ("x", None, "x"), (None, "b", None), ("5", "a", "7")]
+    df = spark.createDataFrame([("f" + str(i % 2), *row) for i, row in enumerate(cells)], "f string, n string, `D'x` string, m string")
+    found, columns = apply_rules_with_states(df, rules, on_invalid)
+    assert columns == ["n", "D'x", "M"]
+    report = sorted(map(tuple, deid_report(df, rules, ["f"]).collect()))
+    assert sorted(map(tuple, report_of_states(found, columns, ["f"]).collect())) == report
+    rows = checked_states(found, columns, on_invalid)
+    assert rows.columns == df.columns
+    if on_invalid == "fail":
+        with pytest.raises(Exception, match="does not fit its type"):
+            rows.collect()
+        sound = checked_states(found.filter("n is not null and m <> -1"), columns, on_invalid)
+        assert sound.count() > 0
+    else:
+        assert sorted(map(repr, rows.collect())) == sorted(map(repr, apply_rules(df, rules, on_invalid).collect()))

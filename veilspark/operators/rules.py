@@ -221,3 +221,61 @@ def deid_report(
         .selectExpr(*[quoted(name) for name in by], f"inline(array({', '.join(lines)}))")
         .withColumn("status", F.when(clean, OK).otherwise(WARNING))
     )
+
+
+def apply_rules_with_states(
+    df: DataFrame,
+    rules: Iterable[Rule],
+    on_invalid: str = "suppress",
+    missing_column: str = "error",
+    context: Sequence[str] = (),
+) -> tuple[DataFrame, list[str]]:
+    """As `apply_rules`, with a column `_state_<i>` behind the others for each rule, and the rules' columns in that order.
+
+    So rows and report come of one evaluation: what became of a cell is stored with its row, as 0 null, 1 not parsed and
+    emptied, 2 emptied, 3 replaced, 4 not parsed and replaced. `fail` leaves such cells to `checked_states`.
+    """
+    if on_invalid not in ("suppress", "keep", "fail"):
+        raise ValueError("on_invalid is 'suppress', 'keep' or 'fail'")
+    rules = _usable(df, rules, missing_column)
+    parsed, results = _evaluated(df, rules, context)
+    changed, states = {}, []
+    for i, (rule, result) in enumerate(zip(rules, results)):
+        raw = quoted(rule.column)
+        changed[rule.column.lower()] = f"coalesce({result}, {raw})" if on_invalid == "keep" else result
+        failed, done = (f"if(_cell_{i} IS NULL, {broken}, {sound})" for broken, sound in ((1, 2), (4, 3)))
+        states.append(f"cast(CASE WHEN {raw} IS NULL THEN 0 WHEN ({result}) IS NULL THEN {failed} ELSE {done} END AS tinyint) AS _state_{i}")
+    cells = [f"{changed.get(name.lower(), quoted(name))} AS {quoted(name)}" for name in df.columns]
+    return parsed.selectExpr(*cells, *states), [rule.column for rule in rules]
+
+
+def checked_states(df: DataFrame, columns: Sequence[str], on_invalid: str) -> DataFrame:
+    """Rows of `apply_rules_with_states` without their states; with `fail` a cell that wasn't parsed raises."""
+    states = [f"_state_{i}" for i in range(len(columns))]
+    if on_invalid == "fail":
+        given = {name.lower(): name for name in df.columns}
+        for i, name in enumerate(given[column.lower()] for column in columns):
+            message = F.raise_error(F.lit(f"cell of rule {i} does not fit its type")).cast(df.schema[name].dataType)
+            df = df.withColumn(name, F.when(F.col(states[i]).isin(1, 4), message).otherwise(F.col(quoted(name))))
+    return df.drop(*states)
+
+
+def report_of_states(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """What `deid_report` gives, counted from the states that are stored with the rows."""
+    counts = [F.count(F.lit(1)).alias("_rows")]
+    lines = []
+    for i, column in enumerate(columns):
+        state = F.col(f"_state_{i}")
+        counts += [F.count_if(state == 0).alias(f"_null_{i}"), F.count_if(state >= 3).alias(f"_done_{i}")]
+        name = column.replace("'", "''")
+        lines.append(
+            f"named_struct('var_cd', '{name}', 'n_null', _null_{i},"
+            f" 'n_failed', _rows - _null_{i} - _done_{i}, 'n_done', _done_{i})"
+        )
+    clean = (F.col("n_null") == 0) & (F.col("n_failed") == 0)
+    return (
+        df.groupBy(*by)
+        .agg(*counts)
+        .selectExpr(*[quoted(name) for name in by], f"inline(array({', '.join(lines)}))")
+        .withColumn("status", F.when(clean, OK).otherwise(WARNING))
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from veilspark.columns import FAILED
 from veilspark.operators.joins import keyed_join
 from veilspark.operators.linkage import swap_key, swap_report
-from veilspark.operators.rules import Rule, RuleError, apply_rules, deid_report
+from veilspark.operators.rules import Rule, RuleError, apply_rules_with_states, checked_states, report_of_states
 from veilspark.operators.tables import drop_and_order
 from veilspark.sources.scratch import materialise
 
@@ -38,16 +38,21 @@ def deidentify(
 
     A file without any matching key is left out and reported as failed; the others go
     on. `shift` names the column of the alternate table with the date shift, which
-    rules may read and which is not published. The joined rows are written once, as
-    both reports and the result read them.
+    rules may read and which is not published. Rows are read, and rules evaluated, once: the changed rows
+    are written with what became of each ruled cell, and the reports and the result read that copy. So no
+    rule may change the alternate key or a column of `files`; one that would raises.
     """
     if not rules:
         raise RuleError("no rules: this would publish the data as it is")
+    held = {"alter_id", *map(str.lower, files)}
+    if ruled := sorted({rule.column for rule in rules if rule.column.lower() in held}):
+        raise RuleError(f"the report goes by {', '.join(ruled)}, which no rule can change")
     extra = [shift] if shift else []
-    swapped = materialise(swap_key(rows, alternates, how, extra), "swapped")
-    keys = materialise(swap_report(swapped, files), "key_report")
+    swapped = swap_key(rows, alternates, how, extra)
+    changed, columns = apply_rules_with_states(swapped, rules, on_invalid, missing_column, extra)
+    stored = materialise(changed, "deidentified")
+    keys = materialise(swap_report(stored, files), "key_report")
     usable = keys.filter(F.col("status") != FAILED).select(*files)
-    good = keyed_join(swapped, usable, files, "left_semi")
-    changed = apply_rules(good, rules, on_invalid, missing_column, extra)
-    cells = deid_report(good, rules, files, missing_column, extra)
-    return Deidentified(drop_and_order(changed, extra), keys, cells)
+    good = keyed_join(stored, usable, files, "left_semi")
+    cells = report_of_states(good, columns, files)
+    return Deidentified(drop_and_order(checked_states(good, columns, on_invalid), extra), keys, cells)
