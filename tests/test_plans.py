@@ -14,6 +14,7 @@ from veilspark.plans.deidentify import deidentify
 from veilspark.plans.linkage import attach_job, hash_job, match_job, store_hashed
 from veilspark.plans.publish import inventory_job, release_job
 from veilspark.plans.summarise import summarise
+from veilspark.sources import manifest
 from veilspark.sources.delimited import read_delimited
 from veilspark.sources.scratch import materialise
 from veilspark.sources.sinks import write_delimited
@@ -206,6 +207,35 @@ def test_release_is_all_or_nothing(spark, tmp_path):
     assert {r.file_nm for r in read_delimited(spark, path).collect()} == set(made[:2])
 
 
+@pytest.mark.parametrize("with_manifest", [False, True])
+def test_release_evaluates_rows_and_register_once(spark, tmp_path, with_manifest):
+    names = [f"IF_DL_501_201900001_A0001_D_{page}_2_20210226.txt" for page in (1, 2)]
+    seen = {"rows": spark.sparkContext.accumulator(0), "register": spark.sparkContext.accumulator(0)}
+
+    def counted(df, name):
+        counter = seen[name]
+
+        def each(batches):
+            for batch in batches:
+                counter.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(each, df.schema)
+
+    register = spark.createDataFrame(
+        [(*STUDY, "K0001", "D", n) for n in names], "ask_id string, rshp_id string, prvdr_cd string, cat_cd string, file_nm string"
+    )
+    rows = spark.createDataFrame(
+        [(*STUDY, n.replace("501", "801"), v) for n in names for v in "xyz"], "ask_id string, rshp_id string, out_nm string, v string"
+    )
+    path = str(tmp_path / "out")
+    job = release_job(counted(register, "register"), counted(rows, "rows"), path, F.lit("K0001"), with_manifest)
+    assert (job.verdicts.count(), job.missing.count()) == (1, 0)
+    assert {name: counter.value for name, counter in seen.items()} == {"rows": 6, "register": 2}
+    read = manifest.read_release(spark, path) if with_manifest else read_delimited(spark, path)
+    assert sorted(r.V for r in read.collect()) == sorted("xyz" * 2)
+
+
 def test_inventory_job_refreshes_and_reports(spark, tmp_path):
     names = [f"IF_DL_501_201900001_A0001_D_{page}_2_20210226.txt" for page in (1, 2)]
     meta = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"

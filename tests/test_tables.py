@@ -266,6 +266,17 @@ def test_release_is_seen_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     assert released(spark, path) == [("a.txt", "x"), ("b 1.txt", "3"), ("c.txt", "y")]
 
 
+def test_manifest_sums_all_lines(spark, tmp_path):
+    path = str(tmp_path / "out")
+    manifest.publish(files(spark, [("a.txt", str(i)) for i in range(50)]), path)
+    lines = spark.createDataFrame([("v",), *[(str(i),) for i in range(50)]], "value string")
+    hashes = [r.h for r in lines.selectExpr("xxhash64(value) h").collect()]
+    assert min(hashes) < 0 < max(hashes)
+    parts = len(list(Path(path).rglob("part-*.csv")))
+    (listed,) = manifest.manifest(spark, path).collect()
+    assert (listed.n_rows, int(listed.checksum)) == (50, sum(hashes) + (parts - 1) * hashes[0])
+
+
 @pytest.mark.parametrize("harm", ["change", "delete", "add"])
 def test_files_that_are_not_as_released_are_found(spark, tmp_path, harm):
     path = tmp_path / "out"

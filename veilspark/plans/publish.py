@@ -13,7 +13,7 @@ from veilspark.operators.inventory import (
     inventory_status,
     merge_inventory,
 )
-from veilspark.operators.release import missing_outputs, releasable, release_verdicts
+from veilspark.operators.release import FILE, missing_outputs, releasable, release_verdicts
 from veilspark.operators.tables import update_exists
 from veilspark.sources.delimited import file_inventory
 from veilspark.sources.manifest import publish
@@ -65,11 +65,14 @@ def release_job(register: DataFrame, rows: DataFrame, path: str, centre: Column,
     `rows` carry the study keys and `out_nm`, the file each belongs to. A file that was
     released before is replaced, so a second run leaves what the first did. With `with_manifest` the files
     are released as `sources.manifest` does, all at once for its readers.
+
+    Rows and register are evaluated once: verdicts and files come from their copies.
     """
-    expected = expected_outputs(register, "deid", centre)
-    produced = materialise(rows.select(*STUDY, "out_nm").distinct(), "produced")
+    expected = materialise(expected_outputs(register, "deid", centre).select(*FILE), "expected")
+    staged = materialise(rows, "release-rows")
+    produced = materialise(staged.select(*FILE).distinct(), "produced")
     verdicts = materialise(release_verdicts(expected, produced), "release")
-    ready = releasable(rows, verdicts, expected).withColumnRenamed("out_nm", "file_nm")
+    ready = releasable(staged, verdicts, expected).withColumnRenamed("out_nm", "file_nm")
     if with_manifest:
         publish(ready, path)
     else:

@@ -42,15 +42,16 @@ def _delivered(path: Column) -> Column:
 
 def _decoded(text: Column) -> Column:
     """Text of a path, in which other characters than a few come as %XX; plus signs are plain."""
-    return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    escaped = F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(text, F.lit("%")), escaped).otherwise(text)
 
 
-def logical_file() -> Column:
+def logical_file(path: str = "_metadata.file_path", name: str = "_metadata.file_name") -> Column:
     """Name of the delivered file a row came from, as it was delivered."""
-    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/file_nm=([^/]+)/", 1)
+    folder = F.regexp_extract(F.col(path), r"/file_nm=([^/]+)/", 1)
     # A folder's name is escaped once by the writer of partitions, and once more in the path.
     part = _decoded(_decoded(F.nullif(folder, F.lit(""))))
-    return F.coalesce(part, _decoded(F.col("_metadata.file_name")))
+    return F.coalesce(part, _decoded(F.col(name)))
 
 
 def _lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None) -> DataFrame:

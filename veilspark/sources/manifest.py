@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from veilspark.sources.delimited import logical_file, read_delimited
+from veilspark.sources.scratch import materialise
 from veilspark.sources.sinks import write_delimited
 from veilspark.sources.tables import file_system
 from veilspark.sources.versions import add_version, versions
@@ -25,17 +26,25 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     path = path.rstrip("/")
     named = versions(spark, f"{path}/manifests")
     if not named:
-        return spark.createDataFrame([], ENTRY)
+        return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, ENTRY.split(", "))])
     return spark.read.schema(ENTRY).parquet(f"{path}/manifests/{named[-1]}")
 
 
 def _measured(spark: SparkSession, path: str, folder: str) -> DataFrame:
-    """The files of a release as they lie in its folder: data rows, and a sum over all lines that their order does not change."""
+    """The files of a release as they lie in its folder: data rows, and a sum over all lines that their order does not change.
+
+    Lines are summed by part, as names are only needed for parts, and in halves that fit a long.
+    """
     lines = spark.read.option("recursiveFileLookup", "true").text(f"{path}/{folder}")
-    found = lines.select("value", F.col("_metadata.file_path").alias("part"), logical_file().alias("file_nm"))
-    return found.groupBy("file_nm").agg(
-        (F.count(F.lit(1)) - F.count_distinct("part")).alias("n_rows"),
-        F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string").alias("checksum"),
+    found = lines.select(F.xxhash64("value").alias("hash"), "_metadata.file_path", "_metadata.file_name")
+    parts = found.groupBy("file_path", "file_name").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.shiftright("hash", 32)).cast("decimal(38,0)").alias("high"),
+        F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(38,0)").alias("low"),
+    )
+    hashes = (F.col("high") * F.lit(1 << 32) + F.col("low")).cast("decimal(38,0)")
+    return parts.groupBy(logical_file("file_path", "file_name").alias("file_nm")).agg(
+        F.sum(F.col("lines") - 1).alias("n_rows"), F.sum(hashes).cast("string").alias("checksum")
     )
 
 
@@ -49,7 +58,7 @@ def publish(df: DataFrame, path: str, file_column: str = "file_nm") -> str:
     folder = f"release-{uuid.uuid4().hex}"
     named = df.withColumnRenamed(file_column, "file_nm")
     write_delimited(named, f"{path}/{folder}", "file_nm")
-    new = _measured(spark, path, folder).withColumn("folder", F.lit(folder))
+    new = materialise(_measured(spark, path, folder).withColumn("folder", F.lit(folder)), "measured")
     kept = manifest(spark, path).join(new.select("file_nm"), "file_nm", "left_anti")
     columns = [part.split()[0] for part in ENTRY.split(", ")]
     return add_version(kept.select(*columns).unionByName(new.select(*columns)), f"{path}/manifests", len(before))
@@ -64,7 +73,8 @@ def verify(spark: SparkSession, path: str) -> DataFrame:
         found = part if found is None else found.unionByName(part)
     if found is None:
         return listed.select("file_nm", "n_rows", F.lit(True).alias("intact"))
-    found = found.withColumnsRenamed({"n_rows": "_rows", "checksum": "_sum"})
+    # Stored, as the join would have the names of parts checked for each line.
+    found = materialise(found, "measured").withColumnsRenamed({"n_rows": "_rows", "checksum": "_sum"})
     same = (F.col("n_rows") == F.col("_rows")) & (F.col("checksum") == F.col("_sum"))
     met = listed.join(found, ["file_nm", "folder"], "left")
     return met.select("file_nm", "n_rows", F.coalesce(same, F.lit(False)).alias("intact"))

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from veilspark.operators.joins import keyed_join
+from veilspark.sources.scratch import materialise
 
 TEXT = "문자"
 NUMBER = "숫자"
@@ -120,6 +121,11 @@ class Tables:
             "prio", "status", "prsnt_pg_num", "tot_pg_num", "file_nm",
         )
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """Those rows as the centre has stored them, for jobs that read them more than once."""
+        return materialise(self.keyed, "keyed")
+
     @cached_property
     def register(self) -> DataFrame:
         """One registered file per order, some of them misnamed."""
