@@ -4,7 +4,9 @@ import bz2
 import gzip
 import io
 import zlib
+from random import Random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +165,48 @@ def test_line_breaks_over_many_splits(spark, tmp_path, small_splits, layout, enc
         assert {(r.file_nm, r.status, r.n_rows) for r in faults} == {("a.txt", "002", 180), ("b.txt", "002", 6)}
 
 
+def _joined_lines(splits, sizes):
+    """What the joiner of lines makes of splits in batches of the given sizes, and in how many batches."""
+    rows, inside = [], False
+    for split, lines in enumerate(splits):
+        rows += [(line.encode(), "f", split, split, i, inside) for i, line in enumerate(lines)]
+        inside ^= sum(line.count('"') for line in lines) % 2 == 1
+    names = ["value", "_path", "_split", "_id", "_line", "_inside"]
+    table = pa.table({name: [row[i] for row in rows] for i, name in enumerate(names)})
+    batches, at = [], 0
+    for size in sizes:
+        batches += table.slice(at, size).combine_chunks().to_batches()
+        at += size
+    assert at >= len(rows)
+    made = list(delimited._line_joiner()(iter(batches)))
+    return [(r["value"].decode(), r["_id"], r["_line"], r["_piece"]) for part in made for r in part.to_pylist()], len(made)
+
+
+def test_lines_are_joined_by_batch_and_not_one_by_one():
+    found, batches = _joined_lines([[line for i in range(500) for line in (f'{i},"a', f'b",{i}')]], [400, 400, 200])
+    assert found == [(f'{i},"a\nb",{i}', 0, 2 * i, 0) for i in range(500)]
+    assert batches == 3
+
+
+def test_pieces_of_records_over_splits_and_batches():
+    random = Random(3)
+    for _ in range(300):
+        splits = [[random.choice(["a", "", 'q"', '"p""', '""', '"']) for _ in range(random.randint(1, 6))] for _ in range(random.randint(1, 4))]
+        want, inside = [], False
+        for split, lines in enumerate(splits):
+            held, piece = [], int(inside)
+            for i, line in enumerate(lines):
+                held.append((line, i))
+                inside ^= line.count('"') % 2 == 1
+                if not inside:
+                    want.append(("\n".join(text for text, _ in held), split, held[0][1], piece))
+                    held, piece = [], 0
+            if held:
+                want.append(("\n".join(text for text, _ in held), split, held[0][1], piece or 2))
+        sizes = [random.randint(1, 5) for _ in range(sum(map(len, splits)))]
+        assert _joined_lines(splits, sizes)[0] == want
+
+
 def test_records_that_are_wrong_raise(spark, tmp_path, small_splits):
     for text in ('1,5" pipe\n2,3" nail\n3,x\n', '1,"never closed\n2,x\n', '1,"a\nb",c\n'):
         (tmp_path / "a.txt").write_text("a,b\n" + "0,plain\n" * 200 + text)

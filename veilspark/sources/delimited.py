@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -297,18 +298,25 @@ def _records(lines: DataFrame) -> DataFrame:
     doubled within them; `_dialect` finds records where that does not hold.
     """
     odd = (F.sum(_quotes(F.col("value"))) % 2).alias("_odd")
-    splits = materialise(lines.groupBy("_path", "_split").agg(odd), "quotes")
+    # Tasks that join lines get a number for what is the same in all lines of a split.
+    same = ("_file", "_size", "file_nm")
+    counted = lines.groupBy("_path", "_split").agg(odd, *[F.any_value(name).alias(name) for name in same])
+    splits = materialise(counted.withColumn("_id", F.monotonically_increasing_id()), "quotes")
     before = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("_odd").over(before), F.lit(0)) % 2 == 1
     splits = splits.withColumn("_inside", inside).withColumn("_cut", F.col("_inside") != (F.col("_odd") == 1))
-    splits = materialise(splits.select("_path", "_split", "_inside", (F.col("_cut") | F.col("_inside")).alias("_cut")), "borders")
+    splits = splits.withColumn("_cut", F.col("_cut") | F.col("_inside")).drop("_odd")
+    splits = materialise(splits, "borders")
     moved = F.raise_error(F.lit("the files are cut into other splits than before; keep the settings between reads"))
-    raw = lines.withColumn("value", F.col("value").cast("binary"))
-    known = keyed_join(raw, splits, ["_path", "_split"], "left").withColumn("_inside", F.coalesce("_inside", moved.cast("boolean")))
+    raw = lines.select(F.col("value").cast("binary").alias("value"), "_line", "_path", "_split")
+    states = splits.select("_path", "_split", "_id", "_inside", "_cut")
+    known = keyed_join(raw, states, ["_path", "_split"], "left").withColumn("_inside", F.coalesce("_inside", moved.cast("boolean")))
+    known = known.select("value", "_line", "_id", "_inside", "_cut")
     schema = known.drop("_inside", "_cut").withColumn("_piece", F.lit(0)).schema
     text = F.col("value").cast("string")
-    whole = known.drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece = 0")
-    cut = known.where("_cut").drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece > 0")
+    named = splits.select("_id", "_path", "_split", *same)
+    whole = keyed_join(known.drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece = 0"), named, ["_id"])
+    cut = keyed_join(known.where("_cut").drop("_cut").mapInArrow(_line_joiner(), schema).where("_piece > 0"), named, ["_id"])
     # 1 goes on with a record, 2 begins one; the first of a file's pieces begins one.
     place = Window.partitionBy("_path").orderBy("_split", "_piece").rowsBetween(Window.unboundedPreceding, 0)
     record = F.sum(F.when(F.col("_piece") == 2, 1).otherwise(0)).over(place)
@@ -316,55 +324,74 @@ def _records(lines: DataFrame) -> DataFrame:
     order = F.sort_array(F.collect_list(F.struct("_split", "_piece", "value")))
     joined = pieces.groupBy("_path", "_record").agg(
         F.array_join(F.transform(order, lambda piece: piece["value"]), "\n").alias("value"),
-        *[F.min_by(name, F.struct("_split", "_piece")).alias(name) for name in ("_file", "_size", "file_nm", "_line", "_split")],
+        *[F.min_by(name, F.struct("_split", "_piece")).alias(name) for name in (*same, "_line", "_split")],
     )
-    return whole.withColumn("value", text).drop("_piece").unionByName(joined.drop("_record"))
+    columns = lines.columns
+    return whole.withColumn("value", text).select(*columns).unionByName(joined.select(*columns))
 
 
 def _line_joiner() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A function that joins the lines of splits to records, each split in order.
 
-    Rows come back with `_piece`: 0 for a record, 1 for the rest of one from before the split, 2 for the start of
+    Rows have `value`, `_line`, `_id` of their split and `_inside`, whether it begins within quotes. They come back
+    with `_piece`: 0 for a record, 1 for the rest of one from before the split, 2 for the start of
     one that goes on behind it. A split that lies within a record is a rest as a whole.
     """
 
-    def record(held: list[pa.RecordBatch], piece: int) -> pa.RecordBatch:
-        text = b"\n".join(part.column("value")[0].as_py() or b"" for part in held)
-        first = held[0].set_column(held[0].schema.get_field_index("value"), "value", pa.array([text], pa.binary()))
-        return told(first, piece)
+    def told(firsts: pa.RecordBatch, values: pa.Array, piece: int) -> pa.RecordBatch:
+        some = firsts.set_column(firsts.schema.get_field_index("value"), "value", values).drop_columns(["_inside"])
+        return some.append_column("_piece", pa.array([piece] * len(some), pa.int32()))
 
-    def told(some: pa.RecordBatch, piece: int) -> pa.RecordBatch:
-        return some.drop_columns(["_inside"]).append_column("_piece", pa.array([piece] * len(some), pa.int32()))
+    def joined(lines: pa.Array, starts: Sequence[int] | np.ndarray) -> pa.Array:
+        """The lines from each start to the next, or to the end, as one."""
+        bounds = pa.array(np.append(starts, len(lines)), pa.int32())
+        filled = pc.fill_null(lines, pa.scalar(b"", lines.type))
+        return pc.binary_join(pa.ListArray.from_arrays(bounds, filled), pa.scalar(b"\n", lines.type))
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        opening, held = None, []  # first line of a record that goes on, and the texts of its lines
         at, inside, rest = None, False, False
+
+        def ended(piece: int) -> pa.RecordBatch:
+            return told(opening, pa.array([b"\n".join(held)], opening.column("value").type), piece)
+
         for batch in batches:
-            path, split = batch.column("_path").to_pylist(), batch.column("_split").to_pylist()
-            odd = pc.bit_wise_and(pc.fill_null(pc.count_substring(batch.column("value"), '"'), 0), 1).to_pylist()
-            begin = 0  # of lines that are records as they stand
-            for line, place in enumerate(zip(path, split)):
-                if place != at:
-                    if begin < line:
-                        yield told(batch.slice(begin, line - begin), 0)
-                    begin = line
-                    if held:
-                        yield record(held, 1 if rest else 2)
-                    at, held = place, []
-                    inside = rest = batch.column("_inside")[line].as_py()
-                if odd[line] or inside:
-                    if begin < line:
-                        yield told(batch.slice(begin, line - begin), 0)
-                    begin = line + 1
-                    held.append(batch.slice(line, 1))
-                    inside ^= bool(odd[line])
-                    if not inside:
-                        yield record(held, 1 if rest else 0)
-                        held, rest = [], False
-            if begin < len(batch):
-                yield told(batch.slice(begin), 0)
-        if held:
-            yield record(held, 1 if rest else 2)
+            ids = batch.column("_id").to_numpy()
+            quotes = pc.fill_null(pc.count_substring(batch.column("value"), '"'), 0).to_numpy(zero_copy_only=False)
+            borders = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1), len(batch)]
+            for begin, end in zip(borders, borders[1:]):
+                if begin == end:
+                    continue
+                if ids[begin] != at:
+                    if opening is not None:
+                        yield ended(1 if rest else 2)
+                    at, opening, held = ids[begin], None, []
+                    inside = rest = batch.column("_inside")[begin].as_py()
+                some = batch.slice(begin, end - begin)
+                open_ = (np.cumsum(quotes[begin:end]) + inside) % 2 == 1  # at the end of each line
+                begins = ~np.append(inside, open_[:-1])
+                done = 0
+                if inside:
+                    closed = np.flatnonzero(~open_)
+                    done = closed[0] + 1 if len(closed) else len(some)
+                    opening = some.slice(0, 1) if opening is None else opening
+                    held.append(joined(some.column("value").slice(0, done), [0])[0].as_py())
+                    if len(closed):
+                        yield ended(1 if rest else 0)
+                        opening, held, rest = None, [], False
+                inside = bool(open_[-1])
+                if done == len(some):
+                    continue
+                left, starts = some.slice(done), np.flatnonzero(begins[done:])
+                texts = joined(left.column("value"), starts)
+                firsts = left.take(pa.array(starts))
+                if inside:
+                    opening, held = firsts.slice(len(firsts) - 1), [texts[-1].as_py()]
+                    firsts, texts = firsts.slice(0, len(firsts) - 1), texts.slice(0, len(texts) - 1)
+                if len(firsts):
+                    yield told(firsts, texts, 0)
+        if opening is not None:
+            yield ended(1 if rest else 2)
 
     return join
 
