@@ -379,3 +379,26 @@ def test_summary_job_has_as_many_jobs_for_any_datasets(spark, tmp_path):
         spark.sparkContext.setJobGroup("rest", "")
         assert done.detail.count() == 3 * some
     assert counts[2] == counts[20] < 40, counts
+
+
+def test_summary_status_rows_do_not_read_the_data_again(spark, tmp_path):
+    key = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"
+    dataset = (*STUDY, "K0001", "D")
+    seen = spark.sparkContext.accumulator(0)
+
+    def each(batches):
+        for part in batches:
+            seen.add(part.num_rows)
+            yield part
+
+    data = spark.createDataFrame([(*dataset, "a.txt", v) for v in "xyz"], f"{key}, file_nm string, v string")
+    register = spark.createDataFrame([(*dataset, name) for name in ("a.txt", "b.txt")], f"{key}, file_nm string")
+    pending = spark.createDataFrame([(1, *STUDY, 1, None)], "bt_seq int, ask_id string, rshp_id string, exec_seq int, rulesetseq2 int")
+    chosen = spark.createDataFrame([(*dataset, 1)], f"{key}, exec_seq int")
+    none = spark.createDataFrame([], f"{key}, var_seq long, var_dscr_seq long, var_dscr_nm string, var_cd string, req_var_tp_cd string, org_mrg_tp_cd string")
+    standard = spark.createDataFrame([], "var_seq long, var_cd string, datatp string")
+    rules = spark.createDataFrame([], f"{key}, var_dscr_seq long, di_set_val string, exec_seq int, org_mrg_tp_cd string")
+    done = batch.summary_job(pending, chosen, none, standard, rules, register, data.mapInArrow(each, data.schema), str(tmp_path), "85")
+    assert {r.file_nm: r.wk_exec_sts_cd for r in done.detail.collect()} == {"a.txt": "003", "b.txt": "902"}
+    assert (done.status.count(), done.log.count()) == (1, 0)
+    assert seen.value == 3

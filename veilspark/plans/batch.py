@@ -94,6 +94,9 @@ def summary_job(
     """
     spark = rows.sparkSession
     details: DataFrame | None = None
+    # Status rows only need the files, of which there are few; they outlive the job's scratch.
+    made = materialise(rows.select(*DATASET, "file_nm").distinct(), "files")
+    expected = materialise(register.select(*DATASET, "file_nm").distinct(), "expected")
     with scratch_job(spark, "summary-job"):
         for turn in _turns(batches.select("bt_seq", *STUDY, "exec_seq", F.col("rulesetseq2").cast("int")).collect()):
             runs = spark.createDataFrame(turn, "bt_seq int, ask_id string, rshp_id string, exec_seq int, rulesetseq2 int")
@@ -106,10 +109,10 @@ def summary_job(
             due = spark.createDataFrame(placed, DUE)
             if kinds:
                 _summaries(rows, due, kinds, store, centre, on_invalid)
-            detail = _detail(register, rows, due)
+            detail = _detail(expected, made, due)
             details = detail if details is None else details.unionByName(detail)
     if details is None:
-        details = _detail(register, rows, spark.createDataFrame([], DUE))
+        details = _detail(expected, made, spark.createDataFrame([], DUE))
     return SummaryBatch(details.drop("exec_seq"), run_log(details, task), rollup_status(details))
 
 
@@ -156,10 +159,10 @@ def _summaries(rows: DataFrame, due: DataFrame, kinds: list[tuple], store: str,
             write_delimited(files, f"{store}/{stage}", "file_nm", mode="replace")
 
 
-def _detail(register: DataFrame, rows: DataFrame, due: DataFrame) -> DataFrame:
-    """A row for each registered file of the datasets, with exec_seq."""
-    found = rows.select(*DATASET, "file_nm").distinct().withColumn("_found", F.lit(1))
-    expected = register.select(*DATASET, "file_nm").distinct().join(F.broadcast(due), list(DATASET))
+def _detail(register: DataFrame, made: DataFrame, due: DataFrame) -> DataFrame:
+    """A row for each registered file of the datasets, with exec_seq; `made` has the files with rows."""
+    found = made.withColumn("_found", F.lit(1))
+    expected = register.join(F.broadcast(due), list(DATASET))
     status = F.when(F.isnull("_found"), FAILED).when(F.isnull("kind"), WARNING).otherwise(OK)
     told = F.when(F.isnull("_found"), "no rows").when(F.isnull("kind"), "no summary variables")
     return expected.join(found, [*DATASET, "file_nm"], "left").select(

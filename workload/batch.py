@@ -23,7 +23,7 @@ class Batches:
 
     def __init__(self, t: Tables):
         self.t = t
-        self.datasets = t.delivered.select(*_COLUMNS).distinct()
+        self.datasets = materialise(t.delivered.select(*_COLUMNS).distinct(), "datasets")
 
     def _times(self, rows: list[tuple], schema: str) -> DataFrame:
         """Each dataset with each of a few given rows."""
@@ -109,7 +109,7 @@ def run_batch(t: Tables, given: Batches, store: str) -> batch.SummaryBatch:
         given.standard,
         given.rules,
         t.delivered,
-        t.keyed,
+        t.stored,
         store,
         "85",
         F.lit("K0002"),
