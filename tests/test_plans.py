@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from veilspark.operators import catalog, linkage, status, summary
-from veilspark.operators.inventory import merge_inventory
+from veilspark.operators.inventory import expected_outputs, merge_inventory, outputs_of_rows
 from veilspark.operators.rules import Rule, RuleError
 from veilspark.operators.summary import Variable
 from veilspark.plans import batch
@@ -236,6 +236,19 @@ def test_release_evaluates_rows_and_register_once(spark, tmp_path, with_manifest
     assert sorted(r.V for r in read.collect()) == sorted("xyz" * 2)
 
 
+@pytest.mark.parametrize("stage", ["deid", "deid_summary"])
+def test_rows_get_the_names_of_their_files(spark, stage):
+    names = ["IF_DL_501_201900001_A0001_D_1_2_20210226.txt", "IF_DL_501_201900001_A0001_D_2_2_202102261200.txt", "bad.txt", None]
+    given = [(n, p, c, v) for n in names for p in ("K0001", "K0004", None) for c in ("D", "E", None) for v in (1, 1, 2)]
+    rows = spark.createDataFrame(given, "file_nm string, prvdr_cd string, cat_cd string, v int")
+    for centre, seq in ((None, F.lit("3")), (F.lit("K0002"), F.col("v"))):
+        named = outputs_of_rows(rows, stage, centre, seq)
+        wanted = expected_outputs(rows, stage, centre, seq)
+        assert named.columns == wanted.columns
+        assert sorted(map(str, named.collect())) == sorted(map(str, wanted.collect()))
+        assert "regexp" not in named._jdf.queryExecution().executedPlan().toString()
+
+
 def test_inventory_job_refreshes_and_reports(spark, tmp_path):
     names = [f"IF_DL_501_201900001_A0001_D_{page}_2_20210226.txt" for page in (1, 2)]
     meta = "ask_id string, rshp_id string, prvdr_cd string, cat_cd string"

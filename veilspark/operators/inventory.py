@@ -8,6 +8,7 @@ from veilspark.columns import DATASET, FAILED, OK
 from veilspark.functions.names import output_name, parse_file_name
 from veilspark.operators.joins import keyed_join
 from veilspark.operators.tables import upsert
+from veilspark.sources.scratch import materialise
 
 INVENTORY_KEYS = (*DATASET, "org_mrg_tp_cd", "prsnt_pg_num", "tot_pg_num")
 MEASURES = ("crt_ymd", "file_sz", "datum_cnt", "var_ea", "file_nm")
@@ -28,6 +29,27 @@ def expected_outputs(
     return register.withColumn("out_nm", name)
 
 
+def outputs_of_rows(
+    rows: DataFrame, stage: str, centre: Column | None = None, exec_seq: Column | None = None
+) -> DataFrame:
+    """`expected_outputs` of data rows, many of one file: a name is made once for each file, not for each row.
+
+    The rows are read twice, so they are better stored.
+    """
+    given = [
+        F.col("file_nm").alias("name"),
+        (F.col("prvdr_cd") if centre is None else centre).alias("owner"),
+        F.col("cat_cd").alias("cat"),
+        (F.lit(None).cast("string") if exec_seq is None else exec_seq).alias("seq"),
+    ]
+    # As one column, in which nulls are equal.
+    keyed = rows.drop("out_nm").withColumn("_file", F.struct(*given))
+    file = F.col("_file")
+    name = output_name(file["name"], stage, file["owner"], file["cat"], None if exec_seq is None else file["seq"])
+    names = materialise(keyed.select("_file").distinct().withColumn("out_nm", name), "names")
+    return keyed_join(keyed, names, ["_file"], "left").drop("_file")
+
+
 def inventory_rows(expected: DataFrame, files: DataFrame, stage: str) -> DataFrame:
     """Inventory rows of the expected files that exist, `files` being their measures."""
     parts = parse_file_name(F.col("_given"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from veilspark.operators import release, tables
-from veilspark.operators.inventory import expected_outputs, inventory_status
+from veilspark.operators.inventory import expected_outputs, inventory_status, outputs_of_rows
 from veilspark.plans.publish import complete_requests, inventory_job, release_job
 from veilspark.sources import manifest, tables as stored
 from veilspark.sources.delimited import file_inventory
-from veilspark.sources.scratch import scratch_path
+from veilspark.sources.scratch import materialise, scratch_path
 from veilspark.sources.sinks import deliver, write_bundles
 from workload.registry import query
 from workload.tables import Tables
@@ -337,8 +337,13 @@ v AS (SELECT ask_id, rshp_id, count(*) n_expected, count(found) n_produced
  FROM x LEFT JOIN y USING (ask_id, rshp_id, out_nm) GROUP BY ALL)"""
 
 
+def _stored_rows(t: Tables) -> DataFrame:
+    """The rows that are released, stored: what registers, names and files are made from."""
+    return materialise(t.keyed.select(*_REGISTER, "prsnt_pg_num", "o_orderkey", "prio"), "keyed")
+
+
 def _outputs(t: Tables) -> tuple[DataFrame, DataFrame]:
-    expected = expected_outputs(t.keyed, "deid", F.lit("K0002"))
+    expected = outputs_of_rows(_stored_rows(t), "deid", F.lit("K0002"))
     return expected, expected.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
 
 
@@ -367,16 +372,18 @@ WHERE ask_id <> '2019-00003'""",
 )
 def release_complete_studies(t: Tables) -> DataFrame:
     """A study without its second page is held back as a whole."""
-    return _released(t, t.keyed, 1)
+    return _released(t, 1)
 
 
-def _released(t: Tables, registered: DataFrame, runs: int) -> DataFrame:
-    rows = expected_outputs(t.keyed, "deid", F.lit("K0002"))
+def _released(t: Tables, runs: int, registered: str = "true") -> DataFrame:
+    stored_rows = _stored_rows(t)
+    rows = outputs_of_rows(stored_rows, "deid", F.lit("K0002"))
+    register = stored_rows.filter(registered).select(*_REGISTER).distinct()
     made = rows.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
     path = scratch_path(t.spark, "release")
     columns = ["ask_id", "rshp_id", "out_nm", "o_orderkey", "prio"]
     for _ in range(runs):
-        release_job(registered.select(*_REGISTER).distinct(), made.select(*columns), path, F.lit("K0002"))
+        release_job(register, made.select(*columns), path, F.lit("K0002"))
     return t.spark.read.option("header", True).csv(path).select("o_orderkey", "prio", "file_nm")
 
 
@@ -388,7 +395,7 @@ WHERE ask_id <> '2019-00003'""",
 )
 def release_twice(t: Tables) -> DataFrame:
     """A second run leaves what the first one published."""
-    return _released(t, t.keyed, 2)
+    return _released(t, 2)
 
 
 def _released_by_manifest(t: Tables) -> str:
@@ -432,7 +439,7 @@ WHERE ask_id <> '2019-00003' AND prsnt_pg_num <> 4""",
 )
 def release_registered_only(t: Tables) -> DataFrame:
     """Fourth pages were made but are not registered."""
-    return _released(t, t.keyed.filter("prsnt_pg_num <> 4"), 1)
+    return _released(t, 1, "prsnt_pg_num <> 4")
 
 
 @query(
