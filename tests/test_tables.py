@@ -277,6 +277,18 @@ def test_manifest_sums_all_lines(spark, tmp_path):
     assert (listed.n_rows, int(listed.checksum)) == (50, sum(hashes) + (parts - 1) * hashes[0])
 
 
+def test_released_names_are_not_worked_out_for_each_line(spark, tmp_path):
+    path = str(tmp_path / "out 1")
+    manifest.publish(files(spark, [("a.txt", "1"), ("b 1%.txt", "2"), ("가.txt", "3"), ("가.txt", "4")]), path)
+    manifest.publish(files(spark, [("a.txt", "x"), ("c+.txt", "y")]), path)
+    wanted = [("a.txt", "x"), ("b 1%.txt", "2"), ("c+.txt", "y"), ("가.txt", "3"), ("가.txt", "4")]
+    read = manifest.read_release(spark, path)
+    assert sorted((r.file_nm, r.V) for r in read.collect()) == wanted
+    assert "regexp_extract" not in read._jdf.queryExecution().executedPlan().toString()
+    by_name = manifest.read_release(spark, path, headers="by_name")
+    assert sorted((r.file_nm, r.V) for r in by_name.collect()) == wanted
+
+
 @pytest.mark.parametrize("harm", ["change", "delete", "add"])
 def test_files_that_are_not_as_released_are_found(spark, tmp_path, harm):
     path = tmp_path / "out"

@@ -494,7 +494,9 @@ def _cells(named: DataFrame, lists: list[list[str]], sep: str) -> DataFrame:
     return parsed.select(*cells, "file_nm")
 
 
-def _headered(spark: SparkSession, paths: str | Sequence[str], glob: str | None, sep: str) -> DataFrame:
+def _headered(
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None, sep: str, parts: DataFrame | None = None
+) -> DataFrame:
     """Headered UTF-8 files that all have the same header, in one pass.
 
     The CSV source leaves out each file's first line, having compared it, and gives the others whole, as no line
@@ -510,7 +512,11 @@ def _headered(spark: SparkSession, paths: str | Sequence[str], glob: str | None,
         return raw.select(logical_file().alias("file_nm"))
     header = spark.range(1).select(header_names(F.lit(raw.columns[0]), sep).alias("names")).first()
     names = list(header["names"])
-    rows = raw.select(F.col(quoted(raw.columns[0])).alias("value"), logical_file().alias("file_nm"))
+    value = F.col(quoted(raw.columns[0])).alias("value")
+    if parts is None:
+        rows = raw.select(value, logical_file().alias("file_nm"))
+    else:
+        rows = keyed_join(raw.select(value, F.col("_metadata.file_path").alias("_path")), parts, ["_path"])
     known = F.array(*[F.lit(name) for name in names])
     return _cells(rows.where("value is not null").withColumns({"_names": known, "_head": F.lit(False)}), [names], sep)
 
@@ -529,6 +535,7 @@ def read_delimited(
     on_width: str = "fail",
     line_breaks: str = "refuse",
     most_headers: int = 1000,
+    parts: DataFrame | None = None,
 ) -> DataFrame:
     """All files as one frame of text columns with upper-case names, plus `file_nm`.
 
@@ -545,7 +552,8 @@ def read_delimited(
     raises, or with `on_width="fail_file"` its file is left out, as is one whose header has other names;
     `file_faults` reports them. With `line_breaks="read"` a field in quotes may hold line breaks, in all
     layouts and still with many tasks for a file, for two more passes; there a quote may stand only around fields
-    and doubled within them. `most_headers` bounds the distinct headers of a read.
+    and doubled within them. `most_headers` bounds the distinct headers of a read. `parts`, a row for each part with `_path` as in
+    `_metadata.file_path` and `file_nm`, restricts the rows to those files, whose names are then not worked out for each line.
     """
     if headers not in ("same", "by_name"):
         raise ValueError("headers is 'same' or 'by_name'")
@@ -555,11 +563,13 @@ def read_delimited(
         raise ValueError("line_breaks is 'refuse' or 'read'")
     plain = layout == "headered" and encoding.upper() == "UTF-8" and headers == "same" and on_width == "fail"
     if plain and line_breaks == "refuse":
-        table = _headered(spark, paths, glob, sep)
+        table = _headered(spark, paths, glob, sep, parts)
     else:
         lines = _with_text(_lines(spark, paths, glob), encoding, fallback)
         ranged = _ranged(spark, paths, glob, layout, encoding)
         table = _read_lines(spark, lines, layout, columns, sep, on_width, line_breaks, most_headers, ranged)
+        if parts is not None:
+            table = keyed_join(table, parts.select("file_nm").distinct(), ["file_nm"], "left_semi").select(*table.columns)
     return _missing(table, missing)
 
 

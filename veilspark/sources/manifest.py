@@ -30,8 +30,8 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENTRY).parquet(f"{path}/manifests/{named[-1]}")
 
 
-def _measured(spark: SparkSession, path: str, folder: str) -> DataFrame:
-    """The files of a release as they lie in its folder: data rows, and a sum over all lines that their order does not change.
+def _parts(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The parts of a release as they lie in its folder: `_path`, `file_nm`, data rows, and a sum over all lines.
 
     Lines are summed by part, as names are only needed for parts, and in halves that fit a long.
     """
@@ -43,9 +43,17 @@ def _measured(spark: SparkSession, path: str, folder: str) -> DataFrame:
         F.sum(F.col("hash").bitwiseAND(F.lit(0xFFFFFFFF))).cast("decimal(38,0)").alias("low"),
     )
     hashes = (F.col("high") * F.lit(1 << 32) + F.col("low")).cast("decimal(38,0)")
-    return parts.groupBy(logical_file("file_path", "file_name").alias("file_nm")).agg(
-        F.sum(F.col("lines") - 1).alias("n_rows"), F.sum(hashes).cast("string").alias("checksum")
-    )
+    name = logical_file("file_path", "file_name").alias("file_nm")
+    return parts.select(F.col("file_path").alias("_path"), name, (F.col("lines") - 1).alias("rows"), hashes.alias("hashes"))
+
+
+def _by_file(parts: DataFrame, *keys: str) -> DataFrame:
+    """The files whose parts these are: data rows, and a sum over all lines that their order does not change."""
+    return parts.groupBy("file_nm", *keys).agg(F.sum("rows").alias("n_rows"), F.sum("hashes").cast("string").alias("checksum"))
+
+
+def _measured(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    return _by_file(_parts(spark, path, folder))
 
 
 def publish(df: DataFrame, path: str, file_column: str = "file_nm") -> str:
@@ -64,36 +72,49 @@ def publish(df: DataFrame, path: str, file_column: str = "file_nm") -> str:
     return add_version(kept.select(*columns).unionByName(new.select(*columns)), f"{path}/manifests", len(before))
 
 
-def verify(spark: SparkSession, path: str) -> DataFrame:
-    """file_nm, n_rows and `intact` of each released file: whether its rows and checksum are those of the manifest."""
-    path, listed = path.rstrip("/"), manifest(spark, path)
+def _found(spark: SparkSession, path: str, listed: DataFrame) -> tuple[list[str], DataFrame | None]:
+    """The folders that a manifest lists, and the parts in them, stored; None without any."""
+    folders = [row["folder"] for row in listed.select("folder").distinct().orderBy("folder").collect()]
     found = None
-    for row in listed.select("folder").distinct().orderBy("folder").collect():
-        part = _measured(spark, path, row["folder"]).withColumn("folder", F.lit(row["folder"]))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return listed.select("file_nm", "n_rows", F.lit(True).alias("intact"))
-    # Stored, as the join would have the names of parts checked for each line.
-    found = materialise(found, "measured").withColumnsRenamed({"n_rows": "_rows", "checksum": "_sum"})
+    for folder in folders:
+        some = _parts(spark, path, folder).withColumn("folder", F.lit(folder))
+        found = some if found is None else found.unionByName(some)
+    # Stored, as a join would have the names of parts checked for each line.
+    return folders, None if found is None else materialise(found, "parts")
+
+
+def _verdicts(listed: DataFrame, parts: DataFrame) -> DataFrame:
+    found = _by_file(parts, "folder").withColumnsRenamed({"n_rows": "_rows", "checksum": "_sum"})
     same = (F.col("n_rows") == F.col("_rows")) & (F.col("checksum") == F.col("_sum"))
     met = listed.join(found, ["file_nm", "folder"], "left")
     return met.select("file_nm", "n_rows", F.coalesce(same, F.lit(False)).alias("intact"))
 
 
+def verify(spark: SparkSession, path: str) -> DataFrame:
+    """file_nm, n_rows and `intact` of each released file: whether its rows and checksum are those of the manifest."""
+    path, listed = path.rstrip("/"), manifest(spark, path)
+    _, parts = _found(spark, path, listed)
+    if parts is None:
+        return listed.select("file_nm", "n_rows", F.lit(True).alias("intact"))
+    return _verdicts(listed, parts)
+
+
 def read_release(spark: SparkSession, path: str, **options) -> DataFrame:
     """The rows of all released files, as `read_delimited` gives them; raises if a file isn't as the manifest says."""
-    path = path.rstrip("/")
-    broken = [row["file_nm"] for row in verify(spark, path).where("not intact").limit(10).collect()]
+    path, listed = path.rstrip("/"), manifest(spark, path)
+    folders, parts = _found(spark, path, listed)
+    if parts is None:
+        raise ValueError(f"nothing is released at {path}")
+    broken = [row["file_nm"] for row in _verdicts(listed, parts).where("not intact").limit(10).collect()]
     if broken:
         raise ValueError(f"files are not as released: {', '.join(sorted(broken))}")
-    listed = manifest(spark, path)
-    folders = [row["folder"] for row in listed.select("folder").distinct().orderBy("folder").collect()]
-    if not folders:
-        raise ValueError(f"nothing is released at {path}")
+    # Lines go by the parts that were verified, so replaced files are left out before they are parsed.
+    parts = parts.join(listed.select("file_nm", "folder"), ["file_nm", "folder"], "left_semi")
+    parts = materialise(parts.select("_path", "file_nm", "folder"), "released")
     rows = None
     for folder in folders:
-        some = read_delimited(spark, f"{path}/{folder}", **options)
-        some = some.join(listed.where(F.col("folder") == folder).select("file_nm"), "file_nm", "left_semi").select(*some.columns)
+        of_folder = parts.where(F.col("folder") == folder).select("_path", "file_nm")
+        some = read_delimited(spark, f"{path}/{folder}", parts=of_folder, **options)
         rows = some if rows is None else rows.unionByName(some)
     return rows
 

@@ -400,11 +400,12 @@ def release_twice(t: Tables) -> DataFrame:
 
 def _released_by_manifest(t: Tables) -> str:
     """Two releases, of which the second replaces files of some studies."""
-    rows = expected_outputs(t.stored, "deid", F.lit("K0002"))
+    stored_rows = _stored_rows(t)
+    rows = outputs_of_rows(stored_rows, "deid", F.lit("K0002"))
     made = rows.filter("NOT (ask_id = '2019-00003' AND prsnt_pg_num = 2)")
     path = scratch_path(t.spark, "release")
     columns = ["ask_id", "rshp_id", "out_nm", "o_orderkey", "prio"]
-    register = t.stored.select(*_REGISTER).distinct()
+    register = stored_rows.select(*_REGISTER).distinct()
     release_job(register, made.select(*columns), path, F.lit("K0002"), with_manifest=True)
     again = made.filter("ask_id >= '2019-00004'").selectExpr(*columns[:-1], "upper(prio) prio")
     release_job(register.filter("ask_id >= '2019-00004'"), again, path, F.lit("K0002"), with_manifest=True)
